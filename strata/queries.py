@@ -51,3 +51,618 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: dirty landing → cast → dedup → rules → daily summary per source and date."""
     daily = gold.compute_daily(silver_events(spark, sf_dir), computed_at=NOW)
     return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+
+
+# ---------------------------------------------------------------------------------------------
+# Helpers shared by the write-type queries
+# ---------------------------------------------------------------------------------------------
+
+START, END = "2024-01-01", "2024-01-30"
+# A range wider than the data: the dates outside it must come out empty, not stale.
+WIDE_START, WIDE_END = "2023-12-30", "2024-02-01"
+ORDERS_DATE = "1995-03-15"
+QUALITY_COLUMNS = ["check_name", "passed", "observed", "expected"]
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    from strata.session import scratch_path
+    return scratch_path(spark, name)
+
+
+def _paths(spark: SparkSession, name: str):
+    from strata.plans.jobs import Paths
+    return Paths.under(_scratch(spark, name))
+
+
+def _quality_view(results: DataFrame, extra=()) -> DataFrame:
+    """Quality rows with the numeric observation rounded (text formatting is engine-specific)."""
+    return results.select(*extra, "check_name", "passed",
+                          F.round("observed", 6).alias("observed"), "expected")
+
+
+def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.bronze_events(spark, sf_dir, RUN_ID, NOW)
+
+
+def enriched_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.enrich_with_dimension(silver_events(spark, sf_dir), fixtures.dim_source(spark))
+
+
+# ---------------------------------------------------------------------------------------------
+# Projections, filters, deduplication, joins
+# ---------------------------------------------------------------------------------------------
+
+@query
+def attach_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators.bronze import attach_metadata as attach
+    return attach(fixtures.raw_events(spark, sf_dir), RUN_ID, "crm", EXECUTION_DATE, NOW)
+
+
+@query
+def cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed_events(spark, sf_dir)
+
+
+@query
+def deduplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduped_events(spark, sf_dir)
+
+
+@query
+def deduplicate_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    return silver.deduplicate(li, keys=("l_orderkey", "l_linenumber"))
+
+
+@query
+def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.dedup_report(typed_events(spark, sf_dir))
+
+
+@query
+def business_rules_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.not_null_rules(deduped_events(spark, sf_dir))
+
+
+@query
+def business_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_events(spark, sf_dir)
+
+
+@query
+def enrich_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enriched_silver(spark, sf_dir)
+
+
+@query
+def enrich_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = fixtures.table(spark, sf_dir, "customer")
+    nation = fixtures.table(spark, sf_dir, "nation")
+    return silver.enrich_with_dimension(cust, nation, key="c_nationkey", dim_key="n_nationkey",
+                                        columns=("n_name",))
+
+
+# ---------------------------------------------------------------------------------------------
+# Aggregations
+# ---------------------------------------------------------------------------------------------
+
+@query
+def gold_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = gold.compute_kpis(silver_events(spark, sf_dir), EXECUTION_DATE, NOW)
+    return _round_money(k, sums=["total_value"], means=["avg_value", "active_rate"])
+
+
+@query
+def active_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = typed_events(spark, sf_dir)
+    return (t.groupBy("source_system")
+             .agg(F.count(F.lit(1)).alias("rows"), F.round(gold.active_rate(), 6)
+                  .alias("active_rate")))
+
+
+@query
+def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.contract import CONTRACT_CASTS
+    from strata.operators.quality import null_counts as nc
+    return nc(typed_events(spark, sf_dir), [*CONTRACT_CASTS, "source_system"])
+
+
+# ---------------------------------------------------------------------------------------------
+# Data-quality operators
+# ---------------------------------------------------------------------------------------------
+
+def _expected_silver_schema():
+    from pyspark.sql import types as T
+    return T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("amount", T.DoubleType()),
+        T.StructField("event_date", T.DateType()), T.StructField("created_at", T.TimestampType()),
+        T.StructField("is_active", T.BooleanType()), T.StructField("source_system", T.StringType()),
+        T.StructField("source_label", T.StringType()), T.StructField("year", T.LongType()),
+    ])
+
+
+@query
+def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    s = silver_events(spark, sf_dir)
+    res = quality.evaluate(s, quality.schema_checks(s.schema, _expected_silver_schema()))
+    return res.select("check_name", "passed", "actual", "expected", "message")
+
+
+@query
+def dq_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    d = deduped_events(spark, sf_dir)
+    cols = ["id", "event_date", "source_system", "amount", "is_active"]
+    res = quality.evaluate(d, quality.null_rate(cols, d.columns, 0.05))
+    return _quality_view(res)
+
+
+@query
+def dq_null_rate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    d = deduped_events(spark, sf_dir)
+    res = quality.evaluate(d, quality.null_rate(["id", "source_system", "customer_tier"],
+                                                d.columns, 0.02))
+    return res.select("check_name", "passed", "actual", "expected")
+
+
+@query
+def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    s = silver_events(spark, sf_dir)
+    checks = [quality.row_count(1, label="silver"),
+              quality.row_count(1, 5000, label="silver_bounded"),
+              quality.row_count(0, label="silver_any")]
+    return quality.evaluate(s, checks).select("check_name", "passed", "actual", "expected",
+                                              "message")
+
+
+@query
+def dq_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First run writes the baseline (from the typed frame); the next run, on the enriched
+    silver frame, reports added / removed columns."""
+    from strata.operators import quality
+    from strata.sinks import writers
+    root = _scratch(spark, "baselines")
+    typed = typed_events(spark, sf_dir)
+    first = quality.schema_drift(typed.columns, writers.read_schema_baseline(spark, root, "silver"),
+                                 "silver")
+    writers.write_schema_baseline(spark, root, "silver", typed.columns)
+    enriched = enriched_silver(spark, sf_dir).drop("k")
+    second = quality.schema_drift(enriched.columns,
+                                  writers.read_schema_baseline(spark, root, "silver"), "silver")
+    res = quality.evaluate(typed, [first]).withColumn("run", F.lit(1)).unionByName(
+        quality.evaluate(enriched, [second]).withColumn("run", F.lit(2)))
+    return res.select("run", "check_name", "passed", "actual", "expected", "message")
+
+
+def _published_silver(spark: SparkSession, sf_dir: str) -> str:
+    from strata.sinks import writers
+    root = _scratch(spark, "silver")
+    writers.publish_range(silver_events(spark, sf_dir), root, START, END)
+    return root
+
+
+@query
+def dq_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    root = _published_silver(spark, sf_dir)
+    return quality.partition_completeness(spark.read.parquet(root), WIDE_START, WIDE_END)
+
+
+@query
+def exp_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    s = silver_events(spark, sf_dir)
+    checks = [quality.expect_table_row_count_between(1, 50000000),
+              quality.expect_table_row_count_between(0, None),
+              quality.expect_table_row_count_between(20000, None)]
+    return _quality_view(quality.evaluate(s, checks))
+
+
+@query
+def exp_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    d = deduped_events(spark, sf_dir)
+    checks = [quality.expect_not_null("id", d.columns, 1.0),
+              quality.expect_not_null("event_date", d.columns, 0.98),
+              quality.expect_not_null("source_system", d.columns, 0.95),
+              quality.expect_not_null("amount", d.columns, 0.9)]
+    return _quality_view(quality.evaluate(d, checks))
+
+
+@query
+def exp_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    r = fixtures.raw_events(spark, sf_dir)
+    checks = [quality.expect_regex("created_at", r.columns,
+                                   r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", 1.0),
+              quality.expect_regex("id", r.columns, r"^[0-9]+$", 0.99),
+              quality.expect_regex("event_date", r.columns, r"^\d{4}-\d{2}-\d{2}$", 0.95)]
+    return _quality_view(quality.evaluate(r, checks))
+
+
+@query
+def exp_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    t = typed_events(spark, sf_dir)
+    checks = [quality.expect_between("amount", t.columns, 0, None, 0.95),
+              quality.expect_between("amount", t.columns, 0, 500, 0.999),
+              quality.expect_between("day", t.columns, 1, 31, 1.0)]
+    return _quality_view(quality.evaluate(t, checks))
+
+
+@query
+def exp_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    t = typed_events(spark, sf_dir)
+    li = fixtures.table(spark, sf_dir, "lineitem")
+    orders = fixtures.table(spark, sf_dir, "orders")
+    parts = [quality.evaluate(t, [quality.expect_compound_unique(
+                 ["id", "event_date", "source_system"], t.columns)]),
+             quality.evaluate(li, [quality.expect_compound_unique(
+                 ["l_orderkey", "l_linenumber"], li.columns)]),
+             quality.evaluate(orders, [quality.expect_compound_unique(
+                 ["o_orderkey"], orders.columns)])]
+    return _quality_view(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query
+def exp_suite_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import run_suite
+    return _quality_view(run_suite(bronze_frame(spark, sf_dir), "bronze"))
+
+
+@query
+def exp_suite_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import run_suite
+    return _quality_view(run_suite(silver_events(spark, sf_dir), "silver"))
+
+
+@query
+def exp_suite_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import run_suite
+    daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
+    return _quality_view(run_suite(daily, "gold"))
+
+
+def _profile_by_date(spark: SparkSession, layer: str, df: DataFrame, base_path: str):
+    """Layer profile evaluated per date partition in one aggregation over the whole table."""
+    from strata.contract import LAYER_PROFILES
+    from strata.operators import quality
+    p = LAYER_PROFILES[layer]
+    checks = ([quality.row_count(p["min_rows"], label=layer)]
+              + quality.null_rate(p["columns"], df.columns, p["max_null_rate"])
+              + [quality.schema_drift(df.columns, None, layer),
+                 quality.partition_exists(None, base_path)])
+    res = quality.evaluate(df, checks, by=["year", "month", "day"])
+    return _quality_view(res, extra=("year", "month", "day"))
+
+
+@query
+def dq_profile_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _profile_by_date(spark, "bronze", bronze_frame(spark, sf_dir), "/bronze")
+
+
+@query
+def dq_profile_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _published_silver(spark, sf_dir)
+    return _profile_by_date(spark, "silver", spark.read.parquet(root), "/silver")
+
+
+@query
+def dq_profile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpis = gold.compute_kpis(silver_events(spark, sf_dir), None, NOW,
+                             keys=("source_system", "year", "month", "day"))
+    return _profile_by_date(spark, "gold", kpis, "/gold/kpi_summary")
+
+
+@query
+def dq_env_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One silver slice against the dev / staging / prod thresholds (one pass per env)."""
+    from strata.contract import GATE_COLUMNS, THRESHOLDS
+    from strata.operators import quality
+    s = silver_events(spark, sf_dir)
+    out = None
+    for env in ("dev", "staging", "prod"):
+        t = THRESHOLDS[env]["silver"]
+        checks = (quality.null_rate(GATE_COLUMNS["silver"], s.columns, t["max_null_rate"])
+                  + [quality.row_count(t["min_rows"], label="silver")])
+        res = _quality_view(quality.evaluate(s, checks), extra=(F.lit(env).alias("env"),))
+        out = res if out is None else out.unionByName(res)
+    return out
+
+
+@query
+def gate_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.contract import GATE_COLUMNS, THRESHOLDS
+    from strata.operators import quality
+    b = bronze_frame(spark, sf_dir)
+    res = quality.evaluate(b, quality.null_rate(GATE_COLUMNS["bronze"], b.columns,
+                                                THRESHOLDS["dev"]["bronze"]["max_null_rate"]))
+    quality.gate(res)
+    return _quality_view(res)
+
+
+@query
+def gate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    from strata.plans.jobs import silver_checks
+    s = enriched_silver(spark, sf_dir)
+    res = quality.evaluate(s, silver_checks(s.columns, "dev"))
+    quality.gate(res)
+    return _quality_view(res)
+
+
+@query
+def gate_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    from strata.plans.jobs import gold_checks
+    s = silver_events(spark, sf_dir)
+    daily = gold.compute_daily(s, NOW)
+    kpis = gold.compute_kpis(s, EXECUTION_DATE, NOW)
+    res = quality.evaluate(daily, gold_checks("dev", "gold_daily")).unionByName(
+        quality.evaluate(kpis, gold_checks("dev", "gold_kpis")))
+    quality.gate(res)
+    return _quality_view(res)
+
+
+# ---------------------------------------------------------------------------------------------
+# Sources
+# ---------------------------------------------------------------------------------------------
+
+def _landed_text_summary(df: DataFrame) -> DataFrame:
+    """Per source: rows, non-NULL ids / amounts, amount total (amount re-typed leniently)."""
+    amount = F.col("amount").cast("string").try_cast("double")
+    return (df.groupBy("source_system")
+              .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
+                   F.count(amount).alias("amounts"),
+                   F.round(F.sum(amount), 2).alias("total_amount"),
+                   F.count("created_at").alias("created")))
+
+
+@query
+def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.readers import read_raw
+    path = _scratch(spark, "csv")
+    fixtures.raw_events(spark, sf_dir).write.option("header", True).csv(path)
+    return _landed_text_summary(read_raw(spark, path, "csv"))
+
+
+@query
+def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.readers import read_raw
+    path = _scratch(spark, "json")
+    fixtures.raw_events(spark, sf_dir).write.json(path)
+    return _landed_text_summary(read_raw(spark, path, "json"))
+
+
+@query
+def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.readers import read_raw
+    ev = read_raw(spark, f"{sf_dir.rstrip('/')}/events.parquet", "PARQUET")
+    return (ev.groupBy("event_type")
+              .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users"),
+                   F.round(F.sum("value"), 2).alias("total_value")))
+
+
+@query
+def jdbc_date_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.jdbc import date_slice
+    return date_slice(fixtures.table(spark, sf_dir, "orders"), "o_orderdate", ORDERS_DATE)
+
+
+@query
+def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    from strata.sources.readers import read_partition
+    root = _scratch(spark, "bronze")
+    writers.publish_range(bronze_frame(spark, sf_dir), root, START, END)
+    return read_partition(spark, root, EXECUTION_DATE)
+
+
+@query
+def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sources.readers import api_page_counts as counts
+    from strata.sources.readers import require_records
+    root = _scratch(spark, "landing")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="hive")
+    pages = counts(spark, f"{root}/api/events")
+    require_records(pages)
+    return pages
+
+
+@query
+def multi_source_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import land_range_to_bronze_frame
+    root = _scratch(spark, "landing")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="hive")
+    b = land_range_to_bronze_frame(spark, root, START, END, RUN_ID, NOW)
+    return (b.groupBy("source_system", "year", "month", "day")
+             .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
+                  F.count_distinct("k").alias("keys")))
+
+
+# ---------------------------------------------------------------------------------------------
+# Sinks (write, then read back what was written)
+# ---------------------------------------------------------------------------------------------
+
+@query
+def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    root = _scratch(spark, "bronze")
+    writers.publish_range(bronze_frame(spark, sf_dir), root, WIDE_START, WIDE_END)
+    return spark.read.parquet(root)
+
+
+@query
+def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_published_silver(spark, sf_dir))
+
+
+@query
+def gold_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    root = _scratch(spark, "daily")
+    daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
+    writers.publish_range(daily, root, START, END)
+    return _round_money(spark.read.parquet(root), sums=["total_amount"], means=["avg_amount"])
+
+
+@query
+def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    root = _scratch(spark, "kpi")
+    kpis = gold.compute_kpis(silver_events(spark, sf_dir), None, NOW,
+                             keys=("source_system", "year", "month", "day"))
+    writers.publish_range(kpis, root, START, END)
+    return _round_money(spark.read.parquet(root), sums=["total_value"],
+                        means=["avg_value", "active_rate"])
+
+
+@query
+def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    path = _scratch(spark, "metrics")
+    kpis = gold.compute_kpis(silver_events(spark, sf_dir), EXECUTION_DATE, NOW)
+    writers.write_metrics_log(kpis, path, RUN_ID)
+    back = spark.read.json(path)
+    return back.select("source_system", "record_count", "unique_entities",
+                       F.round("total_value", 2).alias("total_value"),
+                       F.round("active_rate", 6).alias("active_rate"),
+                       "execution_date", "pipeline_run_id")
+
+
+def _audited(spark: SparkSession, sf_dir: str, env: str) -> str:
+    """Bronze, silver and gold gate results of one run appended to a fresh audit table."""
+    from strata.contract import GATE_COLUMNS, THRESHOLDS
+    from strata.operators import quality
+    from strata.plans.jobs import gold_checks, silver_checks
+    from strata.sinks import writers
+    path = _scratch(spark, "audit")
+    b = bronze_frame(spark, sf_dir)
+    s = silver_events(spark, sf_dir)
+    daily = gold.compute_daily(s, NOW)
+    writers.write_audit(quality.evaluate(b, quality.null_rate(
+        GATE_COLUMNS["bronze"], b.columns, THRESHOLDS[env]["bronze"]["max_null_rate"])),
+        path, RUN_ID, "bronze", EXECUTION_DATE, NOW)
+    writers.write_audit(quality.evaluate(s, silver_checks(s.columns, env)), path, RUN_ID,
+                        "silver", EXECUTION_DATE, NOW)
+    writers.write_audit(quality.evaluate(daily, gold_checks(env, "gold_daily")), path, RUN_ID,
+                        "gold", EXECUTION_DATE, NOW)
+    return path
+
+
+@query
+def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    a = writers.read_audit(spark, _audited(spark, sf_dir, "dev"))
+    return _quality_view(a, extra=("layer", "pipeline_run_id", "execution_date"))
+
+
+@query
+def audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators import quality
+    from strata.sinks import writers
+    a = writers.read_audit(spark, _audited(spark, sf_dir, "prod"))
+    return _quality_view(quality.failures(a), extra=("layer",))
+
+
+@query
+def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.sinks import writers
+    a = writers.read_audit(spark, _audited(spark, sf_dir, "prod"))
+    return (a.groupBy("layer", "execution_date")
+             .agg(F.count(F.lit(1)).alias("checks"),
+                  F.count(F.when(F.col("passed"), 1)).alias("passed_checks")))
+
+
+# ---------------------------------------------------------------------------------------------
+# Pipelines
+# ---------------------------------------------------------------------------------------------
+
+@query
+def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land one execution date (documented daily layout) → Bronze job → read the partition."""
+    from strata.plans.jobs import bronze_job
+    paths = _paths(spark, "bronze-job")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), paths.landing, layout="dated",
+                             execution_date=EXECUTION_DATE)
+    b = bronze_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
+    return (b.groupBy("source_system", "pipeline_run_id", "year", "month", "day")
+             .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
+                  F.count_distinct("k").alias("keys")))
+
+
+@query
+def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import silver_job
+    from strata.sinks import writers
+    paths = _paths(spark, "silver-job")
+    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
+    s = silver_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW, dim=fixtures.dim_source(spark))
+    return s.drop("pipeline_run_id", "ingested_at")
+
+
+@query
+def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.plans.jobs import gold_job
+    paths = _paths(spark, "gold-job")
+    from strata.sinks import writers
+    writers.publish_range(silver_events(spark, sf_dir), paths.silver, START, END)
+    daily, _ = gold_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
+    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+
+
+@query
+def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole range: land all three sources → Bronze (one pass) → Silver + Gold backfill."""
+    from strata.plans.jobs import backfill, bronze_range_job
+    paths = _paths(spark, "e2e")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), paths.landing, layout="hive")
+    bronze_range_job(spark, paths, START, END, RUN_ID, NOW)
+    _, daily, _ = backfill(spark, paths, START, END, RUN_ID, NOW, enforce=False)
+    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+
+
+@query
+def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver + Gold for every date in one job per layer; dates without data come out empty."""
+    from strata.plans.jobs import backfill
+    from strata.sinks import writers
+    paths = _paths(spark, "backfill")
+    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
+    _, _, kpis = backfill(spark, paths, WIDE_START, WIDE_END, RUN_ID, NOW, enforce=False)
+    return _round_money(kpis, sums=["total_value"], means=["avg_value", "active_rate"])
+
+
+@query
+def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish all dates, rerun one date with the same rows, rerun another date empty."""
+    from strata.functions.dates import partition_predicate
+    from strata.sinks import writers
+    root = _scratch(spark, "silver")
+    s = silver_events(spark, sf_dir)
+    writers.publish_range(s, root, START, END)
+    writers.publish_partition(s.where(partition_predicate(EXECUTION_DATE)), root, EXECUTION_DATE)
+    writers.publish_range(s.where(partition_predicate("2024-01-16")), root, "2024-01-20",
+                          "2024-01-20")
+    return (spark.read.parquet(root).groupBy("year", "month", "day")
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")))
+
+
+@query
+def quality_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and Gold published for every date, then the quality stage for one date."""
+    from strata.plans.jobs import quality_stage as stage_run
+    from strata.sinks import writers
+    paths = _paths(spark, "quality")
+    s = silver_events(spark, sf_dir)
+    writers.publish_range(s, paths.silver, START, END)
+    writers.publish_range(gold.compute_daily(s, NOW), paths.daily, START, END)
+    writers.publish_range(gold.compute_kpis(s, None, NOW,
+                                            keys=("source_system", "year", "month", "day")),
+                          paths.kpi, START, END)
+    res = stage_run(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
+    return _quality_view(res, extra=("layer", "execution_date"))
