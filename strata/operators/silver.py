@@ -53,7 +53,11 @@ def deduplicate(df: DataFrame, keys: Sequence[str] = BUSINESS_KEY,
     k = present_key(df, keys)
     if not k:
         return df
-    w = Window.partitionBy(*k).orderBy(*survivor_order(df, k, order))
+    ordering = survivor_order(df, k, order)
+    if not ordering:
+        # Every column is part of the key: duplicates are identical, any survivor is the same.
+        return df.dropDuplicates(k)
+    w = Window.partitionBy(*k).orderBy(*ordering)
     return (df.withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") == 1).drop("__rn"))
 
@@ -79,7 +83,10 @@ def business_rules(df: DataFrame, required: Sequence[str] = REQUIRED_NOT_NULL,
         if c in df.columns:
             cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
     if non_negative and non_negative in df.columns:
-        rule = F.col(non_negative) >= 0
+        c = F.col(non_negative)
+        if not isinstance(df.schema[non_negative].dataType, T.NumericType):
+            c = c.try_cast("double")  # un-cast text: compare leniently, bad text is dropped
+        rule = c >= 0
         cond = rule if cond is None else cond & rule
     return df if cond is None else df.where(cond)
 

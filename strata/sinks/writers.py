@@ -79,8 +79,16 @@ def write_audit(results: DataFrame, path: str, pipeline_run_id: str, layer: str,
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """Audit rows; the explicit schema keeps an audit root that never got a row readable."""
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
+    """Audit rows; the explicit schema keeps an audit root that never got a row readable, and a
+    root that does not exist yet reads as an empty audit."""
+    try:
+        df = spark.read.schema(AUDIT_SCHEMA).parquet(path)
+        df.schema
+        return df
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], AUDIT_SCHEMA)
+        raise
 
 
 def write_audit_ndjson(results: DataFrame, path: str, pipeline_run_id: str, layer: str,
