@@ -439,3 +439,4 @@ def _quality_stage() -> str:
 
 
 ORACLE["quality_stage"] = _with(_quality_stage())
+ORACLE["stream_bronze"] = ORACLE["multi_source_bronze"]

@@ -666,3 +666,30 @@ def quality_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
                           paths.kpi, START, END)
     res = stage_run(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
     return _quality_view(res, extra=("layer", "execution_date"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Streaming form of the landing → Bronze ingest
+# ---------------------------------------------------------------------------------------------
+
+LANDED_SCHEMA = ("k bigint, id string, amount string, event_date string, created_at string, "
+                 "is_active string, source_system string")
+
+
+@query
+def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three sources landed (Hive layout) → one availableNow stream → Bronze (append)."""
+    from pyspark.sql import types as T
+
+    from strata.contract import SOURCE_REGISTRY
+    from strata.streaming import run_bronze_stream
+    root = _scratch(spark, "stream")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), f"{root}/landing",
+                             layout="hive")
+    schema = T._parse_datatype_string(LANDED_SCHEMA)
+    run_bronze_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint",
+                      SOURCE_REGISTRY, schema, RUN_ID, NOW)
+    b = spark.read.parquet(f"{root}/bronze")
+    return (b.groupBy("source_system", "year", "month", "day")
+             .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
+                  F.count_distinct("k").alias("keys")))
