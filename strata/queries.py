@@ -599,9 +599,12 @@ def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.jobs import silver_job
     from strata.sinks import writers
+    from strata.sources.readers import read_dimension
     paths = _paths(spark, "silver-job")
     writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
-    s = silver_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW, dim=fixtures.dim_source(spark))
+    dim_root = f"{paths.gold}_dims"
+    fixtures.dim_source(spark).write.mode("overwrite").parquet(f"{dim_root}/dim_source")
+    s = silver_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW, dim=read_dimension(spark, dim_root))
     return s.drop("pipeline_run_id", "ingested_at")
 
 

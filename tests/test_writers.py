@@ -61,3 +61,14 @@ def test_metrics_log_appends(spark, tmp):
 
 def test_land_extract_counts(spark, tmp):
     assert writers.land_extract(spark.range(7), tmp) == 7
+
+
+def test_audit_ndjson_partitions(spark, tmp):
+    from strata.operators import quality
+    res = quality.evaluate(spark.range(2), [quality.row_count(1, label="x")])
+    writers.write_audit_ndjson(res, tmp, "r1", "silver", "2024-03-15", "now")
+    writers.write_audit_ndjson(res, tmp, "r2", "silver", "2024-03-16", "now")
+    a = writers.read_audit_ndjson(spark, tmp)
+    assert sorted(r.execution_date for r in a.collect()) == ["2024-03-15", "2024-03-16"]
+    import glob
+    assert glob.glob(tmp.replace("file:", "") + "/layer=silver/execution_date=2024-03-15/*.json")
