@@ -16,12 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.contract import (BUSINESS_KEY, GATE_COLUMNS, LAYER_PROFILES, PARTITION_COLUMNS,
+from strata.contract import (AUDIT_SCHEMA, BUSINESS_KEY, GATE_COLUMNS, LAYER_PROFILES, PARTITION_COLUMNS,
                              SOURCE_REGISTRY, SUITES, THRESHOLDS)
 from strata.functions.dates import date_parts, parse_date
 from strata.operators import gold, quality, silver
 from strata.operators.bronze import attach_metadata
-from strata.session import scratch_path
 from strata.sinks import writers
 from strata.sources import readers
 
@@ -53,23 +52,20 @@ class Paths:
 
 def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and return the re-read Parquet frame."""
-    path = scratch_path(df.sparkSession, f"stage-{name}")
-    w = df.write.mode("overwrite")
-    if partitioned:
-        w = w.partitionBy(*PARTITION_COLUMNS)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return writers.stage(df, name, partitioned)
 
 
 def audit_and_gate(results: DataFrame, paths: Paths, run_id: str, layer: str,
                    execution_date: str | None, now: str, enforce: bool = True) -> DataFrame:
-    """Persist first, then gate on what was persisted (never recompute the checks)."""
-    writers.write_audit(results, paths.audit, run_id, layer, execution_date, now)
-    audited = (writers.read_audit(results.sparkSession, paths.audit)
-               .where((F.col("layer") == layer) & (F.col("pipeline_run_id") == run_id)))
+    """Evaluate the checks once into a tiny staged table, append it to the audit, then gate on
+    it — the audit is always written first, and neither the layer nor the (growing) audit
+    history is read again."""
+    stamped = writers.stage(quality.stamp(results, run_id, layer, execution_date, now)
+                            .select(*AUDIT_SCHEMA.fieldNames()), f"checks-{layer}")
+    writers.append_audit(stamped, paths.audit)
     if enforce:
-        quality.gate(audited)
-    return audited
+        quality.gate(stamped)
+    return stamped
 
 
 # ---------------------------------------------------------------------------------------------
@@ -122,7 +118,7 @@ def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, ru
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
     audit_and_gate(quality.evaluate(staged, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
                    "bronze", None, now, enforce)
-    writers.publish_range(staged, paths.bronze, start, end, writers.present_dates(staged))
+    writers.publish_range(staged, paths.bronze, start, end, writers.file_dates(staged))
     return readers.read_range(spark, paths.bronze, start, end)
 
 
@@ -203,7 +199,7 @@ def medallion_run(spark: SparkSession, paths: Paths, execution_date: str, run_id
 # ---------------------------------------------------------------------------------------------
 
 def _staged_dates(staged: DataFrame) -> set[tuple[int, int, int]]:
-    return writers.present_dates(staged)
+    return writers.file_dates(staged)
 
 
 def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str, now: str,

@@ -13,6 +13,7 @@ other date alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,24 +43,56 @@ def present_dates(df: DataFrame) -> set[tuple[int, int, int]]:
     return {(r[0], r[1], r[2]) for r in rows}
 
 
+_PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/")
+
+
+def file_dates(df: DataFrame) -> set[tuple[int, int, int]]:
+    """Dates of a partitioned Parquet frame read from its file listing (metadata, no job)."""
+    out = set()
+    for f in df.inputFiles():
+        m = _PART_DIR.search(f)
+        if m:
+            out.add((int(m.group(1)), int(m.group(2)), int(m.group(3))))
+    return out
+
+
+def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder (``spark.checkpoint.dir``) and return the
+    re-read Parquet frame: cuts lineage so later actions — and a lost executor — start from
+    files, not from the full upstream plan."""
+    from strata.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stage-{name}")
+    w = df.write.mode("overwrite")
+    if partitioned:
+        w = w.partitionBy(*PARTITION_COLUMNS)
+    w.parquet(path)
+    # The known schema avoids inference and keeps an empty staged frame readable.
+    back = spark.read.schema(df.schema).parquet(path)
+    return back.select(*df.columns)
+
+
 def publish_range(df: DataFrame, root: str, start: str, end: str,
                   dates: set[tuple[int, int, int]] | None = None) -> list[str]:
     """Replace every date partition of [start, end] with the rows of ``df`` for that date.
 
-    ``dates`` (dates present in ``df``) may be passed when already known, e.g. from a staged
-    table's partition listing; otherwise it is computed with one small aggregation.
+    ``dates`` (dates present in ``df``) is passed by callers that publish a staged table.
+    Otherwise the range is staged first, so the upstream plan runs exactly once and the dates
+    come from the staged file listing.
     """
     from strata.functions.dates import partition_range_predicate
     df = df.where(partition_range_predicate(start, end))
-    have = present_dates(df) if dates is None else dates
-    if have:
+    if dates is None:
+        df = stage(df, "publish", partitioned=True)
+        dates = file_dates(df)
+    if dates:
         (df.hint("rebalance", *PARTITION_COLUMNS)
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTITION_COLUMNS).parquet(root))
     emptied = []
     empty = df.limit(0)
     for d in date_range(start, end):
-        if (d.year, d.month, d.day) not in have:
+        if (d.year, d.month, d.day) not in dates:
             emptied.append(publish_partition(empty, root, d.isoformat()))
     return emptied
 
@@ -78,6 +111,12 @@ def write_audit(results: DataFrame, path: str, pipeline_run_id: str, layer: str,
         .coalesce(1).write.mode("append").partitionBy("layer").parquet(path))
 
 
+def append_audit(stamped: DataFrame, path: str) -> None:
+    """Append already-stamped audit rows (small) to the Parquet audit table."""
+    (stamped.select(*AUDIT_SCHEMA.fieldNames())
+        .coalesce(1).write.mode("append").partitionBy("layer").parquet(path))
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """Audit rows; the explicit schema keeps an audit root that never got a row readable, and a
     root that does not exist yet reads as an empty audit."""
