@@ -40,6 +40,39 @@ def build_session(master: str | None = None, app: str = "strata",
     return spark
 
 
+# Settings we recommend for a large cluster (100 TB-class inputs). They are applied only where
+# the session has no value of its own — the cluster's configuration always wins.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> dict[str, str]:
+    """Set each recommended runtime SQL setting that the session leaves unset; returns what was
+    set."""
+    changed = {}
+    for k, v in CLUSTER_CONF.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+            changed[k] = v
+    return changed
+
+
+def now_iso() -> str:
+    """Wall-clock UTC instant in ISO-8601 (``…Z``) for run stamps when a caller wants one."""
+    import datetime as _dt
+    return _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="milliseconds").replace(
+        "+00:00", "Z")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set to a fresh temp dir only if unset."""
     root = spark.conf.get(CHECKPOINT_CONF, None)

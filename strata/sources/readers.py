@@ -156,11 +156,18 @@ def landing_presence(spark: SparkSession, root: str, execution_date: str,
 def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
                 schema: T.StructType | None = None, keep_file: bool = False) -> DataFrame:
     """Read one registry source's landed files with the reader its format needs.
-    ``keep_file`` adds the landed file path as ``_source_file``."""
+
+    A registry entry may carry ``schema`` (DDL string or StructType: no inference pass) and
+    ``multi_line=False`` (CSV stays splittable). ``keep_file`` adds the landed file path as
+    ``_source_file``."""
     fmt = src["format"]
+    schema = schema if schema is not None else src.get("schema")
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
     if fmt == "json_pages":
         return read_api_pages(spark, path, schema, keep_file=keep_file)
-    df = read_raw(spark, path, "parquet" if fmt == "parquet" else fmt, schema=schema)
+    df = read_raw(spark, path, "parquet" if fmt == "parquet" else fmt, schema=schema,
+                  multi_line=src.get("multi_line", True))
     return df.withColumn("_source_file", F.col("_metadata.file_path")) if keep_file else df
 
 

@@ -60,3 +60,11 @@ def test_date_slice_pushdown(spark):
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(o_orderdate" in plan
     assert "1995-03-16" in slice_query("t", "created_at", "1995-03-15")
+
+
+def test_registry_schema_skips_inference(spark, local_tmp):
+    with open(f"{local_tmp}/a.csv", "w") as f:
+        f.write("id,amount\n1,2.5\n")
+    src = {"format": "csv", "schema": "id string, amount string", "multi_line": False}
+    df = readers.read_source(spark, local_tmp, src)
+    assert dict(df.dtypes) == {"id": "string", "amount": "string"}
