@@ -440,3 +440,45 @@ def _quality_stage() -> str:
 
 ORACLE["quality_stage"] = _with(_quality_stage())
 ORACLE["stream_bronze"] = ORACLE["multi_source_bronze"]
+
+
+def _suite_summary() -> str:
+    parts = []
+    for layer, src in (("bronze", "bronze"), ("silver", "silver"), ("gold", "daily")):
+        rows = union(suite_rows(layer, src))
+        parts.append(f"SELECT '{layer}' AS layer, coalesce(bool_and(passed), true) AS success, "
+                     f"count(*) AS evaluated, count(CASE WHEN NOT passed THEN 1 END) AS failed "
+                     f"FROM ({rows}) r")
+    return union(parts)
+
+
+ORACLE["exp_suite_summary"] = _with(_suite_summary())
+
+
+def _ndjson_rows() -> str:
+    stamp = f"'{RUN_ID}' AS pipeline_run_id, '{EXECUTION_DATE}' AS execution_date, "
+    parts = ([f"SELECT 'bronze' AS layer, {stamp}* FROM ({p})" for p in null_rate_rows(
+        "bronze", ["pipeline_run_id", "ingested_at", "source_system"], 0.0)]
+        + [f"SELECT 'silver' AS layer, {stamp}* FROM ({p})" for p in
+           null_rate_rows("silver", ["id", "event_date", "source_system"], 0.05)
+           + [row_count_rows("silver", "silver", 1)]])
+    return union(parts)
+
+
+ORACLE["audit_ndjson"] = _with(_ndjson_rows())
+
+
+def _presence() -> str:
+    from strata.contract import SOURCE_REGISTRY
+    parts = []
+    for src in SOURCE_REGISTRY:
+        label = src["source_system_label"]
+        cond = ("source_system IS NULL OR source_system NOT IN ('crm', 'events_api')"
+                if label == "ops_db" else f"source_system = '{label}'")
+        parts.append(f"SELECT '{src['id']}' AS source_id, count(*) > 0 AS present FROM raw "
+                     f"WHERE {DATE_PRED} AND ({cond})")
+    return union(parts)
+
+
+ORACLE["landing_presence"] = _with(_presence())
+ORACLE["db_extract"] = ORACLE["jdbc_date_slice"]

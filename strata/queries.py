@@ -696,3 +696,64 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (b.groupBy("source_system", "year", "month", "day")
              .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
                   F.count_distinct("k").alias("keys")))
+
+
+# ---------------------------------------------------------------------------------------------
+# Suite summary, NDJSON audit, landing presence, extract to landing
+# ---------------------------------------------------------------------------------------------
+
+@query
+def exp_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoint outcome per layer: success flag, evaluated and failed expectation counts."""
+    from strata.operators import quality
+    from strata.plans.jobs import run_suite
+    s = silver_events(spark, sf_dir)
+    frames = {"bronze": bronze_frame(spark, sf_dir), "silver": s,
+              "gold": gold.compute_daily(s, NOW)}
+    out = None
+    for layer, df in frames.items():
+        summ = quality.summarize(run_suite(df, layer)).select(F.lit(layer).alias("layer"), "*")
+        out = summ if out is None else out.unionByName(summ)
+    return out
+
+
+@query
+def audit_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gate results appended as JSON lines under layer=/execution_date= folders, read back."""
+    from strata.contract import GATE_COLUMNS, THRESHOLDS
+    from strata.operators import quality
+    from strata.plans.jobs import silver_checks
+    from strata.sinks import writers
+    path = _scratch(spark, "audit-ndjson")
+    b = bronze_frame(spark, sf_dir)
+    s = silver_events(spark, sf_dir)
+    writers.write_audit_ndjson(quality.evaluate(b, quality.null_rate(
+        GATE_COLUMNS["bronze"], b.columns, THRESHOLDS["dev"]["bronze"]["max_null_rate"])),
+        path, RUN_ID, "bronze", EXECUTION_DATE, NOW)
+    writers.write_audit_ndjson(quality.evaluate(s, silver_checks(s.columns, "dev")), path, RUN_ID,
+                               "silver", EXECUTION_DATE, NOW)
+    a = writers.read_audit_ndjson(spark, path)
+    return _quality_view(a, extra=("layer", "pipeline_run_id", "execution_date"))
+
+
+@query
+def landing_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per registry source: did anything land for the date (file contents never read)."""
+    from strata.sources.readers import landing_presence as presence
+    root = _scratch(spark, "landing")
+    fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="dated",
+                             execution_date=EXECUTION_DATE)
+    return presence(spark, root, EXECUTION_DATE).select("source_id", "present")
+
+
+@query
+def db_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database date slice written to the landing zone as Parquet, read back."""
+    from strata.sinks.writers import land_extract
+    from strata.sources.jdbc import date_slice
+    from strata.sources.readers import landing_dir
+    path = landing_dir(_scratch(spark, "landing"), ORDERS_DATE, "db/transactions") \
+        + "/db_export.parquet"
+    land_extract(date_slice(fixtures.table(spark, sf_dir, "orders"), "o_orderdate",
+                            ORDERS_DATE), path)
+    return spark.read.parquet(path)
