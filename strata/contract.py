@@ -139,6 +139,47 @@ SUITES = {
     ],
 }
 
+# ---------------------------------------------------------------------------------------------
+# Quality-check names, result texts and message formats. Fields in braces are
+# filled per check; values computed in Spark are substituted by the quality compiler.
+# ---------------------------------------------------------------------------------------------
+CHECK_NAMES = {
+    "schema_present": "schema.field_present.{column}",
+    "schema_type": "schema.field_type.{column}",
+    "schema_ok": "schema.field_ok.{column}",
+    "row_count": "row_count.{label}",
+    "null_rate": "null_rate.{column}",
+    "schema_drift": "schema_drift.{layer}",
+    "partition_exists": "partition_exists.{date}",
+}
+
+TEXTS = {
+    "missing": "missing",
+    "column_missing": "column_missing",
+    "baseline_written": "baseline written",
+    "at_least": ">= {min}",
+    "between": "[{min}, {max}]",
+    "at_most": "<= {max}",
+    "partition_path": "{root}/year={year}/month={month}/day={day}",
+}
+
+MESSAGES = {
+    "schema_present": "Required column '{column}' is absent from the DataFrame",
+    "schema_type": "Column '{column}' has type '{actual}', expected '{expected}'",
+    "schema_ok": "Column '{column}' OK",
+    "row_count_ok": "Row count {count} within {range}",
+    "row_count_bad": "Row count {count} outside expected range {range}",
+    "null_rate_ok": "'{column}' null rate OK ({percent}%)",
+    "null_rate_bad": "'{column}' null rate {percent}% exceeds threshold {threshold}%",
+    "column_missing": "Column '{column}' not found in DataFrame",
+    "drift_baseline": "Schema reference created; no drift check this run",
+    "drift_ok": "Schema unchanged",
+    "drift_bad": "Schema drift detected — added={added} removed={removed}",
+    "partition_ok": "Partition {path} exists and is non-empty",
+    "partition_bad": "Partition {path} missing or empty",
+    "gate": "{count} quality check(s) failed:",
+}
+
 # ---------------------------------------------------------------------------------------------
 # Schemas of the tables we write.
 # ---------------------------------------------------------------------------------------------

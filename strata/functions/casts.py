@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Edge characters the lenient integer cast trims, and the text shapes it accepts.
-_EDGE_WS = r"^[\x00-\x20\x7f]+|[\x00-\x20\x7f]+$"
-_DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)$"
+# ``\z`` (not ``$``) anchors at the true end: Java's ``$`` also matches before a trailing line
+# terminator such as U+0085, which the cast does not trim.
+_EDGE_WS = r"^[\x00-\x20\x7f]+|[\x00-\x20\x7f]+\z"
+_DECIMAL_TEXT = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]*)\z"
 _INTEGER_PART = r"^([+-]?[0-9]+)"
 
 

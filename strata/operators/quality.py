@@ -19,6 +19,7 @@ contract of the expectation types used by the suites):
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.contract import QUALITY_SCHEMA
+from strata.contract import CHECK_NAMES, MESSAGES, QUALITY_SCHEMA, TEXTS
 
 
 class DataQualityError(RuntimeError):
@@ -48,8 +49,27 @@ class Check:
     separate: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None
 
 
-def _lit_s(v) -> Column:
-    return F.lit(None).cast("string") if v is None else F.lit(str(v))
+def _text(template: str, **fields) -> Column | str:
+    """Fill a fixed template. Literal fields are substituted now (a plain string comes back);
+    Column fields are substituted in Spark through ``format_string``."""
+    fmt, args = [], []
+    for text, field, _, _ in string.Formatter().parse(template):
+        fmt.append(text.replace("%", "%%"))
+        if field is None:
+            continue
+        v = fields[field]
+        if isinstance(v, Column):
+            fmt.append("%s")
+            args.append(v.cast("string"))
+        else:
+            fmt.append(str(v).replace("%", "%%"))
+    if not args:
+        return template.format(**fields)
+    return F.format_string("".join(fmt), *args)
+
+
+def _name(kind: str, **fields) -> Column | str:
+    return _text(CHECK_NAMES[kind], **fields)
 
 
 def _result(name, passed, actual, expected, message, observed=None, emit=True) -> Column:
@@ -95,16 +115,14 @@ def schema_checks(schema: T.StructType, expected: T.StructType) -> list[Check]:
         n, want = f.name.lower(), f.dataType.typeName()
         got = actual.get(n)
         if got is None:
-            out.append(Check(f"schema.field_present.{n}", row=_result(
-                f"schema.field_present.{n}", False, "missing", want,
-                f"Required column '{n}' is absent from the DataFrame")))
+            kind, ok, actual_text = "schema_present", False, TEXTS["missing"]
         elif got != f.dataType:
-            out.append(Check(f"schema.field_type.{n}", row=_result(
-                f"schema.field_type.{n}", False, got.typeName(), want,
-                f"Column '{n}' has type '{got.typeName()}', expected '{want}'")))
+            kind, ok, actual_text = "schema_type", False, got.typeName()
         else:
-            out.append(Check(f"schema.field_ok.{n}", row=_result(
-                f"schema.field_ok.{n}", True, want, want, f"Column '{n}' OK")))
+            kind, ok, actual_text = "schema_ok", True, want
+        name = _name(kind, column=n)
+        msg = _text(MESSAGES[kind], column=n, actual=actual_text, expected=want)
+        out.append(Check(name, row=_result(name, ok, actual_text, want, msg)))
     return out
 
 
@@ -112,7 +130,7 @@ def column_exists(columns: Sequence[str], column: str,
                   name: str | None = None) -> Check:
     ok = column in columns
     n = name or f"expect_column_to_exist.{column}"
-    return Check(n, row=_result(n, ok, "present" if ok else "missing", "present",
+    return Check(n, row=_result(n, ok, "present" if ok else TEXTS["missing"], "present",
                                 f"Column '{column}' {'exists' if ok else 'is missing'}"))
 
 
@@ -123,11 +141,12 @@ def column_exists(columns: Sequence[str], column: str,
 def row_count(min_rows: int = 0, max_rows: int | None = None, label: str = "dataset") -> Check:
     """``row_count.<label>``: min <= count <= max (inclusive, open upper bound if None)."""
     n = F.col(ROWS)
-    rng = f">= {min_rows}" if max_rows is None else f"[{min_rows}, {max_rows}]"
+    rng = (TEXTS["at_least"].format(min=min_rows) if max_rows is None
+           else TEXTS["between"].format(min=min_rows, max=max_rows))
     passed = n >= min_rows if max_rows is None else n.between(min_rows, max_rows)
-    msg = F.when(passed, F.format_string(f"Row count %d within {rng}", n)).otherwise(
-        F.format_string(f"Row count %d outside expected range {rng}", n))
-    name = f"row_count.{label}"
+    msg = F.when(passed, _text(MESSAGES["row_count_ok"], count=n, range=rng)).otherwise(
+        _text(MESSAGES["row_count_bad"], count=n, range=rng))
+    name = _name("row_count", label=label)
     return Check(name, aggs=_rows_agg(),
                  row=_result(name, passed, n, rng, msg, n))
 
@@ -141,22 +160,22 @@ def null_rate(columns: Sequence[str], present: Sequence[str], max_rate: float =
     """
     out = []
     rows = F.col(ROWS)
-    expected = f"<= {max_rate}"
+    expected = TEXTS["at_most"].format(max=max_rate)
     for c in columns:
-        name = f"null_rate.{c}"
+        name = _name("null_rate", column=c)
         if c not in present:
+            missing_msg = _text(MESSAGES["column_missing"], column=c)
             if on_missing == "error":
-                raise ValueError(f"Column '{c}' not found in DataFrame")
+                raise ValueError(missing_msg)
             out.append(Check(name, aggs=_rows_agg(), row=_result(
-                name, False, "column_missing", expected, f"Column '{c}' not found in DataFrame",
-                None, rows > 0)))
+                name, False, TEXTS["column_missing"], expected, missing_msg, None, rows > 0)))
             continue
         alias = f"__nulls_{_safe(c)}"
         rate = F.col(alias).cast("double") / rows.cast("double")
         passed = rate <= F.lit(max_rate)
-        msg = F.when(passed, F.format_string(f"'{c}' null rate OK (%s%%)", _pct(rate))).otherwise(
-            F.format_string(f"'{c}' null rate %s%% exceeds threshold {max_rate * 100:.2f}%%",
-                            _pct(rate)))
+        msg = F.when(passed, _text(MESSAGES["null_rate_ok"], column=c, percent=_pct(rate))
+                     ).otherwise(_text(MESSAGES["null_rate_bad"], column=c, percent=_pct(rate),
+                                       threshold=f"{max_rate * 100:.2f}"))
         out.append(Check(name,
                          aggs={**_rows_agg(), alias: F.sum(F.col(c).isNull().cast("long"))},
                          row=_result(name, passed, F.format_string("%.4f", rate), expected, msg,
@@ -177,15 +196,16 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def schema_drift(columns: Iterable[str], baseline: Iterable[str] | None, layer: str) -> Check:
     cur = sorted(set(columns))
-    name = f"schema_drift.{layer}"
+    name = _name("schema_drift", layer=layer)
     if baseline is None:
-        return Check(name, row=_result(name, True, str(cur), "baseline written",
-                                       "Schema reference created; no drift check this run"))
+        return Check(name, row=_result(name, True, str(cur), TEXTS["baseline_written"],
+                                       MESSAGES["drift_baseline"]))
     ref = sorted(set(baseline))
     added = sorted(set(cur) - set(ref))
     removed = sorted(set(ref) - set(cur))
     ok = not added and not removed
-    msg = "Schema unchanged" if ok else f"Schema drift detected — added={added} removed={removed}"
+    msg = (MESSAGES["drift_ok"] if ok
+           else _text(MESSAGES["drift_bad"], added=added, removed=removed))
     return Check(name, row=_result(name, ok, str(cur), str(ref), msg,
                                    float(len(added) + len(removed))))
 
@@ -205,15 +225,17 @@ def partition_exists(execution_date: str | None, base_path: str) -> Check:
     root = base_path.rstrip("/")
     if execution_date is None:
         date = F.date_format(F.make_date("year", "month", "day"), "yyyy-MM-dd")
-        part = F.format_string(f"{root}/year=%d/month=%d/day=%d", "year", "month", "day")
-        name = F.concat(F.lit("partition_exists."), date)
+        part = _text(TEXTS["partition_path"], root=root, year=F.col("year"),
+                     month=F.col("month"), day=F.col("day"))
+        name = _name("partition_exists", date=date)
     else:
         from strata.functions.dates import parse_date
         d = parse_date(execution_date)
-        part = F.lit(f"{root}/year={d.year}/month={d.month}/day={d.day}")
-        name = F.lit(f"partition_exists.{execution_date}")
-    msg = F.when(ok, F.format_string("Partition %s exists and is non-empty", part)).otherwise(
-        F.format_string("Partition %s missing or empty", part))
+        part = F.lit(TEXTS["partition_path"].format(root=root, year=d.year, month=d.month,
+                                                    day=d.day))
+        name = F.lit(_name("partition_exists", date=execution_date))
+    msg = F.when(ok, _text(MESSAGES["partition_ok"], path=part)).otherwise(
+        _text(MESSAGES["partition_bad"], path=part))
     spec = F.regexp_extract(part, r"(year=.*)$", 1)
     return Check("partition_exists", aggs=_rows_agg(), row=_result(
         name, ok, F.when(ok, part).otherwise(F.lit("missing")), spec, msg, rows))
@@ -337,8 +359,8 @@ def expect_compound_unique(columns: Sequence[str], present: Sequence[str]) -> Ch
 
 
 def _missing_column(name: str, column: str, expected: str) -> Check:
-    return Check(name, row=_result(name, False, "column_missing", expected,
-                                   f"Column '{column}' not found in DataFrame"))
+    return Check(name, row=_result(name, False, TEXTS["column_missing"], expected,
+                                   _text(MESSAGES["column_missing"], column=column)))
 
 
 def compile_suite(suite: Sequence[dict], columns: Sequence[str]) -> list[Check]:
@@ -433,5 +455,6 @@ def gate(results: DataFrame) -> None:
     failed = failures(results).select("check_name", "message").collect()
     if failed:
         lines = "\n".join(f"  [{r['check_name']}] {r['message']}" for r in failed)
-        raise DataQualityError(f"{len(failed)} quality check(s) failed:\n{lines}")
+        head = MESSAGES["gate"].format(count=len(failed))
+        raise DataQualityError(f"{head}\n{lines}")
 
