@@ -91,7 +91,8 @@ def _rows_agg() -> dict[str, Column]:
 
 
 def _safe(name: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in name)
+    """Alias-safe, collision-free token for a column name."""
+    return "".join(ch if ch.isalnum() else "_" for ch in name) + f"_{zlib.crc32(name.encode())}"
 
 
 def _pct(rate: Column) -> Column:
@@ -183,6 +184,18 @@ def null_rate(columns: Sequence[str], present: Sequence[str], max_rate: float =
     return out
 
 
+def empty_date_row_counts(spark, dates: Iterable, min_rows: int, label: str) -> DataFrame:
+    """``row_count.<label>`` rows for dates of a range that have no rows at all (a grouped
+    evaluation has no group for them). ``dates`` is the short driver-side list of such dates."""
+    rng = TEXTS["at_least"].format(min=min_rows)
+    ok = 0 >= min_rows
+    msg = MESSAGES["row_count_ok" if ok else "row_count_bad"].format(count=0, range=rng)
+    rows = [(d.year, d.month, d.day, CHECK_NAMES["row_count"].format(label=label), ok, "0", rng,
+             msg, 0.0) for d in dates]
+    return spark.createDataFrame(rows, "year int, month int, day int, " + ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in QUALITY_SCHEMA.fields))
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: NULL count per column (0, not NULL, on an empty frame), plus the row count."""
     return df.agg(F.count(F.lit(1)).alias("row_count"),

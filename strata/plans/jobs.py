@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.contract import (AUDIT_SCHEMA, BUSINESS_KEY, GATE_COLUMNS, LAYER_PROFILES, PARTITION_COLUMNS,
                              SOURCE_REGISTRY, SUITES, THRESHOLDS)
-from strata.functions.dates import date_parts, parse_date
+from strata.functions.dates import date_parts, date_range
 from strata.operators import gold, quality, silver
 from strata.operators.bronze import attach_metadata
 from strata.sinks import writers
@@ -202,6 +202,11 @@ def _staged_dates(staged: DataFrame) -> set[tuple[int, int, int]]:
     return writers.file_dates(staged)
 
 
+def _empty_dates(staged: DataFrame, start: str, end: str) -> list:
+    have = _staged_dates(staged)
+    return [d for d in date_range(start, end) if (d.year, d.month, d.day) not in have]
+
+
 def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str, now: str,
              env: str = "dev", dim: DataFrame | None = None,
              enforce: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -215,8 +220,9 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     t = THRESHOLDS[env]["silver"]
     checks = (quality.null_rate(GATE_COLUMNS["silver"], s.columns, t["max_null_rate"])
               + [quality.row_count(t["min_rows"], label="silver")])
-    audit_and_gate(quality.evaluate(s, checks, by=by), paths, run_id, "silver", None, now,
-                   enforce)
+    results = quality.evaluate(s, checks, by=by).unionByName(quality.empty_date_row_counts(
+        spark, _empty_dates(s, start, end), t["min_rows"], "silver"))
+    audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
     writers.publish_range(s, paths.silver, start, end, _staged_dates(s))
 
     silver_rng = readers.read_range(spark, paths.silver, start, end)
@@ -226,7 +232,11 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
                  "kpi-range", partitioned=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
     results = quality.evaluate(daily, [quality.row_count(g, label="gold_daily")], by=by) \
-        .unionByName(quality.evaluate(kpis, [quality.row_count(g, label="gold_kpis")], by=by))
+        .unionByName(quality.evaluate(kpis, [quality.row_count(g, label="gold_kpis")], by=by)) \
+        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(daily, start, end), g,
+                                                   "gold_daily")) \
+        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(kpis, start, end), g,
+                                                   "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
     writers.publish_range(daily, paths.daily, start, end, _staged_dates(daily))
     writers.publish_range(kpis, paths.kpi, start, end, _staged_dates(kpis))

@@ -84,3 +84,17 @@ def test_backfill_equals_per_date(spark):
         for r in daily.collect():
             assert bf[(r.source_system, r.day)] == (r.total_records, r.distinct_ids,
                                                     round(r.total_amount, 6))
+
+
+def test_backfill_empty_date_fails_row_count(spark):
+    from strata.operators.quality import DataQualityError
+    from strata.sinks import writers
+    paths = jobs.Paths.under(scratch_path(spark, "bf-empty"))
+    rows = spark.createDataFrame([("1", "5.0", "2024-03-15", "a", 2024, 3, 15)],
+                                 "id string, amount string, event_date string, "
+                                 "source_system string, year int, month int, day int")
+    writers.publish_range(rows, paths.bronze, "2024-03-15", "2024-03-15")
+    with pytest.raises(DataQualityError, match=r"row_count.silver"):
+        jobs.backfill(spark, paths, "2024-03-15", "2024-03-16", "r", "n")
+    audit = spark.read.parquet(paths.audit).where("NOT passed").collect()
+    assert [(r.execution_date, r.check_name) for r in audit] == [("2024-03-16", "row_count.silver")]
