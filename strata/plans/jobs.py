@@ -122,9 +122,25 @@ def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, ru
     return readers.read_range(spark, paths.bronze, start, end)
 
 
+def bronze_path_job(spark: SparkSession, input_path: str, fmt: str, paths: Paths,
+                    execution_date: str, run_id: str, now: str, source_system: str = "unknown",
+                    env: str = "dev", keep_source_column: bool = False) -> DataFrame:
+    """Bronze for one input folder of one format (the single-source form of the job)."""
+    raw = readers.read_raw(spark, input_path, fmt)
+    return _bronze_publish(spark, attach_metadata(raw, run_id, source_system, execution_date,
+                                                  now, keep_source_column),
+                           paths, execution_date, run_id, now, env)
+
+
 def bronze_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str, now: str,
                env: str = "dev", **kwargs) -> DataFrame:
+    """Bronze for every registry source landed for the date."""
     bronze = land_to_bronze_frame(spark, paths, execution_date, run_id, now, **kwargs)
+    return _bronze_publish(spark, bronze, paths, execution_date, run_id, now, env)
+
+
+def _bronze_publish(spark: SparkSession, bronze: DataFrame, paths: Paths, execution_date: str,
+                    run_id: str, now: str, env: str) -> DataFrame:
     staged = stage(bronze, "bronze")
     checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
@@ -170,6 +186,7 @@ def gold_checks(env: str, label: str) -> list[quality.Check]:
 
 def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str, now: str,
              env: str = "dev", emit_metrics: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Daily summary and KPIs for one date; KPI rows also go to the metrics log."""
     s = readers.read_partition(spark, paths.silver, execution_date)
     daily = stage(gold.compute_daily(s, now), "gold-daily")
     kpis = stage(gold.compute_kpis(s, execution_date, now), "gold-kpi")
@@ -208,8 +225,8 @@ def _empty_dates(staged: DataFrame, start: str, end: str) -> list:
 
 
 def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str, now: str,
-             env: str = "dev", dim: DataFrame | None = None,
-             enforce: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+             env: str = "dev", dim: DataFrame | None = None, enforce: bool = True,
+             emit_metrics: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Silver and Gold for every date in [start, end] from the Bronze table in one pass per
     layer. The date is part of the dedup key so the result equals one run per date; checks are
     evaluated per date in the same single aggregation."""
@@ -240,6 +257,8 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
     writers.publish_range(daily, paths.daily, start, end, _staged_dates(daily))
     writers.publish_range(kpis, paths.kpi, start, end, _staged_dates(kpis))
+    if emit_metrics:
+        writers.write_metrics_log(kpis, paths.metrics, run_id)
     return (readers.read_range(spark, paths.silver, start, end),
             readers.read_range(spark, paths.daily, start, end),
             readers.read_range(spark, paths.kpi, start, end))
