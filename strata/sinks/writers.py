@@ -6,9 +6,9 @@ other date alone.
 * single date → overwrite the leaf folder ``…/year=Y/month=M/day=D`` (partition columns
   dropped from the files, recovered by partition discovery). An empty rerun still writes one
   footer-only file, so the date reads back as empty rather than keeping stale rows;
-* date range → one write with per-write ``partitionOverwriteMode=dynamic`` (no session-wide
-  setting), rows rebalanced by date so AQE can split a huge date across tasks and merge small
-  ones, then an empty overwrite for each date of the range that had no rows.
+* date range → staged once with rows rebalanced by date (AQE splits a huge date across tasks
+  and merges small ones), then one write with per-write ``partitionOverwriteMode=dynamic``
+  (no session-wide setting), then an empty overwrite for each date of the range without rows.
 """
 
 from __future__ import annotations
@@ -63,10 +63,14 @@ def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
     from strata.session import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, f"stage-{name}")
-    w = df.write.mode("overwrite")
     if partitioned:
-        w = w.partitionBy(*PARTITION_COLUMNS)
-    w.parquet(path)
+        # One shuffle by date: AQE splits a huge date and merges small ones, so every staged
+        # (and later published) file holds one date at about the advisory size instead of
+        # every task writing a small file into every date.
+        df.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite") \
+          .partitionBy(*PARTITION_COLUMNS).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     # The known schema avoids inference and keeps an empty staged frame readable.
     back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
@@ -86,8 +90,8 @@ def publish_range(df: DataFrame, root: str, start: str, end: str,
         df = stage(df, "publish", partitioned=True)
         dates = file_dates(df)
     if dates:
-        (df.hint("rebalance", *PARTITION_COLUMNS)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # Input is staged and date-partitioned: each split holds one date, no shuffle needed.
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTITION_COLUMNS).parquet(root))
     emptied = []
     empty = df.limit(0)
