@@ -1 +1 @@
-"""plans"""
+"""Layer jobs composed from the operators, and their command line."""

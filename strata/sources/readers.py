@@ -147,6 +147,9 @@ def landing_presence(spark: SparkSession, root: str, execution_date: str,
         frames.append(inv.agg(F.count(F.lit(1)).alias("files"),
                               F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
                          .select(F.lit(src["id"]).alias("source_id"), "files", "bytes"))
+    if not frames:
+        return spark.createDataFrame([], "source_id string, files long, bytes long, "
+                                         "present boolean")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
