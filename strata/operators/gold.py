@@ -50,3 +50,42 @@ def compute_kpis(df: DataFrame, execution_date: str | None, computed_at: str,
     else:
         date_col = F.lit(execution_date)
     return out.withColumns({"execution_date": date_col, "computed_at": F.lit(computed_at)})
+
+
+def compute_summaries(df: DataFrame, keys: Sequence[str] = DAILY_KEYS) -> DataFrame:
+    """Daily and KPI measures in **one** aggregation per (source_system, date).
+
+    On a one-date slice (a daily run) and in a backfill, the daily summary and the KPIs group
+    by the same keys, so both tables are projections of this single aggregate: one scan and one
+    shuffle of Silver instead of two.
+    """
+    return (df.groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("total_records"),
+                   F.count_distinct("id").alias("distinct_ids"),
+                   F.sum("amount").alias("total_amount"),
+                   F.avg("amount").alias("avg_amount"),
+                   F.max("amount").alias("max_amount"),
+                   F.min("amount").alias("min_amount"),
+                   active_rate().alias("active_rate")))
+
+
+def daily_from_summaries(summaries: DataFrame, computed_at: str) -> DataFrame:
+    return summaries.select(*DAILY_KEYS, "total_records", "distinct_ids", "total_amount",
+                            "avg_amount", "max_amount", "min_amount",
+                            F.lit(computed_at).alias("computed_at"))
+
+
+def kpis_from_summaries(summaries: DataFrame, execution_date: str | None, computed_at: str,
+                        keep_date: bool = False) -> DataFrame:
+    """KPI rows from per-(source, date) summaries. ``execution_date=None`` derives the date of
+    each row; ``keep_date`` keeps year/month/day (multi-date frames)."""
+    date_col = (F.lit(execution_date) if execution_date is not None
+                else F.date_format(F.make_date("year", "month", "day"), "yyyy-MM-dd"))
+    extra = ["year", "month", "day"] if keep_date else []
+    return summaries.select("source_system", *extra,
+                            F.col("total_records").alias("record_count"),
+                            F.col("distinct_ids").alias("unique_entities"),
+                            F.col("total_amount").alias("total_value"),
+                            F.col("avg_amount").alias("avg_value"), "active_rate",
+                            date_col.alias("execution_date"),
+                            F.lit(computed_at).alias("computed_at"))

@@ -188,8 +188,10 @@ def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str
              env: str = "dev", emit_metrics: bool = True) -> tuple[DataFrame, DataFrame]:
     """Daily summary and KPIs for one date; KPI rows also go to the metrics log."""
     s = readers.read_partition(spark, paths.silver, execution_date)
-    daily = stage(gold.compute_daily(s, now), "gold-daily")
-    kpis = stage(gold.compute_kpis(s, execution_date, now), "gold-kpi")
+    # One slice = one date: daily and KPI groups coincide, so one aggregation feeds both.
+    summaries = stage(gold.compute_summaries(s), "gold-summaries")
+    daily = gold.daily_from_summaries(summaries, now)
+    kpis = gold.kpis_from_summaries(summaries, execution_date, now)
     results = quality.evaluate(daily, gold_checks(env, "gold_daily")).unionByName(
         quality.evaluate(kpis, gold_checks(env, "gold_kpis")))
     audit_and_gate(results, paths, run_id, "gold", execution_date, now)
@@ -243,20 +245,20 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     writers.publish_range(s, paths.silver, start, end, _staged_dates(s))
 
     silver_rng = readers.read_range(spark, paths.silver, start, end)
-    daily = stage(gold.compute_daily(silver_rng, now), "daily-range", partitioned=True)
-    kpis = stage(gold.compute_kpis(silver_rng, None, now,
-                                   keys=("source_system", *PARTITION_COLUMNS)),
-                 "kpi-range", partitioned=True)
+    summaries = stage(gold.compute_summaries(silver_rng), "summaries-range", partitioned=True)
+    daily = gold.daily_from_summaries(summaries, now)
+    kpis = gold.kpis_from_summaries(summaries, None, now, keep_date=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
     results = quality.evaluate(daily, [quality.row_count(g, label="gold_daily")], by=by) \
         .unionByName(quality.evaluate(kpis, [quality.row_count(g, label="gold_kpis")], by=by)) \
-        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(daily, start, end), g,
-                                                   "gold_daily")) \
-        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(kpis, start, end), g,
-                                                   "gold_kpis"))
+        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(summaries, start, end),
+                                                   g, "gold_daily")) \
+        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(summaries, start, end),
+                                                   g, "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
-    writers.publish_range(daily, paths.daily, start, end, _staged_dates(daily))
-    writers.publish_range(kpis, paths.kpi, start, end, _staged_dates(kpis))
+    dates = _staged_dates(summaries)
+    writers.publish_range(daily, paths.daily, start, end, dates)
+    writers.publish_range(kpis, paths.kpi, start, end, dates)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
     return (readers.read_range(spark, paths.silver, start, end),

@@ -38,3 +38,17 @@ def test_kpis_per_date_derive_execution_date(spark):
     out = gold.compute_kpis(spark.createDataFrame(ROWS, SCHEMA), None, "n",
                             keys=("source_system", "year", "month", "day"))
     assert {r.execution_date for r in out.collect()} == {"2024-03-15"}
+
+
+def test_fused_summaries_equal_separate_aggregates(spark):
+    from strata import queries as Q
+    s = Q.silver_events(spark, "/root/testdata/sf0.001")
+    summ = gold.compute_summaries(s)
+    a = sorted(map(tuple, gold.daily_from_summaries(summ, "n").collect()))
+    b = sorted(map(tuple, gold.compute_daily(s, "n").select(
+        gold.daily_from_summaries(summ, "n").columns).collect()))
+    assert a == b
+    keys = ("source_system", "year", "month", "day")
+    k1 = gold.kpis_from_summaries(summ, None, "n", keep_date=True)
+    k2 = gold.compute_kpis(s, None, "n", keys=keys).select(k1.columns)
+    assert sorted(map(tuple, k1.collect())) == sorted(map(tuple, k2.collect()))
