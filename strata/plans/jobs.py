@@ -302,17 +302,26 @@ def run_suite(df: DataFrame, layer: str, suite: Sequence[dict] | None = None) ->
 
 def quality_stage(spark: SparkSession, paths: Paths, execution_date: str, run_id: str,
                   now: str, enforce: bool = False) -> DataFrame:
-    """Silver suite + profile, then Gold suite (daily summary) and profile (KPI summary). All
+    """Silver suite + profile, then Gold suite (daily summary) and profile (KPI summary). The
+    suite and the profile of a table are compiled into one check list, so every table is
+    scanned by one aggregation (plus the uniqueness aggregation of the Silver suite). All
     results are appended as NDJSON audit rows before any gate."""
     silver_df = readers.read_partition(spark, paths.silver, execution_date)
     daily = readers.read_partition(spark, paths.daily, execution_date)
     kpis = readers.read_partition(spark, paths.kpi, execution_date)
+
+    def profile(layer: str, df: DataFrame, base_path: str) -> list[quality.Check]:
+        base = writers.read_schema_baseline(spark, paths.baselines, layer)
+        checks = profile_checks(layer, df, base, execution_date, base_path)
+        if base is None:
+            writers.write_schema_baseline(spark, paths.baselines, layer, df.columns)
+        return checks
+
     parts = [
-        ("silver", run_suite(silver_df, "silver")),
-        ("silver", run_profile(spark, "silver", silver_df, execution_date, paths.silver,
-                               paths.baselines)),
+        ("silver", quality.evaluate(silver_df, quality.compile_suite(
+            SUITES["silver"], silver_df.columns) + profile("silver", silver_df, paths.silver))),
         ("gold", run_suite(daily, "gold")),
-        ("gold", run_profile(spark, "gold", kpis, execution_date, paths.kpi, paths.baselines)),
+        ("gold", quality.evaluate(kpis, profile("gold", kpis, paths.kpi))),
     ]
     out = None
     for layer, res in parts:
