@@ -224,9 +224,25 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
 
 def read_partition(spark: SparkSession, path: str, execution_date: str,
                    schema: T.StructType | None = None) -> DataFrame:
-    """One execution-date slice of a (year, month, day)-partitioned table (partition pruning)."""
+    """One execution-date slice of a (year, month, day)-partitioned table.
+
+    Reads the date's leaf folder with ``basePath`` = the table root, so only that folder is
+    listed (a table with years of dates is not listed on every daily run) while the partition
+    columns are still recovered from the path. A date without a folder falls back to the
+    root read with a partition filter, which yields an empty slice with the table's schema.
+    """
+    d = parse_date(execution_date)
+    root = path.rstrip("/")
+    leaf = f"{root}/year={d.year}/month={d.month}/day={d.day}"
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).where(partition_predicate(execution_date))
+    try:
+        df = reader.option("basePath", root).parquet(leaf)
+        df.schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = reader.parquet(root)
+    return df.where(partition_predicate(execution_date))
 
 
 def read_range(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:

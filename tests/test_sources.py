@@ -68,3 +68,14 @@ def test_registry_schema_skips_inference(spark, local_tmp):
     src = {"format": "csv", "schema": "id string, amount string", "multi_line": False}
     df = readers.read_source(spark, local_tmp, src)
     assert dict(df.dtypes) == {"id": "string", "amount": "string"}
+
+
+def test_read_partition_lists_only_the_leaf(spark, tmp):
+    from strata.sinks.writers import publish_range
+    df = spark.createDataFrame([(1, 2024, 3, 15), (2, 2024, 3, 16)],
+                               "id int, year int, month int, day int")
+    publish_range(df, tmp, "2024-03-15", "2024-03-16")
+    s = readers.read_partition(spark, tmp, "2024-03-16")
+    assert [(r.id, r.day) for r in s.collect()] == [(2, 16)]
+    assert all("day=16" in f for f in s.inputFiles())
+    assert readers.read_partition(spark, tmp, "2024-03-17").count() == 0
