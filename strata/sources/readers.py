@@ -245,9 +245,29 @@ def read_partition(spark: SparkSession, path: str, execution_date: str,
     return df.where(partition_predicate(execution_date))
 
 
+def range_globs(root: str, start: str, end: str) -> list[str]:
+    """One glob per month of the range: ``…/year=Y/month=M/day={d1,d2,…}``."""
+    from strata.functions.dates import date_range
+    months: dict[tuple[int, int], list[int]] = {}
+    for d in date_range(start, end):
+        months.setdefault((d.year, d.month), []).append(d.day)
+    return [f"{root}/year={y}/month={m}/day={{{','.join(map(str, days))}}}"
+            for (y, m), days in months.items()]
+
+
 def read_range(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Inclusive date range of a partitioned table (partition pruning)."""
-    return spark.read.parquet(path).where(partition_range_predicate(start, end))
+    """Inclusive date range of a partitioned table. Only the range's folders are listed (one
+    glob per month, ``basePath`` keeps the partition columns); when part of the range has no
+    folder at all, the root is read with the range filter instead."""
+    root = path.rstrip("/")
+    try:
+        df = spark.read.option("basePath", root).parquet(*range_globs(root, start, end))
+        df.schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.read.parquet(root)
+    return df.where(partition_range_predicate(start, end))
 
 
 def read_dimension(spark: SparkSession, dim_root: str, name: str = "dim_source",

@@ -79,3 +79,15 @@ def test_read_partition_lists_only_the_leaf(spark, tmp):
     assert [(r.id, r.day) for r in s.collect()] == [(2, 16)]
     assert all("day=16" in f for f in s.inputFiles())
     assert readers.read_partition(spark, tmp, "2024-03-17").count() == 0
+
+
+def test_read_range_lists_only_the_range(spark, tmp):
+    from strata.sinks.writers import publish_range
+    df = spark.createDataFrame([(1, 2024, 1, 31), (2, 2024, 2, 1), (3, 2024, 2, 9)],
+                               "id int, year int, month int, day int")
+    publish_range(df, tmp, "2024-01-31", "2024-02-09")
+    r = readers.read_range(spark, tmp, "2024-01-31", "2024-02-01")
+    assert sorted(x.id for x in r.collect()) == [1, 2]
+    assert not any("day=9" in f for f in r.inputFiles())
+    assert sorted(x.id for x in readers.read_range(spark, tmp, "2024-01-30", "2024-02-09")
+                  .collect()) == [1, 2, 3]
