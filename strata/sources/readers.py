@@ -61,11 +61,19 @@ PAGE_NUMBER = r"(?:page=|_page_)0*([0-9]+)"
 PAGE_PARTITION_COLUMNS = ("landing_date", "page")
 
 
+def page_schema(record: T.StructType) -> T.StructType:
+    """Schema of a page body for a record schema: bare-list pages yield records as rows, object
+    pages one row with ``items``."""
+    if "items" in record.fieldNames():
+        return record
+    return T.StructType(record.fields + [T.StructField("items", T.ArrayType(record))])
+
+
 def _page_rows(spark: SparkSession, path: str | Sequence[str],
                schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.option("multiLine", True)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(page_schema(schema))
     paths = [path] if isinstance(path, str) else list(path)
     return reader.json(paths).withColumn("__file", F.col("_metadata.file_path"))
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.contract import PARTITION_COLUMNS
 from strata.operators.bronze import attach_metadata
-from strata.sources.readers import PAGE_PARTITION_COLUMNS, landing_date_column
+from strata.sources.readers import PAGE_PARTITION_COLUMNS, landing_date_column, page_schema
 
 
 def _unwrap_pages(raw: DataFrame, record_fields: Sequence[str]) -> DataFrame:
@@ -48,9 +48,7 @@ def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
     fields = [f.name for f in schema.fields]
     fmt = src["format"]
     if fmt == "json_pages":
-        page_schema = T.StructType(schema.fields + [
-            T.StructField("items", T.ArrayType(schema))])
-        raw = (reader.schema(page_schema).option("multiLine", True).json(path)
+        raw = (reader.schema(page_schema(schema)).option("multiLine", True).json(path)
                      .withColumn("__file", F.col("_metadata.file_path")))
         df = _unwrap_pages(raw, fields)
     elif fmt == "csv":

@@ -91,3 +91,13 @@ def test_read_range_lists_only_the_range(spark, tmp):
     assert not any("day=9" in f for f in r.inputFiles())
     assert sorted(x.id for x in readers.read_range(spark, tmp, "2024-01-30", "2024-02-09")
                   .collect()) == [1, 2, 3]
+
+
+def test_api_pages_with_record_schema(spark, local_tmp):
+    with open(f"{local_tmp}/events_page_0001.json", "w") as f:
+        json.dump({"items": [{"id": "1"}, {"id": "2"}]}, f)
+    with open(f"{local_tmp}/events_page_0002.json", "w") as f:
+        json.dump([{"id": "3"}], f)
+    src = {"format": "json_pages", "schema": "id string"}
+    recs = readers.read_source(spark, local_tmp, src)
+    assert sorted(r.id for r in recs.collect()) == ["1", "2", "3"]
