@@ -357,9 +357,10 @@ ORACLE["jdbc_date_slice"] = (
     f"AND o_orderdate < DATE '{ORDERS_DATE}' + INTERVAL 1 DAY")
 ORACLE["partition_scan"] = _with(f"SELECT * FROM bronze WHERE {DATE_PRED}")
 ORACLE["api_page_counts"] = _with(
-    "SELECT make_date(year, month, day) AS landing_date, CAST(floor(k / 500) + 1 AS INT) AS page,"
-    " count(*) AS record_count FROM raw WHERE source_system = 'events_api' "
-    "GROUP BY year, month, day, floor(k / 500)")
+    "SELECT make_date(year, month, day) AS landing_date, page, count(*) AS record_count FROM "
+    "(SELECT year, month, day, CAST(floor((row_number() OVER (PARTITION BY year, month, day "
+    "ORDER BY k) - 1) / 500) + 1 AS INT) AS page FROM raw WHERE source_system = 'events_api') p "
+    "GROUP BY year, month, day, page")
 ORACLE["multi_source_bronze"] = _with(
     'SELECT source_system, year, month, day, count(*) AS "rows", count(id) AS ids, '
     "count(DISTINCT k) AS keys FROM bronze GROUP BY source_system, year, month, day")
