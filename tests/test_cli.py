@@ -1,5 +1,3 @@
-import os
-
 from strata.plans import cli, jobs
 from strata.session import scratch_path
 
