@@ -10,8 +10,11 @@
     python -m strata.plans.cli quality  --execution-date 2024-03-15 --root <lake>
 
 ``--root`` lays out landing/bronze/silver/gold/quality_audit/metrics/schema_baselines under one
-folder; each can be overridden (``--bronze-path`` …). The session comes from the cluster
-(``SparkSession.builder.getOrCreate()``); a failed gate exits with status 1.
+folder; each can be overridden (``--bronze-path`` …). The per-job ``--input-path`` /
+``--output-path`` style also works: bronze reads the input folder and writes the Bronze table,
+silver reads Bronze and writes Silver, gold reads Silver and writes the Gold root. The session
+comes from the cluster (``SparkSession.builder.getOrCreate()``); a failed gate exits with
+status 1.
 """
 
 from __future__ import annotations
@@ -28,11 +31,20 @@ from strata.plans import jobs
 from strata.session import now_iso
 
 
+# Per-command meaning of --input-path / --output-path (layer table read / written).
+_IO = {"silver": ("bronze", "silver"), "gold": ("silver", "gold"), "bronze": (None, "bronze")}
+
+
 def _paths(a: argparse.Namespace) -> jobs.Paths:
-    base = jobs.Paths.under(a.root)
+    base = jobs.Paths.under(a.root or a.output_path)
     over = {f: getattr(a, f"{f}_path") for f in ("landing", "bronze", "silver", "gold", "audit",
                                                   "metrics", "baselines")
             if getattr(a, f"{f}_path", None)}
+    src, dst = _IO.get(a.command, (None, None))
+    if src and a.input_path:
+        over.setdefault(src, a.input_path)
+    if dst and a.output_path:
+        over.setdefault(dst, a.output_path)
     return jobs.Paths(**{**base.__dict__, **over})
 
 
@@ -44,10 +56,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--execution-date", default=_dt.date.today().isoformat())
     p.add_argument("--start-date")
     p.add_argument("--end-date")
-    p.add_argument("--root", required=True)
+    p.add_argument("--root", help="lake folder holding every layer")
+    p.add_argument("--output-path", help="table the command writes")
     for f in ("landing", "bronze", "silver", "gold", "audit", "metrics", "baselines"):
         p.add_argument(f"--{f}-path")
-    p.add_argument("--input-path", help="single-source Bronze input folder")
+    p.add_argument("--input-path", help="Bronze: landed folder; silver/gold: table read")
     p.add_argument("--format", default="csv")
     p.add_argument("--source-system", default="unknown")
     p.add_argument("--keep-source-column", action="store_true")
@@ -59,6 +72,8 @@ def parser() -> argparse.ArgumentParser:
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(argv)
+    if not a.root and not a.output_path:
+        parser().error("--root or --output-path is required")
     spark = spark or SparkSession.builder.getOrCreate()
     paths = _paths(a)
     run_id = a.run_id or str(uuid.uuid4())

@@ -23,3 +23,38 @@ def test_cli_transform_and_quality(spark, local_tmp):
     # prod needs 1000 silver rows: the gate fails, exit status 1, audit still written
     assert cli.run(["silver", *args, "--env", "prod"], spark) == 1
     assert spark.read.parquet(paths.audit).where("NOT passed").count() >= 1
+
+
+E2E = """id,amount,event_date,created_at,is_active,source_system
+1,100.0,2024-03-15,2024-03-15T08:00:00,true,sftp
+2,200.0,2024-03-15,2024-03-15T09:00:00,false,sftp
+3,50.0,2024-03-15,2024-03-15T10:00:00,true,api
+3,50.0,2024-03-15,2024-03-15T10:00:00,true,api
+4,-10.0,2024-03-15,2024-03-15T11:00:00,true,api
+"""
+
+
+def test_cli_per_job_paths_like_the_surveyed_e2e(spark, local_tmp):
+    import glob
+    import os
+    landing = f"{local_tmp}/landing/20240315/sftp"
+    os.makedirs(landing)
+    with open(f"{landing}/events_2024-03-15.csv", "w") as f:
+        f.write(E2E)
+    lake = scratch_path(spark, "cli-e2e")
+    common = ["--env", "dev", "--execution-date", "2024-03-15", "--audit-path", f"{lake}/audit"]
+    assert cli.run(["bronze", *common, "--input-path", landing, "--output-path",
+                    f"{lake}/bronze", "--source-system", "sftp", "--format", "csv"], spark) == 0
+    part = f"{lake}/bronze/year=2024/month=3/day=15".replace("file:", "")
+    assert glob.glob(f"{part}/*.parquet")
+    assert cli.run(["silver", *common, "--input-path", f"{lake}/bronze", "--output-path",
+                    f"{lake}/silver"], spark) == 0
+    silver = spark.read.parquet(f"{lake}/silver")
+    assert silver.where("id = 3").count() == 1          # duplicate removed
+    assert silver.where("amount < 0").count() == 0      # negative filtered
+    assert cli.run(["gold", *common, "--input-path", f"{lake}/silver", "--output-path",
+                    f"{lake}/gold", "--metrics-path", f"{lake}/gold/metrics"], spark) == 0
+    daily = spark.read.parquet(f"{lake}/gold/daily_summary")
+    assert daily.count() > 0 and {"total_records", "total_amount"} <= set(daily.columns)
+    assert spark.read.parquet(f"{lake}/gold/kpi_summary").count() > 0
+    assert spark.read.json(f"{lake}/gold/metrics").count() > 0
