@@ -48,7 +48,7 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: dirty landing → cast → dedup → rules → daily summary per source and date."""
+    """AGG-01 (flagship): dirty landing → cast → dedup → rules → daily summary per source and date."""
     daily = gold.compute_daily(silver_events(spark, sf_dir), computed_at=NOW)
     return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
 
@@ -94,48 +94,57 @@ def enriched_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def attach_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-01: run metadata stamped on every landed row (same-named columns replaced)."""
     from strata.operators.bronze import attach_metadata as attach
     return attach(fixtures.raw_events(spark, sf_dir), RUN_ID, "crm", EXECUTION_DATE, NOW)
 
 
 @query
 def cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-02/03: contract casts, invalid text → NULL, lenient string → bigint."""
     return typed_events(spark, sf_dir)
 
 
 @query
 def deduplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-01: one deterministic survivor per (id, event_date, source_system)."""
     return deduped_events(spark, sf_dir)
 
 
 @query
 def deduplicate_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-01 on a natural key: (l_orderkey, l_linenumber) of lineitem."""
     li = fixtures.table(spark, sf_dir, "lineitem")
     return silver.deduplicate(li, keys=("l_orderkey", "l_linenumber"))
 
 
 @query
 def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-02: rows before / after / removed from one aggregation."""
     return silver.dedup_report(typed_events(spark, sf_dir))
 
 
 @query
 def business_rules_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-02: identifiers must be present."""
     return silver.not_null_rules(deduped_events(spark, sf_dir))
 
 
 @query
 def business_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-02/03: identifiers present and amount >= 0 (NULL amount dropped)."""
     return silver_events(spark, sf_dir)
 
 
 @query
 def enrich_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-01: left join to the source dimension (broadcast after a bounded count)."""
     return enriched_silver(spark, sf_dir)
 
 
 @query
 def enrich_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN-01 on TPC-H-style tables: customer ⟕ nation."""
     cust = fixtures.table(spark, sf_dir, "customer")
     nation = fixtures.table(spark, sf_dir, "nation")
     return silver.enrich_with_dimension(cust, nation, key="c_nationkey", dim_key="n_nationkey",
@@ -148,12 +157,14 @@ def enrich_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-02/03/04: KPIs per source over the whole Silver table."""
     k = gold.compute_kpis(silver_events(spark, sf_dir), EXECUTION_DATE, NOW)
     return _round_money(k, sums=["total_value"], means=["avg_value", "active_rate"])
 
 
 @query
 def active_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-04: share of active rows over all rows (NULL counts as inactive)."""
     t = typed_events(spark, sf_dir)
     return (t.groupBy("source_system")
              .agg(F.count(F.lit(1)).alias("rows"), F.round(gold.active_rate(), 6)
@@ -162,6 +173,7 @@ def active_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-05/06: NULL count per contract column and the row count, one pass."""
     from strata.contract import CONTRACT_CASTS
     from strata.operators.quality import null_counts as nc
     return nc(typed_events(spark, sf_dir), [*CONTRACT_CASTS, "source_system"])
@@ -183,6 +195,7 @@ def _expected_silver_schema():
 
 @query
 def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-01: expected fields present with exact types (metadata only)."""
     from strata.operators import quality
     s = silver_events(spark, sf_dir)
     res = quality.evaluate(s, quality.schema_checks(s.schema, _expected_silver_schema()))
@@ -191,6 +204,7 @@ def dq_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-02: null rate per column against a threshold, one aggregation."""
     from strata.operators import quality
     d = deduped_events(spark, sf_dir)
     cols = ["id", "event_date", "source_system", "amount", "is_active"]
@@ -200,6 +214,7 @@ def dq_null_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_null_rate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-03: a missing column yields a failed `column_missing` row."""
     from strata.operators import quality
     d = deduped_events(spark, sf_dir)
     res = quality.evaluate(d, quality.null_rate(["id", "source_system", "customer_tier"],
@@ -209,6 +224,7 @@ def dq_null_rate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-04: row count within inclusive bounds (open upper bound allowed)."""
     from strata.operators import quality
     s = silver_events(spark, sf_dir)
     checks = [quality.row_count(1, label="silver"),
@@ -220,7 +236,7 @@ def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First run writes the baseline (from the typed frame); the next run, on the enriched
+    """DQ-05: First run writes the baseline (from the typed frame); the next run, on the enriched
     silver frame, reports added / removed columns."""
     from strata.operators import quality
     from strata.sinks import writers
@@ -246,6 +262,7 @@ def _published_silver(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def dq_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-06: rows per expected date of a range (0 where a date is missing)."""
     from strata.operators import quality
     root = _published_silver(spark, sf_dir)
     return quality.partition_completeness(spark.read.parquet(root), WIDE_START, WIDE_END)
@@ -253,6 +270,7 @@ def dq_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-07: table row count between expectations."""
     from strata.operators import quality
     s = silver_events(spark, sf_dir)
     checks = [quality.expect_table_row_count_between(1, 50000000),
@@ -263,6 +281,7 @@ def exp_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-09: not-null expectations with `mostly` over all rows."""
     from strata.operators import quality
     d = deduped_events(spark, sf_dir)
     checks = [quality.expect_not_null("id", d.columns, 1.0),
@@ -274,6 +293,7 @@ def exp_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10: regex expectations with `mostly` over non-NULL rows."""
     from strata.operators import quality
     r = fixtures.raw_events(spark, sf_dir)
     checks = [quality.expect_regex("created_at", r.columns,
@@ -285,6 +305,7 @@ def exp_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-11: range expectations with `mostly` over non-NULL rows."""
     from strata.operators import quality
     t = typed_events(spark, sf_dir)
     checks = [quality.expect_between("amount", t.columns, 0, None, 0.95),
@@ -295,6 +316,7 @@ def exp_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-12: compound uniqueness (its own aggregation) on three tables."""
     from strata.operators import quality
     t = typed_events(spark, sf_dir)
     li = fixtures.table(spark, sf_dir, "lineitem")
@@ -310,18 +332,21 @@ def exp_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_suite_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-13: the Bronze expectation suite."""
     from strata.plans.jobs import run_suite
     return _quality_view(run_suite(bronze_frame(spark, sf_dir), "bronze"))
 
 
 @query
 def exp_suite_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-13: the Silver expectation suite."""
     from strata.plans.jobs import run_suite
     return _quality_view(run_suite(silver_events(spark, sf_dir), "silver"))
 
 
 @query
 def exp_suite_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-13: the Gold expectation suite on the daily summary."""
     from strata.plans.jobs import run_suite
     daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
     return _quality_view(run_suite(daily, "gold"))
@@ -342,17 +367,20 @@ def _profile_by_date(spark: SparkSession, layer: str, df: DataFrame, base_path:
 
 @query
 def dq_profile_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-15: Bronze check profile, evaluated per date in one pass."""
     return _profile_by_date(spark, "bronze", bronze_frame(spark, sf_dir), "/bronze")
 
 
 @query
 def dq_profile_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-15: Silver check profile over the published table, per date."""
     root = _published_silver(spark, sf_dir)
     return _profile_by_date(spark, "silver", spark.read.parquet(root), "/silver")
 
 
 @query
 def dq_profile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-15: Gold check profile on KPI rows, per date."""
     kpis = gold.compute_kpis(silver_events(spark, sf_dir), None, NOW,
                              keys=("source_system", "year", "month", "day"))
     return _profile_by_date(spark, "gold", kpis, "/gold/kpi_summary")
@@ -360,7 +388,7 @@ def dq_profile_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_env_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One silver slice against the dev / staging / prod thresholds (one pass per env)."""
+    """DQ-16: One silver slice against the dev / staging / prod thresholds (one pass per env)."""
     from strata.contract import GATE_COLUMNS, THRESHOLDS
     from strata.operators import quality
     s = silver_events(spark, sf_dir)
@@ -376,6 +404,7 @@ def dq_env_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-14/17: Bronze in-job gate (run-stamp null rates)."""
     from strata.contract import GATE_COLUMNS, THRESHOLDS
     from strata.operators import quality
     b = bronze_frame(spark, sf_dir)
@@ -387,6 +416,7 @@ def gate_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-14/17: Silver in-job gate (key null rates + row count)."""
     from strata.operators import quality
     from strata.plans.jobs import silver_checks
     s = enriched_silver(spark, sf_dir)
@@ -397,6 +427,7 @@ def gate_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-14/17: Gold in-job gate (row counts of daily and KPI tables)."""
     from strata.operators import quality
     from strata.plans.jobs import gold_checks
     s = silver_events(spark, sf_dir)
@@ -424,6 +455,7 @@ def _landed_text_summary(df: DataFrame) -> DataFrame:
 
 @query
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01: CSV landed with a header, read back with inferred schema."""
     from strata.sources.readers import read_raw
     path = _scratch(spark, "csv")
     fixtures.raw_events(spark, sf_dir).write.option("header", True).csv(path)
@@ -432,6 +464,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-02: JSON lines landed and read back."""
     from strata.sources.readers import read_raw
     path = _scratch(spark, "json")
     fixtures.raw_events(spark, sf_dir).write.json(path)
@@ -440,6 +473,7 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-03/04: Parquet scan through the format dispatch (column-pruned)."""
     from strata.sources.readers import read_raw
     ev = read_raw(spark, f"{sf_dir.rstrip('/')}/events.parquet", "PARQUET")
     return (ev.groupBy("event_type")
@@ -449,12 +483,14 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def jdbc_date_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05/FLT-05: half-open date slice (the JDBC extract's predicate)."""
     from strata.sources.jdbc import date_slice
     return date_slice(fixtures.table(spark, sf_dir, "orders"), "o_orderdate", ORDERS_DATE)
 
 
 @query
 def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-06/FLT-01: one execution date of a partitioned table."""
     from strata.sinks import writers
     from strata.sources.readers import read_partition
     root = _scratch(spark, "bronze")
@@ -464,6 +500,7 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-08: landed API pages (both body shapes) counted per page file."""
     from strata.sources.readers import api_page_counts as counts
     from strata.sources.readers import require_records
     root = _scratch(spark, "landing")
@@ -475,6 +512,7 @@ def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def multi_source_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-11: registry-driven read of three formats into one Bronze frame."""
     from strata.plans.jobs import land_range_to_bronze_frame
     root = _scratch(spark, "landing")
     fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="hive")
@@ -490,6 +528,7 @@ def multi_source_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-01: Bronze published per date, read back."""
     from strata.sinks import writers
     root = _scratch(spark, "bronze")
     writers.publish_range(bronze_frame(spark, sf_dir), root, WIDE_START, WIDE_END)
@@ -498,11 +537,13 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-02: Silver published per date, read back."""
     return spark.read.parquet(_published_silver(spark, sf_dir))
 
 
 @query
 def gold_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-03: daily summary published per date, read back."""
     from strata.sinks import writers
     root = _scratch(spark, "daily")
     daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
@@ -512,6 +553,7 @@ def gold_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-04: KPI rows partitioned by their execution date, read back."""
     from strata.sinks import writers
     root = _scratch(spark, "kpi")
     kpis = gold.compute_kpis(silver_events(spark, sf_dir), None, NOW,
@@ -523,6 +565,7 @@ def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-05: KPI rows + run id appended as JSON lines, read back."""
     from strata.sinks import writers
     path = _scratch(spark, "metrics")
     kpis = gold.compute_kpis(silver_events(spark, sf_dir), EXECUTION_DATE, NOW)
@@ -556,6 +599,7 @@ def _audited(spark: SparkSession, sf_dir: str, env: str) -> str:
 
 @query
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-06: stamped gate results appended to the audit table, read back."""
     from strata.sinks import writers
     a = writers.read_audit(spark, _audited(spark, sf_dir, "dev"))
     return _quality_view(a, extra=("layer", "pipeline_run_id", "execution_date"))
@@ -563,6 +607,7 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-04: failed checks of a run (prod thresholds)."""
     from strata.operators import quality
     from strata.sinks import writers
     a = writers.read_audit(spark, _audited(spark, sf_dir, "prod"))
@@ -571,6 +616,7 @@ def audit_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-07: checks and passed checks per layer and date."""
     from strata.sinks import writers
     a = writers.read_audit(spark, _audited(spark, sf_dir, "prod"))
     return (a.groupBy("layer", "execution_date")
@@ -584,7 +630,7 @@ def audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land one execution date (documented daily layout) → Bronze job → read the partition."""
+    """PIPE-01: Land one execution date (documented daily layout) → Bronze job → read the partition."""
     from strata.plans.jobs import bronze_job
     paths = _paths(spark, "bronze-job")
     fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), paths.landing, layout="dated",
@@ -597,6 +643,7 @@ def bronze_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-02: Silver job for one date (cast, dedup, rules, dimension, gate)."""
     from strata.plans.jobs import silver_job
     from strata.sinks import writers
     from strata.sources.readers import read_dimension
@@ -610,6 +657,7 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-03: Gold job for one date (fused daily + KPI aggregation, gate)."""
     from strata.plans.jobs import gold_job
     paths = _paths(spark, "gold-job")
     from strata.sinks import writers
@@ -620,7 +668,7 @@ def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole range: land all three sources → Bronze (one pass) → Silver + Gold backfill."""
+    """PIPE-04: Whole range: land all three sources → Bronze (one pass) → Silver + Gold backfill."""
     from strata.plans.jobs import backfill, bronze_range_job
     paths = _paths(spark, "e2e")
     fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), paths.landing, layout="hive")
@@ -631,7 +679,7 @@ def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver + Gold for every date in one job per layer; dates without data come out empty."""
+    """PIPE-05: Silver + Gold for every date in one job per layer; dates without data come out empty."""
     from strata.plans.jobs import backfill
     from strata.sinks import writers
     paths = _paths(spark, "backfill")
@@ -642,7 +690,7 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish all dates, rerun one date with the same rows, rerun another date empty."""
+    """PIPE-06: Publish all dates, rerun one date with the same rows, rerun another date empty."""
     from strata.functions.dates import partition_predicate
     from strata.sinks import writers
     root = _scratch(spark, "silver")
@@ -657,7 +705,7 @@ def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver and Gold published for every date, then the quality stage for one date."""
+    """PIPE-07: Silver and Gold published for every date, then the quality stage for one date."""
     from strata.plans.jobs import quality_stage as stage_run
     from strata.sinks import writers
     paths = _paths(spark, "quality")
@@ -681,7 +729,7 @@ LANDED_SCHEMA = ("k bigint, id string, amount string, event_date string, created
 
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three sources landed (Hive layout) → one availableNow stream → Bronze (append)."""
+    """SRC-11 (streaming): All three sources landed (Hive layout) → one availableNow stream → Bronze (append)."""
     from pyspark.sql import types as T
 
     from strata.contract import SOURCE_REGISTRY
@@ -704,7 +752,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def exp_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoint outcome per layer: success flag, evaluated and failed expectation counts."""
+    """DQ-13: Checkpoint outcome per layer: success flag, evaluated and failed expectation counts."""
     from strata.operators import quality
     from strata.plans.jobs import run_suite
     s = silver_events(spark, sf_dir)
@@ -719,7 +767,7 @@ def exp_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def audit_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gate results appended as JSON lines under layer=/execution_date= folders, read back."""
+    """SNK-07: Gate results appended as JSON lines under layer=/execution_date= folders, read back."""
     from strata.contract import GATE_COLUMNS, THRESHOLDS
     from strata.operators import quality
     from strata.plans.jobs import silver_checks
@@ -738,7 +786,7 @@ def audit_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def landing_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per registry source: did anything land for the date (file contents never read)."""
+    """SRC-10: Per registry source: did anything land for the date (file contents never read)."""
     from strata.sources.readers import landing_presence as presence
     root = _scratch(spark, "landing")
     fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="dated",
@@ -748,7 +796,7 @@ def landing_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def db_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Database date slice written to the landing zone as Parquet, read back."""
+    """SNK-08: Database date slice written to the landing zone as Parquet, read back."""
     from strata.sinks.writers import land_extract
     from strata.sources.jdbc import date_slice
     from strata.sources.readers import landing_dir
