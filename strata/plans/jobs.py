@@ -51,7 +51,8 @@ class Paths:
 
 
 def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and return the re-read Parquet frame."""
+    """Write ``df`` once to the shared scratch folder and return the re-read Parquet frame.
+    Job stages are named ``<run_id>/<step>`` so a finished run's scratch sits in one folder."""
     return writers.stage(df, name, partitioned)
 
 
@@ -61,7 +62,7 @@ def audit_and_gate(results: DataFrame, paths: Paths, run_id: str, layer: str,
     it — the audit is always written first, and neither the layer nor the (growing) audit
     history is read again."""
     stamped = writers.stage(quality.stamp(results, run_id, layer, execution_date, now)
-                            .select(*AUDIT_SCHEMA.fieldNames()), f"checks-{layer}")
+                            .select(*AUDIT_SCHEMA.fieldNames()), f"{run_id}/checks-{layer}")
     writers.append_audit(stamped, paths.audit)
     if enforce:
         quality.gate(stamped)
@@ -113,7 +114,7 @@ def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, ru
                      registry: Sequence[dict] = SOURCE_REGISTRY) -> DataFrame:
     """Bronze for a whole date range in one pass (Hive-style landing zone)."""
     bronze = land_range_to_bronze_frame(spark, paths.landing, start, end, run_id, now, registry)
-    staged = stage(bronze, "bronze-range", partitioned=True)
+    staged = stage(bronze, f"{run_id}/bronze-range", partitioned=True)
     checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
     audit_and_gate(quality.evaluate(staged, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
@@ -173,7 +174,7 @@ def silver_checks(columns: Sequence[str], env: str) -> list[quality.Check]:
 def silver_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str, now: str,
                env: str = "dev", dim: DataFrame | None = None) -> DataFrame:
     bronze = readers.read_partition(spark, paths.bronze, execution_date)
-    staged = stage(silver_frame(bronze, dim), "silver")
+    staged = stage(silver_frame(bronze, dim), f"{run_id}/silver")
     audit_and_gate(quality.evaluate(staged, silver_checks(staged.columns, env)), paths, run_id,
                    "silver", execution_date, now)
     writers.publish_partition(staged, paths.silver, execution_date)
@@ -193,7 +194,7 @@ def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str
     """Daily summary and KPIs for one date; KPI rows also go to the metrics log."""
     s = readers.read_partition(spark, paths.silver, execution_date)
     # One slice = one date: daily and KPI groups coincide, so one aggregation feeds both.
-    summaries = stage(gold.compute_summaries(s), "gold-summaries")
+    summaries = stage(gold.compute_summaries(s), f"{run_id}/gold-summaries")
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, execution_date, now)
     # Daily and KPI tables are projections of the same aggregate: one pass checks both.
@@ -239,7 +240,7 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     evaluated per date in the same single aggregation."""
     by = list(PARTITION_COLUMNS)
     bronze = readers.read_range(spark, paths.bronze, start, end)
-    s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), "silver-range",
+    s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), f"{run_id}/silver-range",
               partitioned=True)
     t = THRESHOLDS[env]["silver"]
     checks = (quality.null_rate(GATE_COLUMNS["silver"], s.columns, t["max_null_rate"])
@@ -250,7 +251,7 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     writers.publish_range(s, paths.silver, start, end, _staged_dates(s))
 
     silver_rng = readers.read_range(spark, paths.silver, start, end)
-    summaries = stage(gold.compute_summaries(silver_rng), "summaries-range", partitioned=True)
+    summaries = stage(gold.compute_summaries(silver_rng), f"{run_id}/summaries-range", partitioned=True)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, None, now, keep_date=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
@@ -332,7 +333,7 @@ def quality_stage(spark: SparkSession, paths: Paths, execution_date: str, run_id
     for layer, res in parts:
         stamped = quality.stamp(res, run_id, layer, execution_date, now)
         out = stamped if out is None else out.unionByName(stamped)
-    staged = stage(out, "quality")
+    staged = stage(out, f"{run_id}/quality")
     writers.append_ndjson(staged, f"{paths.audit}_ndjson")
     if enforce:
         quality.gate(staged)
