@@ -28,6 +28,16 @@ def query(fn):
     return fn
 
 
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Present ``timestamp`` columns as wall-clock ``timestamp_ntz`` values, so what a query
+    returns does not depend on the session or client time zone (the layer tables keep the
+    ``timestamp`` contract type)."""
+    from pyspark.sql import types as T
+    cols = {f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
+            if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns(cols) if cols else df
+
+
 def _round_money(df: DataFrame, sums=(), means=()) -> DataFrame:
     cols = {c: F.round(c, 2) for c in sums}
     cols.update({c: F.round(c, 6) for c in means})
@@ -102,13 +112,13 @@ def attach_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-02/03: contract casts, invalid text → NULL, lenient string → bigint."""
-    return typed_events(spark, sf_dir)
+    return wall_clock(typed_events(spark, sf_dir))
 
 
 @query
 def deduplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DED-01: one deterministic survivor per (id, event_date, source_system)."""
-    return deduped_events(spark, sf_dir)
+    return wall_clock(deduped_events(spark, sf_dir))
 
 
 @query
@@ -127,19 +137,19 @@ def dedup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def business_rules_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-02: identifiers must be present."""
-    return silver.not_null_rules(deduped_events(spark, sf_dir))
+    return wall_clock(silver.not_null_rules(deduped_events(spark, sf_dir)))
 
 
 @query
 def business_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-02/03: identifiers present and amount >= 0 (NULL amount dropped)."""
-    return silver_events(spark, sf_dir)
+    return wall_clock(silver_events(spark, sf_dir))
 
 
 @query
 def enrich_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-01: left join to the source dimension (broadcast after a bounded count)."""
-    return enriched_silver(spark, sf_dir)
+    return wall_clock(enriched_silver(spark, sf_dir))
 
 
 @query
@@ -538,7 +548,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-02: Silver published per date, read back."""
-    return spark.read.parquet(_published_silver(spark, sf_dir))
+    return wall_clock(spark.read.parquet(_published_silver(spark, sf_dir)))
 
 
 @query
@@ -652,7 +662,7 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim_root = f"{paths.gold}_dims"
     fixtures.dim_source(spark).write.mode("overwrite").parquet(f"{dim_root}/dim_source")
     s = silver_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW, dim=read_dimension(spark, dim_root))
-    return s.drop("pipeline_run_id", "ingested_at")
+    return wall_clock(s.drop("pipeline_run_id", "ingested_at"))
 
 
 @query
