@@ -238,6 +238,16 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     """Silver and Gold for every date in [start, end] from the Bronze table in one pass per
     layer. The date is part of the dedup key so the result equals one run per date; checks are
     evaluated per date in the same single aggregation."""
+    silver_backfill(spark, paths, start, end, run_id, now, env, dim, enforce)
+    daily, kpis = gold_backfill(spark, paths, start, end, run_id, now, env, enforce,
+                                emit_metrics)
+    return readers.read_range(spark, paths.silver, start, end), daily, kpis
+
+
+def silver_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
+                    now: str, env: str = "dev", dim: DataFrame | None = None,
+                    enforce: bool = True) -> None:
+    """Silver for every date of the range in one job (date in the dedup key)."""
     by = list(PARTITION_COLUMNS)
     bronze = readers.read_range(spark, paths.bronze, start, end)
     s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), f"{run_id}/silver-range",
@@ -250,25 +260,31 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
     audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
     writers.publish_range(s, paths.silver, start, end, _staged_dates(s))
 
+
+def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
+                  now: str, env: str = "dev", enforce: bool = True,
+                  emit_metrics: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Daily summary and KPIs for every date of the range from the Silver table: one fused
+    aggregation, staged once, both tables published from it."""
+    by = list(PARTITION_COLUMNS)
     silver_rng = readers.read_range(spark, paths.silver, start, end)
-    summaries = stage(gold.compute_summaries(silver_rng), f"{run_id}/summaries-range", partitioned=True)
+    summaries = stage(gold.compute_summaries(silver_rng), f"{run_id}/summaries-range",
+                      partitioned=True)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, None, now, keep_date=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
+    empty = _empty_dates(summaries, start, end)
     results = quality.evaluate(summaries, [quality.row_count(g, label="gold_daily"),
                                            quality.row_count(g, label="gold_kpis")], by=by) \
-        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(summaries, start, end),
-                                                   g, "gold_daily")) \
-        .unionByName(quality.empty_date_row_counts(spark, _empty_dates(summaries, start, end),
-                                                   g, "gold_kpis"))
+        .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_daily")) \
+        .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
     dates = _staged_dates(summaries)
     writers.publish_range(daily, paths.daily, start, end, dates)
     writers.publish_range(kpis, paths.kpi, start, end, dates)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
-    return (readers.read_range(spark, paths.silver, start, end),
-            readers.read_range(spark, paths.daily, start, end),
+    return (readers.read_range(spark, paths.daily, start, end),
             readers.read_range(spark, paths.kpi, start, end))
 
 

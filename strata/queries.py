@@ -716,15 +716,12 @@ def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def quality_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIPE-07: Silver and Gold published for every date, then the quality stage for one date."""
+    from strata.plans.jobs import gold_backfill
     from strata.plans.jobs import quality_stage as stage_run
     from strata.sinks import writers
     paths = _paths(spark, "quality")
-    s = silver_events(spark, sf_dir)
-    writers.publish_range(s, paths.silver, START, END)
-    writers.publish_range(gold.compute_daily(s, NOW), paths.daily, START, END)
-    writers.publish_range(gold.compute_kpis(s, None, NOW,
-                                            keys=("source_system", "year", "month", "day")),
-                          paths.kpi, START, END)
+    writers.publish_range(silver_events(spark, sf_dir), paths.silver, START, END)
+    gold_backfill(spark, paths, START, END, RUN_ID, NOW)
     res = stage_run(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
     return _quality_view(res, extra=("layer", "execution_date"))
 
