@@ -204,7 +204,7 @@ _NUMERIC = _INTEGRAL + ("float", "double")
 def _common_type(types: set[str]) -> str:
     if types <= set(_INTEGRAL):
         return "bigint"
-    if types <= set(_NUMERIC):
+    if all(t in _NUMERIC or t.startswith("decimal") for t in types):
         return "double"
     return "string"
 

@@ -101,3 +101,9 @@ def test_api_pages_with_record_schema(spark, local_tmp):
     src = {"format": "json_pages", "schema": "id string"}
     recs = readers.read_source(spark, local_tmp, src)
     assert sorted(r.id for r in recs.collect()) == ["1", "2", "3"]
+
+
+def test_union_sources_decimal_widens_to_double(spark):
+    a = spark.createDataFrame([(1.5,)], "v double")
+    b = spark.sql("SELECT CAST(2.25 AS DECIMAL(10,2)) AS v")
+    assert dict(readers.union_sources([a, b]).dtypes) == {"v": "double"}
