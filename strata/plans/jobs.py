@@ -306,15 +306,15 @@ def profile_checks(layer: str, df: DataFrame, baseline: list[str] | None, execut
                quality.partition_exists(execution_date, base_path)])
 
 
-def run_profile(spark: SparkSession, layer: str, df: DataFrame, execution_date: str,
-                base_path: str, baselines: str, env: str | None = None) -> DataFrame:
-    """Evaluate a layer profile; the first run writes the schema baseline."""
+def profile_for(spark: SparkSession, layer: str, df: DataFrame, execution_date: str,
+                base_path: str, baselines: str, env: str | None = None) -> list[quality.Check]:
+    """A layer's profile checks against its saved schema baseline; the first run writes the
+    baseline (column names only)."""
     base = writers.read_schema_baseline(spark, baselines, layer)
-    results = quality.evaluate(df, profile_checks(layer, df, base, execution_date, base_path,
-                                                  env))
+    checks = profile_checks(layer, df, base, execution_date, base_path, env)
     if base is None:
         writers.write_schema_baseline(spark, baselines, layer, df.columns)
-    return results
+    return checks
 
 
 def run_suite(df: DataFrame, layer: str, suite: Sequence[dict] | None = None) -> DataFrame:
@@ -333,11 +333,7 @@ def quality_stage(spark: SparkSession, paths: Paths, execution_date: str, run_id
     kpis = readers.read_partition(spark, paths.kpi, execution_date)
 
     def profile(layer: str, df: DataFrame, base_path: str) -> list[quality.Check]:
-        base = writers.read_schema_baseline(spark, paths.baselines, layer)
-        checks = profile_checks(layer, df, base, execution_date, base_path)
-        if base is None:
-            writers.write_schema_baseline(spark, paths.baselines, layer, df.columns)
-        return checks
+        return profile_for(spark, layer, df, execution_date, base_path, paths.baselines)
 
     parts = [
         ("silver", quality.evaluate(silver_df, quality.compile_suite(

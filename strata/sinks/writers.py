@@ -37,12 +37,6 @@ def publish_partition(df: DataFrame, root: str, execution_date: str) -> str:
     return path
 
 
-def present_dates(df: DataFrame) -> set[tuple[int, int, int]]:
-    """Distinct (year, month, day) of a frame — at most one row per date reaches the driver."""
-    rows = df.select(*PARTITION_COLUMNS).distinct().collect()
-    return {(r[0], r[1], r[2]) for r in rows}
-
-
 _PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/")
 
 
