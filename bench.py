@@ -21,7 +21,7 @@ HEADLINE = [
     "enrich_nation", "dq_null_rate", "exp_suite_silver", "exp_unique", "dq_profile_silver",
     "scan_csv", "api_page_counts", "multi_source_bronze", "silver_roundtrip", "silver_pipeline",
     "gold_pipeline", "medallion_e2e", "backfill_range", "quality_stage", "dedup_report",
-    "dq_partitions", "audit_log", "stream_bronze",
+    "dq_partitions", "audit_log", "stream_bronze", "orders_daily",
 ]
 
 

@@ -483,3 +483,19 @@ def _presence() -> str:
 
 ORACLE["landing_presence"] = _with(_presence())
 ORACLE["db_extract"] = ORACLE["jdbc_date_slice"]
+ORACLE["orders_daily"] = f"""
+WITH o AS (
+  SELECT o_orderkey AS id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS event_date,
+    CAST(o_orderdate AS TIMESTAMP) AS created_at, o_orderstatus = 'O' AS is_active,
+    o_orderstatus AS source_system, CAST(year(o_orderdate) AS INT) AS year,
+    CAST(month(o_orderdate) AS INT) AS month, CAST(day(o_orderdate) AS INT) AS day
+  FROM orders),
+d AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+      PARTITION BY id, event_date, source_system
+      ORDER BY created_at DESC NULLS LAST, amount DESC NULLS LAST, is_active NULLS LAST,
+               year NULLS LAST, month NULLS LAST, day NULLS LAST) AS rn FROM o) z
+  WHERE rn = 1),
+s AS (SELECT * FROM d WHERE id IS NOT NULL AND source_system IS NOT NULL AND amount >= 0)
+SELECT source_system, year, month, day, {_daily_cols()} FROM s
+GROUP BY source_system, year, month, day"""
