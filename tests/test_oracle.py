@@ -1,4 +1,5 @@
-"""Every registered query against its DuckDB oracle on sf0.001 (the driver uses sf0.01)."""
+"""Every registered query against its DuckDB oracle on sf0.001 (the driver uses sf0.01), and
+no query plan may evaluate Python (no UDFs anywhere)."""
 
 import duckdb
 import pytest
@@ -17,9 +18,15 @@ def con():
     return c
 
 
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
+                "MapInPandas")
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(tok in plan for tok in PYTHON_NODES), "query evaluates Python"
     rows = [tuple(r) for r in df.collect()]
     sql = entry.oracle_sql().get(name)
     if sql is None:

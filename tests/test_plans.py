@@ -59,14 +59,3 @@ def test_grouped_checks_single_pass(spark):
     p = plan(res)
     assert p.count("HashAggregate(keys=[year") == 2  # partial + final, one exchange
 
-
-def test_no_python_evaluation_in_any_query(spark):
-    """Every registered query plans without Python UDF / Arrow evaluation nodes."""
-    import __spark_entry__ as entry
-    bad = []
-    for name, fn in entry.queries().items():
-        p = plan(fn(spark, SF))
-        if any(tok in p for tok in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF",
-                                    "FlatMapGroupsInPandas", "MapInPandas")):
-            bad.append(name)
-    assert bad == []
