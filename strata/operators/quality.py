@@ -465,7 +465,12 @@ def gate(results: DataFrame) -> None:
 
     Only failed rows reach the driver (at most one per check).
     """
-    failed = failures(results).select("check_name", "message").collect()
+    gate_rows(failures(results).select("passed", "check_name", "message").collect())
+
+
+def gate_rows(rows) -> None:
+    """:func:`gate` over already collected result rows."""
+    failed = [r for r in rows if not r["passed"]]
     if failed:
         lines = "\n".join(f"  [{r['check_name']}] {r['message']}" for r in failed)
         head = MESSAGES["gate"].format(count=len(failed))

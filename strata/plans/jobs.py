@@ -58,14 +58,19 @@ def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
 
 def audit_and_gate(results: DataFrame, paths: Paths, run_id: str, layer: str,
                    execution_date: str | None, now: str, enforce: bool = True) -> DataFrame:
-    """Evaluate the checks once into a tiny staged table, append it to the audit, then gate on
-    it — the audit is always written first, and neither the layer nor the (growing) audit
-    history is read again."""
-    stamped = writers.stage(quality.stamp(results, run_id, layer, execution_date, now)
-                            .select(*AUDIT_SCHEMA.fieldNames()), f"{run_id}/checks-{layer}")
+    """Evaluate the checks once, append the rows to the audit, then gate on them — the audit is
+    always written first, and neither the layer nor the (growing) audit history is read again.
+
+    The evaluated rows are at most one per check and date, so they are brought to the driver
+    once and both the audit append and the gate use that small local copy.
+    """
+    spark = results.sparkSession
+    rows = (quality.stamp(results, run_id, layer, execution_date, now)
+            .select(*AUDIT_SCHEMA.fieldNames()).collect())
+    stamped = spark.createDataFrame(rows, AUDIT_SCHEMA)
     writers.append_audit(stamped, paths.audit)
     if enforce:
-        quality.gate(stamped)
+        quality.gate_rows(rows)
     return stamped
 
 
