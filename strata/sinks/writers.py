@@ -8,7 +8,8 @@ other date alone.
   footer-only file, so the date reads back as empty rather than keeping stale rows;
 * date range → staged once with rows rebalanced by date (AQE splits a huge date across tasks
   and merges small ones), then one write with per-write ``partitionOverwriteMode=dynamic``
-  (no session-wide setting), then an empty overwrite for each date of the range without rows.
+  (no session-wide setting), then an empty overwrite for each date of the range that the
+  table holds but the new rows do not (dates it never had need no write).
 """
 
 from __future__ import annotations
@@ -42,8 +43,12 @@ _PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/")
 
 def file_dates(df: DataFrame) -> set[tuple[int, int, int]]:
     """Dates of a partitioned Parquet frame read from its file listing (metadata, no job)."""
+    return file_dates_of(df.inputFiles())
+
+
+def file_dates_of(files) -> set[tuple[int, int, int]]:
     out = set()
-    for f in df.inputFiles():
+    for f in files:
         m = _PART_DIR.search(f)
         if m:
             out.add((int(m.group(1)), int(m.group(2)), int(m.group(3))))
@@ -87,14 +92,35 @@ def publish_range(df: DataFrame, root: str, start: str, end: str,
         # Input is staged and date-partitioned: each split holds one date, no shuffle needed.
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*PARTITION_COLUMNS).parquet(root))
+    # Dates the table already holds in the range but the new rows do not: clear them (an empty
+    # overwrite); dates the table never had need no write at all.
+    stale = table_dates(df.sparkSession, root, start, end) - set(dates)
     emptied = []
     empty = df.limit(0)
     for d in date_range(start, end):
-        if (d.year, d.month, d.day) not in dates:
+        if (d.year, d.month, d.day) in stale:
             emptied.append(publish_partition(empty, root, d.isoformat()))
     return emptied
 
 
+def table_dates(spark: SparkSession, root: str, start: str, end: str
+                ) -> set[tuple[int, int, int]]:
+    """Dates of [start, end] that have a folder in the table (file listing of the range's
+    folders only; no job). A missing table has none."""
+    from strata.sources.readers import range_globs
+    found: set[tuple[int, int, int]] = set()
+    for glob in range_globs(root.rstrip("/"), start, end):
+        try:
+            files = spark.read.option("basePath", root.rstrip("/")).parquet(glob).inputFiles()
+        except Exception as e:  # noqa: BLE001 - no folder for this month of the range
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) \
+                    or "UNABLE_TO_INFER_SCHEMA" in str(e):
+                continue
+            raise
+        found |= file_dates_of(files)
+    return found
+
+
 def write_metrics_log(kpis: DataFrame, path: str, pipeline_run_id: str) -> None:
     """Append KPI rows + run id as JSON lines in one file (KPI rows are one per source/date)."""
     (kpis.withColumn("pipeline_run_id", F.lit(pipeline_run_id))
