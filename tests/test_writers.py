@@ -72,3 +72,16 @@ def test_audit_ndjson_partitions(spark, tmp):
     assert sorted(r.execution_date for r in a.collect()) == ["2024-03-15", "2024-03-16"]
     import glob
     assert glob.glob(tmp.replace("file:", "") + "/layer=silver/execution_date=2024-03-15/*.json")
+
+
+def test_range_publish_clears_only_stale_dates(spark, tmp):
+    import os
+    writers.publish_range(_day(spark, 15, 2).union(_day(spark, 16, 3)), tmp, "2024-03-15",
+                          "2024-03-16")
+    emptied = writers.publish_range(_day(spark, 15, 1), tmp, "2024-03-15", "2024-03-17")
+    assert [p.rsplit("/", 1)[-1] for p in emptied] == ["day=16"]
+    counts = {r.day: r["count"] for r in spark.read.parquet(tmp).groupBy("day").count().collect()}
+    assert counts == {15: 1}
+    assert not os.path.exists(tmp.replace("file:", "") + "/year=2024/month=3/day=17")
+    assert writers.table_dates(spark, tmp, "2024-03-14", "2024-03-17") == {(2024, 3, 15),
+                                                                          (2024, 3, 16)}
