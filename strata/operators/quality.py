@@ -90,6 +90,11 @@ def _rows_agg() -> dict[str, Column]:
     return {ROWS: F.count(F.lit(1))}
 
 
+def _col(name: str) -> Column:
+    """Column by its exact name (dots or spaces in a name are not struct access)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _safe(name: str) -> str:
     """Alias-safe, collision-free token for a column name."""
     return "".join(ch if ch.isalnum() else "_" for ch in name) + f"_{zlib.crc32(name.encode())}"
@@ -178,7 +183,7 @@ def null_rate(columns: Sequence[str], present: Sequence[str], max_rate: float =
                      ).otherwise(_text(MESSAGES["null_rate_bad"], column=c, percent=_pct(rate),
                                        threshold=f"{max_rate * 100:.2f}"))
         out.append(Check(name,
-                         aggs={**_rows_agg(), alias: F.sum(F.col(c).isNull().cast("long"))},
+                         aggs={**_rows_agg(), alias: F.sum(_col(c).isNull().cast("long"))},
                          row=_result(name, passed, F.format_string("%.4f", rate), expected, msg,
                                      rate, rows > 0)))
     return out
@@ -199,7 +204,7 @@ def empty_date_row_counts(spark, dates: Iterable, min_rows: int, label: str) ->
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: NULL count per column (0, not NULL, on an empty frame), plus the row count."""
     return df.agg(F.count(F.lit(1)).alias("row_count"),
-                  *[F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(c)
+                  *[F.coalesce(F.sum(_col(c).isNull().cast("long")), F.lit(0)).alias(c)
                     for c in columns])
 
 
@@ -307,7 +312,7 @@ def expect_not_null(column: str, present: Sequence[str], mostly: float = 1.0) ->
     if column not in present:
         return _missing_column(name, column, f"mostly >= {mostly}")
     s = _safe(column)
-    return _fraction_check(name, f"__nn_{s}", F.count(F.col(column)), ROWS, F.count(F.lit(1)),
+    return _fraction_check(name, f"__nn_{s}", F.count(_col(column)), ROWS, F.count(F.lit(1)),
                            mostly, f"mostly >= {mostly}")
 
 
@@ -317,10 +322,10 @@ def expect_regex(column: str, present: Sequence[str], regex: str, mostly: float
     if column not in present:
         return _missing_column(name, column, expected)
     s = _safe(column)
-    c = F.col(column).cast("string")
+    c = _col(column).cast("string")
     return _fraction_check(name, f"__rx_{s}_{zlib.crc32(regex.encode())}",
                            F.count(F.when(c.rlike(regex), 1)), f"__nn_{s}",
-                           F.count(F.col(column)), mostly, expected)
+                           F.count(_col(column)), mostly, expected)
 
 
 def expect_between(column: str, present: Sequence[str], min_value=None, max_value=None,
@@ -331,7 +336,7 @@ def expect_between(column: str, present: Sequence[str], min_value=None, max_valu
     if column not in present:
         return _missing_column(name, column, expected)
     s = _safe(column)
-    c = F.col(column)
+    c = _col(column)
     cond = F.lit(True)
     if min_value is not None:
         cond = cond & (c >= F.lit(min_value))
@@ -357,16 +362,18 @@ def expect_compound_unique(columns: Sequence[str], present: Sequence[str]) -> Ch
     def run(df: DataFrame, by: Sequence[str]) -> DataFrame:
         any_key = F.lit(False)
         for c in cols:
-            any_key = any_key | F.col(c).isNotNull()
+            any_key = any_key | _col(c).isNotNull()
         keys = list(by) + [c for c in cols if c not in by]
-        groups = df.where(any_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        tot = groups.groupBy(*by).agg(
+        groups = (df.where(any_key).groupBy(*[_col(k) for k in keys])
+                    .agg(F.count(F.lit(1)).alias("n")))
+        tot = groups.groupBy(*[_col(b) for b in by]).agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("considered"),
             F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("unexpected"))
         u = F.col("unexpected")
         row = _result(name, u == 0, u, "0 duplicated rows",
                       F.format_string("%d of %d rows share a key", u, F.col("considered")), u)
-        return tot.select(*by, row.alias("r")).select(*by, "r.*").drop("emit")
+        byc = [_col(b) for b in by]
+        return tot.select(*byc, row.alias("r")).select(*byc, "r.*").drop("emit")
 
     return Check(name, separate=run)
 

@@ -122,3 +122,14 @@ def test_summary(spark):
     res = quality.evaluate(df, [quality.row_count(1), quality.row_count(5, label="x")])
     s = quality.summarize(res).collect()[0]
     assert (s.success, s.evaluated, s.failed) == (False, 2, 1)
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(None, 1), (2, 1)], "`a.b` bigint, `c d` int")
+    checks = (quality.null_rate(["a.b", "c d"], df.columns, 0.6)
+              + [quality.expect_between("a.b", df.columns, 0, 5),
+                 quality.expect_compound_unique(["a.b", "c d"], df.columns)])
+    r = {x.check_name: x for x in quality.evaluate(df, checks).collect()}
+    assert r["null_rate.a.b"].observed == 0.5 and r["null_rate.c d"].observed == 0.0
+    assert r["expect_column_values_to_be_between.a.b"].passed
+    assert r["expect_compound_columns_to_be_unique.a.b,c d"].passed
