@@ -74,6 +74,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     a = parser().parse_args(argv)
     if not a.root and not a.output_path:
         parser().error("--root or --output-path is required")
+    if a.command == "backfill" and not (a.start_date and a.end_date):
+        parser().error("backfill needs --start-date and --end-date")
     spark = spark or SparkSession.builder.getOrCreate()
     paths = _paths(a)
     run_id = a.run_id or str(uuid.uuid4())

@@ -58,3 +58,11 @@ def test_cli_per_job_paths_like_the_surveyed_e2e(spark, local_tmp):
     assert daily.count() > 0 and {"total_records", "total_amount"} <= set(daily.columns)
     assert spark.read.parquet(f"{lake}/gold/kpi_summary").count() > 0
     assert spark.read.json(f"{lake}/gold/metrics").count() > 0
+
+
+def test_cli_usage_errors(spark):
+    import pytest
+    with pytest.raises(SystemExit):
+        cli.run(["backfill", "--root", "/nonexistent"], spark)
+    with pytest.raises(SystemExit):
+        cli.run(["silver", "--execution-date", "2024-03-15"], spark)
