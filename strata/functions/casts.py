@@ -39,6 +39,7 @@ def lenient_cast(c: Column, source: T.DataType, target: str) -> Column:
 def cast_columns(df, casts: dict[str, str]):
     """Apply ``casts`` to the columns of ``df`` that exist (absent ones are skipped)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    present = {name: lenient_cast(F.col(name), types[name], target).alias(name)
+    from strata.functions.columns import col_ref
+    present = {name: lenient_cast(col_ref(name), types[name], target).alias(name)
                for name, target in casts.items() if name in types}
     return df.withColumns(present) if present else df

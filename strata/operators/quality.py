@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.contract import CHECK_NAMES, MESSAGES, QUALITY_SCHEMA, TEXTS
+from strata.functions.columns import col_ref as _col
 
 
 class DataQualityError(RuntimeError):
@@ -90,11 +91,6 @@ def _rows_agg() -> dict[str, Column]:
     return {ROWS: F.count(F.lit(1))}
 
 
-def _col(name: str) -> Column:
-    """Column by its exact name (dots or spaces in a name are not struct access)."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _safe(name: str) -> str:
     """Alias-safe, collision-free token for a column name."""
     return "".join(ch if ch.isalnum() else "_" for ch in name) + f"_{zlib.crc32(name.encode())}"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from strata.contract import (BUSINESS_KEY, CONTRACT_CASTS, NON_NEGATIVE_COLUMN,
                              REQUIRED_NOT_NULL, SURVIVOR_ORDER)
 from strata.functions.casts import cast_columns
+from strata.functions.columns import col_ref
 
 _UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
 
@@ -33,12 +34,12 @@ def survivor_order(df: DataFrame, keys: Sequence[str],
     used = set(keys)
     for name, direction in order:
         if name in df.columns and name not in used:
-            c = F.col(name)
+            c = col_ref(name)
             cols.append(c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last())
             used.add(name)
     for f in df.schema.fields:
         if f.name not in used and not isinstance(f.dataType, _UNORDERABLE):
-            cols.append(F.col(f.name).asc_nulls_last())
+            cols.append(col_ref(f.name).asc_nulls_last())
     return cols
 
 
@@ -57,7 +58,7 @@ def deduplicate(df: DataFrame, keys: Sequence[str] = BUSINESS_KEY,
     if not ordering:
         # Every column is part of the key: duplicates are identical, any survivor is the same.
         return df.dropDuplicates(k)
-    w = Window.partitionBy(*k).orderBy(*ordering)
+    w = Window.partitionBy(*[col_ref(c) for c in k]).orderBy(*ordering)
     return (df.withColumn("__rn", F.row_number().over(w))
               .where(F.col("__rn") == 1).drop("__rn"))
 
@@ -66,7 +67,7 @@ def dedup_report(df: DataFrame, keys: Sequence[str] = BUSINESS_KEY) -> DataFrame
     """Rows before / after deduplication and removed, from one aggregation (NULL keys count as a
     group because the key struct itself is never NULL)."""
     k = present_key(df, keys)
-    after = F.count_distinct(F.struct(*k)) if k else F.count(F.lit(1))
+    after = F.count_distinct(F.struct(*[col_ref(c) for c in k])) if k else F.count(F.lit(1))
     return (df.agg(F.count(F.lit(1)).alias("rows_before"), after.alias("rows_after"))
               .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after")))
 
@@ -81,9 +82,10 @@ def business_rules(df: DataFrame, required: Sequence[str] = REQUIRED_NOT_NULL,
     cond = None
     for c in required:
         if c in df.columns:
-            cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+            cond = (col_ref(c).isNotNull() if cond is None
+                    else cond & col_ref(c).isNotNull())
     if non_negative and non_negative in df.columns:
-        c = F.col(non_negative)
+        c = col_ref(non_negative)
         if not isinstance(df.schema[non_negative].dataType, T.NumericType):
             c = c.try_cast("double")  # un-cast text: compare leniently, bad text is dropped
         rule = c >= 0
@@ -111,8 +113,8 @@ def enrich_with_dimension(df: DataFrame, dim: DataFrame, key: str = "source_syst
     Unmatched rows keep NULL labels; a repeated dimension key fans rows out, as in SQL.
     """
     dk = dim_key or key
-    side = dim.select(F.col(dk).alias("__dim_key"), *[F.col(c) for c in columns])
+    side = dim.select(col_ref(dk).alias("__dim_key"), *[col_ref(c) for c in columns])
     small = side.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
     if small:
         side = F.broadcast(side)
-    return (df.join(side, df[key] == side["__dim_key"], "left").drop("__dim_key"))
+    return df.join(side, col_ref(key) == side["__dim_key"], "left").drop("__dim_key")

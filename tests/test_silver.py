@@ -126,3 +126,11 @@ def test_dimension_over_bound_not_broadcast(spark):
     dim = spark.createDataFrame([("crm", "A"), ("x", "B")], "source_system string, source_label string")
     out = silver.enrich_with_dimension(fact, dim, broadcast_max_rows=1)
     assert out.count() == 1
+
+
+def test_dotted_column_names_pass_through(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", "z")],
+                               "id bigint, source_system string, `customer.name` string")
+    out = silver.business_rules(silver.deduplicate(df))
+    assert sorted((r.id, r["customer.name"]) for r in out.collect()) == [(1, "x"), (2, "z")]
+    assert silver.dedup_report(df).first().rows_after == 2
