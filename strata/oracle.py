@@ -55,14 +55,15 @@ def _rate(nulls: str, n: str) -> str:
 
 def _kpi_cols(round_: bool = True) -> str:
     return ("count(*) AS record_count, count(DISTINCT id) AS unique_entities, "
-            "round(sum(amount), 2) AS total_value, round(avg(amount), 6) AS avg_value, "
-            "round(CAST(sum(CASE WHEN is_active = true THEN 1 ELSE 0 END) AS DOUBLE) / "
-            "CAST(count(*) AS DOUBLE), 6) AS active_rate")
+            "round(sum(amount), 2) AS total_value, "
+            "round(sum(amount), 2) / count(*) AS avg_value, "
+            "CAST(sum(CASE WHEN is_active = true THEN 1 ELSE 0 END) AS DOUBLE) / "
+            "CAST(count(*) AS DOUBLE) AS active_rate")
 
 
 def _daily_cols() -> str:
     return ("count(*) AS total_records, count(DISTINCT id) AS distinct_ids, "
-            "round(sum(amount), 2) AS total_amount, round(avg(amount), 6) AS avg_amount, "
+            "round(sum(amount), 2) AS total_amount, round(sum(amount), 2) / count(*) AS avg_amount, "
             f"max(amount) AS max_amount, min(amount) AS min_amount, '{NOW}' AS computed_at")
 
 
@@ -76,7 +77,7 @@ def null_rate_rows(src: str, cols, max_rate: float, prefix: str = "", group: str
     for c in cols:
         r = _rate(f"count(*) - count({c})", "count(*)")
         out.append(f"SELECT {prefix}'null_rate.{c}' AS check_name, {r} <= {max_rate} AS passed, "
-                   f"round({r}, 6) AS observed, {_q(f'<= {max_rate}')} AS expected "
+                   f"{r} AS observed, {_q(f'<= {max_rate}')} AS expected "
                    f"FROM {src}{gb} HAVING count(*) > 0")
     return out
 
@@ -107,7 +108,7 @@ def exists_row(col: str) -> str:
 def fraction_row(name: str, src: str, num: str, den: str, mostly: float, expected: str) -> str:
     frac = f"CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE)"
     return (f"SELECT {_q(name)} AS check_name, ({den} = 0 OR {frac} >= {mostly}) AS passed, "
-            f"CASE WHEN {den} > 0 THEN round({frac}, 6) END AS observed, {_q(expected)} "
+            f"CASE WHEN {den} > 0 THEN {frac} END AS observed, {_q(expected)} "
             f"AS expected FROM {src}")
 
 
@@ -221,8 +222,8 @@ ORACLE["gold_kpis"] = _with(
     f"SELECT source_system, {_kpi_cols()}, '{EXECUTION_DATE}' AS execution_date, "
     f"'{NOW}' AS computed_at FROM silver GROUP BY source_system")
 ORACLE["active_rate"] = _with(
-    'SELECT source_system, count(*) AS "rows", round(CAST(sum(CASE WHEN is_active = true THEN 1 '
-    "ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS active_rate FROM typed "
+    'SELECT source_system, count(*) AS "rows", CAST(sum(CASE WHEN is_active = true THEN 1 '
+    "ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS active_rate FROM typed "
     "GROUP BY source_system")
 ORACLE["null_counts"] = _with(
     "SELECT count(*) AS row_count, " + ", ".join(
@@ -374,8 +375,8 @@ ORACLE["gold_kpi_roundtrip"] = _with(
     f"'{NOW}' AS computed_at FROM silver GROUP BY source_system, year, month, day")
 ORACLE["metrics_log"] = _with(
     "SELECT source_system, count(*) AS record_count, count(DISTINCT id) AS unique_entities, "
-    "round(sum(amount), 2) AS total_value, round(CAST(sum(CASE WHEN is_active = true THEN 1 "
-    "ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS active_rate, "
+    "round(sum(amount), 2) AS total_value, CAST(sum(CASE WHEN is_active = true THEN 1 "
+    "ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS active_rate, "
     f"'{EXECUTION_DATE}' AS execution_date, '{RUN_ID}' AS pipeline_run_id "
     "FROM silver GROUP BY source_system")
 

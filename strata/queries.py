@@ -38,10 +38,15 @@ def wall_clock(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def _round_money(df: DataFrame, sums=(), means=()) -> DataFrame:
-    cols = {c: F.round(c, 2) for c in sums}
-    cols.update({c: F.round(c, 6) for c in means})
-    return df.withColumns(cols)
+def _round_money(df: DataFrame, sums=(), means=None) -> DataFrame:
+    """Presentation for engine-independent comparison: sums of 2-decimal amounts rounded to
+    2 dp (float sums differ only far below a cent); a mean as ``rounded sum / count`` (one IEEE
+    division of identical operands in every engine — rounding the mean itself would hit
+    decimal ties such as x.xxxxxx5 that engines break differently). ``means`` maps a mean
+    column to its (sum column, count column)."""
+    cols = {m: F.round(sc, 2) / F.col(nc) for m, (sc, nc) in (means or {}).items()}
+    df = df.withColumns(cols) if cols else df
+    return df.withColumns({c: F.round(c, 2) for c in sums}) if sums else df
 
 
 def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +65,7 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-01 (flagship): dirty landing → cast → dedup → rules → daily summary per source and date."""
     daily = gold.compute_daily(silver_events(spark, sf_dir), computed_at=NOW)
-    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+    return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})
 
 
 # ---------------------------------------------------------------------------------------------
@@ -87,7 +92,7 @@ def _paths(spark: SparkSession, name: str):
 def _quality_view(results: DataFrame, extra=()) -> DataFrame:
     """Quality rows with the numeric observation rounded (text formatting is engine-specific)."""
     return results.select(*extra, "check_name", "passed",
-                          F.round("observed", 6).alias("observed"), "expected")
+                          "observed", "expected")
 
 
 def bronze_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +174,7 @@ def enrich_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-02/03/04: KPIs per source over the whole Silver table."""
     k = gold.compute_kpis(silver_events(spark, sf_dir), EXECUTION_DATE, NOW)
-    return _round_money(k, sums=["total_value"], means=["avg_value", "active_rate"])
+    return _round_money(k, sums=["total_value"], means={"avg_value": ("total_value", "record_count")})
 
 
 @query
@@ -177,8 +182,7 @@ def active_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-04: share of active rows over all rows (NULL counts as inactive)."""
     t = typed_events(spark, sf_dir)
     return (t.groupBy("source_system")
-             .agg(F.count(F.lit(1)).alias("rows"), F.round(gold.active_rate(), 6)
-                  .alias("active_rate")))
+             .agg(F.count(F.lit(1)).alias("rows"), gold.active_rate().alias("active_rate")))
 
 
 @query
@@ -558,7 +562,8 @@ def gold_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "daily")
     daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
     writers.publish_range(daily, root, START, END)
-    return _round_money(spark.read.parquet(root), sums=["total_amount"], means=["avg_amount"])
+    return _round_money(spark.read.parquet(root), sums=["total_amount"],
+                        means={"avg_amount": ("total_amount", "total_records")})
 
 
 @query
@@ -570,7 +575,7 @@ def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                              keys=("source_system", "year", "month", "day"))
     writers.publish_range(kpis, root, START, END)
     return _round_money(spark.read.parquet(root), sums=["total_value"],
-                        means=["avg_value", "active_rate"])
+                        means={"avg_value": ("total_value", "record_count")})
 
 
 @query
@@ -583,7 +588,7 @@ def metrics_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = spark.read.json(path)
     return back.select("source_system", "record_count", "unique_entities",
                        F.round("total_value", 2).alias("total_value"),
-                       F.round("active_rate", 6).alias("active_rate"),
+                       "active_rate",
                        "execution_date", "pipeline_run_id")
 
 
@@ -673,7 +678,7 @@ def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     writers.publish_range(silver_events(spark, sf_dir), paths.silver, START, END)
     daily, _ = gold_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
-    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+    return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})
 
 
 @query
@@ -684,7 +689,7 @@ def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), paths.landing, layout="hive")
     bronze_range_job(spark, paths, START, END, RUN_ID, NOW)
     _, daily, _ = backfill(spark, paths, START, END, RUN_ID, NOW, enforce=False)
-    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+    return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})
 
 
 @query
@@ -695,7 +700,7 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _paths(spark, "backfill")
     writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
     _, _, kpis = backfill(spark, paths, WIDE_START, WIDE_END, RUN_ID, NOW, enforce=False)
-    return _round_money(kpis, sums=["total_value"], means=["avg_value", "active_rate"])
+    return _round_money(kpis, sums=["total_value"], means={"avg_value": ("total_value", "record_count")})
 
 
 @query
@@ -821,4 +826,4 @@ def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = silver.business_rules(silver.deduplicate(silver.cast_types(
         fixtures.orders_contract(spark, sf_dir))))
     daily = gold.daily_from_summaries(gold.compute_summaries(s), NOW)
-    return _round_money(daily, sums=["total_amount"], means=["avg_amount"])
+    return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})

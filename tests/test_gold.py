@@ -52,3 +52,14 @@ def test_fused_summaries_equal_separate_aggregates(spark):
     k1 = gold.kpis_from_summaries(summ, None, "n", keep_date=True)
     k2 = gold.compute_kpis(s, None, "n", keys=keys).select(k1.columns)
     assert sorted(map(tuple, k1.collect())) == sorted(map(tuple, k2.collect()))
+
+
+def test_library_means_equal_sum_over_count(spark):
+    """The registered queries present means as sum / count (engine-independent); the library's
+    own avg columns must agree with that."""
+    from strata import queries as Q
+    s = Q.silver_events(spark, "/root/testdata/sf0.01")
+    for r in gold.compute_daily(s, "n").collect():
+        assert r.avg_amount == pytest.approx(r.total_amount / r.total_records, rel=1e-12)
+    for r in gold.compute_kpis(s, "d", "n").collect():
+        assert r.avg_value == pytest.approx(r.total_value / r.record_count, rel=1e-12)
