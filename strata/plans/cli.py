@@ -64,6 +64,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="csv")
     p.add_argument("--source-system", default="unknown")
     p.add_argument("--keep-source-column", action="store_true")
+    p.add_argument("--landing-layout", default="dated", choices=["dated", "hive"],
+                   help="registry Bronze: <landing>/<YYYYMMDD>/<subdir> or "
+                        "<landing>/<subdir>/landing_date=YYYYMMDD")
     p.add_argument("--dim-path", help="folder holding dim_source/ (Silver enrichment)")
     p.add_argument("--no-metrics", action="store_true")
     p.add_argument("--run-id", default=None)
@@ -91,7 +94,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
                 jobs.bronze_path_job(spark, a.input_path, a.format, paths, d, run_id, now,
                                      a.source_system, a.env, a.keep_source_column)
             else:
-                jobs.bronze_job(spark, paths, d, run_id, now, a.env)
+                jobs.bronze_job(spark, paths, d, run_id, now, a.env, layout=a.landing_layout,
+                                keep_source_column=a.keep_source_column)
         if a.command in ("silver", "transform"):
             jobs.silver_job(spark, paths, d, run_id, now, a.env, dim)
         if a.command in ("gold", "transform"):

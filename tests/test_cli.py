@@ -66,3 +66,19 @@ def test_cli_usage_errors(spark):
         cli.run(["backfill", "--root", "/nonexistent"], spark)
     with pytest.raises(SystemExit):
         cli.run(["silver", "--execution-date", "2024-03-15"], spark)
+
+
+def test_cli_registry_bronze_transform(spark):
+    from strata import fixtures
+    from strata.functions.dates import partition_predicate
+    root = scratch_path(spark, "cli-registry")
+    raw = fixtures.raw_events(spark, "/root/testdata/sf0.001")
+    fixtures.land_raw_events(raw, f"{root}/landing", layout="dated",
+                             execution_date="2024-01-15")
+    assert cli.run(["transform", "--execution-date", "2024-01-15", "--root", root], spark) == 0
+    paths = jobs.Paths.under(root)
+    bronze = spark.read.parquet(paths.bronze)
+    assert bronze.count() == raw.where(partition_predicate("2024-01-15")).count()
+    assert {r.source_system for r in bronze.select("source_system").distinct().collect()} == {
+        "crm", "events_api", "ops_db"}
+    assert spark.read.parquet(paths.daily).count() == 3
