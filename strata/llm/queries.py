@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import curriculum, exact_dedup, sharding
+from strata.llm import bpe, curriculum, exact_dedup, sharding, warc
 from strata.llm.common import table
+from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +42,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -80,6 +92,26 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.assignments(table(spark, sf_dir, "documents"))
 
 
+@query(r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                               1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to
+FROM p JOIN f USING (h)
+""")
+def op9_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to Zstandard WARC archives and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(r"""
 WITH RECURSIVE
 pref AS (
