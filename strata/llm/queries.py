@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, sharding, warc
+from strata.llm import bpe, curriculum, exact_dedup, sharding, toxicity, warc
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -23,6 +23,14 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document by the model fitted on the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", "toxicity.*")
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
