@@ -29,12 +29,8 @@ def text_or_empty(col: str = "text") -> Column:
 
 
 def word_count(col: str = "text") -> Column:
-    """Number of ``[^\\x20\\x09-\\x0D]+`` runs, without building the words: a run ends at every
-    non-space followed by white space, and at the end of a text that does not end in one."""
-    t = F.translate(text_or_empty(col), "\t\n\x0b\x0c\r", " " * 5)
-    squeezed = F.trim(F.regexp_replace(t, " {2,}", " "))
-    gaps = F.char_length(squeezed) - F.char_length(F.translate(squeezed, " ", ""))
-    return F.when(F.char_length(squeezed) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
+    """Number of ``[^\\x20\\x09-\\x0D]+`` runs."""
+    return F.regexp_count(text_or_empty(col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def connected_components(links: DataFrame) -> DataFrame:
