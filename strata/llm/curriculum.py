@@ -76,8 +76,8 @@ def _position(share: Column, cls: Column, classes) -> Column:
 
 
 def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
-           whole_documents: bool = False) -> DataFrame:
-    """``docs`` with a struct column ``mix``: ``size, source_size, target, taken, positions``
+           whole_documents: bool = False, carry_text: bool = True) -> DataFrame:
+    """``docs`` (without its text if that need not be carried) with a struct column ``mix``: ``size, source_size, target, taken, positions``
     (training positions of the passes in which the document is taken, ascending).
 
     One document per source at most is cut, where the last pass reaches the target; with
@@ -85,9 +85,10 @@ def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
                          text_or_empty()).cast("binary"))
     keyed = docs.withColumns({"_mix_size": word_count(), "_mix_key": key})
-    sizes = stage(keyed.select(F.col("source").alias("source"), F.col("_mix_size").alias("size"),
-                               F.substring("_mix_key", 1, 3).alias("block"))
-                  .groupBy("source", "block").agg(F.sum("size").alias("size")), "mix-blocks")
+    keyed = stage(keyed if carry_text else keyed.drop("text"), "mix-sizes")
+    sizes = (keyed.select(F.col("source").alias("source"), F.col("_mix_size").alias("size"),
+                          F.substring("_mix_key", 1, 3).alias("block"))
+             .groupBy("source", "block").agg(F.sum("size").alias("size")))
     targets = source_targets(sizes, classes, max_epochs)
     up_to = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(up_to), F.lit(0)).cast("long"))
@@ -115,7 +116,8 @@ def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
     taken = due[0]
     for words in due[1:]:
         taken = taken + words
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(
+    carried = [c for c in docs.columns if carry_text or c != "text"]
+    return rows.select(*[F.col(f"`{c}`") for c in carried], F.struct(
         size.alias("size"), p("source_size").alias("source_size"), p("target").alias("target"),
         taken.alias("taken"), F.array_compact(F.array(*when)).alias("positions"),
         F.col("_mix_key").alias("key")).alias("mix"))
@@ -124,7 +126,7 @@ def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
 def assignments(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per document in order of its first training position, documents that the mix does
     not take last: ``doc_id, size, source_size, target, taken``."""
-    rows = assign(docs.select("doc_id", "source", "text"), classes, max_epochs).select("doc_id", "mix")
+    rows = assign(docs.select("doc_id", "source", "text"), classes, max_epochs, carry_text=False)
     return (rows.orderBy(F.get("mix.positions", F.lit(0)).asc_nulls_last(), "mix.key")
             .select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken"))
 
