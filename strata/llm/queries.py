@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, sharding, toxicity, warc
+from strata.llm import bpe, curriculum, exact_dedup, html_text, sharding, toxicity, warc
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -23,6 +23,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document by the model fitted on the labelled ones."""
