@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, html_text, sharding, toxicity, warc
+from strata.llm import bpe, curriculum, exact_dedup, html_text, pq_dedup, sharding, toxicity, warc
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -23,6 +23,34 @@ def query(sql: str | None = None):
     return register
 
 
+@query(r"""
+WITH RECURSIVE
+e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v,
+         embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+         AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+         AND len([x FOR x IN embedding IF x <> 0]) > 0 AS usable
+  FROM embeddings),
+u AS (SELECT vec_id, label, v FROM e WHERE usable),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+r(id, other) AS (
+  SELECT a, b FROM l
+  UNION
+  SELECT r.id, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT id, least(id, min(other)) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+       coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.id
+""")
+def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked embeddings of each label, their components and the vectors that stay."""
+    return pq_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
