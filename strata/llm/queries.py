@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, html_text, pq_dedup, sharding, toxicity, warc
+from strata.llm import bpe, curriculum, exact_dedup, hamming_dedup, html_text, pq_dedup, sharding, toxicity, warc
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -51,6 +51,45 @@ def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+@query(r"""
+WITH RECURSIVE
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 1 THEN [ws[1]]
+                                      ELSE [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+x AS (SELECT doc_id, list(g ORDER BY g) AS gs FROM s GROUP BY doc_id),
+f AS (SELECT gs, min(doc_id) AS rep FROM x GROUP BY gs),
+m AS (SELECT x.doc_id, f.rep FROM x JOIN f USING (gs)),
+k AS (
+  SELECT s.doc_id, s.g, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY q.c, s.g) AS r
+  FROM s JOIN n USING (doc_id) JOIN (SELECT g, count(*) AS c FROM s GROUP BY g) q USING (g)
+  WHERE s.doc_id IN (SELECT rep FROM f)),
+p AS (SELECT * FROM k WHERE r <= n - ceil(0.8 * n) + 1),
+c AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb
+  FROM p a JOIN p b ON a.g = b.g AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80),
+i AS (
+  SELECT c.a, c.b, c.na, c.nb, count(*) AS shared
+  FROM c JOIN s sa ON sa.doc_id = c.a JOIN s sb ON sb.doc_id = c.b AND sb.g = sa.g GROUP BY ALL),
+l AS (
+  SELECT a, b FROM i WHERE 100 * shared >= 80 * (na + nb - shared)
+  UNION ALL SELECT rep, doc_id FROM m WHERE rep <> doc_id),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t(id, other) AS (SELECT a, b FROM e UNION SELECT t.id, e.b FROM t JOIN e ON t.other = e.a),
+d AS (SELECT id, least(id, min(other)) AS component_id FROM t GROUP BY id)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(d.component_id, w.doc_id) AS component_id,
+       coalesce(d.component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN d ON d.id = w.doc_id
+""")
+def op3_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return hamming_dedup.link(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
