@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, hamming_dedup, html_text, pq_dedup, sharding, toxicity, warc
+from strata.llm import bpe, curriculum, exact_dedup, hamming_dedup, hpylm, html_text, pq_dedup, sharding, toxicity, warc
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -51,6 +51,12 @@ def op1_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the model learned from those that are not held out."""
+    return hpylm.score(table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH RECURSIVE
 w AS (
