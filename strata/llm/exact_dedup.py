@@ -12,7 +12,7 @@ the index as it is; further columns are ignored by the index and kept by :func:`
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import SPACES, stage, text_or_empty
@@ -92,7 +92,6 @@ def keep_first(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     mine = docs.withColumns({"_digest": F.unhex(F.sha2(plain.cast("binary"), 256)),
                              "_id": F.col("doc_id").cast("long")})
     kept = mine.join(keys, (mine._digest == keys._digest) & mine._id.eqNullSafe(keys._id), "left_semi")
-    from pyspark.sql import Window
     w = Window.partitionBy("_digest", "_id").orderBy(F.char_length(text_or_empty()).desc(),
                                                      F.col("text").asc_nulls_last())
     return (kept.withColumn("_n", F.row_number().over(w)).where("_n = 1")

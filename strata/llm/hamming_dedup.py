@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import connected_components, stage, text_or_empty
@@ -81,10 +81,11 @@ def _jaccard_reaches(a: bytes, b: bytes, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def link(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
-    """``docs(doc_id, text)`` → one row per document: ``doc_id, n_shingles, component_id, kept``.
-    Documents whose sets of ``size``-word shingles have a Jaccard similarity of at least
-    ``percent`` / 100 are linked; a component is named by its smallest id."""
+def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
+    """``docs(doc_id, text)`` → one row per document: ``doc_id, text_hash, n_shingles, component,
+    component_id``. Documents whose sets of ``size``-word shingles have a Jaccard similarity of at
+    least ``percent`` / 100 are linked; ``component`` numbers the components (null where there
+    are no shingles) and ``component_id`` is the smallest id in it."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
@@ -189,11 +190,34 @@ def link(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     named = classes.select("n", "h1", "h2", "id", "first_id").join(component, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     firsts = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    final = named.join(firsts, "component").select("n", "h1", "h2", "component_id")
-    found = small.where("n > 0").join(final, ["n", "h1", "h2"]).select("doc_id", "n", "component_id")
-    alone = small.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return found.union(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    final = named.join(firsts, "component").select("n", "h1", "h2", "component", "component_id")
+    found = small.where("n > 0").join(final, ["n", "h1", "h2"]).select(
+        "doc_id", "text_hash", "n", "component", "component_id")
+    alone = small.where("n = 0").select("doc_id", "text_hash", "n", F.lit(None).cast("long").alias("component"),
+                                        F.col("doc_id").alias("component_id"))
+    return found.union(alone).withColumnRenamed("n", "n_shingles")
+
+
+def link(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    return components(docs, size, percent).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay, with their own columns: those without shingles, and of each
+    component the one with the smallest id (the smallest hash of the text where ids repeat or
+    are missing). Of rows that repeat id and text one stays."""
+    found = components(docs, size, percent)
+    first = (found.where("component IS NOT NULL").groupBy("component")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("m"))
+             .select("m.doc_id", "m.text_hash"))
+    stay = first.union(found.where("component IS NULL").select("doc_id", "text_hash").distinct()).toDF("_id", "_hash")
+    keyed = docs.withColumns({"_hd_id": F.col("doc_id").cast("long"), "_hd_hash": F.xxhash64(text_or_empty())})
+    kept = keyed.join(stay, keyed["_hd_id"].eqNullSafe(F.col("_id")) & (keyed["_hd_hash"] == F.col("_hash")), "left_semi")
+    one = Window.partitionBy("_hd_id", "_hd_hash").orderBy("_hd_hash")
+    return (kept.withColumn("_hd_n", F.row_number().over(one)).where("_hd_n = 1")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def _labels(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -131,8 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     return OrdinalModel(dict(zip(names, weights.tolist())), thetas.tolist())
 
 
-def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """``docs`` with a struct ``toxicity``: ``severity`` (expected grade), ``p_toxic``, ``grade``
+def score(docs: DataFrame, model: OrdinalModel, name: str = "toxicity") -> DataFrame:
+    """``docs`` with a struct of that name: ``severity`` (expected grade), ``p_toxic``, ``grade``
     (the most probable one) and ``rejected``."""
     @F.pandas_udf("severity double, p_toxic double, grade int, rejected boolean")
     def rate(texts: pd.Series) -> pd.DataFrame:
@@ -141,4 +141,4 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
         return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0],
                              "grade": each.argmax(axis=1).astype("int32"),
                              "rejected": above[:, 0] >= REJECT_AT})
-    return docs.withColumn("toxicity", rate(text_or_empty()))
+    return docs.withColumn(name, rate(text_or_empty()))
