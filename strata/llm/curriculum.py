@@ -77,7 +77,7 @@ def _position(share: Column, cls: Column, classes) -> Column:
 
 def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
            whole_documents: bool = False, carry_text: bool = True) -> DataFrame:
-    """``docs`` (without its text if that need not be carried) with a struct column ``mix``: ``size, source_size, target, taken, positions``
+    """``docs`` (without its text if that need not be carried) with a struct column ``_mix``: ``size, source_size, target, taken, positions``
     (training positions of the passes in which the document is taken, ascending).
 
     One document per source at most is cut, where the last pass reaches the target; with
@@ -120,15 +120,15 @@ def assign(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS,
     return rows.select(*[F.col(f"`{c}`") for c in carried], F.struct(
         size.alias("size"), p("source_size").alias("source_size"), p("target").alias("target"),
         taken.alias("taken"), F.array_compact(F.array(*when)).alias("positions"),
-        F.col("_mix_key").alias("key")).alias("mix"))
+        F.col("_mix_key").alias("key")).alias("_mix"))
 
 
 def assignments(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per document in order of its first training position, documents that the mix does
     not take last: ``doc_id, size, source_size, target, taken``."""
     rows = assign(docs.select("doc_id", "source", "text"), classes, max_epochs, carry_text=False)
-    return (rows.orderBy(F.get("mix.positions", F.lit(0)).asc_nulls_last(), "mix.key")
-            .select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken"))
+    return (rows.orderBy(F.get("_mix.positions", F.lit(0)).asc_nulls_last(), "_mix.key")
+            .select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken"))
 
 
 def mixed(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -136,6 +136,6 @@ def mixed(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS) -> Dat
     of training position."""
     rows = assign(docs, classes, max_epochs, whole_documents=True)
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return (rows.select(*cols, F.col("mix.key").alias("_mix_key"),
-                        F.explode("mix.positions").alias("_mix_position"))
+    return (rows.select(*cols, F.col("_mix.key").alias("_mix_key"),
+                        F.explode("_mix.positions").alias("_mix_position"))
             .orderBy("_mix_position", "_mix_key").select(*cols))

@@ -87,14 +87,14 @@ def keep_first(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one per digest, with their own columns. Rows that repeat
     the id and text of the one that stays are dropped too (the smallest original text stays)."""
     plain = F.translate(text_or_empty(), SPACES, "")
-    keys = (decisions.where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    keys = (decisions.where("kept").select(F.col("doc_id").alias("_xd_id"), F.col("digest").alias("_xd_digest"))
             .distinct())
-    mine = docs.withColumns({"_digest": F.unhex(F.sha2(plain.cast("binary"), 256)),
-                             "_id": F.col("doc_id").cast("long")})
-    kept = mine.join(keys, (mine._digest == keys._digest) & mine._id.eqNullSafe(keys._id), "left_semi")
-    w = Window.partitionBy("_digest", "_id").orderBy(F.char_length(text_or_empty()).desc(),
+    mine = docs.withColumns({"_xd_digest": F.unhex(F.sha2(plain.cast("binary"), 256)),
+                             "_xd_id": F.col("doc_id").cast("long")})
+    kept = mine.join(keys, (mine._xd_digest == keys._xd_digest) & mine._xd_id.eqNullSafe(keys._xd_id), "left_semi")
+    w = Window.partitionBy("_xd_digest", "_xd_id").orderBy(F.char_length(text_or_empty()).desc(),
                                                      F.col("text").asc_nulls_last())
-    return (kept.withColumn("_n", F.row_number().over(w)).where("_n = 1")
+    return (kept.withColumn("_xd_n", F.row_number().over(w)).where("_xd_n = 1")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -195,13 +195,12 @@ def _ratios(blocks) -> dict[str, float]:
 def extract(page: str | None) -> str:
     """The article's blocks, joined by line breaks."""
     blocks = blocks_of(page or "")
+    blocks = [b for b in blocks if b[0].inside] or blocks  # a page that marks its article says where it is
     if not blocks:
         return ""
     ratios = _ratios(blocks)
     line = THRESHOLD * max(ratios.values())
     chosen = [b for b in blocks if ratios[b[0].path] >= line and ratios[b[0].path] > 0]
-    if any(b[0].inside for b in chosen):
-        chosen = [b for b in chosen if b[0].inside]
     total = 0.0
     for element, text, links in chosen:
         weight = (len(text) - links) * ratios[element.path]

@@ -235,7 +235,6 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-02-01T06:00:00
         for batch in batches:
             if system is None:
                 system, root = _file_system(f"{path}/archives")
-                system.create_dir(root)
             cols = [batch.column(c).to_pylist() for c in ("page_id", "url", "sha", "first_id", "is_first")]
             payloads = batch.column("payload")
             for i, (page_id, url, sha, first_id, is_first) in enumerate(zip(*cols)):
@@ -249,6 +248,8 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-02-01T06:00:00
         yield pa.RecordBatch.from_pylist(files, pa.schema([
             ("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
+    system, root = _file_system(f"{path}/archives")
+    system.create_dir(root)  # also where there is nothing to write
     manifest = marked.mapInArrow(write, "archive string, records bigint, bytes bigint")
     manifest.write.parquet(f"{path}/manifest")
     return pages.sparkSession.read.schema(manifest.schema).parquet(f"{path}/manifest")
