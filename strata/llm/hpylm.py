@@ -40,14 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import stage, text_or_empty
-from strata.llm.words import mix, word_numbers
+from strata.llm.words import in_slices, mix, word_numbers
 
 CONTEXTS = 4096
 START = CONTEXTS                      # the context of a text's first word
 END = np.uint64(0x5D1E0F7E5D1E0F7E)   # the number of the end token
 BURN_IN, SAMPLES = 2, 3
 STRENGTH = 1.0
-BLOCK_CHARS = 16 << 20                # characters of a block, and of a bucket on average
+BLOCK_CHARS = 8 << 20                 # characters of a block
+BUCKET_CHARS = 16 << 20               # and of a bucket, on average
 LEAST_BUCKETS = 48
 
 
@@ -67,8 +68,9 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(words, contexts, lengths)``: all tokens of the texts with their ends, the context
     restaurant of each, and the number of tokens of each text."""
-    numbers, bounds = word_numbers(texts)
-    lengths = np.diff(bounds) + 1
+    parts = [word_numbers(texts[a:b]) for a, b in in_slices(texts)]
+    numbers = np.concatenate([n for n, _ in parts])
+    lengths = np.concatenate([np.diff(bounds) for _, bounds in parts]) + 1
     last = np.cumsum(lengths) - 1
     words = np.empty(int(lengths.sum()), np.uint64)
     inner = np.ones(len(words), bool)
@@ -225,7 +227,7 @@ def score(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
                         text_or_empty().alias("text"))
     chars = texts.agg(F.sum(F.char_length("text") + 1)).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-chars // BLOCK_CHARS))
+    buckets = max(LEAST_BUCKETS, -(-chars // BUCKET_CHARS))
     hot = _hot_words(texts, buckets)
 
     def cut(batches):
