@@ -75,12 +75,6 @@ def signature_keys(signature: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _jaccard_reaches(a: bytes, b: bytes, percent: int) -> bool:
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
-
-
 def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """``docs(doc_id, text)`` → one row per document: ``doc_id, text_hash, n_shingles, component,
     component_id``. Documents whose sets of ``size``-word shingles have a Jaccard similarity of at
@@ -128,10 +122,10 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     def to_sets(batches):
         for pdf in batches:
             yield pd.DataFrame({"hash": pdf["text_hash"],
-                                "shingles": [s.tobytes() for s in shingle_sets(pdf["text"].tolist(), size)]})
+                                "shingles": [s.view(np.int64) for s in shingle_sets(pdf["text"].tolist(), size)]})
 
     one_each = texts.groupBy("text_hash").agg(F.min("text").alias("text"))
-    sets = one_each.mapInPandas(to_sets, "hash long, shingles binary")
+    sets = one_each.mapInPandas(to_sets, "hash long, shingles array<long>")
     sets = stage(wanted.join(sets, wanted.text_hash == F.col("hash")).select(
         "id", "n", "signature", "shingles"), "hd-sets")
 
@@ -147,18 +141,15 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
             u, v = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1) for s in (x, y))
             return pd.Series((u != v).sum(axis=1) <= limit)
 
-        @F.pandas_udf("boolean")
-        def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-            return pd.Series([_jaccard_reaches(p, q, percent) for p, q in zip(x, y)], dtype=bool)
-
         brief = sets.select("id", "n", "signature")
         left = brief.toDF("a", "n_a", "s_a")
         right = brief.toDF("b", "n_b", "s_b")
         fit = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
         likely = pairs.join(left, "a").join(right, "b").where(fit).where(close("s_a", "s_b")).select("a", "b")
         full = sets.select("id", "shingles")
+        both = F.size(F.array_intersect("x", "y"))  # whole sets, compared where the rows are
         return stage(likely.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
-                     .where(similar("x", "y")).select("a", "b"), "hd-links")
+                     .where(both * 100 >= (F.size("x") + F.size("y") - both) * percent).select("a", "b"), "hd-links")
 
     # 1. Each class against the bucket representative it shares most keys with.
     star = stage(shared.select("id", F.explode(F.array("lo", "hi")).alias("rep")).where("id != rep")
