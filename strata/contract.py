@@ -32,9 +32,6 @@ SURVIVOR_ORDER = (("created_at", "desc"), ("amount", "desc"))
 REQUIRED_NOT_NULL = ("id", "source_system")
 NON_NEGATIVE_COLUMN = "amount"
 
-# Bronze metadata columns, in the order they are attached.
-METADATA_COLUMNS = ("pipeline_run_id", "ingested_at", "source_system", "year", "month", "day")
-
 # ---------------------------------------------------------------------------------------------
 # Quality thresholds per environment and layer.
 # ---------------------------------------------------------------------------------------------
@@ -73,18 +70,14 @@ LAYER_PROFILES = {
 # Source registry (what lands where, in which format, under which label).
 # ---------------------------------------------------------------------------------------------
 SOURCE_REGISTRY = (
-    {"id": "sftp_crm", "type": "sftp", "enabled": True, "format": "csv",
-     "file_pattern": "crm_events_*.csv", "landing_subdir": "sftp/crm",
-     "source_system_label": "crm"},
-    {"id": "api_events", "type": "rest_api", "enabled": True, "format": "json_pages",
-     "page_size": 500, "max_pages": 200, "landing_subdir": "api/events",
-     "source_system_label": "events_api"},
-    {"id": "db_transactions", "type": "jdbc", "enabled": True, "format": "parquet",
-     "table": "transactions", "date_column": "created_at", "landing_subdir": "db/transactions",
-     "source_system_label": "ops_db"},
+    {"id": "sftp_crm", "enabled": True, "format": "csv", "file_pattern": "crm_events_*.csv",
+     "landing_subdir": "sftp/crm", "source_system_label": "crm"},
+    {"id": "api_events", "enabled": True, "format": "json_pages", "page_size": 500,
+     "landing_subdir": "api/events", "source_system_label": "events_api"},
+    {"id": "db_transactions", "enabled": True, "format": "parquet",
+     "landing_subdir": "db/transactions", "source_system_label": "ops_db"},
 )
 
-API_PAGE_SIZE = 500
 JDBC_FETCH_SIZE = 10000
 
 # ---------------------------------------------------------------------------------------------
@@ -192,8 +185,6 @@ QUALITY_SCHEMA = T.StructType([
     T.StructField("observed", T.DoubleType()),
 ])
 
-AUDIT_STAMP_COLUMNS = ("checked_at", "pipeline_run_id", "layer", "execution_date", "written_at")
-
 AUDIT_SCHEMA = T.StructType(QUALITY_SCHEMA.fields + [
     T.StructField("checked_at", T.StringType()),
     T.StructField("pipeline_run_id", T.StringType()),
@@ -201,8 +192,3 @@ AUDIT_SCHEMA = T.StructType(QUALITY_SCHEMA.fields + [
     T.StructField("written_at", T.StringType()),
     T.StructField("layer", T.StringType()),
 ])
-
-DIM_SCHEMA = T.StructType([
-    T.StructField("source_system", T.StringType()),
-    T.StructField("source_label", T.StringType()),
-])

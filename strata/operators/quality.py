@@ -108,10 +108,13 @@ def _fmt_bound(v, default: str) -> str:
 # Schema validation (metadata only)
 # ---------------------------------------------------------------------------------------------
 
-def schema_checks(schema: T.StructType, expected: T.StructType) -> list[Check]:
+def schema_checks(schema: T.StructType, expected: T.StructType,
+                  count_values: bool = False) -> list[Check]:
     """Per expected field: present? exact type? Names compare case-insensitively, nullability
-    is ignored."""
+    is ignored. ``count_values`` observes how many rows hold a value of a present field, in the
+    same aggregation as the other checks of the frame."""
     actual = {f.name.lower(): f.dataType for f in schema.fields}
+    spelled = {f.name.lower(): f.name for f in schema.fields}
     out = []
     for f in expected.fields:
         n, want = f.name.lower(), f.dataType.typeName()
@@ -124,7 +127,12 @@ def schema_checks(schema: T.StructType, expected: T.StructType) -> list[Check]:
             kind, ok, actual_text = "schema_ok", True, want
         name = _name(kind, column=n)
         msg = _text(MESSAGES[kind], column=n, actual=actual_text, expected=want)
-        out.append(Check(name, row=_result(name, ok, actual_text, want, msg)))
+        if count_values and got is not None:
+            alias = f"__nn_{_safe(spelled[n])}"
+            out.append(Check(name, aggs={alias: F.count(_col(spelled[n]))},
+                             row=_result(name, ok, actual_text, want, msg, F.col(alias))))
+        else:
+            out.append(Check(name, row=_result(name, ok, actual_text, want, msg)))
     return out
 
 
@@ -197,6 +205,18 @@ def empty_date_row_counts(spark, dates: Iterable, min_rows: int, label: str) ->
         f"{f.name} {f.dataType.simpleString()}" for f in QUALITY_SCHEMA.fields))
 
 
+def empty_date_partitions(spark, dates: Iterable, base_path: str) -> DataFrame:
+    """Failed ``partition_exists.<date>`` rows for dates of a range that have no rows at all."""
+    rows = []
+    for d in dates:
+        spec = f"year={d.year}/month={d.month}/day={d.day}"
+        path = f"{base_path.rstrip('/')}/{spec}"
+        rows.append((d.year, d.month, d.day, CHECK_NAMES["partition_exists"].format(date=d.isoformat()), False,
+                     TEXTS["missing"], spec, MESSAGES["partition_bad"].format(path=path), 0.0))
+    return spark.createDataFrame(rows, "year int, month int, day int, " + ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in QUALITY_SCHEMA.fields))
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: NULL count per column (0, not NULL, on an empty frame), plus the row count."""
     return df.agg(F.count(F.lit(1)).alias("row_count"),

@@ -98,23 +98,16 @@ def not_null_rules(df: DataFrame, required: Sequence[str] = REQUIRED_NOT_NULL) -
     return business_rules(df, required, non_negative=None)
 
 
-# Largest dimension we are willing to ship to every executor.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
-
-
 def enrich_with_dimension(df: DataFrame, dim: DataFrame, key: str = "source_system",
-                          dim_key: str | None = None, columns: Sequence[str] = ("source_label",),
-                          broadcast_max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+                          dim_key: str | None = None, columns: Sequence[str] = ("source_label",)
+                          ) -> DataFrame:
     """Left outer equi-join to a dimension on ``key``; adds ``columns``, drops the dim key.
 
-    The dimension is pruned to key + wanted columns, its key renamed so it cannot clash. It is
-    broadcast only after a bounded count proves it small (``limit(n + 1).count()``); above the
-    bound the join is left to the planner (sort-merge, AQE skew-join splits a hot key).
+    The dimension is pruned to key + wanted columns, its key renamed so it cannot clash. Whether
+    it is broadcast is the planner's choice by its size in bytes, also at run time (AQE); beyond
+    ``spark.sql.autoBroadcastJoinThreshold`` it is a sort-merge join whose hot keys AQE splits.
     Unmatched rows keep NULL labels; a repeated dimension key fans rows out, as in SQL.
     """
     dk = dim_key or key
     side = dim.select(col_ref(dk).alias("__dim_key"), *[col_ref(c) for c in columns])
-    small = side.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows
-    if small:
-        side = F.broadcast(side)
     return df.join(side, col_ref(key) == side["__dim_key"], "left").drop("__dim_key")

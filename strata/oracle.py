@@ -57,6 +57,7 @@ def _kpi_cols(round_: bool = True) -> str:
     return ("count(*) AS record_count, count(DISTINCT id) AS unique_entities, "
             "round(sum(amount), 2) AS total_value, "
             "round(sum(amount), 2) / count(*) AS avg_value, "
+            "abs(avg(amount) - round(sum(amount), 2) / count(*)) <= 1e-6 AS avg_value_agrees, "
             "CAST(sum(CASE WHEN is_active = true THEN 1 ELSE 0 END) AS DOUBLE) / "
             "CAST(count(*) AS DOUBLE) AS active_rate")
 
@@ -64,6 +65,7 @@ def _kpi_cols(round_: bool = True) -> str:
 def _daily_cols() -> str:
     return ("count(*) AS total_records, count(DISTINCT id) AS distinct_ids, "
             "round(sum(amount), 2) AS total_amount, round(sum(amount), 2) / count(*) AS avg_amount, "
+            "abs(avg(amount) - round(sum(amount), 2) / count(*)) <= 1e-6 AS avg_amount_agrees, "
             f"max(amount) AS max_amount, min(amount) AS min_amount, '{NOW}' AS computed_at")
 
 
@@ -173,7 +175,7 @@ def suite_rows(layer: str, src: str) -> list[str]:
 
 
 def profile_rows(layer: str, src: str, base: str, group: str = "year, month, day",
-                 prefix: str = "year, month, day, ") -> list[str]:
+                 prefix: str = "year, month, day, ", baseline: str | None = None) -> list[str]:
     from strata.contract import LAYER_PROFILES
     p = LAYER_PROFILES[layer]
     part = f"{_q('year=')} || year || '/month=' || month || '/day=' || day"
@@ -181,7 +183,8 @@ def profile_rows(layer: str, src: str, base: str, group: str = "year, month, day
     return ([row_count_rows(src, layer, p["min_rows"], prefix=prefix, group=group)]
             + null_rate_rows(src, p["columns"], p["max_null_rate"], prefix=prefix, group=group)
             + [f"SELECT {prefix}'schema_drift.{layer}' AS check_name, true AS passed, "
-               f"CAST(NULL AS DOUBLE) AS observed, 'baseline written' AS expected "
+               f"CAST({'NULL' if baseline is None else '0'} AS DOUBLE) AS observed, "
+               f"{_q('baseline written' if baseline is None else baseline)} AS expected "
                f"FROM {src} GROUP BY {group}",
                f"SELECT {prefix}'partition_exists.' || {date} AS check_name, count(*) > 0 AS "
                f"passed, CAST(count(*) AS DOUBLE) AS observed, {part} AS expected "
@@ -231,8 +234,14 @@ ORACLE["null_counts"] = _with(
         ("id", "amount", "event_date", "created_at", "is_active", "source_system"))
     + " FROM typed")
 
-ORACLE["dq_schema"] = """
-SELECT * FROM (VALUES
+ORACLE["dq_schema"] = _with("""
+SELECT t.*, CAST(CASE replace(replace(check_name, 'schema.field_ok.', ''), 'schema.field_type.', '')
+    WHEN 'id' THEN n_id WHEN 'amount' THEN n_amount WHEN 'event_date' THEN n_event_date
+    WHEN 'created_at' THEN n_created_at WHEN 'is_active' THEN n_is_active
+    WHEN 'source_system' THEN n_source_system WHEN 'year' THEN n_year END AS DOUBLE) AS observed
+FROM (SELECT count(id) AS n_id, count(amount) AS n_amount, count(event_date) AS n_event_date,
+        count(created_at) AS n_created_at, count(is_active) AS n_is_active,
+        count(source_system) AS n_source_system, count(year) AS n_year FROM silver) n, (VALUES
   ('schema.field_ok.id', true, 'long', 'long', 'Column ''id'' OK'),
   ('schema.field_ok.amount', true, 'double', 'double', 'Column ''amount'' OK'),
   ('schema.field_ok.event_date', true, 'date', 'date', 'Column ''event_date'' OK'),
@@ -243,7 +252,7 @@ SELECT * FROM (VALUES
    'Required column ''source_label'' is absent from the DataFrame'),
   ('schema.field_type.year', false, 'integer', 'long',
    'Column ''year'' has type ''integer'', expected ''long''')
-) AS t(check_name, passed, actual, expected, message)"""
+) AS t(check_name, passed, actual, expected, message)""")
 
 ORACLE["dq_null_rate"] = _with(union(null_rate_rows(
     "ded", ["id", "event_date", "source_system", "amount", "is_active"], 0.05)))
@@ -273,8 +282,12 @@ ORACLE["dq_row_count"] = _with(union([_rc_full("silver", 1), _rc_full("silver_bo
 _typed_cols = sorted(["k", "id", "amount", "event_date", "created_at", "is_active",
                       "source_system", "year", "month", "day"])
 _enriched_cols = sorted([c for c in _typed_cols if c != "k"] + ["source_label"])
-ORACLE["dq_schema_drift"] = (
-    "SELECT * FROM (VALUES "
+ORACLE["dq_schema_drift"] = _with(
+    " UNION ALL ".join(
+        f"SELECT {run} AS run, check_name, passed, actual, expected, message FROM "
+        f"({_rc_full('silver', 1).replace('FROM silver', 'FROM ' + src)}) r{run}"
+        for run, src in ((1, "typed"), (2, "silver")))
+    + " UNION ALL SELECT * FROM (VALUES "
     f"(1, 'schema_drift.silver', true, {_q(str(_typed_cols))}, 'baseline written', "
     "'Schema reference created; no drift check this run'), "
     f"(2, 'schema_drift.silver', false, {_q(str(_enriched_cols))}, {_q(str(_typed_cols))}, "
@@ -312,13 +325,17 @@ ORACLE["exp_suite_bronze"] = _with(union(suite_rows("bronze", "bronze")))
 ORACLE["exp_suite_silver"] = _with(union(suite_rows("silver", "silver")))
 ORACLE["exp_suite_gold"] = _with(union(suite_rows("gold", "daily")))
 
-ORACLE["dq_profile_bronze"] = _with(union(profile_rows("bronze", "bronze", "/bronze")))
-ORACLE["dq_profile_silver"] = _with(union(profile_rows("silver", "silver", "/silver")))
+ORACLE["dq_profile_bronze"] = _with(union(profile_rows(
+    "bronze", "bronze", "/bronze", baseline=str(sorted([*_typed_cols, "pipeline_run_id", "ingested_at"])))))
+ORACLE["dq_profile_silver"] = _with(union(profile_rows(
+    "silver", "silver", "/silver", baseline=str(_typed_cols))))
 ORACLE["dq_profile_gold"] = _with(
     ", kpi AS (SELECT source_system, year, month, day, count(*) AS record_count, "
     "strftime(make_date(year, month, day), '%Y-%m-%d') AS execution_date FROM silver "
     "GROUP BY source_system, year, month, day) "
-    + union(profile_rows("gold", "kpi", "/gold/kpi_summary")))
+    + union(profile_rows("gold", "kpi", "/gold/kpi_summary", baseline=str(sorted(
+        ["source_system", "year", "month", "day", "record_count", "unique_entities", "total_value",
+         "avg_value", "active_rate", "execution_date", "computed_at"])))))
 
 
 def _env_rows() -> list[str]:
@@ -360,7 +377,7 @@ ORACLE["partition_scan"] = _with(f"SELECT * FROM bronze WHERE {DATE_PRED}")
 ORACLE["api_page_counts"] = _with(
     "SELECT make_date(year, month, day) AS landing_date, page, count(*) AS record_count FROM "
     "(SELECT year, month, day, CAST(floor((row_number() OVER (PARTITION BY year, month, day "
-    "ORDER BY k) - 1) / 500) + 1 AS INT) AS page FROM raw WHERE source_system = 'events_api') p "
+    "ORDER BY k) - 1) / 50) + 1 AS INT) AS page FROM raw WHERE source_system = 'events_api') p "
     "GROUP BY year, month, day, page")
 ORACLE["multi_source_bronze"] = _with(
     'SELECT source_system, year, month, day, count(*) AS "rows", count(id) AS ids, '
@@ -473,16 +490,40 @@ ORACLE["audit_ndjson"] = _with(_ndjson_rows())
 def _presence() -> str:
     from strata.contract import SOURCE_REGISTRY
     parts = []
+    files = {"crm": "1", "events_api": "CAST(ceil(count(*) / 50.0) AS BIGINT)", "ops_db": "1"}
     for src in SOURCE_REGISTRY:
         label = src["source_system_label"]
         cond = ("source_system IS NULL OR source_system NOT IN ('crm', 'events_api')"
                 if label == "ops_db" else f"source_system = '{label}'")
-        parts.append(f"SELECT '{src['id']}' AS source_id, count(*) > 0 AS present FROM raw "
+        parts.append(f"SELECT '{src['id']}' AS source_id, count(*) > 0 AS present, {files[label]} AS files, "
+                     f"count(*) > 0 AS has_bytes FROM raw "
                      f"WHERE {DATE_PRED} AND ({cond})")
     return union(parts)
 
 
 ORACLE["landing_presence"] = _with(_presence())
+ORACLE["landing_pattern"] = _with(
+    "SELECT CASE source_system WHEN 'crm' THEN 'sftp_crm' WHEN 'events_api' THEN 'api_events' "
+    "ELSE 'db_transactions' END AS source_id, count(*) AS \"rows\", count(id) AS ids, "
+    f"count(DISTINCT k) AS keys, 7 AS columns FROM bronze WHERE {DATE_PRED} GROUP BY source_system")
+ORACLE["backfill_uneven"] = _with(
+    'SELECT year, month, day, count(*) AS "rows", count(DISTINCT id) AS ids, '
+    "count(CASE WHEN day > 15 THEN 1 END) AS notes, round(sum(amount), 2) AS total_amount "
+    "FROM bsilver WHERE source_system = 'ops_db' GROUP BY year, month, day")
+ORACLE["gate_failures"] = _with(
+    "SELECT * FROM (" + union(null_rate_rows("ded", ["id", "event_date", "source_system"], 0.01)
+                              + [row_count_rows("ded", "silver", 1000)]) + ") r WHERE NOT passed")
+ORACLE["profile_failures"] = _with(f"""
+SELECT year, month, day, 'schema_drift.silver' AS check_name, false AS passed, 2.0::DOUBLE AS observed,
+  {_q(str(sorted([*(c for c in _typed_cols if c != 'k'), 'legacy'])))} AS expected
+FROM silver GROUP BY year, month, day
+UNION ALL
+SELECT CAST(year(c.d) AS INT), CAST(month(c.d) AS INT), CAST(day(c.d) AS INT),
+  'partition_exists.' || strftime(c.d, '%Y-%m-%d'), false, 0.0::DOUBLE,
+  'year=' || year(c.d) || '/month=' || month(c.d) || '/day=' || day(c.d)
+FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-01',
+      INTERVAL 1 DAY) t(g)) c
+WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = year(c.d) AND s.month = month(c.d) AND s.day = day(c.d))""")
 ORACLE["db_extract"] = ORACLE["jdbc_date_slice"]
 ORACLE["orders_daily"] = f"""
 WITH o AS (

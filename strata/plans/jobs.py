@@ -22,6 +22,7 @@ from strata.functions.dates import date_parts, date_range
 from strata.operators import gold, quality, silver
 from strata.operators.bronze import attach_metadata
 from strata.sinks import writers
+from strata.sinks.writers import stage
 from strata.sources import readers
 
 
@@ -50,12 +51,6 @@ class Paths:
                    f"{r}/quality_audit", f"{r}/metrics", f"{r}/schema_baselines")
 
 
-def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and return the re-read Parquet frame.
-    Job stages are named ``<run_id>/<step>`` so a finished run's scratch sits in one folder."""
-    return writers.stage(df, name, partitioned)
-
-
 def audit_and_gate(results: DataFrame, paths: Paths, run_id: str, layer: str,
                    execution_date: str | None, now: str, enforce: bool = True) -> DataFrame:
     """Evaluate the checks once, append the rows to the audit, then gate on them — the audit is
@@ -101,7 +96,8 @@ def land_to_bronze_frame(spark: SparkSession, paths: Paths, execution_date: str,
 
 def land_range_to_bronze_frame(spark: SparkSession, landing_root: str, start: str, end: str,
                                run_id: str, ingested_at: str,
-                               registry: Sequence[dict] = SOURCE_REGISTRY) -> DataFrame:
+                               registry: Sequence[dict] = SOURCE_REGISTRY,
+                               keep_source_column: bool = False) -> DataFrame:
     """Every enabled source's files for [start, end] from a Hive-style landing zone, stamped
     with run metadata and the landing date of each file, unioned (one read per source)."""
     frames = []
@@ -109,22 +105,30 @@ def land_range_to_bronze_frame(spark: SparkSession, landing_root: str, start: st
         if not src.get("enabled", True):
             continue
         df = readers.read_source_range(spark, landing_root, src, start, end)
-        frames.append(attach_metadata(df, run_id, src["source_system_label"],
-                                      F.col("landing_date"), ingested_at).drop("landing_date"))
+        if df is None:
+            continue
+        frames.append(attach_metadata(df, run_id, src["source_system_label"], F.col("landing_date"),
+                                      ingested_at, keep_source_column).drop("landing_date"))
+    if not frames:
+        raise ValueError(f"No landed files from {start} to {end}")
     return readers.union_sources(frames)
 
 
 def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
                      now: str, env: str = "dev", enforce: bool = True,
-                     registry: Sequence[dict] = SOURCE_REGISTRY) -> DataFrame:
+                     registry: Sequence[dict] = SOURCE_REGISTRY,
+                     keep_source_column: bool = False) -> DataFrame:
     """Bronze for a whole date range in one pass (Hive-style landing zone)."""
-    bronze = land_range_to_bronze_frame(spark, paths.landing, start, end, run_id, now, registry)
-    staged = stage(bronze, f"{run_id}/bronze-range", partitioned=True)
+    bronze = land_range_to_bronze_frame(spark, paths.landing, start, end, run_id, now, registry,
+                                        keep_source_column)
+    at = writers.stage_path(spark, f"{run_id}/bronze-range")
+    staged = stage(bronze, "bronze-range", partitioned=True, path=at)
     checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
     audit_and_gate(quality.evaluate(staged, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
                    "bronze", None, now, enforce)
-    writers.publish_range(staged, paths.bronze, start, end, writers.file_dates(staged))
+    writers.publish_range(staged, paths.bronze, start, end, writers.table_dates(spark, at, start, end))
+    writers.discard(spark, at)
     return readers.read_range(spark, paths.bronze, start, end)
 
 
@@ -147,17 +151,18 @@ def bronze_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: s
 
 def _bronze_publish(spark: SparkSession, bronze: DataFrame, paths: Paths, execution_date: str,
                     run_id: str, now: str, env: str) -> DataFrame:
-    """Bronze is raw and immutable, and its gate only covers the run-stamp columns, so the
-    date is published first (one write of the largest layer, no staging copy), then checked
-    from the published files — reading just the gate columns — audited and gated."""
-    writers.publish_partition(bronze, paths.bronze, execution_date)
-    published = readers.read_partition(spark, paths.bronze, execution_date)
-    gate_cols = [c for c in GATE_COLUMNS["bronze"] if c in published.columns]
-    checks = quality.null_rate(GATE_COLUMNS["bronze"], published.columns,
+    """Stage the date, check the staged files (reading just the gate columns), audit, gate,
+    publish."""
+    at = writers.stage_path(spark, f"{run_id}/bronze")
+    staged = stage(bronze, "bronze", path=at)
+    gate_cols = [c for c in GATE_COLUMNS["bronze"] if c in staged.columns]
+    checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
-    audit_and_gate(quality.evaluate(published.select(*gate_cols), checks), paths, run_id,
+    audit_and_gate(quality.evaluate(staged.select(*gate_cols), checks), paths, run_id,
                    "bronze", execution_date, now)
-    return published
+    writers.publish_partition(staged, paths.bronze, execution_date)
+    writers.discard(spark, at)
+    return readers.read_partition(spark, paths.bronze, execution_date)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -179,10 +184,12 @@ def silver_checks(columns: Sequence[str], env: str) -> list[quality.Check]:
 def silver_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str, now: str,
                env: str = "dev", dim: DataFrame | None = None) -> DataFrame:
     bronze = readers.read_partition(spark, paths.bronze, execution_date)
-    staged = stage(silver_frame(bronze, dim), f"{run_id}/silver")
+    at = writers.stage_path(spark, f"{run_id}/silver")
+    staged = stage(silver_frame(bronze, dim), "silver", path=at)
     audit_and_gate(quality.evaluate(staged, silver_checks(staged.columns, env)), paths, run_id,
                    "silver", execution_date, now)
     writers.publish_partition(staged, paths.silver, execution_date)
+    writers.discard(spark, at)
     return readers.read_partition(spark, paths.silver, execution_date)
 
 
@@ -199,7 +206,8 @@ def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str
     """Daily summary and KPIs for one date; KPI rows also go to the metrics log."""
     s = readers.read_partition(spark, paths.silver, execution_date)
     # One slice = one date: daily and KPI groups coincide, so one aggregation feeds both.
-    summaries = stage(gold.compute_summaries(s), f"{run_id}/gold-summaries")
+    at = writers.stage_path(spark, f"{run_id}/gold-summaries")
+    summaries = stage(gold.compute_summaries(s), "gold-summaries", path=at)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, execution_date, now)
     # Daily and KPI tables are projections of the same aggregate: one pass checks both.
@@ -211,6 +219,7 @@ def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str
                               execution_date)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
+    writers.discard(spark, at)
     return (readers.read_partition(spark, paths.daily, execution_date),
             readers.read_partition(spark, paths.kpi, execution_date))
 
@@ -228,12 +237,7 @@ def medallion_run(spark: SparkSession, paths: Paths, execution_date: str, run_id
 # Backfill: one Spark job per layer over a whole date range
 # ---------------------------------------------------------------------------------------------
 
-def _staged_dates(staged: DataFrame) -> set[tuple[int, int, int]]:
-    return writers.file_dates(staged)
-
-
-def _empty_dates(staged: DataFrame, start: str, end: str) -> list:
-    have = _staged_dates(staged)
+def _empty_dates(have: set[tuple[int, int, int]], start: str, end: str) -> list:
     return [d for d in date_range(start, end) if (d.year, d.month, d.day) not in have]
 
 
@@ -255,15 +259,18 @@ def silver_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run
     """Silver for every date of the range in one job (date in the dedup key)."""
     by = list(PARTITION_COLUMNS)
     bronze = readers.read_range(spark, paths.bronze, start, end)
-    s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), f"{run_id}/silver-range",
-              partitioned=True)
+    at = writers.stage_path(spark, f"{run_id}/silver-range")
+    s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), "silver-range", partitioned=True,
+              path=at)
+    dates = writers.table_dates(spark, at, start, end)
     t = THRESHOLDS[env]["silver"]
     checks = (quality.null_rate(GATE_COLUMNS["silver"], s.columns, t["max_null_rate"])
               + [quality.row_count(t["min_rows"], label="silver")])
     results = quality.evaluate(s, checks, by=by).unionByName(quality.empty_date_row_counts(
-        spark, _empty_dates(s, start, end), t["min_rows"], "silver"))
+        spark, _empty_dates(dates, start, end), t["min_rows"], "silver"))
     audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
-    writers.publish_range(s, paths.silver, start, end, _staged_dates(s))
+    writers.publish_range(s, paths.silver, start, end, dates)
+    writers.discard(spark, at)
 
 
 def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
@@ -273,22 +280,23 @@ def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_i
     aggregation, staged once, both tables published from it."""
     by = list(PARTITION_COLUMNS)
     silver_rng = readers.read_range(spark, paths.silver, start, end)
-    summaries = stage(gold.compute_summaries(silver_rng), f"{run_id}/summaries-range",
-                      partitioned=True)
+    at = writers.stage_path(spark, f"{run_id}/summaries-range")
+    summaries = stage(gold.compute_summaries(silver_rng), "summaries-range", partitioned=True, path=at)
+    dates = writers.table_dates(spark, at, start, end)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, None, now, keep_date=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
-    empty = _empty_dates(summaries, start, end)
+    empty = _empty_dates(dates, start, end)
     results = quality.evaluate(summaries, [quality.row_count(g, label="gold_daily"),
                                            quality.row_count(g, label="gold_kpis")], by=by) \
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_daily")) \
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
-    dates = _staged_dates(summaries)
     writers.publish_range(daily, paths.daily, start, end, dates)
     writers.publish_range(kpis, paths.kpi, start, end, dates)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
+    writers.discard(spark, at)
     return (readers.read_range(spark, paths.daily, start, end),
             readers.read_range(spark, paths.kpi, start, end))
 
@@ -322,23 +330,32 @@ def profile_for(spark: SparkSession, layer: str, df: DataFrame, execution_date:
     return checks
 
 
-def run_suite(df: DataFrame, layer: str, suite: Sequence[dict] | None = None) -> DataFrame:
-    return quality.evaluate(df, quality.compile_suite(SUITES[layer] if suite is None else suite,
+def suite_for(layer: str, max_rows: int | None = None) -> list[dict]:
+    """The layer's expectations, with another upper bound on its rows if ``max_rows`` is given."""
+    return [{**e, "kwargs": {**e["kwargs"], "max_value": max_rows}}
+            if max_rows is not None and e["expectation_type"] == "expect_table_row_count_to_be_between"
+            else e for e in SUITES[layer]]
+
+
+def run_suite(df: DataFrame, layer: str, suite: Sequence[dict] | None = None,
+              max_rows: int | None = None) -> DataFrame:
+    return quality.evaluate(df, quality.compile_suite(suite_for(layer, max_rows) if suite is None else suite,
                                                       df.columns))
 
 
 def quality_stage(spark: SparkSession, paths: Paths, execution_date: str, run_id: str,
-                  now: str, enforce: bool = False) -> DataFrame:
+                  now: str, enforce: bool = True, env: str | None = None) -> DataFrame:
     """Silver suite + profile, then Gold suite (daily summary) and profile (KPI summary). The
     suite and the profile of a table are compiled into one check list, so every table is
     scanned by one aggregation (plus the uniqueness aggregation of the Silver suite). All
-    results are appended as NDJSON audit rows before any gate."""
+    results are appended as NDJSON audit rows before any gate. ``env`` takes the thresholds of
+    that environment instead of the fixed profiles."""
     silver_df = readers.read_partition(spark, paths.silver, execution_date)
     daily = readers.read_partition(spark, paths.daily, execution_date)
     kpis = readers.read_partition(spark, paths.kpi, execution_date)
 
     def profile(layer: str, df: DataFrame, base_path: str) -> list[quality.Check]:
-        return profile_for(spark, layer, df, execution_date, base_path, paths.baselines)
+        return profile_for(spark, layer, df, execution_date, base_path, paths.baselines, env)
 
     parts = [
         ("silver", quality.evaluate(silver_df, quality.compile_suite(

@@ -1,13 +1,14 @@
 """Session helpers: a local session for tests/bench and the shared scratch folder.
 
 Scratch space (staged layers, landing simulations, write round trips) always lives under the
-folder the cluster names in ``spark.checkpoint.dir``; it is read from the session and only set
-here when it is missing (local tests). Machine-local temp folders are never used on a cluster.
+folder the cluster names in ``spark.checkpoint.dir``; it is read from the session. Only a local
+session without that setting gets a temp folder of its own; on a cluster its lack is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -74,11 +75,15 @@ def now_iso() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set to a fresh temp dir only if unset."""
+    """The shared checkpoint folder of the session. A local session without one gets a fresh temp
+    dir; elsewhere executors would each write to their own disk, so it must be configured."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set(CHECKPOINT_CONF, root)

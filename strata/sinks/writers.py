@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,30 +39,27 @@ def publish_partition(df: DataFrame, root: str, execution_date: str) -> str:
     return path
 
 
-_PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/")
+_PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/?$")
 
 
-def file_dates(df: DataFrame) -> set[tuple[int, int, int]]:
-    """Dates of a partitioned Parquet frame read from its file listing (metadata, no job)."""
-    return file_dates_of(df.inputFiles())
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a staged copy."""
+    from strata.session import scratch_path
+    return scratch_path(spark, f"stage-{name}")
 
 
-def file_dates_of(files) -> set[tuple[int, int, int]]:
-    out = set()
-    for f in files:
-        m = _PART_DIR.search(f)
-        if m:
-            out.add((int(m.group(1)), int(m.group(2)), int(m.group(3))))
-    return out
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy that was published."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage(df: DataFrame, name: str, partitioned: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder (``spark.checkpoint.dir``) and return the
-    re-read Parquet frame: cuts lineage so later actions — and a lost executor — start from
-    files, not from the full upstream plan."""
-    from strata.session import scratch_path
+def stage(df: DataFrame, name: str, partitioned: bool = False, path: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder (``spark.checkpoint.dir``; at ``path`` if
+    given) and return the re-read Parquet frame: cuts lineage so later actions — and a lost
+    executor — start from files, not from the full upstream plan."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"stage-{name}")
+    path = path or stage_path(spark, name)
     if partitioned:
         # One shuffle by date: AQE splits a huge date and merges small ones, so every staged
         # (and later published) file holds one date at about the advisory size instead of
@@ -80,14 +78,20 @@ def publish_range(df: DataFrame, root: str, start: str, end: str,
     """Replace every date partition of [start, end] with the rows of ``df`` for that date.
 
     ``dates`` (dates present in ``df``) is passed by callers that publish a staged table.
-    Otherwise the range is staged first, so the upstream plan runs exactly once and the dates
-    come from the staged file listing.
+    Otherwise the frame is staged first, so the upstream plan runs exactly once and the dates
+    come from the staged folders. Rows of other dates are not published; rows without a date
+    belong to no partition and are an error.
     """
     from strata.functions.dates import partition_range_predicate
-    df = df.where(partition_range_predicate(start, end))
+    spark, own = df.sparkSession, None
     if dates is None:
-        df = stage(df, "publish", partitioned=True)
-        dates = file_dates(df)
+        own = stage_path(spark, "publish")
+        df = stage(df, "publish", partitioned=True, path=own)
+        dates = table_dates(spark, own, start, end)
+    undated = df.where(" OR ".join(f"{c} IS NULL" for c in PARTITION_COLUMNS)).count()
+    if undated:
+        raise ValueError(f"{undated} rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
+    df = df.where(partition_range_predicate(start, end))
     if dates:
         # Input is staged and date-partitioned: each split holds one date, no shuffle needed.
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -100,25 +104,18 @@ def publish_range(df: DataFrame, root: str, start: str, end: str,
     for d in date_range(start, end):
         if (d.year, d.month, d.day) in stale:
             emptied.append(publish_partition(empty, root, d.isoformat()))
+    if own:
+        discard(spark, own)
     return emptied
 
 
 def table_dates(spark: SparkSession, root: str, start: str, end: str
                 ) -> set[tuple[int, int, int]]:
-    """Dates of [start, end] that have a folder in the table (file listing of the range's
-    folders only; no job). A missing table has none."""
-    from strata.sources.readers import range_globs
-    found: set[tuple[int, int, int]] = set()
-    for glob in range_globs(root.rstrip("/"), start, end):
-        try:
-            files = spark.read.option("basePath", root.rstrip("/")).parquet(glob).inputFiles()
-        except Exception as e:  # noqa: BLE001 - no folder for this month of the range
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) \
-                    or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                continue
-            raise
-        found |= file_dates_of(files)
-    return found
+    """Dates of [start, end] that have a folder in the table: one listing of date folders per
+    month, no files and no job. A missing table has none."""
+    from strata.sources.readers import existing_paths, range_globs
+    folders = existing_paths(spark, range_globs(root.rstrip("/"), start, end))
+    return {tuple(map(int, m.groups())) for f in folders if (m := _PART_DIR.search(f))}
 
 
 def write_metrics_log(kpis: DataFrame, path: str, pipeline_run_id: str) -> None:
@@ -144,12 +141,13 @@ def append_audit(stamped: DataFrame, path: str) -> None:
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """Audit rows; the explicit schema keeps an audit root that never got a row readable, and a
     root that does not exist yet reads as an empty audit."""
+    from strata.sources.readers import is_missing_path
     try:
         df = spark.read.schema(AUDIT_SCHEMA).parquet(path)
         df.schema
         return df
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if is_missing_path(e):
             return spark.createDataFrame([], AUDIT_SCHEMA)
         raise
 
@@ -176,10 +174,11 @@ def baseline_path(root: str, layer: str) -> str:
 
 def read_schema_baseline(spark: SparkSession, root: str, layer: str) -> list[str] | None:
     """Saved column names of a layer, or None when no baseline exists yet."""
+    from strata.sources.readers import is_missing_path
     try:
         rows = spark.read.schema("column_name string").json(baseline_path(root, layer)).collect()
-    except Exception as e:  # noqa: BLE001 - a missing folder means "no baseline"
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if is_missing_path(e):
             return None
         raise
     return sorted(r[0] for r in rows)
@@ -192,10 +191,11 @@ def write_schema_baseline(spark: SparkSession, root: str, layer: str,
           .coalesce(1).write.mode("overwrite").json(baseline_path(root, layer)))
 
 
-def land_extract(df: DataFrame, path: str, num_files: int = 4) -> int:
-    """Write a source extract to the landing zone and return its row count from the written
-    files (no second read of the source). Warns on zero rows."""
-    df.coalesce(num_files).write.mode("overwrite").parquet(path)
+def land_extract(df: DataFrame, path: str, max_rows_per_file: int = 0) -> int:
+    """Write a source extract to the landing zone with the source's own parallelism (files of at
+    most ``max_rows_per_file`` rows if given) and return its row count from the written files (no
+    second read of the source). Warns on zero rows."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file).parquet(path)
     n = df.sparkSession.read.parquet(path).count()
     if n == 0:
         import warnings

@@ -12,6 +12,7 @@ ones that executors on a cluster could not reach.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,14 @@ from strata.contract import JDBC_FETCH_SIZE
 from strata.functions.dates import day_slice, parse_date
 
 
+_NAME = re.compile(r"[A-Za-z_][\w$]*(\.[A-Za-z_][\w$]*)*")
+
+
 def slice_query(table: str, date_column: str, execution_date: str) -> str:
+    """The date's slice as a derived table. Names are plain (possibly dotted) identifiers."""
+    for name in (table, date_column):
+        if not _NAME.fullmatch(name):
+            raise ValueError(f"not a plain SQL name: {name!r}")
     d = parse_date(execution_date)
     nxt = d + _dt.timedelta(days=1)
     return (f"(SELECT * FROM {table} WHERE {date_column} >= '{d.isoformat()}' "
@@ -41,8 +49,10 @@ def read_jdbc_date_slice(spark: SparkSession, url: str, table: str, date_column:
     if driver is not None:
         opts["driver"] = driver
     if partition_column is not None:
+        if lower_bound is None or upper_bound is None or not num_partitions:
+            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
         opts.update(partitionColumn=partition_column, lowerBound=str(lower_bound),
-                    upperBound=str(upper_bound), numPartitions=str(num_partitions or 8))
+                    upperBound=str(upper_bound), numPartitions=str(num_partitions))
     return spark.read.format("jdbc").options(**opts).load()
 
 

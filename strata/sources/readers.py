@@ -7,6 +7,7 @@ read cover a whole date range with partition pruning instead of one job per day.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,18 +16,20 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from strata.contract import SOURCE_REGISTRY
-from strata.functions.dates import parse_date, partition_predicate, partition_range_predicate
+from strata.functions.columns import col_ref
+from strata.functions.dates import date_range, parse_date, partition_predicate, partition_range_predicate
 
 FORMATS = ("csv", "json", "parquet")
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], fmt: str, *,
              schema: T.StructType | str | None = None, multi_line: bool = True,
-             options: dict[str, str] | None = None) -> DataFrame:
+             infer: bool = True, options: dict[str, str] | None = None) -> DataFrame:
     """Format dispatch (case-insensitive) for landed files; unknown format → ``ValueError``.
 
     CSV: header, inferred schema (unless ``schema`` is given), multi-line records, ``"`` escape.
     ``multi_line=False`` keeps big CSV files splittable. JSON: one record per line.
+    ``infer=False`` reads CSV fields and JSON scalars as text (no inference pass over CSV).
     """
     f = fmt.lower()
     reader = spark.read.options(**(options or {}))
@@ -34,10 +37,11 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], fmt: str, *,
         reader = reader.schema(schema)
     paths = [path] if isinstance(path, str) else list(path)
     if f == "csv":
-        return (reader.option("header", True).option("inferSchema", schema is None)
+        return (reader.option("header", True).option("inferSchema", infer and schema is None)
                       .option("multiLine", multi_line).option("escape", '"').csv(paths))
     if f == "json":
-        return reader.option("multiLine", False).json(paths)
+        return (reader.option("multiLine", False)
+                      .option("primitivesAsString", not infer and schema is None).json(paths))
     if f == "parquet":
         return reader.parquet(*paths)
     raise ValueError(f"Unsupported format: {fmt}")
@@ -52,6 +56,25 @@ def select_files(spark: SparkSession, path: str, fmt: str, pattern: str,
     return read_raw(spark, path, fmt, options=opts, **kwargs)
 
 
+# ---------------------------------------------------------------------------------------------
+# Paths
+# ---------------------------------------------------------------------------------------------
+
+def is_missing_path(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
+def existing_paths(spark: SparkSession, globs: Sequence[str]) -> list[str]:
+    """Files and folders that match the globs, from the file system's listing (no job)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for glob in globs:
+        path = jvm.org.apache.hadoop.fs.Path(glob)
+        for status in path.getFileSystem(conf).globStatus(path) or ():
+            found.append(status.getPath().toString())
+    return found
+
+
 # ---------------------------------------------------------------------------------------------
 # API pages
 # ---------------------------------------------------------------------------------------------
@@ -69,44 +92,61 @@ def page_schema(record: T.StructType) -> T.StructType:
     return T.StructType(record.fields + [T.StructField("items", T.ArrayType(record))])
 
 
-def _page_rows(spark: SparkSession, path: str | Sequence[str],
-               schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read.option("multiLine", True)
-    if schema is not None:
-        reader = reader.schema(page_schema(schema))
-    paths = [path] if isinstance(path, str) else list(path)
-    return reader.json(paths).withColumn("__file", F.col("_metadata.file_path"))
+def unwrap_pages(raw: DataFrame, file_column: str = "__file") -> DataFrame:
+    """Page bodies → records in one pass, for batch and streaming frames: an object page is one
+    row with ``items``, a bare-list page is one row per record. A field that the two shapes type
+    differently becomes text."""
+    bare = [f for f in raw.schema.fields
+            if f.name not in ("items", file_column) and f.name not in PAGE_PARTITION_COLUMNS]
+    if "items" not in raw.columns:
+        return raw.select(*[f.name for f in bare], file_column)
+    kind = raw.schema["items"].dataType.elementType
+    inner = {f.name: f.dataType for f in kind.fields} if isinstance(kind, T.StructType) else {}
+    outer = {f.name: f.dataType for f in bare}
+    types = {c: t if outer.get(c, t) == inner.get(c, t) else T.StringType()
+             for c, t in {**outer, **inner}.items()}
+    if not types:
+        return raw.select(file_column).limit(0)
+
+    def record(known, get) -> Column:
+        return F.struct(*[(get(c) if c in known else F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+
+    wrapped = F.transform("items", lambda x: record(inner, lambda c: x[c]))
+    single = F.array(record(outer, F.col))
+    any_field = F.coalesce(*[F.col(c).cast("string") for c in outer]) if outer else F.lit(None)
+    rows = F.when(F.col("items").isNotNull(), wrapped).when(any_field.isNotNull(), single)
+    return raw.select(F.explode(rows).alias("__r"), file_column).select("__r.*", file_column)
 
 
 def read_api_pages(spark: SparkSession, path: str | Sequence[str],
-                   schema: T.StructType | None = None, keep_file: bool = False) -> DataFrame:
+                   schema: T.StructType | None = None, keep_file: bool = False,
+                   options: dict[str, str] | None = None) -> DataFrame:
     """Records of landed API pages. A page file holds a whole response body: either an object
-    ``{"items": [...]}`` or a bare list ``[...]``; both shapes are unwrapped into records.
+    ``{"items": [...]}`` or a bare list ``[...]``; both shapes are unwrapped into records. Without
+    a record schema the scalars are read as text, so types do not depend on the pages read.
     ``keep_file`` keeps the page file path as ``_source_file``."""
-    raw = _page_rows(spark, path, schema)
-    record_cols = [c for c in raw.columns
-                   if c not in ("items", "__file") and c not in PAGE_PARTITION_COLUMNS]
-    if "items" in raw.columns:
-        wrapped = (raw.where(F.col("items").isNotNull())
-                      .select(F.explode("items").alias("__r"), "__file")
-                      .select("__r.*", "__file"))
-        bare = raw.where(F.col("items").isNull()).select(*record_cols, "__file")
-        out = wrapped.unionByName(bare, allowMissingColumns=True) if record_cols else wrapped
-    else:
-        out = raw.select(*record_cols, "__file")
+    reader = spark.read.options(**(options or {})).option("multiLine", True)
+    reader = (reader.schema(page_schema(schema)) if schema is not None
+              else reader.option("primitivesAsString", True))
+    paths = [path] if isinstance(path, str) else list(path)
+    out = unwrap_pages(reader.json(paths).withColumn("__file", F.col("_metadata.file_path")))
     return (out.withColumnRenamed("__file", "_source_file") if keep_file
             else out.drop("__file"))
 
 
-def api_page_counts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Records per landed page file (page number from the file path); both page shapes count."""
-    raw = _page_rows(spark, path)
-    n = (F.when(F.col("items").isNotNull(), F.size("items")).otherwise(F.lit(1))
-         if "items" in raw.columns else F.lit(1))
-    return (raw.groupBy("__file").agg(F.sum(n).cast("long").alias("record_count"))
-               .select(landing_date_column(F.col("__file")).alias("landing_date"),
-                       F.regexp_extract("__file", PAGE_NUMBER, 1).cast("int").alias("page"),
-                       "record_count"))
+def api_page_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Records per landed page file (page number from the file path); both page shapes count, and
+    a page without records counts 0. One scan with a fixed schema, no inference."""
+    raw = (spark.read.schema("items array<string>").option("multiLine", True)
+           .option("recursiveFileLookup", True).json(path).withColumn("__file", F.col("_metadata.file_path")))
+    n = F.when(F.col("items").isNotNull(), F.size("items")).otherwise(F.lit(1))
+    counted = raw.groupBy("__file").agg(F.sum(n).cast("long").alias("n"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .select(F.col("_metadata.file_path").alias("__path")))  # names only, no contents
+    return (files.join(counted, F.col("__path") == F.col("__file"), "left")
+                 .select(landing_date_column(F.col("__path")).alias("landing_date"),
+                         F.regexp_extract("__path", PAGE_NUMBER, 1).cast("int").alias("page"),
+                         F.coalesce("n", F.lit(0)).cast("long").alias("record_count")))
 
 
 def require_records(page_counts: DataFrame) -> int:
@@ -128,16 +168,18 @@ def landing_dir(root: str, execution_date: str, subdir: str, layout: str = "date
     return f"{root.rstrip('/')}/{d}/{subdir}"
 
 
-def landing_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """Files (path, bytes) under a landing folder; file contents are never read. A missing folder
-    is an empty inventory."""
+def landing_inventory(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Files (path, bytes) under a landing folder, those whose name matches ``pattern`` if one is
+    given; file contents are never read. A missing folder is an empty inventory."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-                      .select("path", "length"))
+        files = reader.load(path).select("path", "length")
         files.schema  # resolve now so a missing path surfaces here
         return files
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if is_missing_path(e):
             return spark.createDataFrame([], "path string, length long")
         raise
 
@@ -151,7 +193,7 @@ def landing_presence(spark: SparkSession, root: str, execution_date: str,
         if not src.get("enabled", True):
             continue
         inv = landing_inventory(spark, landing_dir(root, execution_date, src["landing_subdir"],
-                                                   layout))
+                                                   layout), src.get("file_pattern"))
         frames.append(inv.agg(F.count(F.lit(1)).alias("files"),
                               F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
                          .select(F.lit(src["id"]).alias("source_id"), "files", "bytes"))
@@ -164,54 +206,90 @@ def landing_presence(spark: SparkSession, root: str, execution_date: str,
     return out.withColumn("present", F.col("files") > 0)
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Scalars as text (binary and nested columns stay): a landed table's types then do not
+    change from one delivery to the next, and no value is widened on the way."""
+    keep = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    cols = {f.name: col_ref(f.name).cast("string") for f in df.schema.fields if not isinstance(f.dataType, keep)}
+    return df.withColumns(cols) if cols else df
+
+
 def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
                 schema: T.StructType | None = None, keep_file: bool = False) -> DataFrame:
-    """Read one registry source's landed files with the reader its format needs.
+    """Read one registry source's landed files with the reader its format needs: the files below
+    ``path`` whose name matches the entry's ``file_pattern`` (all without one).
 
-    A registry entry may carry ``schema`` (DDL string or StructType: no inference pass) and
-    ``multi_line=False`` (CSV stays splittable). ``keep_file`` adds the landed file path as
+    Columns are landed as text unless the entry (or the caller) gives a ``schema`` (DDL string or
+    StructType), so Bronze has the same types on every date; Silver casts them. CSV entries may
+    set ``multi_line=False`` (splittable). ``keep_file`` adds the landed file path as
     ``_source_file``."""
     fmt = src["format"]
     schema = schema if schema is not None else src.get("schema")
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
+    options = {"recursiveFileLookup": "true"}
+    if src.get("file_pattern"):
+        options["pathGlobFilter"] = src["file_pattern"]
     if fmt == "json_pages":
-        return read_api_pages(spark, path, schema, keep_file=keep_file)
-    df = read_raw(spark, path, "parquet" if fmt == "parquet" else fmt, schema=schema,
-                  multi_line=src.get("multi_line", True))
-    return df.withColumn("_source_file", F.col("_metadata.file_path")) if keep_file else df
+        return read_api_pages(spark, path, schema, keep_file=keep_file, options=options)
+    df = read_raw(spark, path, fmt, schema=schema, multi_line=src.get("multi_line", True),
+                  infer=False, options=options)
+    if keep_file:
+        df = df.withColumn("_source_file", F.col("_metadata.file_path"))
+    return df if schema is not None else as_text(df)
+
+
+def _by_schema(spark: SparkSession, folders: Sequence[str]) -> list[list[str]]:
+    """Date folders of Parquet deliveries grouped by the schema of their files (one footer per
+    date): files of different types cannot be read as one frame."""
+    groups: dict[str, list[str]] = {}
+    for folder in folders:
+        schema = spark.read.option("recursiveFileLookup", True).parquet(folder).schema
+        groups.setdefault(schema.simpleString(), []).append(folder)
+    return list(groups.values())
+
+
+_DATE_FOLDER = re.compile(r"/landing_date=[0-9]{8}/?$")
 
 
 def read_source_range(spark: SparkSession, root: str, src: dict, start: str, end: str,
-                      schema: T.StructType | None = None) -> DataFrame:
+                      schema: T.StructType | None = None) -> DataFrame | None:
     """All landed files of one source in a Hive-style landing zone for [start, end], with
-    ``landing_date`` (date) taken from the folder. The range filter prunes folders."""
-    s, e = (int(parse_date(x).strftime("%Y%m%d")) for x in (start, end))
-    df = read_source(spark, f"{root.rstrip('/')}/{src['landing_subdir']}", src, schema=schema,
-                     keep_file=True)
-    if "landing_date" in df.columns:
-        df = df.where(F.col("landing_date").cast("int").between(s, e)).drop("landing_date")
-    d = landing_date_column(F.col("_source_file"))
-    df = df.withColumn("landing_date", d)
-    return df.where(F.col("landing_date").between(parse_date(start), parse_date(end))) \
-             .drop("_source_file")
+    ``landing_date`` (date) taken from the folder; ``None`` if no date of the range landed. Only
+    the range's folders are opened. Anything beside the date folders would be left out without a
+    trace and is an error."""
+    base = f"{root.rstrip('/')}/{src['landing_subdir']}"
+    undated = [p for p in existing_paths(spark, [f"{base}/*"])
+               if not _DATE_FOLDER.search(p) and not p.rsplit("/", 1)[1].startswith(("_", "."))]
+    if undated:
+        raise ValueError(f"{len(undated)} landed paths of {src['id']} have no date, such as {min(undated)}")
+    days: dict[str, list[str]] = {}
+    for d in date_range(start, end):
+        days.setdefault(d.strftime("%Y%m"), []).append(d.strftime("%d"))
+    folders = existing_paths(spark, [f"{base}/landing_date={month}{{{','.join(dd)}}}" for month, dd in days.items()])
+    if not folders:
+        return None
+    if src["format"] == "parquet" and schema is None and not src.get("schema"):
+        df = union_sources([read_source(spark, same, src, keep_file=True) for same in _by_schema(spark, folders)])
+    else:
+        df = read_source(spark, folders, src, schema=schema, keep_file=True)
+    return df.withColumn("landing_date", landing_date_column(F.col("_source_file"))).drop("_source_file")
 
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-_NUMERIC = _INTEGRAL + ("float", "double")
+_FRACTIONAL = ("float", "double")
 
 
 def _common_type(types: set[str]) -> str:
     if types <= set(_INTEGRAL):
         return "bigint"
-    if all(t in _NUMERIC or t.startswith("decimal") for t in types):
-        return "double"
-    return "string"
+    return "double" if types <= set(_FRACTIONAL) else "string"
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by column name. A column whose type differs between sources is widened (integers →
-    bigint, numbers → double) or else kept as text; columns missing in a source are NULL."""
+    """Union by column name. A column whose type differs between sources is widened within the
+    integers (bigint) or the fractions (double) and else kept as text — never an integer as a
+    double, which would change large ids; columns missing in a source are NULL."""
     types: dict[str, set] = {}
     for df in frames:
         for f in df.schema.fields:
@@ -247,7 +325,7 @@ def read_partition(spark: SparkSession, path: str, execution_date: str,
         df = reader.option("basePath", root).parquet(leaf)
         df.schema
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        if not is_missing_path(e):
             raise
         df = reader.parquet(root)
     return df.where(partition_predicate(execution_date))
@@ -255,7 +333,6 @@ def read_partition(spark: SparkSession, path: str, execution_date: str,
 
 def range_globs(root: str, start: str, end: str) -> list[str]:
     """One glob per month of the range: ``…/year=Y/month=M/day={d1,d2,…}``."""
-    from strata.functions.dates import date_range
     months: dict[tuple[int, int], list[int]] = {}
     for d in date_range(start, end):
         months.setdefault((d.year, d.month), []).append(d.day)
@@ -264,17 +341,13 @@ def range_globs(root: str, start: str, end: str) -> list[str]:
 
 
 def read_range(spark: SparkSession, path: str, start: str, end: str) -> DataFrame:
-    """Inclusive date range of a partitioned table. Only the range's folders are listed (one
-    glob per month, ``basePath`` keeps the partition columns); when part of the range has no
-    folder at all, the root is read with the range filter instead."""
+    """Inclusive date range of a partitioned table, with every column that any of its dates has
+    (``mergeSchema``: a column first delivered on a later date is NULL before). Only the range's
+    existing folders are opened; a range without any reads the root, for the schema."""
     root = path.rstrip("/")
-    try:
-        df = spark.read.option("basePath", root).parquet(*range_globs(root, start, end))
-        df.schema
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        df = spark.read.parquet(root)
+    folders = existing_paths(spark, range_globs(root, start, end))
+    reader = spark.read.option("mergeSchema", True)
+    df = reader.option("basePath", root).parquet(*folders) if folders else reader.parquet(root)
     return df.where(partition_range_predicate(start, end))
 
 

@@ -22,18 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.contract import PARTITION_COLUMNS
 from strata.operators.bronze import attach_metadata
-from strata.sources.readers import PAGE_PARTITION_COLUMNS, landing_date_column, page_schema
-
-
-def _unwrap_pages(raw: DataFrame, record_fields: Sequence[str]) -> DataFrame:
-    """Page bodies → records for a stream: object pages carry ``items``, bare-list pages are
-    already one row per record. Works on streaming and static frames alike."""
-    keep = ["__file"]
-    wrapped = (raw.where(F.col("items").isNotNull())
-                  .select(F.explode("items").alias("__r"), *keep)
-                  .select(*[F.col(f"__r.{c}").alias(c) for c in record_fields], *keep))
-    bare = raw.where(F.col("items").isNull()).select(*record_fields, *keep)
-    return wrapped.unionByName(bare)
+from strata.sources.readers import PAGE_PARTITION_COLUMNS, landing_date_column, page_schema, unwrap_pages
 
 
 def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
@@ -43,16 +32,18 @@ def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
     folders); ``schema`` is the record schema (streams never infer). Adds ``landing_date``."""
     path = f"{landing_root.rstrip('/')}/{src['landing_subdir']}"
     reader = spark.readStream.option("recursiveFileLookup", True)
+    if src.get("file_pattern"):
+        reader = reader.option("pathGlobFilter", src["file_pattern"])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    fields = [f.name for f in schema.fields]
     fmt = src["format"]
     if fmt == "json_pages":
         raw = (reader.schema(page_schema(schema)).option("multiLine", True).json(path)
                      .withColumn("__file", F.col("_metadata.file_path")))
-        df = _unwrap_pages(raw, fields)
+        df = unwrap_pages(raw)
     elif fmt == "csv":
-        df = (reader.schema(schema).option("header", True).option("escape", '"').csv(path)
+        df = (reader.schema(schema).option("header", True).option("escape", '"')
+                    .option("multiLine", src.get("multi_line", True)).csv(path)
                     .withColumn("__file", F.col("_metadata.file_path")))
     elif fmt == "parquet":
         df = reader.schema(schema).parquet(path).withColumn("__file",
@@ -66,7 +57,8 @@ def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
 def start_bronze_stream(spark: SparkSession, landing_root: str, bronze_root: str,
                         checkpoint: str, registry: Sequence[dict], schema: T.StructType,
                         run_id: str, ingested_at: str, available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        keep_source_column: bool = False) -> StreamingQuery:
     """One streaming query over all enabled sources (unioned), appending to Bronze partitioned
     by the landing date. The checkpoint must live in shared storage."""
     frames = []
@@ -75,7 +67,8 @@ def start_bronze_stream(spark: SparkSession, landing_root: str, bronze_root: str
             continue
         s = read_landing_stream(spark, landing_root, src, schema, max_files_per_trigger)
         frames.append(attach_metadata(s, run_id, src["source_system_label"],
-                                      F.col("landing_date"), ingested_at).drop("landing_date"))
+                                      F.col("landing_date"), ingested_at,
+                                      keep_source_column).drop("landing_date"))
     stream = frames[0]
     for f in frames[1:]:
         stream = stream.unionByName(f)

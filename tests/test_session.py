@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from strata import session
 
 
@@ -22,3 +24,15 @@ def test_now_iso_format():
 def test_scratch_is_under_checkpoint_dir(spark):
     root = session.scratch_root(spark)
     assert session.scratch_path(spark, "x").startswith(f"{root}/strata/x-")
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import types
+
+    from strata.session import scratch_root
+    context = types.SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        context.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_root(session)

@@ -121,10 +121,17 @@ def test_dimension_fan_out(spark):
     assert silver.enrich_with_dimension(fact, dim).count() == 2
 
 
-def test_dimension_over_bound_not_broadcast(spark):
+def test_enriching_starts_no_job_and_leaves_the_join_to_the_planner(spark):
     fact = spark.createDataFrame([(1, "crm")], "id int, source_system string")
     dim = spark.createDataFrame([("crm", "A"), ("x", "B")], "source_system string, source_label string")
-    out = silver.enrich_with_dimension(fact, dim, broadcast_max_rows=1)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("enrich", "no job expected")
+    try:
+        out = silver.enrich_with_dimension(fact, dim)
+        assert not tracker.getJobIdsForGroup("enrich")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert "hint" not in out._jdf.queryExecution().logical().toString().lower()
     assert out.count() == 1
 
 

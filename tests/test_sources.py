@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from strata.sources import readers
 from strata.sources.jdbc import date_slice, slice_query
 
@@ -9,12 +11,15 @@ def test_api_pages_both_shapes(spark, local_tmp):
     with open(f"{local_tmp}/events_page_0001.json", "w") as f:
         json.dump({"items": [{"id": 1}, {"id": 2}]}, f, indent=2)
     with open(f"{local_tmp}/events_page_0002.json", "w") as f:
-        json.dump([{"id": 3}], f, indent=2)
+        json.dump([{"id": 3, "more": "x"}], f, indent=2)
+    for page, body in ((3, []), (4, {"items": []}), (5, {"items": None})):
+        with open(f"{local_tmp}/events_page_000{page}.json", "w") as f:
+            json.dump(body, f)
     recs = readers.read_api_pages(spark, local_tmp)
-    assert sorted(r.id for r in recs.collect()) == [1, 2, 3]
+    assert sorted((r.id, r.more) for r in recs.collect()) == [("1", None), ("2", None), ("3", "x")]
+    assert recs._jdf.queryExecution().executedPlan().toString().count("FileScan json") == 1
     counts = {r.page: r.record_count for r in readers.api_page_counts(spark, local_tmp).collect()}
-    assert counts == {1: 2, 2: 1}
-    assert readers.require_records(readers.api_page_counts(spark, local_tmp)) == 3
+    assert {p: counts[p] for p in (1, 2, 3, 4)} == {1: 2, 2: 1, 3: 0, 4: 0}
 
 
 def test_landing_presence_missing_is_zero(spark, local_tmp):
@@ -103,7 +108,70 @@ def test_api_pages_with_record_schema(spark, local_tmp):
     assert sorted(r.id for r in recs.collect()) == ["1", "2", "3"]
 
 
-def test_union_sources_decimal_widens_to_double(spark):
+def test_union_sources_mixed_numbers_become_text(spark):
     a = spark.createDataFrame([(1.5,)], "v double")
-    b = spark.sql("SELECT CAST(2.25 AS DECIMAL(10,2)) AS v")
-    assert dict(readers.union_sources([a, b]).dtypes) == {"v": "double"}
+    for other in ("CAST(2.25 AS DECIMAL(10,2))", "9007199254740993L"):
+        out = readers.union_sources([a, spark.sql(f"SELECT {other} AS v")])
+        assert dict(out.dtypes) == {"v": "string"}
+    assert sorted(r.v for r in out.collect()) == ["1.5", "9007199254740993"]
+    floats = readers.union_sources([a, spark.createDataFrame([(2.5,)], "v float")])
+    assert dict(floats.dtypes) == {"v": "double"}
+
+
+CRM = {"id": "sftp_crm", "format": "csv", "file_pattern": "crm_events_*.csv", "landing_subdir": "sftp/crm",
+       "source_system_label": "crm"}
+
+
+def land_csv(root, date, name, text):
+    folder = f"{root}/sftp/crm/landing_date={date}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def test_file_pattern_leaves_strays_out(spark, local_tmp):
+    land_csv(local_tmp, "20240101", "crm_events_1.csv", "id,amount\n1,2\n")
+    land_csv(local_tmp, "20240101", "README_other.csv", "title\nhello\n")
+    df = readers.read_source_range(spark, local_tmp, CRM, "2024-01-01", "2024-01-01")
+    assert df.columns == ["id", "amount", "landing_date"] and df.count() == 1
+
+
+def test_range_read_is_text_and_opens_only_its_dates(spark, local_tmp):
+    land_csv(local_tmp, "20240101", "crm_events_1.csv", "id\n9007199254740993\n")
+    land_csv(local_tmp, "20240601", "crm_events_2.csv", "id\nabc\n")
+    df = readers.read_source_range(spark, local_tmp, CRM, "2024-01-01", "2024-01-31")
+    assert dict(df.dtypes)["id"] == "string" and [r.id for r in df.collect()] == ["9007199254740993"]
+    assert all("landing_date=20240101" in f for f in df.inputFiles())
+    assert readers.read_source_range(spark, local_tmp, CRM, "2023-01-01", "2023-01-31") is None
+
+
+def test_undated_landing_is_an_error(spark, local_tmp):
+    land_csv(local_tmp, "20240101", "crm_events_1.csv", "id\n1\n")
+    with open(f"{local_tmp}/sftp/crm/crm_events_0.csv", "w") as f:
+        f.write("id\n2\n")
+    with pytest.raises(ValueError, match="1 landed paths of sftp_crm have no date"):
+        readers.read_source_range(spark, local_tmp, CRM, "2024-01-01", "2024-01-02")
+
+
+def test_range_keeps_source_column(spark, local_tmp):
+    from strata.plans.jobs import land_range_to_bronze_frame
+    land_csv(local_tmp, "20240101", "crm_events_1.csv", "id,source_system\n1,partner\n2,\n")
+    for keep, want in ((True, ["crm", "partner"]), (False, ["crm", "crm"])):
+        b = land_range_to_bronze_frame(spark, local_tmp, "2024-01-01", "2024-01-02", "r", "now", [CRM], keep)
+        assert sorted(r.source_system for r in b.collect()) == want
+
+
+def test_read_range_sees_columns_that_come_later(spark, tmp):
+    from strata.sinks.writers import publish_partition
+    publish_partition(spark.createDataFrame([("1",)], "id string"), tmp, "2024-01-01")
+    publish_partition(spark.createDataFrame([("2", "x")], "id string, extra string"), tmp, "2024-01-02")
+    out = readers.read_range(spark, tmp, "2023-12-30", "2024-01-05")
+    assert sorted((r.id, r.extra) for r in out.collect()) == [("1", None), ("2", "x")]
+
+
+def test_jdbc_options_are_checked(spark):
+    from strata.sources.jdbc import read_jdbc_date_slice, slice_query
+    with pytest.raises(ValueError):
+        slice_query("t; DROP TABLE t", "d", "2024-01-01")
+    with pytest.raises(ValueError):
+        read_jdbc_date_slice(spark, "jdbc:x", "t", "d", "2024-01-01", partition_column="id")

@@ -1,3 +1,5 @@
+import pytest
+
 from strata.sinks import writers
 
 
@@ -85,3 +87,22 @@ def test_range_publish_clears_only_stale_dates(spark, tmp):
     assert not os.path.exists(tmp.replace("file:", "") + "/year=2024/month=3/day=17")
     assert writers.table_dates(spark, tmp, "2024-03-14", "2024-03-17") == {(2024, 3, 15),
                                                                           (2024, 3, 16)}
+
+
+def test_range_publish_refuses_rows_without_a_date(spark, tmp):
+    df = spark.createDataFrame([(1, 2024, 1, 1), (2, None, None, None), (3, 2025, 1, 1)],
+                               "id int, year int, month int, day int")
+    with pytest.raises(ValueError, match="1 rows have no year/month/day"):
+        writers.publish_range(df, tmp, "2024-01-01", "2024-01-31")
+
+
+def test_staged_copies_go_after_publishing(spark, tmp):
+    at = writers.stage_path(spark, "x")
+    staged = writers.stage(spark.createDataFrame([(1, 2024, 1, 1)], "id int, year int, month int, day int"), "x",
+                           partitioned=True, path=at)
+    dates = writers.table_dates(spark, at, "2024-01-01", "2024-01-31")
+    assert dates == {(2024, 1, 1)}
+    writers.publish_range(staged, tmp, "2024-01-01", "2024-01-31", dates)
+    writers.discard(spark, at)
+    assert writers.table_dates(spark, at, "2024-01-01", "2024-01-31") == set()
+    assert spark.read.parquet(tmp).count() == 1
