@@ -298,8 +298,8 @@ ORACLE["dq_partitions"] = _with("""
 SELECT strftime(c.d, '%Y-%m-%d') AS partition_date, CAST(year(c.d) AS INT) AS year,
   CAST(month(c.d) AS INT) AS month, CAST(day(c.d) AS INT) AS day,
   coalesce(n.row_count, 0) AS row_count, coalesce(n.row_count, 0) > 0 AS passed
-FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '2023-12-30',
-      TIMESTAMP '2024-02-01', INTERVAL 1 DAY) t(g)) c
+FROM (SELECT CAST(unnest(generate_series(min(ts)::DATE - INTERVAL 2 DAY, max(ts)::DATE + INTERVAL 2 DAY,
+      INTERVAL 1 DAY)) AS DATE) AS d FROM events) c
 LEFT JOIN (SELECT year, month, day, count(*) AS row_count FROM silver
            GROUP BY year, month, day) n
   ON n.year = year(c.d) AND n.month = month(c.d) AND n.day = day(c.d)""")
@@ -521,8 +521,8 @@ UNION ALL
 SELECT CAST(year(c.d) AS INT), CAST(month(c.d) AS INT), CAST(day(c.d) AS INT),
   'partition_exists.' || strftime(c.d, '%Y-%m-%d'), false, 0.0::DOUBLE,
   'year=' || year(c.d) || '/month=' || month(c.d) || '/day=' || day(c.d)
-FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-01',
-      INTERVAL 1 DAY) t(g)) c
+FROM (SELECT CAST(unnest(generate_series(min(ts)::DATE - INTERVAL 2 DAY, max(ts)::DATE + INTERVAL 2 DAY,
+      INTERVAL 1 DAY)) AS DATE) AS d FROM events) c
 WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.year = year(c.d) AND s.month = month(c.d) AND s.day = day(c.d))""")
 ORACLE["db_extract"] = ORACLE["jdbc_date_slice"]
 ORACLE["orders_daily"] = f"""

@@ -74,9 +74,21 @@ def gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Helpers shared by the write-type queries
 # ---------------------------------------------------------------------------------------------
 
-START, END = "2024-01-01", "2024-01-30"
-# A range wider than the data: the dates outside it must come out empty, not stale.
-WIDE_START, WIDE_END = "2023-12-30", "2024-02-01"
+_SPANS: dict[tuple[str, str], tuple] = {}
+
+
+def span(spark: SparkSession, sf_dir: str, beyond: int = 0) -> tuple[str, str]:
+    """First and last date of the events (read once per session), ``beyond`` days wider: the dates
+    outside the data must come out empty, not stale."""
+    import datetime as dt
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SPANS:
+        d = F.col("ts").cast("date")
+        _SPANS[key] = fixtures.table(spark, sf_dir, "events").agg(F.min(d), F.max(d)).first()
+    first, last = _SPANS[key]
+    return (first - dt.timedelta(beyond)).isoformat(), (last + dt.timedelta(beyond)).isoformat()
+
+
 ORDERS_DATE = "1995-03-15"
 QUALITY_COLUMNS = ["check_name", "passed", "observed", "expected"]
 API_PAGE_SIZE = 50
@@ -300,7 +312,7 @@ def _staged_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published_silver(spark: SparkSession, sf_dir: str) -> str:
     from strata.sinks import writers
     root = _scratch(spark, "silver")
-    writers.publish_range(silver_events(spark, sf_dir), root, START, END)
+    writers.publish_range(silver_events(spark, sf_dir), root, *span(spark, sf_dir))
     return root
 
 
@@ -309,7 +321,7 @@ def dq_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-06: rows per expected date of a range (0 where a date is missing)."""
     from strata.operators import quality
     root = _published_silver(spark, sf_dir)
-    return quality.partition_completeness(spark.read.parquet(root), WIDE_START, WIDE_END)
+    return quality.partition_completeness(spark.read.parquet(root), *span(spark, sf_dir, 2))
 
 
 @query
@@ -422,8 +434,8 @@ def profile_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.read.parquet(root)
     writers.write_schema_baseline(spark, baselines, "silver", [*(c for c in df.columns if c != "k"), "legacy"])
     checks = profile_checks("silver", df, writers.read_schema_baseline(spark, baselines, "silver"), None, "/silver")
-    have = writers.table_dates(spark, root, WIDE_START, WIDE_END)
-    missing = [d for d in date_range(WIDE_START, WIDE_END) if (d.year, d.month, d.day) not in have]
+    have = writers.table_dates(spark, root, *span(spark, sf_dir, 2))
+    missing = [d for d in date_range(*span(spark, sf_dir, 2)) if (d.year, d.month, d.day) not in have]
     res = quality.evaluate(df, checks, by=["year", "month", "day"]).unionByName(
         quality.empty_date_partitions(spark, missing, "/silver"))
     return _quality_view(quality.failures(res).where("check_name LIKE 'schema%' OR check_name LIKE 'part%'"),
@@ -572,7 +584,7 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     from strata.sources.readers import read_partition
     root = _scratch(spark, "bronze")
-    writers.publish_range(bronze_frame(spark, sf_dir), root, START, END)
+    writers.publish_range(bronze_frame(spark, sf_dir), root, *span(spark, sf_dir))
     return read_partition(spark, root, EXECUTION_DATE)
 
 
@@ -591,7 +603,7 @@ def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multi_source_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-11: registry-driven read of three formats into one Bronze frame."""
     from strata.plans.jobs import land_range_to_bronze_frame
-    b = land_range_to_bronze_frame(spark, landed(spark, sf_dir), START, END, RUN_ID, NOW)
+    b = land_range_to_bronze_frame(spark, landed(spark, sf_dir), *span(spark, sf_dir), RUN_ID, NOW)
     return (b.groupBy("source_system", "year", "month", "day")
              .agg(F.count(F.lit(1)).alias("rows"), F.count("id").alias("ids"),
                   F.count_distinct("k").alias("keys")))
@@ -606,7 +618,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-01: Bronze published per date, read back."""
     from strata.sinks import writers
     root = _scratch(spark, "bronze")
-    writers.publish_range(bronze_frame(spark, sf_dir), root, WIDE_START, WIDE_END)
+    writers.publish_range(bronze_frame(spark, sf_dir), root, *span(spark, sf_dir, 2))
     return spark.read.parquet(root)
 
 
@@ -622,7 +634,7 @@ def gold_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     root = _scratch(spark, "daily")
     daily = gold.compute_daily(silver_events(spark, sf_dir), NOW)
-    writers.publish_range(daily, root, START, END)
+    writers.publish_range(daily, root, *span(spark, sf_dir))
     return _round_money(spark.read.parquet(root), sums=["total_amount"],
                         means={"avg_amount": ("total_amount", "total_records")})
 
@@ -634,7 +646,7 @@ def gold_kpi_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _scratch(spark, "kpi")
     kpis = gold.compute_kpis(silver_events(spark, sf_dir), None, NOW,
                              keys=("source_system", "year", "month", "day"))
-    writers.publish_range(kpis, root, START, END)
+    writers.publish_range(kpis, root, *span(spark, sf_dir))
     return _round_money(spark.read.parquet(root), sums=["total_value"],
                         means={"avg_value": ("total_value", "record_count")})
 
@@ -724,7 +736,7 @@ def silver_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     from strata.sources.readers import read_dimension
     paths = _paths(spark, "silver-job")
-    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
+    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, *span(spark, sf_dir))
     dim_root = f"{paths.gold}_dims"
     fixtures.dim_source(spark).write.mode("overwrite").parquet(f"{dim_root}/dim_source")
     s = silver_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW, dim=read_dimension(spark, dim_root))
@@ -737,7 +749,7 @@ def gold_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.jobs import gold_job
     paths = _paths(spark, "gold-job")
     from strata.sinks import writers
-    writers.publish_range(silver_events(spark, sf_dir), paths.silver, START, END)
+    writers.publish_range(silver_events(spark, sf_dir), paths.silver, *span(spark, sf_dir))
     daily, _ = gold_job(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
     return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})
 
@@ -749,8 +761,8 @@ def medallion_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from strata.plans.jobs import backfill, bronze_range_job
     paths = replace(_paths(spark, "e2e"), landing=landed(spark, sf_dir))
-    bronze_range_job(spark, paths, START, END, RUN_ID, NOW)
-    _, daily, _ = backfill(spark, paths, START, END, RUN_ID, NOW)
+    bronze_range_job(spark, paths, *span(spark, sf_dir), RUN_ID, NOW)
+    _, daily, _ = backfill(spark, paths, *span(spark, sf_dir), RUN_ID, NOW)
     return _round_money(daily, sums=["total_amount"], means={"avg_amount": ("total_amount", "total_records")})
 
 
@@ -760,8 +772,8 @@ def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.jobs import backfill
     from strata.sinks import writers
     paths = _paths(spark, "backfill")
-    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, START, END)
-    _, _, kpis = backfill(spark, paths, WIDE_START, WIDE_END, RUN_ID, NOW, enforce=False)
+    writers.publish_range(bronze_frame(spark, sf_dir), paths.bronze, *span(spark, sf_dir))
+    _, _, kpis = backfill(spark, paths, *span(spark, sf_dir, 2), RUN_ID, NOW, enforce=False)
     return _round_money(kpis, sums=["total_value"], means={"avg_value": ("total_value", "record_count")})
 
 
@@ -772,7 +784,7 @@ def idempotent_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     root = _scratch(spark, "silver")
     s = silver_events(spark, sf_dir)
-    writers.publish_range(s, root, START, END)
+    writers.publish_range(s, root, *span(spark, sf_dir))
     writers.publish_partition(s.where(partition_predicate(EXECUTION_DATE)), root, EXECUTION_DATE)
     writers.publish_range(s.where(partition_predicate("2024-01-16")), root, "2024-01-20",
                           "2024-01-20")
@@ -787,8 +799,8 @@ def quality_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.plans.jobs import quality_stage as stage_run
     from strata.sinks import writers
     paths = _paths(spark, "quality")
-    writers.publish_range(silver_events(spark, sf_dir), paths.silver, START, END)
-    gold_backfill(spark, paths, START, END, RUN_ID, NOW)
+    writers.publish_range(silver_events(spark, sf_dir), paths.silver, *span(spark, sf_dir))
+    gold_backfill(spark, paths, *span(spark, sf_dir), RUN_ID, NOW)
     res = stage_run(spark, paths, EXECUTION_DATE, RUN_ID, NOW)
     return _quality_view(res, extra=("layer", "execution_date"))
 
@@ -912,9 +924,9 @@ def backfill_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (early, late):
         part.write.mode("append").partitionBy("landing_date").parquet(f"{paths.landing}/db/transactions")
     registry = [s for s in SOURCE_REGISTRY if s["format"] == "parquet"]
-    bronze_range_job(spark, paths, START, END, RUN_ID, NOW, registry=registry)
+    bronze_range_job(spark, paths, *span(spark, sf_dir), RUN_ID, NOW, registry=registry)
     # One source has too few rows a date for thresholds meant for a whole date.
-    s, _, _ = backfill(spark, paths, START, END, RUN_ID, NOW, enforce=False)
+    s, _, _ = backfill(spark, paths, *span(spark, sf_dir), RUN_ID, NOW, enforce=False)
     return s.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count("note").alias("notes"),
         F.round(F.sum("amount"), 2).alias("total_amount"))

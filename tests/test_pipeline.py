@@ -70,12 +70,10 @@ def test_backfill_equals_per_date(spark):
     from strata.sinks import writers
     sf = "/root/testdata/sf0.001"
     paths = jobs.Paths.under(scratch_path(spark, "perdate"))
-    writers.publish_range(queries.bronze_frame(spark, sf), paths.bronze, queries.START,
-                          queries.END)
+    writers.publish_range(queries.bronze_frame(spark, sf), paths.bronze, *queries.span(spark, sf))
     bf_paths = jobs.Paths.under(scratch_path(spark, "bf"))
-    writers.publish_range(queries.bronze_frame(spark, sf), bf_paths.bronze, queries.START,
-                          queries.END)
-    _, bf_daily, _ = jobs.backfill(spark, bf_paths, queries.START, queries.END, "r", "n",
+    writers.publish_range(queries.bronze_frame(spark, sf), bf_paths.bronze, *queries.span(spark, sf))
+    _, bf_daily, _ = jobs.backfill(spark, bf_paths, *queries.span(spark, sf), "r", "n",
                                    enforce=False)
     bf = {(r.source_system, r.day): (r.total_records, r.distinct_ids, round(r.total_amount, 6))
           for r in bf_daily.collect()}
