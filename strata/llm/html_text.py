@@ -36,7 +36,8 @@ CLOSES = {  # an element of the key's kind ends an open one of these (up to the
 # Elements that are never part of the article, and words in class, id or role that mark others.
 NEVER = frozenset("""head script style noscript template nav footer aside form button select textarea iframe
     svg canvas object embed audio video menu dialog input datalist search""".split())
-MARKS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner
+MARKS = frozenset("""ad ads adv advert adverts advertisement advertising advertorial adsense adsbygoogle leaderboard
+    outbrain taboola sponsor sponsored promo promotion banner announcement copyright legal dialog
     nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside rail footer foot header masthead
     topbar toolbar cookie cookies consent gdpr notice notices alert disclaimer popup modal overlay newsletter
     subscribe subscription signup login paywall comment comments commentlist disqus reply replies respond discussion
@@ -58,6 +59,7 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 SMOOTH = (0.25, 0.5, 0.25)   # along the sequence of blocks
 THRESHOLD = 0.35             # of the best path's fused ratio
+WRAPPED_CHARS = 400          # text that only a marked wrapper of the page would hold
 SHARE = 0.6                  # of the selected text that the article holds
 
 
@@ -73,8 +75,9 @@ class _Element:
         self.weight = 0.0
 
 
-def _marked(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is one of the parts that are never content."""
+def _marked(tag: str, attributes: str, inside: bool, strict: bool) -> bool:
+    """Whether an element is one of the parts that are never content. Words that also name the
+    state of a whole page count only if ``strict``."""
     if tag in NEVER or (tag == "header" and not inside):
         return True
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
@@ -93,10 +96,10 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
         words.discard("header")
     if words & LAYOUT_MARKS:
         words -= {"sidebar", "sidebars"}
-    return bool(words & STRONG_MARKS or (words & MARKS and not words & CONTENT_MARKS))
+    return bool(words & STRONG_MARKS or (strict and words & MARKS and not words & CONTENT_MARKS))
 
 
-def blocks_of(page: str) -> list[tuple[_Element, str, int]]:
+def blocks_of(page: str, strict: bool = True) -> list[tuple[_Element, str, int]]:
     """``(element, text, characters in links)`` of every block that may be content."""
     root = _Element("", None, False)
     top, out, run, links = root, [], [], 0
@@ -158,7 +161,7 @@ def blocks_of(page: str) -> list[tuple[_Element, str, int]]:
         if tag in CLOSES:
             close(*CLOSES[tag])
         attributes = m[3] or m[6] or ""
-        element = _Element(tag, top, top.skip or _marked(tag, attributes, top.inside))
+        element = _Element(tag, top, top.skip or _marked(tag, attributes, top.inside, strict))
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
             at = end.end()
@@ -195,6 +198,12 @@ def _ratios(blocks) -> dict[str, float]:
 def extract(page: str | None) -> str:
     """The article's blocks, joined by line breaks."""
     blocks = blocks_of(page or "")
+    if not blocks and page:
+        # Nothing but marked parts: either there is no article, or a wrapper of the whole page
+        # carries a word such as "nav-open".
+        wrapped = blocks_of(page, strict=False)
+        if sum(len(t) - links for _, t, links in wrapped) >= WRAPPED_CHARS:
+            blocks = wrapped
     blocks = [b for b in blocks if b[0].inside] or blocks  # a page that marks its article says where it is
     if not blocks:
         return ""

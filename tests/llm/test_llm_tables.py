@@ -88,6 +88,12 @@ def test_html_text_odd_pages(page, text):
     assert html_text.extract(page) == text
 
 
+def test_html_text_of_a_page_whose_wrapper_is_marked():
+    body = "<p>A paragraph of the article, with some words in it.</p>" * 12
+    assert html_text.extract(f"<div class='site nav-open'><div class='menu'>x</div>{body}</div>").count("\n") >= 11
+    assert html_text.extract("<div class='cookie-notice'><p>We use cookies, accept?</p></div>") == ""
+
+
 def test_html_text_keeps_whole_articles():
     body = "".join(f"<p>Paragraph {i}, of many words.</p><p>{i}</p>" for i in range(4000))
     out = html_text.extract(f"<body><div class='ad'>Buy, now.</div><article><h1>T</h1>{body}</article></body>")
