@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,23 @@ def word_count(col: str = "text") -> Column:
     return F.regexp_count(text_or_empty(col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def map_slices(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+               rows: int = 512) -> DataFrame:
+    """``mapInPandas`` by slices of an Arrow batch, so that the Python objects of a few hundred
+    rows at a time exist, however many rows a batch has."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                out = function(batch.slice(at, rows).to_pandas(integer_object_nulls=True))
+                yield pa.RecordBatch.from_pandas(out[arrow.names], schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(run, schema)
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` (longs, any direction, repeats allowed) → ``(id, component)`` with the
     smallest reachable id, for every id that occurs in a link.

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, stage, text_or_empty
+from strata.llm.common import connected_components, map_slices, stage, text_or_empty
 from strata.llm.words import mix, shingle_sets
 
 CHUNKS, WIDTH, ERRORS = 16, 7, 1
@@ -83,19 +83,18 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
-    def summarise(batches):
-        for pdf in batches:
-            sets = list(shingle_sets(pdf["text"].tolist(), size))
-            with np.errstate(over="ignore"):
-                sums = [(mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64), mix(s + np.uint64(77)).sum(dtype=np.uint64))
-                        for s in sets]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "n": [len(s) for s in sets],
-                "h1": np.array([a for a, _ in sums], np.uint64).view(np.int64),
-                "h2": np.array([b for _, b in sums], np.uint64).view(np.int64),
-                "signature": [r.tobytes() for r in signatures(sets)]})
-
-    small = stage(rows.mapInPandas(summarise, "doc_id long, text_hash long, n long, h1 long, h2 long, "
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets = list(shingle_sets(pdf["text"].tolist(), size))
+        with np.errstate(over="ignore"):
+            sums = [(mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64), mix(s + np.uint64(77)).sum(dtype=np.uint64))
+                    for s in sets]
+        return pd.DataFrame({
+            "doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"], "n": [len(s) for s in sets],
+            "h1": np.array([a for a, _ in sums], np.uint64).view(np.int64),
+            "h2": np.array([b for _, b in sums], np.uint64).view(np.int64),
+            "signature": [r.tobytes() for r in signatures(sets)]})
+
+    small = stage(map_slices(rows, summarise, "doc_id long, text_hash long, n long, h1 long, h2 long, "
                                               "signature binary"), "hd-signatures")
     # One class per set: its size and two sums over its shingles identify it.
     classes = stage(small.where("n > 0").groupBy("n", "h1", "h2", "signature")
@@ -119,13 +118,12 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     needed = wanted.select("text_hash").distinct()
     texts = (rows.select("text_hash", "text").join(needed, "text_hash", "left_semi"))
 
-    def to_sets(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"hash": pdf["text_hash"],
-                                "shingles": [s.view(np.int64) for s in shingle_sets(pdf["text"].tolist(), size)]})
+    def to_sets(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"hash": pdf["text_hash"],
+                             "shingles": [s.view(np.int64) for s in shingle_sets(pdf["text"].tolist(), size)]})
 
     one_each = texts.groupBy("text_hash").agg(F.min("text").alias("text"))
-    sets = one_each.mapInPandas(to_sets, "hash long, shingles array<long>")
+    sets = map_slices(one_each, to_sets, "hash long, shingles array<long>")
     sets = stage(wanted.join(sets, wanted.text_hash == F.col("hash")).select(
         "id", "n", "signature", "shingles"), "hd-sets")
 

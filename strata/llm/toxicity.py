@@ -17,7 +17,6 @@ rows nothing is rejected; repeated and null ids are scored like any row; other c
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage, text_or_empty
+from strata.llm.common import map_slices, stage, text_or_empty
 
 GRADES = 3
 PREFIXES = (4, 5, 6)
@@ -98,11 +97,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
               .join(F.broadcast(sample), "id")  # at most max_rows pairs of numbers
               .dropDuplicates(["text"]).select("text", "grade"))
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"grade": pdf["grade"], "found": [sorted(features(t)) for t in pdf["text"]]})
+    def extract(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"grade": pdf["grade"], "found": [sorted(features(t)) for t in pdf["text"]]})
 
-    seen = stage(chosen.mapInPandas(extract, "grade int, found array<string>")
+    seen = stage(map_slices(chosen, extract, "grade int, found array<string>", 128)
                  .withColumn("row", F.monotonically_increasing_id()), "toxicity-features")
     sizes = seen.agg(F.count(F.when(F.col("grade") > 0, 1)), F.count(F.when(F.col("grade") == 0, 1))).first()
     n_toxic, n_clean = float(sizes[0]), float(sizes[1])
@@ -117,17 +115,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     names = sorted(r.feature for r in best.collect())  # at most max_features strings
     if not names:
         return OrdinalModel({}, [10.0 + k for k in range(GRADES - 1)])
-    number = {f: i for i, f in enumerate(names)}
-
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"row": pdf["row"], "grade": pdf["grade"],
-                                "cols": [[number[f] for f in found if f in number] for found in pdf["found"]]})
-
-    matrix = seen.mapInPandas(keep, "row long, grade int, cols array<int>").orderBy("row").toPandas()
-    rows = np.repeat(np.arange(len(matrix)), [len(c) for c in matrix["cols"]])
-    cols = np.concatenate([np.asarray(c, dtype=np.int64) for c in matrix["cols"]])
-    weights, thetas = fit_ordinal(rows, cols, matrix["grade"].to_numpy(), len(names))
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(names)), "col int, feature string")
+    cells = (seen.select("row", F.explode("found").alias("feature")).join(F.broadcast(numbers), "feature")
+             .select("row", "col").orderBy("row", "col").toPandas())  # of the kept features only
+    graded_rows = seen.select("row", "grade").orderBy("row").toPandas()
+    rows = np.searchsorted(graded_rows["row"].to_numpy(), cells["row"].to_numpy())
+    weights, thetas = fit_ordinal(rows, cells["col"].to_numpy(), graded_rows["grade"].to_numpy(), len(names))
     return OrdinalModel(dict(zip(names, weights.tolist())), thetas.tolist())
 
 
