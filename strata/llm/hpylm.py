@@ -224,7 +224,8 @@ def score(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` → one row per document: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score``; the documents with crc32(id) mod 7 = 2 are held out."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
+    doc_id = F.col("doc_id").cast("long")
+    texts = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), held.alias("held_out"),
                         text_or_empty().alias("text"))
     chars = texts.agg(F.sum(F.char_length("text") + 1)).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-chars // BUCKET_CHARS))
@@ -254,8 +255,8 @@ def score(docs: DataFrame) -> DataFrame:
                 order = np.argsort(target.astype(np.int32), kind="stable")
                 ends = np.searchsorted(target[order], np.arange(buckets + 1))
                 rows = [(-1 - (block >> 32) % 64, block,
-                         _pack(part["doc_id"].isna().to_numpy(), part["doc_id"].fillna(0).to_numpy(np.int64),
-                               part["held_out"].to_numpy(), lengths))]
+                         _pack(part["no_id"].to_numpy(), part["doc_id"].to_numpy(), part["held_out"].to_numpy(),
+                               lengths))]
                 for k in range(buckets):
                     i = order[ends[k]:ends[k + 1]]
                     if len(i):
@@ -389,11 +390,10 @@ def score(docs: DataFrame) -> DataFrame:
             here, *values = _unpack(data)
             for i, x in enumerate(values):
                 sums[i][here] += x
-        return pd.DataFrame({"doc_id": pd.array(ids, "Int64").to_numpy(object) if no_id.any() else ids,
+        return pd.DataFrame({"doc_id": np.where(no_id, None, ids.astype(object)) if no_id.any() else ids,
                              "held_out": held_out, "n_tokens": lengths, "n_known": sums[2].astype(np.int64),
                              "train_tokens": corpus.tokens, "base_score": sums[1] - lengths * slots,
-                             "score": sums[0]}).assign(
-            doc_id=lambda d: d["doc_id"].where(~no_id, None) if no_id.any() else d["doc_id"])
+                             "score": sums[0]})
 
     return about.union(partial).groupBy("block").applyInPandas(
         gather, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

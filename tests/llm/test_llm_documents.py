@@ -31,7 +31,7 @@ def awkward(spark):
             (4, "one two three", "en", None, 1, "q", 1, ""), (5, "one  two three", "en", "c", 1, "q", 1, ""),
             (None, "one two three", "en", "c", 1, "q", 1, ""), (None, None, "en", "c", 1, "q", 1, ""),
             (6, long, "en", "c", 1, "q", 1, ""), (7, long + " tail", "en", "", 1, "q", 1, ""),
-            (8, "é中\U0001f600 <|endoftext|> x", "en", "d", 1, "q", 1, ""), (6, "other text of six", "en", "c", 1, "q", 1, "")]
+            (2 ** 53 + 1, "é中\U0001f600 <|endoftext|> x", "en", "d", 1, "q", 1, ""), (6, "other text of six", "en", "c", 1, "q", 1, "")]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -125,7 +125,7 @@ def test_near_dedup_awkward_rows(spark):
     # Both long texts; the other document 6 is a component of its own.
     assert sorted(r.component_id for r in out if r.doc_id in (6, 7)) == [6, 6, 6]
     assert Counter(r.doc_id for r in hamming_dedup.keep_one(docs).collect()) == Counter(
-        [1, 2, 3, 4, None, 6, 6, 8])
+        [1, 2, 3, 4, None, 6, 6, 2 ** 53 + 1])
     assert hamming_dedup.link(frame(spark, [])).count() == 0
 
 
