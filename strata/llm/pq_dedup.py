@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import connected_components, stage
 
 THRESHOLD = 0.93
-SAMPLE = 16_384
+SAMPLE = 16_384          # and no more than SAMPLE_BYTES of double-precision components
+SAMPLE_BYTES = 32 << 20
 SUBSPACES = 8
 CODES = 256
 PROBE_Z = 3.5
@@ -157,7 +158,7 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     book = None
     if dims:
         picked = (classes.where(F.size("embedding") == dims["d"]).orderBy(F.xxhash64("embedding"), "id")
-                  .limit(SAMPLE).select("embedding").toPandas())  # at most SAMPLE vectors
+                  .limit(max(CODES, min(SAMPLE, SAMPLE_BYTES // (8 * dims["d"])))).select("embedding").toPandas())
         book = fit(unit_rows(picked["embedding"]), total)
 
     def code(batches):
