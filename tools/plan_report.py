@@ -22,7 +22,7 @@ NOTES = {
     "gold_daily": "dedup: map-side WindowGroupLimit before the key exchange; daily: partial "
                   "aggregation on (keys, id) and on keys before each exchange.",
     "gold_summaries": "the fused daily + KPI aggregate used by the Gold jobs.",
-    "enrich_dim": "dimension pruned to two columns, broadcast after a bounded count.",
+    "enrich_dim": "dimension pruned to two columns; the planner broadcasts it by its size.",
     "exp_suite_silver": "all inline checks in one HashAggregate; uniqueness in its own "
                         "aggregation.",
     "partition_scan": "only the date's leaf folder is listed; PartitionFilters on the scan.",
