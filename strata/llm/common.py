@@ -71,16 +71,15 @@ def connected_components(links: DataFrame) -> DataFrame:
                    .agg(F.min("b").alias("nb"))
                    .select("id", F.least("id", "nb").alias("component")), "cc-labels")
     while True:
+        own = labels.select("id", "component", F.col("component").alias("old"))
         around = (edges.join(labels, edges.b == labels.id)
-                  .select(F.col("a").alias("id"), "component")
-                  .union(labels.select("id", "component"))
-                  .groupBy("id").agg(F.min("component").alias("near")))
+                  .select(F.col("a").alias("id"), "component", F.lit(None).cast("long").alias("old"))
+                  .union(own).groupBy("id")
+                  .agg(F.min("component").alias("near"), F.min("old").alias("old")))
         target = labels.select(F.col("id").alias("near"), F.col("component").alias("jump"))
         moved = stage(around.join(target, "near")
-                      .select("id", F.least("near", "jump").alias("component"))
-                      .join(labels.select("id", F.col("component").alias("old")), "id")
-                      .select("id", "component", (F.col("component") != F.col("old")).alias("moved")),
-                      "cc-labels")
+                      .select("id", F.least("near", "jump").alias("component"),
+                              (F.least("near", "jump") != F.col("old")).alias("moved")), "cc-labels")
         labels = moved.select("id", "component")
         if not moved.where("moved").limit(1).count():
             return labels

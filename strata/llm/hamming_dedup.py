@@ -9,9 +9,9 @@ probability of about 1e-6 (16 chunks of 7 values, one error). Links are confirme
 
 Nothing is emitted per pair of a large group: equal sets are folded into one class first; then
 every class is confirmed against the one bucket representative it shares most keys with, the
-components that gives are compared through their representatives, and only pairs that still lie
-in different components of one bucket are compared one by one. What is skipped cannot change a
-component, so all links count.
+components that gives are compared through their representatives, and what then still lies in
+different components of one bucket is paired by its rarest shingles (an exact prefix filter) and
+compared one by one. What is skipped cannot change a component, so all links count.
 
 Defined cases: a null, empty or blank text has no shingles and links with nothing; repeated rows
 are links of their own; a null id takes part but names no component; other columns are ignored;
@@ -158,22 +158,22 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     component = _labels(members, links)
     # 2. Components against each other, by the pair of members that shares most keys.
     for _ in range(STAR_ROUNDS):
+        found = links.count()
         across = (_with(star, component, "id", "ca")
                   .transform(lambda d: _with(d, component, "rep", "cb")).where("ca != cb")
                   .groupBy(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
                   .agg(F.max(F.struct("common", "id", "rep")).alias("m"))
                   .select(F.col("m.id").alias("a"), F.col("m.rep").alias("b")))
         links = links.union(confirm(across))
+        if links.count() == found:
+            break
         component = _labels(members, links)
-    # 3. What is left: pairs of one bucket that lie in different components.
+    # 3. What is left: members of buckets that still hold several components.
     mixed = _with(shared.select("key", "id"), component, "id", "c")
     open_keys = (mixed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"))
                  .where("c1 < c2").select("key"))
-    rest = stage(mixed.join(open_keys, "key"), "hd-open")
-    other = rest.select("key", F.col("id").alias("b"), F.col("c").alias("c_b"))
-    pairs = (rest.select("key", F.col("id").alias("a"), "c").join(other, "key")
-             .where("a < b AND c != c_b").select("a", "b").distinct())
-    links = links.union(confirm(pairs))
+    left_open = mixed.join(open_keys, "key").select("id", "c").distinct()
+    links = links.union(confirm(_prefix_pairs(sets.select("id", "n", "shingles").join(left_open, "id"), percent)))
     component = _labels(members, links)
 
     named = classes.select("n", "h1", "h2", "id", "first_id").join(component, "id", "left").withColumn(
@@ -193,6 +193,25 @@ def link(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def _prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of ``members(id, n, shingles, c)`` in different components ``c`` that can
+    reach the similarity: two such sets share one of the rarest ``n - ceil(n * percent / 100) + 1``
+    shingles of either (counted among the members), so no link is lost, while members that have
+    only a common passage in common make no pair."""
+    members = stage(members, "hd-open")
+    each = members.select("id", F.explode("shingles").alias("g"))
+    rare = each.groupBy("g").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # A shingle of one member alone takes a place among its rarest but makes no pair.
+    mine = each.join(rare, "g").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("held", "g"))).alias("gs"))
+    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("gs"))
+    prefix = stage(members.select("id", "n", "c").join(mine, "id").where(places > 0)
+                   .select("id", "n", "c", F.explode(F.slice("gs", F.lit(1), places.cast("int"))).alias("s"))
+                   .select("id", "n", "c", F.col("s.g").alias("g")), "hd-prefix")
+    other = prefix.toDF("b", "n_b", "c_b", "g")
+    return (prefix.join(other, "g").where(f"id < b AND c != c_b AND least(n, n_b) * 100 >= greatest(n, n_b) * {percent}")
+            .select(F.col("id").alias("a"), "b").distinct())
+
+
 def keep_one(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns: those without shingles, and of each
     component the one with the smallest id (the smallest hash of the text where ids repeat or
