@@ -94,15 +94,15 @@ QUALITY_COLUMNS = ["check_name", "passed", "observed", "expected"]
 API_PAGE_SIZE = 50
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, int], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
+def landed(spark: SparkSession, sf_dir: str, page_size: int = 500) -> str:
     """Landing zone with every date of the raw events (Hive layout), written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, page_size)
     if key not in _LANDED:
         root = _scratch(spark, "landing")
-        fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="hive", page_size=API_PAGE_SIZE)
+        fixtures.land_raw_events(fixtures.raw_events(spark, sf_dir), root, layout="hive", page_size=page_size)
         _LANDED[key] = root
     return _LANDED[key]
 
@@ -594,7 +594,7 @@ def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sinks import writers
     from strata.sources.readers import api_page_counts as counts
     from strata.sources.readers import require_records
-    pages = writers.stage(counts(spark, f"{landed(spark, sf_dir)}/api/events"), "page-counts")
+    pages = writers.stage(counts(spark, f"{landed(spark, sf_dir, API_PAGE_SIZE)}/api/events"), "page-counts")
     require_records(pages)
     return pages
 
