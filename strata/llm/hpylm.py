@@ -2,8 +2,8 @@
 
 Every word is drawn in the restaurant of its context, and the tables of all context restaurants
 are the customers of one parent restaurant of single words, whose base is uniform over the
-vocabulary and one unknown word. A context is the previous word, hashed to one of ``CONTEXTS``
-restaurants (a size of the model, not of the data), or the start of a text. Seatings are
+vocabulary and one unknown word. A context is the 64-bit number of the previous word, or the start
+of a text: every word that precedes another has a restaurant of its own. Seatings are
 sampled by blocked Gibbs sweeps: the customers of a dish leave and are seated again one after
 another, given the table counts of the sweep before; the predictive probabilities of the sweeps
 after the burn-in are averaged.
@@ -16,12 +16,16 @@ How it runs:
   large share of all tokens (at most ``8 * buckets`` of them) are split over all buckets by
   context, and their parent counts travel with the totals, which are a few numbers per
   restaurant.
-* A sweep is one map over the buckets. Nothing but the totals (one row per context restaurant
-  and hot word) leaves it. Random numbers are seeded by bucket and sweep, so a task replays
-  earlier sweeps from their totals instead of storing seatings, and a lost executor costs no more
-  than its own tasks.
-* Scoring is a map over the buckets that returns partial sums per document, and one grouping by
-  block. The number of buckets grows with the texts, so that a bucket stays small.
+* The restaurants are kept as rows dealt by context to as many groups as there are buckets. A
+  bucket tells each group what it holds of the group's contexts, the group adds up the buckets'
+  parts and answers each bucket with the totals of its own contexts. Pairs (word, context) with
+  one customer keep their one table, so a sweep exchanges only contexts of pairs with more.
+* A sweep joins the answers to the buckets' seatings by shuffle. Only the totals of the parent
+  restaurant (a few numbers and one row per hot word) reach the driver. Seatings and messages are
+  written once per sweep, so a lost executor costs no more than its own tasks.
+* Scoring joins the totals of all sweeps to the buckets, replays the seatings (random numbers are
+  seeded by bucket and sweep) and returns partial sums per document for one grouping by block. The
+  number of buckets grows with the texts, so that a bucket stays small.
 
 Defined cases: a null or empty text is one end token; rows whose id is null are learned from;
 repeated rows count as often as they occur; without training rows every token is unknown; an
@@ -31,7 +35,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import pickle
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -42,8 +46,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import stage, text_or_empty
 from strata.llm.words import in_slices, mix, word_numbers
 
-CONTEXTS = 4096
-START = CONTEXTS                      # the context of a text's first word
+CONTEXTS = 4096                       # restaurants of a bucket made by hand; the model has no limit
+START = np.uint64(0xA57A27A57A27A571)  # the context of a text's first word
 END = np.uint64(0x5D1E0F7E5D1E0F7E)   # the number of the end token
 BURN_IN, SAMPLES = 2, 3
 STRENGTH = 1.0
@@ -67,7 +71,7 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(words, contexts, lengths)``: all tokens of the texts with their ends, the context
-    restaurant of each, and the number of tokens of each text."""
+    of each, and the number of tokens of each text."""
     parts = [word_numbers(texts[a:b]) for a, b in in_slices(texts)]
     numbers = np.concatenate([n for n, _ in parts])
     lengths = np.concatenate([np.diff(bounds) for _, bounds in parts]) + 1
@@ -76,8 +80,8 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(words), bool)
     inner[last] = False
     words[inner], words[last] = numbers, END
-    contexts = np.empty(len(words), np.int64)
-    contexts[1:] = (mix(words[:-1]) % np.uint64(CONTEXTS)).astype(np.int64)
+    contexts = np.empty(len(words), np.uint64)
+    contexts[1:] = words[:-1]
     contexts[last - lengths + 1] = START
     return words, contexts, lengths
 
@@ -107,8 +111,8 @@ def seat(customers: np.ndarray, pull: np.ndarray, discount: float, rng) -> np.nd
 
 @dataclass
 class Totals:
-    """What all buckets share after a sweep: small, whatever the corpus."""
-    tables: np.ndarray                       # of each context restaurant
+    """What a bucket knows of all buckets after a sweep."""
+    tables: np.ndarray                       # of the restaurants of the bucket's contexts
     customers_1: float = 0.0                 # of the parent restaurant
     tables_1: float = 0.0
     hot_customers: np.ndarray = field(default_factory=lambda: np.zeros(0))  # of each hot word there
@@ -120,7 +124,7 @@ class Corpus:
     """Counts that stay as they are."""
     tokens: int
     vocabulary: int
-    customers: np.ndarray                    # of each context restaurant
+    customers: np.ndarray                    # of the restaurants of the bucket's contexts
     hot: np.ndarray                          # hot words, ascending
     hot_counts: np.ndarray
     discount: float
@@ -128,9 +132,10 @@ class Corpus:
 
 
 class Bucket:
-    """Words of one bucket with their pairs (word, context), sorted, and training counts."""
+    """Words of one bucket with their pairs (word, context), sorted, and training counts.
+    ``singles``: each word's pairs of one customer, if the model leaves them out."""
 
-    def __init__(self, number: int, model: bytes, corpus: Corpus):
+    def __init__(self, number: int, model: bytes, corpus: Corpus, singles: np.ndarray | None = None):
         self.number, self.corpus = number, corpus
         self.words, runs, context, self.count = (np.asarray(x) for x in _unpack(model))
         self.context = context.astype(np.int64)
@@ -143,10 +148,11 @@ class Bucket:
         self.word_count = np.bincount(self.word_of, self.count, len(self.words))
         self.word_count[self.is_hot] = corpus.hot_counts[at[self.is_hot]]
         self.tables = np.minimum(self.count, 1)
+        self.singles = np.zeros(len(self.words)) if singles is None else singles
 
     def parents(self) -> np.ndarray:
         """Customers of each word in the parent restaurant (of hot words, from this bucket)."""
-        return np.bincount(self.word_of, self.tables, len(self.words))
+        return self.singles + np.bincount(self.word_of, self.tables, len(self.words))
 
     def word_probability(self, totals: Totals, tables_1: np.ndarray) -> np.ndarray:
         c = self.corpus
@@ -209,6 +215,38 @@ def _hot_words(texts: DataFrame, buckets: int) -> np.ndarray:
     return np.sort(np.array([r.word for r in rows], np.int64).view(np.uint64))
 
 
+def _messages(contexts: np.ndarray, groups: int, *values: np.ndarray):
+    """``(group, data)`` of the contexts of each group; contexts come sorted by group."""
+    ends = np.searchsorted((contexts % np.uint64(groups)).astype(np.int64), np.arange(groups + 1))
+    for g in np.flatnonzero(np.diff(ends)):
+        here = slice(ends[g], ends[g + 1])
+        yield int(g), _pack(contexts[here], *(_narrow(v[here]) for v in values))
+
+
+def _add_up(messages: list[bytes], sent: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Contexts of the messages, ascending, and the sums of the ``sent`` values of each."""
+    if not messages:
+        return np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * sent
+    parts = [_unpack(m) for m in messages]
+    contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return contexts, [np.bincount(at, np.concatenate([p[1 + i] for p in parts]), len(contexts)).astype(np.int64)
+                      for i in range(sent)]
+
+
+def _look_up(contexts: np.ndarray, totals: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The totals of the asked contexts, 0 for others."""
+    if not len(contexts):
+        return np.zeros(len(asked), np.int64)
+    at = np.minimum(np.searchsorted(contexts, asked), len(contexts) - 1)
+    return np.where(contexts[at] == asked, totals[at], 0)
+
+
+def _answered(answers: pd.DataFrame, values: int) -> list[np.ndarray]:
+    """The answers of all groups to one bucket, in the order of its contexts."""
+    parts = [_unpack(d) for d in answers.sort_values("group")["data"]]
+    return [np.concatenate([np.zeros(0, np.int64), *(p[i].astype(np.int64) for p in parts)]) for i in range(values)]
+
+
 def _blocks(texts: pd.Series):
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -240,18 +278,30 @@ def score(docs: DataFrame) -> DataFrame:
                 words, contexts, lengths = tokens(part["text"].tolist())
                 doc = np.repeat(2 * np.arange(len(part)) + part["held_out"].to_numpy(), lengths)
                 known, word = np.unique(words, return_inverse=True)
+                # Contexts are numbered by group and number, as the buckets keep them.
+                values = np.append(known, START)
+                by_group = np.lexsort((values, values % np.uint64(buckets)))
+                rank = np.empty(len(values), np.uint64)
+                rank[by_group] = np.arange(len(values), dtype=np.uint64)
+                values = values[by_group]
+                context = np.empty(len(words), np.uint64)
+                context[1:] = rank[word[:-1]]
+                context[np.cumsum(lengths) - lengths] = rank[-1]
                 # Word, context and document as one number: its distinct values are the entries.
-                docs_bits = int(2 * len(part)).bit_length()
-                one = ((word.astype(np.uint64) << np.uint64(13)) | contexts.astype(np.uint64)) \
-                    << np.uint64(docs_bits) | doc.astype(np.uint64)
+                docs_bits, bits = int(2 * len(part)).bit_length(), len(known).bit_length()
+                pair, pairs = (word.astype(np.uint64) << np.uint64(bits)) | context, None
+                if 2 * bits + docs_bits > 64:
+                    pairs, pair = np.unique(pair, return_inverse=True)
+                one = (pair.astype(np.uint64) << np.uint64(docs_bits)) | doc.astype(np.uint64)
                 one, times = np.unique(one, return_counts=True)
                 doc = (one & np.uint64((1 << docs_bits) - 1)).astype(np.int64)
                 pair = one >> np.uint64(docs_bits)
-                context, word = (pair & np.uint64(8191)).astype(np.int64), (pair >> np.uint64(13)).astype(np.int64)
+                pair = pair if pairs is None else pairs[pair.astype(np.int64)]
+                context = (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
+                word = (pair >> np.uint64(bits)).astype(np.int64)
                 target = (known % np.uint64(buckets))[word]
                 is_hot = np.isin(known, hot)[word]
-                target[is_hot] = mix(known[word[is_hot]] ^ (context[is_hot].astype(np.uint64) << np.uint64(40))) \
-                    % np.uint64(buckets)
+                target[is_hot] = mix(known[word[is_hot]] ^ mix(values[context[is_hot]])) % np.uint64(buckets)
                 order = np.argsort(target.astype(np.int32), kind="stable")
                 ends = np.searchsorted(target[order], np.arange(buckets + 1))
                 rows = [(-1 - (block >> 32) % 64, block,
@@ -261,48 +311,66 @@ def score(docs: DataFrame) -> DataFrame:
                     i = order[ends[k]:ends[k + 1]]
                     if len(i):
                         own, runs = np.unique(word[i], return_counts=True)
-                        rows.append((k, block, _pack(known[own], _narrow(runs), context[i].astype(np.uint16),
+                        before, at = np.unique(context[i], return_inverse=True)
+                        rows.append((k, block, _pack(known[own], _narrow(runs), values[before], _narrow(at),
                                                      _narrow(doc[i]), _narrow(times[i]))))
                 yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
                 block += 1
 
+    held_columns = ["bucket", "group", "block", "model", "entries", "core", "message", "stats"]
+
     def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         number = int(key[0])
         if number < 0:  # what the blocks know about their documents
-            return pd.DataFrame({"bucket": number, "block": pdf["block"], "model": None, "entries": pdf["data"],
-                                 "stats": None})
+            return pd.DataFrame({"bucket": number, "block": pdf["block"], "entries": pdf["data"]}).reindex(
+                columns=held_columns).astype({"group": "Int32"})
         pdf = pdf.sort_values("block")
         parts = [_unpack(d) for d in pdf["data"]]
         words = np.unique(np.concatenate([p[0] for p in parts]))
-        pairs = [(np.repeat(np.searchsorted(words, p[0]), p[1]).astype(np.int64) << 13) | p[2] for p in parts]
+        sorted_contexts = np.unique(np.concatenate([p[2] for p in parts]))
+        by_group = np.lexsort((sorted_contexts, sorted_contexts % np.uint64(buckets)))
+        contexts, size = sorted_contexts[by_group], len(by_group)
+        rank = np.empty(size, np.int64)
+        rank[by_group] = np.arange(size)
+        pairs = [np.repeat(np.searchsorted(words, p[0]), p[1]).astype(np.int64) * size
+                 + rank[np.searchsorted(sorted_contexts, p[2])][p[3]] for p in parts]
         known = np.unique(np.concatenate(pairs))
         count = np.zeros(len(known), np.int64)
         entries = []
         for block, p, pair in zip(pdf["block"], parts, pairs):
             at = np.searchsorted(known, pair)
-            count += np.bincount(at, p[4].astype(np.int64) * (1 - (p[3] & 1)), len(known)).astype(np.int64)
-            entries.append((int(block), _narrow(np.diff(at, prepend=0)), p[3], p[4]))
-        word, context = known >> 13, known & 8191
+            count += np.bincount(at, p[5].astype(np.int64) * (1 - (p[4] & 1)), len(known)).astype(np.int64)
+            entries.append((int(block), _narrow(np.diff(at, prepend=0)), p[4], p[5]))
+        word, context = known // size, known % size
         trained = count > 0
         per_word = np.bincount(word, count, len(words)).astype(np.int64)
         is_hot = np.isin(words, hot)
-        tables = np.bincount(context[trained], minlength=CONTEXTS + 1)
-        customers = np.bincount(context, count, CONTEXTS + 1).astype(np.int64)
+        tables = np.bincount(context[trained], minlength=size)
+        customers = np.bincount(context, count, size).astype(np.int64)
         parents = np.bincount(word[trained], minlength=len(words))
         cold = ~is_hot & (per_word > 0)
-        stats = _pack(tables, customers, words[is_hot], per_word[is_hot], parents[is_hot], int(cold.sum()),
+        stats = _pack(words[is_hot], per_word[is_hot], parents[is_hot], int(cold.sum()),
                       int(parents[cold].sum()), int((count == 1).sum()), int((count == 2).sum()),
-                      int((parents[cold] == 1).sum()), int((parents[cold] == 2).sum()))
-        return pd.DataFrame({"bucket": [number], "block": [-1],
-                             "model": [_pack(words, _narrow(np.bincount(word, minlength=len(words))),
-                                             context.astype(np.uint16), _narrow(count))],
-                             "entries": [_pack(*entries)], "stats": [stats]})
+                      int((parents[cold] == 1).sum()), int((parents[cold] == 2).sum()), int(count.sum()))
+        model = _pack(words, _narrow(np.bincount(word, minlength=len(words))), _narrow(context), _narrow(count))
+        # What sweeps change: the pairs with more than one customer, and their contexts.
+        many = count > 1
+        moving = np.bincount(context[many], minlength=size) > 0
+        singles = np.bincount(word[count == 1], minlength=len(words))
+        core = _pack(_pack(words, _narrow(np.bincount(word[many], minlength=len(words))),
+                           _narrow((np.cumsum(moving) - 1)[context[many]]), _narrow(count[many])),
+                     _narrow(singles), contexts[moving], None, None, None)
+        rows = [(number, None, -1, model, _pack(*entries), core, None, stats)]
+        rows += [(number, g, -1, None, None, None, data, None)
+                 for g, data in _messages(contexts, buckets, tables, customers, moving.astype(np.uint8))]
+        return pd.DataFrame(rows, columns=held_columns).astype({"group": "Int32"})
 
     held_rows = stage(texts.mapInPandas(cut, "bucket int, block long, data binary").groupBy("bucket").applyInPandas(
-        merge, "bucket int, block long, model binary, entries binary, stats binary"), "lm-buckets")
+        merge, "bucket int, group int, block long, model binary, entries binary, core binary, message binary, "
+               "stats binary"), "lm-buckets")
 
     def add_up(rows: DataFrame, names: int) -> dict[str, np.ndarray]:
-        """Sum rows ``kind, at, v0, …`` over the buckets: one row per restaurant or hot word."""
+        """Sum rows ``kind, at, v0, …`` over the buckets: one row per total or hot word."""
         sums = [F.sum(f"v{i}").alias(f"v{i}") for i in range(names)]
         got = stage(rows.groupBy("kind", "at").agg(*sums), "lm-totals").toPandas()
         return {k: g.sort_values("at") for k, g in got.groupby("kind")}
@@ -316,70 +384,127 @@ def score(docs: DataFrame) -> DataFrame:
     def first_totals(batches):
         for pdf in batches:
             for data in pdf["stats"]:
-                t, c, words, counts, parents, v, p, n1, n2, m1, m2 = _unpack(data)
+                words, counts, parents, *scalars = _unpack(data)
                 at = np.searchsorted(hot, words)
                 yield pd.concat([
-                    pd.DataFrame({"kind": "c", "at": np.arange(len(t)), "v0": t, "v1": c}),
                     pd.DataFrame({"kind": "h", "at": at, "v0": counts, "v1": parents}),
-                    pd.DataFrame({"kind": "s", "at": np.arange(6), "v0": [v, p, n1, n2, m1, m2], "v1": 0})])
+                    pd.DataFrame({"kind": "s", "at": np.arange(len(scalars)), "v0": scalars, "v1": 0})])
 
-    mine = held_rows.where("bucket >= 0")
+    mine = held_rows.where("model IS NOT NULL")
+    first = held_rows.where("message IS NOT NULL").select("group", "bucket", F.lit(0).alias("sweep"), "message")
     got = add_up(mine.select("stats").mapInPandas(first_totals, "kind string, at int, v0 long, v1 long"), 2)
     hot_counts, hot_parents = dense(got, "h", "v0", len(hot)), dense(got, "h", "v1", len(hot))
-    v, p, n1, n2, m1, m2 = dense(got, "s", "v0", 6)
-    customers = dense(got, "c", "v1", CONTEXTS + 1)
+    v, p, n1, n2, m1, m2, n = dense(got, "s", "v0", 7)
     ratio = lambda a, b: float(np.clip(a / (a + 2 * b), 0.1, 0.95)) if a + b else 0.5
-    corpus = Corpus(int(customers.sum()), int(v + (hot_counts > 0).sum()), customers, hot, hot_counts,
-                    ratio(n1, n2), ratio(m1, m2))
-    history = [Totals(dense(got, "c", "v0", CONTEXTS + 1), p + hot_parents.sum(), v + (hot_parents > 0).sum(),
+    nothing = np.zeros(0)
+    corpus = Corpus(int(n), int(v + (hot_counts > 0).sum()), nothing, hot, hot_counts, ratio(n1, n2), ratio(m1, m2))
+    history = [Totals(nothing, p + hot_parents.sum(), v + (hot_parents > 0).sum(),
                       hot_parents, np.minimum(hot_parents, 1))]
 
+    def answer_first(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Each bucket's moving contexts: the tables of their restaurants before the first sweep."""
+        contexts, (tables,) = _add_up(list(pdf["message"]), 1)
+        rows = []
+        for bucket, group, data in zip(pdf["bucket"], pdf["group"], pdf["message"]):
+            asked, _, _, moving = _unpack(data)
+            if moving.any():
+                rows.append((bucket, group, _pack(_narrow(_look_up(contexts, tables, asked[moving > 0])))))
+        return pd.DataFrame(rows, columns=["bucket", "group", "data"])
+
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The tables of a sweep beyond the first of each pair."""
+        contexts, (more,) = _add_up(list(pdf["message"]), 1)
+        return pd.DataFrame([(bucket, group, _pack(_narrow(_look_up(contexts, more, _unpack(data)[0]))))
+                             for bucket, group, data in zip(pdf["bucket"], pdf["group"], pdf["message"])],
+                            columns=["bucket", "group", "data"])
+
+    def answer_all(pdf: pd.DataFrame) -> pd.DataFrame:
+        """All contexts of each bucket: customers, first tables, and what each sweep added."""
+        asks = pdf[pdf["sweep"] == 0]
+        contexts, (tables, customers) = _add_up(list(asks["message"]), 2)
+        by_sweep = [_add_up(list(pdf.loc[pdf["sweep"] == s, "message"]), 1) for s in range(1, BURN_IN + SAMPLES + 1)]
+        rows = []
+        for bucket, group, data in zip(asks["bucket"], asks["group"], asks["message"]):
+            asked = _unpack(data)[0]
+            rows.append((bucket, group, _pack(
+                _narrow(_look_up(contexts, customers, asked)), _narrow(_look_up(contexts, tables, asked)),
+                *(_narrow(_look_up(c, more, asked)) for c, (more,) in by_sweep))))
+        return pd.DataFrame(rows, columns=["bucket", "group", "data"])
+
+    def answers(messages: DataFrame, function) -> DataFrame:
+        return messages.groupBy("group").applyInPandas(function, "bucket int, group int, data binary")
+
+    def sweep(s: int, before: Totals):
+        def run(core: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+            number = int(core["bucket"].iloc[0])
+            model, singles, contexts, tables, tables_1, first_tables = _unpack(core["data"].iloc[0])
+            heard, = _answered(told, 1)
+            bucket = Bucket(number, model, corpus, singles.astype(np.int64))
+            if s == 1:
+                first_tables = heard
+                tables_1 = np.minimum(bucket.parents(), 1)
+            else:
+                bucket.tables = tables.astype(np.int64)
+                heard = heard + first_tables
+            tables_1 = bucket.sweep(s, replace(before, tables=heard), tables_1.astype(np.int64))
+            more = np.bincount(bucket.context, bucket.tables - 1, len(contexts)).astype(np.int64)
+            parents, cold = bucket.parents(), ~bucket.is_hot
+            core = _pack(model, singles, contexts, _narrow(bucket.tables), _narrow(tables_1), _narrow(first_tables))
+            sends = list(_messages(contexts, buckets, more))
+            hot_at = bucket.hot_at[bucket.is_hot]
+            columns = ["kind", "at", "bucket", "v0", "core", "message"]
+            return pd.concat([
+                pd.DataFrame([("b", number, number, 0, core, None)] + [("m", g, number, 0, None, data)
+                                                                       for g, data in sends], columns=columns),
+                pd.DataFrame({"kind": "h", "at": hot_at, "bucket": number, "v0": parents[bucket.is_hot].astype(np.int64),
+                              "core": None, "message": None}),
+                pd.DataFrame({"kind": "s", "at": [0, 1], "bucket": number, "v0": [
+                    int(parents[cold].sum()), int(tables_1[cold].sum())], "core": None, "message": None})])
+
+        return run
+
+    cores = mine.select("bucket", F.col("core").alias("data"))
+    sent, told = first, answers(first, answer_first)
     for s in range(1, BURN_IN + SAMPLES + 1):
-        def run_sweep(batches, history=tuple(history)):
-            for pdf in batches:
-                for number, model in zip(pdf["bucket"], pdf["model"]):
-                    bucket = Bucket(number, model, corpus)
-                    for tables_1 in bucket.replay(list(history)):
-                        pass
-                    parents = bucket.parents()
-                    cold = ~bucket.is_hot
-                    yield pd.concat([
-                        pd.DataFrame({"kind": "c", "at": np.arange(CONTEXTS + 1), "v0": np.bincount(
-                            bucket.context, bucket.tables, CONTEXTS + 1).astype(np.int64)}),
-                        pd.DataFrame({"kind": "h", "at": bucket.hot_at[bucket.is_hot],
-                                      "v0": parents[bucket.is_hot].astype(np.int64)}),
-                        pd.DataFrame({"kind": "s", "at": [0, 1], "v0": [int(parents[cold].sum()),
-                                                                        int(tables_1[cold].sum())]})])
-
-        got = add_up(mine.select("bucket", "model").mapInPandas(run_sweep, "kind string, at int, v0 long"), 1)
+        rows = stage(cores.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
+            sweep(s, history[-1]), "kind string, at int, bucket int, v0 long, core binary, message binary"), "lm-sweep")
+        cores = rows.where("kind = 'b'").select("bucket", F.col("core").alias("data"))
+        messages = rows.where("kind = 'm'").select(F.col("at").alias("group"), "bucket", F.lit(s).alias("sweep"),
+                                                   "message")
+        sent, told = sent.union(messages), answers(messages, answer)
+        got = add_up(rows.where("kind IN ('h', 's')").select("kind", "at", "v0"), 1)
         hot_customers = dense(got, "h", "v0", len(hot))
         last = history[-1]
         weight = (STRENGTH + corpus.discount_1 * last.tables_1) / (corpus.vocabulary + 1)
         hot_tables = seat(hot_customers.astype(np.int64), np.full(len(hot), weight), corpus.discount_1,
                           np.random.default_rng([1 << 30, s])).astype(float)
         sums = dense(got, "s", "v0", 2)
-        history.append(Totals(dense(got, "c", "v0", CONTEXTS + 1), sums[0] + hot_customers.sum(),
+        history.append(Totals(nothing, sums[0] + hot_customers.sum(),
                               sums[1] + hot_tables.sum(), hot_customers, hot_tables))
 
-    def rate(batches):
-        for pdf in batches:
-            for number, model, entries in zip(pdf["bucket"], pdf["model"], pdf["entries"]):
-                bucket = Bucket(number, model, corpus)
-                mean = np.zeros(len(bucket.count))
-                for s, tables_1 in enumerate(bucket.replay(history[:-1]), 1):
-                    if s > BURN_IN:
-                        mean += bucket.predictive(history[s], tables_1) / SAMPLES
-                log_p = np.log10(mean)
-                seen = bucket.word_count[bucket.word_of]
-                log_c, is_known = np.log10(seen + 1), (seen > 0).astype(np.int64)
-                for block, step, doc, times in _unpack(entries):
-                    at, doc = np.cumsum(step, dtype=np.int64), doc.astype(np.int64) >> 1
-                    here, doc = np.unique(doc, return_inverse=True)
-                    yield pd.DataFrame({"block": [block], "kind": [1], "data": [_pack(
-                        _narrow(here), np.bincount(doc, times * log_p[at]), np.bincount(doc, times * log_c[at]),
-                        _narrow(np.bincount(doc, times * is_known[at]).astype(np.int64)))]})
-
-    partial = mine.select("bucket", "model", "entries").mapInPandas(rate, "block long, kind int, data binary")
+    def rate(held: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        number, model, entries = held[["bucket", "model", "entries"]].iloc[0]
+        customers, first_tables, *more = _answered(told, 2 + BURN_IN + SAMPLES)
+        known = [replace(h, tables=first_tables + m) for h, m in zip(history, [0, *more])]
+        bucket = Bucket(int(number), model, replace(corpus, customers=customers))
+        mean = np.zeros(len(bucket.count))
+        for s, tables_1 in enumerate(bucket.replay(known[:-1]), 1):
+            if s > BURN_IN:
+                mean += bucket.predictive(known[s], tables_1) / SAMPLES
+        log_p = np.log10(mean)
+        seen = bucket.word_count[bucket.word_of]
+        log_c, is_known = np.log10(seen + 1), (seen > 0).astype(np.int64)
+        rows = []
+        for block, step, doc, times in _unpack(entries):
+            at, doc = np.cumsum(step, dtype=np.int64), doc.astype(np.int64) >> 1
+            here, doc = np.unique(doc, return_inverse=True)
+            rows.append((block, 1, _pack(
+                _narrow(here), np.bincount(doc, times * log_p[at]), np.bincount(doc, times * log_c[at]),
+                _narrow(np.bincount(doc, times * is_known[at]).astype(np.int64)))))
+        return pd.DataFrame(rows, columns=["block", "kind", "data"])
+
+    partial = mine.select("bucket", "model", "entries").groupBy("bucket").cogroup(
+        answers(sent, answer_all).groupBy("bucket")).applyInPandas(rate, "block long, kind int, data binary")
     about = held_rows.where("bucket < 0").select("block", F.lit(0).alias("kind"), F.col("entries").alias("data"))
     slots = np.log10(float(corpus.tokens + corpus.vocabulary + 1))
 

@@ -356,6 +356,21 @@ def test_language_model_learns_contexts(spark):
         (r.doc_id, r.score) for r in out)  # seeded: reruns agree
 
 
+def test_language_model_keeps_contexts_apart(spark):
+    rng = random.Random(8)
+    n = 20_000  # several words for each of the 4,096 restaurants that contexts were once hashed to
+    follows = list(range(n))
+    rng.shuffle(follows)
+    texts = []
+    for _ in range(1000):
+        w = [rng.randrange(n)]
+        while len(w) < 400:
+            w.append(follows[w[-1]])
+        texts.append(" ".join(f"w{x}" for x in w))
+    held = [r for r in hpylm.score(frame(spark, texts)).collect() if r.held_out]
+    assert 10 ** (-sum(r.score for r in held) / sum(r.n_tokens for r in held)) < 2
+
+
 def test_predictive_probabilities_sum_to_one():
     import numpy as np
     rng = np.random.default_rng(2)
