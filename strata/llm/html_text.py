@@ -60,6 +60,7 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 SMOOTH = (0.25, 0.5, 0.25)   # along the sequence of blocks
 THRESHOLD = 0.35             # of the best path's fused ratio
 WRAPPED_CHARS = 400          # text that only a marked wrapper of the page would hold
+NAMED = 16.0                 # added to the ratios of paths inside the only article or main
 SHARE = 0.6                  # of the selected text that the article holds
 
 
@@ -80,9 +81,9 @@ def _marked(tag: str, attributes: str, inside: bool, strict: bool) -> bool:
     state of a whole page count only if ``strict``."""
     if tag in NEVER or (tag == "header" and not inside):
         return True
-    if not attributes.strip() or tag in ("html", "body", "article", "main"):
+    if not attributes.strip() or tag in ("html", "body", "main"):
         return False
-    words = set()
+    words, names = set(), []
     for name, value in _MARKED.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -92,6 +93,10 @@ def _marked(tag: str, attributes: str, inside: bool, strict: bool) -> bool:
                 return True
         else:
             words.update(w.lower() for w in _WORDS.findall(value))
+            names += value.split()
+    if tag == "article":  # a comment or a related card; a post may say that its comments are open
+        starts = {w[0].lower() for w in map(_WORDS.findall, names) if w}
+        return bool(starts & STRONG_MARKS and not {n.lower() for n in names} & CONTENT_MARKS)
     if tag in HEADINGS:
         words.discard("header")
     if words & LAYOUT_MARKS:
@@ -192,7 +197,21 @@ def _ratios(blocks) -> dict[str, float]:
     fused: dict[str, list[float]] = {}
     for (element, _, _), x, y in zip(blocks, smooth(length), smooth(marks)):
         fused.setdefault(element.path, []).append(math.log1p(x) * (1 + math.log1p(y)))
-    return {path: sum(v) / len(v) if totals[path][1] > 0 else 0.0 for path, v in fused.items()}
+    # A page with one article or main names its text; several are a list, which says nothing.
+    outermost = {id(e) for e in (_outermost(element) for element, _, _ in blocks) if e}
+    named = {e.path for e, _, _ in blocks if e.inside} if len(outermost) == 1 else ()
+    return {path: sum(v) / len(v) + (NAMED if path in named else 0.0) if totals[path][1] > 0 else 0.0
+            for path, v in fused.items()}
+
+
+def _outermost(element: _Element) -> _Element | None:
+    """The outermost article or main around an element."""
+    found = None
+    while element:
+        if element.tag in ("article", "main"):
+            found = element
+        element = element.parent
+    return found
 
 
 def extract(page: str | None) -> str:
@@ -204,7 +223,6 @@ def extract(page: str | None) -> str:
         wrapped = blocks_of(page, strict=False)
         if sum(len(t) - links for _, t, links in wrapped) >= WRAPPED_CHARS:
             blocks = wrapped
-    blocks = [b for b in blocks if b[0].inside] or blocks  # a page that marks its article says where it is
     if not blocks:
         return ""
     ratios = _ratios(blocks)

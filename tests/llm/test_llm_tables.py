@@ -100,6 +100,22 @@ def test_html_text_keeps_whole_articles():
     assert len(out.split("\n")) == 8001
 
 
+WORDS = "A sentence of the text, long enough to be read, with marks. "
+
+
+def test_html_text_beside_articles_that_are_cards():
+    post = "".join(f"<p>{i}. {WORDS * 4}</p>" for i in range(5))
+    cards = "<article class='card'><p>Other page</p></article>" * 3
+    out = html_text.extract(f"<body><div class='post'>{post}</div><div>{cards}</div></body>").split("\n")
+    assert out == [f"{i}. {WORDS * 4}".strip() for i in range(5)]
+
+
+def test_html_text_drops_comments_that_are_articles():
+    page = f"<main><h1>T</h1><p>{WORDS * 3}</p><article class='comment'><p>Well said, I like it.</p></article></main>"
+    assert html_text.extract(page) == f"T\n{WORDS * 3}".strip()
+    assert html_text.extract(f"<article class='post comments-open'><p>{WORDS}</p></article>") == WORDS.strip()
+
+
 def test_html_text_never_fails():
     rng = random.Random(1)
     pieces = ["<p>", "</p>", "<div class='a", "'>", "<b>", "</b>", "text, ", "&am", "<!--", "-->", "<", ">", "<script>",
