@@ -3,9 +3,11 @@
 A page is read as a sequence of blocks (runs of inline content between block-level tags), each
 with the path of tags from the root to it. Text length and punctuation are totalled per path and
 divided by its number of blocks; the ratios are smoothed along the page, fused, and paths above
-a threshold hold the content. The element that gathers most of that content is the article;
+a threshold hold the content. The smallest element that holds all of that content is the article;
 what it contains in page order is the text, without the parts that are never content (menus,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles).
+headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles). If only the body
+holds it, the text reaches from the first block of content to the last. Headings before the text
+belong to it, and beside blocks of the body lists and tables that are not mostly links.
 
 Defined cases: a null or empty html, or one without content, gives an empty text; tags left open
 are closed by what follows, as browsers do; broken markup never fails; repeated rows and null
@@ -61,11 +63,10 @@ SMOOTH = (0.25, 0.5, 0.25)   # along the sequence of blocks
 THRESHOLD = 0.35             # of the best path's fused ratio
 WRAPPED_CHARS = 400          # text that only a marked wrapper of the page would hold
 NAMED = 16.0                 # added to the ratios of paths inside the only article or main
-SHARE = 0.6                  # of the selected text that the article holds
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "skip", "inside", "weight", "depth")
+    __slots__ = ("tag", "parent", "path", "skip", "inside", "depth")
 
     def __init__(self, tag, parent, skip):
         self.tag, self.parent = tag, parent
@@ -73,7 +74,6 @@ class _Element:
         self.depth = parent.depth + 1 if parent else 0
         self.inside = bool(parent and (parent.inside or tag in ("article", "main")))  # of an article
         self.skip = skip
-        self.weight = 0.0
 
 
 def _marked(tag: str, attributes: str, inside: bool, strict: bool) -> bool:
@@ -227,37 +227,48 @@ def extract(page: str | None) -> str:
         return ""
     ratios = _ratios(blocks)
     line = THRESHOLD * max(ratios.values())
-    chosen = [b for b in blocks if ratios[b[0].path] >= line and ratios[b[0].path] > 0]
-    total = 0.0
-    for element, text, links in chosen:
-        weight = (len(text) - links) * ratios[element.path]
-        total += weight
-        e = element
-        while e:
-            e.weight += weight
-            e = e.parent
-    best = None
-    for element, _, _ in chosen:
-        e = element
-        while e and e.weight < SHARE * total:
-            e = e.parent
-        if e and (best is None or e.depth > best.depth):
-            best = e
-    if best is None:
+    chosen = [i for i, (e, _, _) in enumerate(blocks) if ratios[e.path] >= line and ratios[e.path] > 0]
+    if not chosen:
         return ""
-    while best.parent and best.inside and best.parent.inside:
-        best = best.parent  # the whole article
-    if not best.inside and best.tag in ("p", "li", "blockquote", *HEADINGS) and best.parent:
+    best = blocks[chosen[0]][0]
+    for i in chosen[1:]:
+        best = _common(best, blocks[i][0])
+    while best.parent and best.tag in ("p", "li", "blockquote", *HEADINGS):
         best = best.parent
-    kept, paths = [], {e.path for e, _, _ in chosen}
-    for element, text, links in blocks:
-        e = element
-        while e and e is not best:
-            e = e.parent
-        if e and (best.inside or element.path in paths or element.tag in HEADINGS
-                  or (best.tag not in ("", "html", "body") and links * 2 <= len(text))):
-            kept.append(text)
-    return "\n".join(kept)
+    e = best
+    while e and e.tag not in ("article", "main"):
+        e = e.parent
+    best = e or best  # an article that the page names is taken whole
+    whole = best.tag not in ("", "html", "body")
+    held = [i for i, (e, _, _) in enumerate(blocks) if _common(e, best) is best] if whole else chosen
+    first, last = held[0], held[-1]  # an element's blocks follow one another
+
+    def beside(i: int) -> bool:
+        """Whether a block next to the text belongs to it."""
+        element, text, links = blocks[i]
+        return element.tag in HEADINGS or (not whole and links * 2 <= len(text) and _in_list(element))
+
+    while first and beside(first - 1):
+        first -= 1
+    while not whole and last + 1 < len(blocks) and beside(last + 1):
+        last += 1
+    return "\n".join(text for _, text, _ in blocks[first:last + 1])
+
+
+def _common(a: _Element, b: _Element) -> _Element:
+    """The innermost element that holds both."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a
+
+
+def _in_list(element: _Element) -> bool:
+    while element and element.tag not in ("ul", "ol", "dl", "table"):
+        element = element.parent
+    return element is not None
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

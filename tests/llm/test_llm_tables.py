@@ -116,6 +116,20 @@ def test_html_text_drops_comments_that_are_articles():
     assert html_text.extract(f"<article class='post comments-open'><p>{WORDS}</p></article>") == WORDS.strip()
 
 
+def test_html_text_keeps_all_containers_of_the_text():
+    intro, text = (f"<p>{WORDS * n}</p>" for n in (3, 7))
+    out = html_text.extract(f"<div class=post><h1>T</h1><div class=intro>{intro}</div><div class=text>{text}</div></div>")
+    assert out.split("\n") == ["T", (WORDS * 3).strip(), (WORDS * 7).strip()]
+
+
+def test_html_text_keeps_lists_tables_and_linked_paragraphs_of_the_body():
+    a, b = (f"<p>{WORDS * n}</p>" for n in (11, 9))
+    out = html_text.extract(
+        f"<body><h1>T</h1><div class=a>{a}</div><ul><li>x<li>y</ul><table><tr><td>1<td>2</table>"
+        f"<p><a href=1>all of it in a link</a></p><div class=b>{b}</div><ol><li>z</ol></body>")
+    assert out.split("\n") == ["T", (WORDS * 11).strip(), "x", "y", "1", "2", "all of it in a link", (WORDS * 9).strip(), "z"]
+
+
 def test_html_text_never_fails():
     rng = random.Random(1)
     pieces = ["<p>", "</p>", "<div class='a", "'>", "<b>", "</b>", "text, ", "&am", "<!--", "-->", "<", ">", "<script>",
