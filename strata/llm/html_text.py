@@ -55,7 +55,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_MARKED = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
@@ -78,20 +78,25 @@ class _Element:
 
 def _marked(tag: str, attributes: str, inside: bool, strict: bool) -> bool:
     """Whether an element is one of the parts that are never content. Words that also name the
-    state of a whole page count only if ``strict``."""
+    state of a whole page count only if ``strict``. Ids of sections, and of all elements of an
+    article, are often made of their titles: they count as a whole, and those of headings never."""
     if tag in NEVER or (tag == "header" and not inside):
         return True
     if not attributes.strip() or tag in ("html", "body", "main"):
         return False
     words, names = set(), []
-    for name, value in _MARKED.findall(attributes):
+    for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        else:
+        elif tag in HEADINGS and (inside or name == "id"):
+            continue
+        elif name == "id" and (inside or tag == "section"):
+            words.update({value.strip().lower()} & MARKS)
+        elif name in ("class", "id", "role"):
             words.update(w.lower() for w in _WORDS.findall(value))
             names += value.split()
     if tag == "article":  # a comment or a related card; a post may say that its comments are open

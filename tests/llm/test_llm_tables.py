@@ -130,6 +130,21 @@ def test_html_text_keeps_lists_tables_and_linked_paragraphs_of_the_body():
     assert out.split("\n") == ["T", (WORDS * 11).strip(), "x", "y", "1", "2", "all of it in a link", (WORDS * 9).strip(), "z"]
 
 
+@pytest.mark.parametrize("part", [
+    "<p title='The hidden cost'>{}</p>", "<p><a href='/hidden-valley'>{}</a></p>", "<h2 id='discussion'>{}</h2>",
+    "<h2 id=social-impact>{}</h2>", "<section id='search-methods'><p>{}</p></section>",
+    "<section id='related-work'><p>{}</p></section>", "<div id='legal-notice-of-1901'><p>{}</p></div>"])
+def test_html_text_marks_are_attributes_and_not_slugs(part):
+    out = html_text.extract(f"<article><p>{WORDS}</p>{part.format('Kept words.')}<p>{WORDS}</p></article>")
+    assert out.count("\n") == 2 and "Kept words." in out
+
+
+@pytest.mark.parametrize("mark", ["hidden", "HIDDEN=''", "class='comments'", "id=comments", "role=search",
+                                  "aria-hidden=true", "style='display: none'", "title='x' class=\"share\""])
+def test_html_text_marks_of_parts(mark):
+    assert html_text.extract(f"<article><p>{WORDS}</p><div {mark}><p>Dropped.</p></div></article>") == WORDS.strip()
+
+
 def test_html_text_never_fails():
     rng = random.Random(1)
     pieces = ["<p>", "</p>", "<div class='a", "'>", "<b>", "</b>", "text, ", "&am", "<!--", "-->", "<", ">", "<script>",
