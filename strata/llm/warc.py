@@ -209,9 +209,10 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-02-01T06:00:00
     def write(batches):
         from pyspark import TaskContext
         task, files, system, root = TaskContext.get().partitionId(), [], None, None
+        attempt = TaskContext.get().taskAttemptId()  # rows, and so the cut, may differ between attempts
 
         def close(archive):
-            name = f"part-{task:05d}-{len(files):03d}.warc.zst"
+            name = f"part-{task:05d}-{attempt}-{len(files):03d}.warc.zst"
             temporary = f"{root}/_{name}.{uuid.uuid4().hex}"
             with system.open_output_stream(temporary) as out:
                 for part in archive.parts:
@@ -256,8 +257,9 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-02-01T06:00:00
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """All page records of the archives in ``path/archives``: :data:`RECORD_SCHEMA`. A broken
-    archive fails the read with its name and the offset."""
+    """All page records of the archives that ``path/manifest`` names: :data:`RECORD_SCHEMA`. Files
+    that lost attempts left beside them are not read; a missing archive fails the read, and a
+    broken one with its name and the offset."""
     def read(batches):
         fields = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
         schema = pa.schema([("archive", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
@@ -281,6 +283,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
+    names = [r.archive for r in spark.read.schema("archive string").parquet(f"{path}/manifest").collect()]
+    if not names:
+        return spark.createDataFrame([], RECORD_SCHEMA)
     files = (spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-             .option("pathGlobFilter", "*.warc.zst").load(f"{path}/archives").select("path", "content"))
+             .load([f"{path}/archives/{n}" for n in sorted(names)]).select("path", "content"))
     return files.mapInArrow(read, RECORD_SCHEMA)
