@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, curriculum, exact_dedup, hamming_dedup, hpylm, html_text, pq_dedup, sharding, toxicity, warc
+from strata.llm import (bpe, curriculum, exact_dedup, hamming_dedup, hpylm, html_text, pq_dedup, sharding,
+                        substrings, toxicity, warc)
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -222,3 +223,30 @@ SELECT doc_id, slot::INTEGER AS slot, owner[slot + 1]::INTEGER AS shard FROM pla
 def op10_shard_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document."""
     return sharding.place(table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+s AS (
+  SELECT r, p, md5(array_to_string(ws[p:p + 34], ' ')) AS h
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS p FROM w WHERE len(ws) >= 35)),
+x AS (SELECT r, p FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+o AS (SELECT r, doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+m AS (
+  SELECT o.r, o.word, o.p,
+         max(CASE WHEN x.p IS NOT NULL THEN o.p END)
+           OVER (PARTITION BY o.r ORDER BY o.p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM o LEFT JOIN x ON x.r = o.r AND x.p = o.p),
+k AS (
+  SELECT r, sum(gone::INT)::BIGINT AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '') AS kept
+  FROM m GROUP BY r)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (r)
+""")
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in a passage of 35 words found elsewhere."""
+    return substrings.repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
