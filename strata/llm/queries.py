@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (bpe, curriculum, exact_dedup, hamming_dedup, hpylm, html_text, pq_dedup, sharding,
-                        substrings, toxicity, warc)
+from strata.llm import (alignment, bpe, curriculum, exact_dedup, hamming_dedup, hpylm, html_text, phrases, pq_dedup,
+                        sharding, substrings, toxicity, warc)
 from strata.llm.common import table
 from strata.session import scratch_path
 
@@ -250,3 +250,46 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that lie in a passage of 35 words found elsewhere."""
     return substrings.repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the byte-level and the SentencePiece tokens of every document."""
+    import public_tokenizers
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_file(),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t FROM documents),
+p AS (
+  SELECT r, lang, unnest(regexp_split_to_array(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS ws
+      FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, m, f AS a, ws, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:k], ' ')
+         JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, inner_phrase AS phrase, max(f) AS longer
+  FROM (SELECT lang, f, unnest(flatten([[array_to_string(ws[j:j + q - 1], ' ') FOR j IN range(1, m - q + 2)]
+                                        FOR q IN range(2, m)])) AS inner_phrase FROM f WHERE m > 2)
+  GROUP BY ALL),
+o AS (
+  SELECT b.lang, b.phrase, a, l, r, n.n, score,
+         row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b JOIN n ON n.lang = b.lang LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+""")
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))

@@ -112,10 +112,6 @@ def arrays(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(b.as_buffer(), kind) for chunk in column.chunks for b in chunk]
 
 
-def blobs(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    return [values[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-
-
 def received(table: pa.Table, column: str = "prints") -> np.ndarray:
     """The keys that came back to a batch, sorted."""
     parts = [p.astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, p in

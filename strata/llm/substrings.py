@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import text_or_empty
 from strata.llm.words import mix
-from strata.llm.runs import (arrays, batch_counts, batch_number, blobs, cuts, keyed, members, received, rolling,
+from strata.llm.runs import (arrays, batch_counts, batch_number, cuts, keyed, members, received, rolling,
                              split_words, text_slices)
 
 SPACES = b" \t\n\x0b\x0c\r"
