@@ -21,8 +21,10 @@ from strata.llm.words import in_slices, mix
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _PRIME)
 BASE = np.uint64(0xD6E8FEB86659FD93)
-# Characters of a batch of documents, and fingerprints a bucket gathers, at which more are made.
-BATCH_CHARS, BUCKET_ENTRIES = 1 << 22, 1 << 22
+# Characters of the corpus for each batch of documents and for each bucket of fingerprints: so many
+# at most, and fewer, down to the least, where tasks would have nothing to do.
+BATCH_CHARS, BUCKET_CHARS = 1 << 22, 1 << 24
+LEAST_BATCH_CHARS, LEAST_BUCKET_CHARS = 1 << 18, 1 << 20
 
 
 @dataclass
@@ -120,11 +122,15 @@ def received(table: pa.Table, column: str = "prints") -> np.ndarray:
 
 
 def batch_counts(texts: DataFrame) -> tuple[int, int]:
-    """Batches and buckets for ``texts(text)``: both grow with the characters, so that a batch
-    and a bucket stay bounded, and are some for every task at least."""
+    """Batches and buckets for ``texts(text)``. Both grow with the characters, so that a batch and a
+    bucket stay bounded; a batch sends a bucket one message at most."""
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    return max(3 * tasks, chars // BATCH_CHARS), max(3 * tasks, chars // (4 * BUCKET_ENTRIES))
+
+    def number(most: int, least: int) -> int:
+        return max(1, chars // most, min(3 * tasks, chars // least))
+
+    return number(BATCH_CHARS, LEAST_BATCH_CHARS), number(BUCKET_CHARS, LEAST_BUCKET_CHARS)
 
 
 def batch_number(batches: int, *columns: str) -> Column:
