@@ -26,6 +26,7 @@ import functools
 import hashlib
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -123,7 +124,7 @@ class Aligner:
         if len(a) == 1 or len(b) == 1:
             groups = [(0, len(a), 0, len(b))]
         else:
-            groups = cut_groups(np.cumsum(list(map(len, a_parts))).tolist(), np.cumsum(list(map(len, b_parts))).tolist())
+            groups = cut_groups(list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts))))
         text = ";".join(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])) for i, j, k, m in groups)
         return len(a), len(b), len(groups), text, [a[j - 1] << _SHIFT | b[m - 1] for _, j, _, m in groups]
 
