@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from strata.contract import SOURCE_REGISTRY
 from strata.functions.columns import col_ref
 from strata.functions.dates import date_range, parse_date, partition_predicate, partition_range_predicate
+from strata.sources import layouts
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -220,8 +221,9 @@ def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
     ``path`` whose name matches the entry's ``file_pattern`` (all without one).
 
     Columns are landed as text unless the entry (or the caller) gives a ``schema`` (DDL string or
-    StructType), so Bronze has the same types on every date; Silver casts them. CSV entries may
-    set ``multi_line=False`` (splittable). ``keep_file`` adds the landed file path as
+    StructType), so Bronze has the same types on every date; Silver casts them. Files whose columns
+    differ are read apart and joined by name (:mod:`strata.sources.layouts`). CSV entries may set
+    ``multi_line=False`` (splittable). ``keep_file`` adds the landed file path as
     ``_source_file``."""
     fmt = src["format"]
     schema = schema if schema is not None else src.get("schema")
@@ -232,21 +234,27 @@ def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
         options["pathGlobFilter"] = src["file_pattern"]
     if fmt == "json_pages":
         return read_api_pages(spark, path, schema, keep_file=keep_file, options=options)
-    df = read_raw(spark, path, fmt, schema=schema, multi_line=src.get("multi_line", True),
-                  infer=False, options=options)
-    if keep_file:
-        df = df.withColumn("_source_file", F.col("_metadata.file_path"))
-    return df if schema is not None else as_text(df)
-
+    paths = [path] if isinstance(path, str) else list(path)
 
-def _by_schema(spark: SparkSession, folders: Sequence[str]) -> list[list[str]]:
-    """Date folders of Parquet deliveries grouped by the schema of their files (one footer per
-    date): files of different types cannot be read as one frame."""
-    groups: dict[str, list[str]] = {}
-    for folder in folders:
-        schema = spark.read.option("recursiveFileLookup", True).parquet(folder).schema
-        groups.setdefault(schema.simpleString(), []).append(folder)
-    return list(groups.values())
+    def read(at: Sequence[str], own: T.StructType | None, opts: dict[str, str]) -> DataFrame:
+        df = read_raw(spark, at, fmt, schema=own, multi_line=src.get("multi_line", True), infer=False, options=opts)
+        return df.withColumn("_source_file", F.col("_metadata.file_path")) if keep_file else df
+
+    keep = ["_source_file"] if keep_file else []
+    if fmt.lower() == "csv":
+        frames = layouts.read_csv_by_header(spark, paths, options, schema, read)
+        if schema is not None:
+            frames = [layouts.conform(f, schema, keep) for f in frames]
+    elif fmt.lower() == "parquet" and schema is None:
+        frames = [read(at, own, {} if single else options)
+                  for own, at, single in layouts.schema_groups(spark, paths, options)]
+    else:
+        frames = [read(paths, schema, options)]
+    if not frames:  # files without a line
+        empty = T.StructType([*(schema.fields if schema is not None else []),
+                              *(T.StructField(c, T.StringType()) for c in keep)])
+        return spark.createDataFrame([], empty)
+    return union_sources([f if schema is not None else as_text(f) for f in frames])
 
 
 _DATE_FOLDER = re.compile(r"/landing_date=[0-9]{8}/?$")
@@ -269,10 +277,7 @@ def read_source_range(spark: SparkSession, root: str, src: dict, start: str, end
     folders = existing_paths(spark, [f"{base}/landing_date={month}{{{','.join(dd)}}}" for month, dd in days.items()])
     if not folders:
         return None
-    if src["format"] == "parquet" and schema is None and not src.get("schema"):
-        df = union_sources([read_source(spark, same, src, keep_file=True) for same in _by_schema(spark, folders)])
-    else:
-        df = read_source(spark, folders, src, schema=schema, keep_file=True)
+    df = read_source(spark, folders, src, schema=schema, keep_file=True)
     return df.withColumn("landing_date", landing_date_column(F.col("_source_file"))).drop("_source_file")
 
 

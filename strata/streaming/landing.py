@@ -42,7 +42,8 @@ def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
                      .withColumn("__file", F.col("_metadata.file_path")))
         df = unwrap_pages(raw)
     elif fmt == "csv":
-        df = (reader.schema(schema).option("header", True).option("escape", '"')
+        # A file with other columns stops the stream instead of being read by position.
+        df = (reader.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
                     .option("multiLine", src.get("multi_line", True)).csv(path)
                     .withColumn("__file", F.col("_metadata.file_path")))
     elif fmt == "parquet":
