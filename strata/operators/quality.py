@@ -25,7 +25,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -433,18 +433,22 @@ def evaluate(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) ->
     With ``by`` (e.g. the date partition columns of a backfill) every check is evaluated per
     group in the same single pass, and the result rows carry the ``by`` columns first.
     """
+    by, aggs = list(by), _inline_aggs(checks)
+    if by:
+        base = df.groupBy(*by).agg(*[e.alias(a) for a, e in {**_rows_agg(), **aggs}.items()])
+    else:
+        base = df.agg(*[e.alias(a) for a, e in aggs.items()]) if aggs else None
+    return _evaluated(df, checks, by, base)
+
+
+def _evaluated(df: DataFrame, checks: Sequence[Check], by: list[str], base: DataFrame | None) -> DataFrame:
+    """Result rows of the inline checks from the row (or row per group) ``base`` of their aggregates,
+    and those of the separate checks from ``df``."""
     spark = df.sparkSession
-    by = list(by)
     inline = [c for c in checks if c.separate is None]
     parts: list[DataFrame] = []
     if inline:
-        aggs: dict[str, Column] = dict(_rows_agg()) if by else {}
-        for c in inline:
-            aggs.update(c.aggs)
-        if by:
-            base = df.groupBy(*by).agg(*[e.alias(a) for a, e in aggs.items()])
-        else:
-            base = df.agg(*[e.alias(a) for a, e in aggs.items()]) if aggs else spark.range(1)
+        base = base if base is not None else spark.range(1)
         rows = (base.select(*by, F.explode(F.array(*[c.row for c in inline])).alias("r"))
                     .select(*by, "r.*"))
         parts.append(rows.where(F.col("emit")).drop("emit"))
@@ -459,6 +463,35 @@ def evaluate(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) ->
     return out
 
 
+def observe(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the aggregates of all inline checks observed on it: whatever is run on the frame
+    that comes back, a write say, computes them on the way. The observation must sit above the
+    last shuffle (directly before a write): there a task that runs again counts once."""
+    aggs = _inline_aggs(checks)
+    if not aggs:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[e.alias(a) for a, e in aggs.items()]), seen
+
+
+def evaluate_observed(df: DataFrame, seen: Observation | None, checks: Sequence[Check]) -> DataFrame:
+    """:func:`evaluate` from what :func:`observe` saw while ``df`` was written: no scan of ``df`` but for
+    separate checks (compound uniqueness)."""
+    aggs = _inline_aggs(checks)
+    schema = df.agg(*[e.alias(a) for a, e in aggs.items()]).schema if aggs else T.StructType([])
+    values = seen.get if seen is not None else {}
+    base = df.sparkSession.createDataFrame([tuple(values[f.name] for f in schema.fields)], schema) if aggs else None
+    return _evaluated(df, checks, [], base)
+
+
+def _inline_aggs(checks: Sequence[Check]) -> dict[str, Column]:
+    aggs: dict[str, Column] = {}
+    for c in checks:
+        if c.separate is None:
+            aggs.update(c.aggs)
+    return aggs
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """Suite outcome in one row: success, evaluated and failed counts."""
     return results.agg(

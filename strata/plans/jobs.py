@@ -1,11 +1,11 @@
 """Layer jobs composed from the operators: Bronze, Silver, Gold, end-to-end, backfill, quality.
 
-Every job follows the same order: build the layer lazily → **stage** it as Parquet in the shared
-scratch folder (``spark.checkpoint.dir``; this cuts lineage, so a lost executor only recomputes
-from the staged files) → evaluate all checks in one aggregation over the staged files → append
-the audit rows → gate on the audited rows → publish the staged rows into the layer table.
-Bad data therefore never reaches the published table, the audit is always written, and the
-expensive lineage is computed exactly once.
+Every job follows the same order: build the layer lazily → **stage** it as Parquet beside its
+table (data are written once; this also cuts lineage, so a lost executor only recomputes from the
+staged files) → all checks of a single date are observed by that write, those of a range are one
+aggregation by date over the staged files → append the audit rows → gate on the audited rows →
+publish the staged folders into the layer table by rename. Bad data therefore never reaches the
+published table, the audit is always written, and the expensive lineage is computed exactly once.
 """
 
 from __future__ import annotations
@@ -121,22 +121,21 @@ def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, ru
     """Bronze for a whole date range in one pass (Hive-style landing zone)."""
     bronze = land_range_to_bronze_frame(spark, paths.landing, start, end, run_id, now, registry,
                                         keep_source_column)
-    at = writers.stage_path(spark, f"{run_id}/bronze-range")
-    staged = stage(bronze, "bronze-range", partitioned=True, path=at)
-    checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
+    checks = quality.null_rate(GATE_COLUMNS["bronze"], bronze.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
-    audit_and_gate(quality.evaluate(staged, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
-                   "bronze", None, now, enforce)
-    writers.publish_range(staged, paths.bronze, start, end, writers.table_dates(spark, at, start, end))
-    writers.discard(spark, at)
+    with writers.staged_range(bronze, paths.bronze) as new:
+        audit_and_gate(quality.evaluate(new.frame, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
+                       "bronze", None, now, enforce)
+        new.publish(start, end)
     return readers.read_range(spark, paths.bronze, start, end)
 
 
 def bronze_path_job(spark: SparkSession, input_path: str, fmt: str, paths: Paths,
                     execution_date: str, run_id: str, now: str, source_system: str = "unknown",
                     env: str = "dev", keep_source_column: bool = False) -> DataFrame:
-    """Bronze for one input folder of one format (the single-source form of the job)."""
-    raw = readers.read_raw(spark, input_path, fmt)
+    """Bronze for one input folder of one format (the single-source form of the job). Fields are
+    landed as text, as the registry's jobs land them."""
+    raw = readers.read_source(spark, input_path, {"format": fmt})
     return _bronze_publish(spark, attach_metadata(raw, run_id, source_system, execution_date,
                                                   now, keep_source_column),
                            paths, execution_date, run_id, now, env)
@@ -151,20 +150,23 @@ def bronze_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: s
 
 def _bronze_publish(spark: SparkSession, bronze: DataFrame, paths: Paths, execution_date: str,
                     run_id: str, now: str, env: str) -> DataFrame:
-    """Stage the date, check the staged files (reading just the gate columns), audit, gate,
-    publish."""
-    at = writers.stage_path(spark, f"{run_id}/bronze")
-    staged = stage(bronze, "bronze", path=at)
-    gate_cols = [c for c in GATE_COLUMNS["bronze"] if c in staged.columns]
-    checks = quality.null_rate(GATE_COLUMNS["bronze"], staged.columns,
+    """Write the date beside the table and check it on the way, audit, gate, publish."""
+    checks = quality.null_rate(GATE_COLUMNS["bronze"], bronze.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
-    audit_and_gate(quality.evaluate(staged.select(*gate_cols), checks), paths, run_id,
-                   "bronze", execution_date, now)
-    writers.publish_partition(staged, paths.bronze, execution_date)
-    writers.discard(spark, at)
+    _publish_date(bronze, checks, paths.bronze, paths, execution_date, run_id, "bronze", now)
     return readers.read_partition(spark, paths.bronze, execution_date)
 
 
+def _publish_date(df: DataFrame, checks: Sequence[quality.Check], table: str, paths: Paths, execution_date: str,
+                  run_id: str, layer: str, now: str) -> None:
+    """One date of a layer: a single write beside the table observes the aggregates of all checks,
+    so the gate scans nothing; then audit, gate, and publish by rename."""
+    df, seen = quality.observe(df, checks)
+    with writers.staged_date(df, table, execution_date) as new:
+        audit_and_gate(quality.evaluate_observed(new.frame, seen, checks), paths, run_id, layer, execution_date, now)
+        new.publish(execution_date, execution_date)
+
+
 # ---------------------------------------------------------------------------------------------
 # Silver
 # ---------------------------------------------------------------------------------------------
@@ -184,12 +186,8 @@ def silver_checks(columns: Sequence[str], env: str) -> list[quality.Check]:
 def silver_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str, now: str,
                env: str = "dev", dim: DataFrame | None = None) -> DataFrame:
     bronze = readers.read_partition(spark, paths.bronze, execution_date)
-    at = writers.stage_path(spark, f"{run_id}/silver")
-    staged = stage(silver_frame(bronze, dim), "silver", path=at)
-    audit_and_gate(quality.evaluate(staged, silver_checks(staged.columns, env)), paths, run_id,
-                   "silver", execution_date, now)
-    writers.publish_partition(staged, paths.silver, execution_date)
-    writers.discard(spark, at)
+    s = silver_frame(bronze, dim)
+    _publish_date(s, silver_checks(s.columns, env), paths.silver, paths, execution_date, run_id, "silver", now)
     return readers.read_partition(spark, paths.silver, execution_date)
 
 
@@ -207,13 +205,13 @@ def gold_job(spark: SparkSession, paths: Paths, execution_date: str, run_id: str
     s = readers.read_partition(spark, paths.silver, execution_date)
     # One slice = one date: daily and KPI groups coincide, so one aggregation feeds both.
     at = writers.stage_path(spark, f"{run_id}/gold-summaries")
-    summaries = stage(gold.compute_summaries(s), "gold-summaries", path=at)
+    checks = gold_checks(env, "gold_daily") + gold_checks(env, "gold_kpis")
+    # Daily and KPI tables are projections of the same aggregate: its write checks both.
+    observed, seen = quality.observe(gold.compute_summaries(s), checks)
+    summaries = stage(observed, "gold-summaries", path=at)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, execution_date, now)
-    # Daily and KPI tables are projections of the same aggregate: one pass checks both.
-    results = quality.evaluate(summaries, gold_checks(env, "gold_daily")
-                               + gold_checks(env, "gold_kpis"))
-    audit_and_gate(results, paths, run_id, "gold", execution_date, now)
+    audit_and_gate(quality.evaluate_observed(summaries, seen, checks), paths, run_id, "gold", execution_date, now)
     writers.publish_partition(daily, paths.daily, execution_date)
     writers.publish_partition(kpis.withColumns(date_parts(execution_date)), paths.kpi,
                               execution_date)
@@ -259,18 +257,13 @@ def silver_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run
     """Silver for every date of the range in one job (date in the dedup key)."""
     by = list(PARTITION_COLUMNS)
     bronze = readers.read_range(spark, paths.bronze, start, end)
-    at = writers.stage_path(spark, f"{run_id}/silver-range")
-    s = stage(silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by), "silver-range", partitioned=True,
-              path=at)
-    dates = writers.table_dates(spark, at, start, end)
-    t = THRESHOLDS[env]["silver"]
-    checks = (quality.null_rate(GATE_COLUMNS["silver"], s.columns, t["max_null_rate"])
-              + [quality.row_count(t["min_rows"], label="silver")])
-    results = quality.evaluate(s, checks, by=by).unionByName(quality.empty_date_row_counts(
-        spark, _empty_dates(dates, start, end), t["min_rows"], "silver"))
-    audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
-    writers.publish_range(s, paths.silver, start, end, dates)
-    writers.discard(spark, at)
+    new_rows = silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by)
+    checks = silver_checks(new_rows.columns, env)
+    with writers.staged_range(new_rows, paths.silver) as new:
+        results = quality.evaluate(new.frame, checks, by=by).unionByName(quality.empty_date_row_counts(
+            spark, _empty_dates(new.dates(start, end), start, end), THRESHOLDS[env]["silver"]["min_rows"], "silver"))
+        audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
+        new.publish(start, end)
 
 
 def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
@@ -292,8 +285,8 @@ def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_i
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_daily")) \
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
-    writers.publish_range(daily, paths.daily, start, end, dates)
-    writers.publish_range(kpis, paths.kpi, start, end, dates)
+    writers.publish_range(daily, paths.daily, start, end)
+    writers.publish_range(kpis, paths.kpi, start, end)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
     writers.discard(spark, at)

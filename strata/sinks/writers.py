@@ -1,28 +1,36 @@
 """Writers: partition publishing, metrics log, audit log, schema baselines, landing extracts.
 
 Publishing contract: rerunning a date replaces exactly that date's partition and leaves every
-other date alone.
-
-* single date → overwrite the leaf folder ``…/year=Y/month=M/day=D`` (partition columns
-  dropped from the files, recovered by partition discovery). An empty rerun still writes one
-  footer-only file, so the date reads back as empty rather than keeping stale rows;
-* date range → staged once with rows rebalanced by date (AQE splits a huge date across tasks
-  and merges small ones), then one write with per-write ``partitionOverwriteMode=dynamic``
-  (no session-wide setting), then an empty overwrite for each date of the range that the
-  table holds but the new rows do not (dates it never had need no write).
+other date alone. New partitions are written once, into ``<table>/_staging/<id>`` (a name that
+readers of the table skip), and moved into place by rename:
+
+* a date that is replaced is first set aside under ``<table>/_replaced/<id>`` and removed only when
+  all dates of the publish are in place; if a step fails, everything is moved back. A date is
+  missing for the time of one rename, never half there. (On stores whose rename is a copy it is
+  as slow as that copy.) What a killed driver left behind is moved back by the next publish;
+* an empty rerun publishes one footer-only file, so the date reads back as empty rather than
+  keeping stale rows; dates of a range that the table holds but the new rows do not are emptied
+  the same way, dates it never had need no folder;
+* a range is staged with rows rebalanced by date (AQE splits a huge date across tasks and merges
+  small ones). A table has one publisher at a time.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.contract import AUDIT_SCHEMA, PARTITION_COLUMNS
-from strata.functions.dates import date_range, parse_date
+from strata.functions.columns import col_ref
+from strata.functions.dates import parse_date
 from strata.operators.quality import stamp
 
 
@@ -33,10 +41,9 @@ def leaf_path(root: str, execution_date: str) -> str:
 
 def publish_partition(df: DataFrame, root: str, execution_date: str) -> str:
     """Replace one date's partition with ``df`` (which must hold only that date's rows)."""
-    path = leaf_path(root, execution_date)
-    data = df.drop(*[c for c in PARTITION_COLUMNS if c in df.columns])
-    data.write.mode("overwrite").parquet(path)
-    return path
+    with staged_date(df, root, execution_date) as new:
+        new.publish(execution_date, execution_date)
+    return leaf_path(root, execution_date)
 
 
 _PART_DIR = re.compile(r"/year=(\d+)/month=(\d+)/day=(\d+)/?$")
@@ -73,40 +80,180 @@ def stage(df: DataFrame, name: str, partitioned: bool = False, path: str | None
     return back.select(*df.columns)
 
 
-def publish_range(df: DataFrame, root: str, start: str, end: str,
-                  dates: set[tuple[int, int, int]] | None = None) -> list[str]:
-    """Replace every date partition of [start, end] with the rows of ``df`` for that date.
-
-    ``dates`` (dates present in ``df``) is passed by callers that publish a staged table.
-    Otherwise the frame is staged first, so the upstream plan runs exactly once and the dates
-    come from the staged folders. Rows of other dates are not published; rows without a date
-    belong to no partition and are an error.
-    """
-    from strata.functions.dates import partition_range_predicate
-    spark, own = df.sparkSession, None
-    if dates is None:
-        own = stage_path(spark, "publish")
-        df = stage(df, "publish", partitioned=True, path=own)
-        dates = table_dates(spark, own, start, end)
-    undated = df.where(" OR ".join(f"{c} IS NULL" for c in PARTITION_COLUMNS)).count()
-    if undated:
-        raise ValueError(f"{undated} rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
-    df = df.where(partition_range_predicate(start, end))
-    if dates:
-        # Input is staged and date-partitioned: each split holds one date, no shuffle needed.
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*PARTITION_COLUMNS).parquet(root))
-    # Dates the table already holds in the range but the new rows do not: clear them (an empty
-    # overwrite); dates the table never had need no write at all.
-    stale = table_dates(df.sparkSession, root, start, end) - set(dates)
-    emptied = []
-    empty = df.limit(0)
-    for d in date_range(start, end):
-        if (d.year, d.month, d.day) in stale:
-            emptied.append(publish_partition(empty, root, d.isoformat()))
-    if own:
-        discard(spark, own)
-    return emptied
+# ---------------------------------------------------------------------------------------------
+# Publishing by rename
+# ---------------------------------------------------------------------------------------------
+
+class _Files:
+    """The file system of a table, through the session's Hadoop configuration."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.fs = self.path(root).getFileSystem(self.conf)
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(name)
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.path(name))
+
+    def rename(self, old: str, new: str) -> None:
+        self.fs.mkdirs(self.path(new).getParent())
+        if not self.fs.rename(self.path(old), self.path(new)):
+            raise OSError(f"{old} could not be renamed to {new}")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
+
+    def names(self, name: str) -> list[str]:
+        if not self.exists(name):
+            return []
+        return sorted(f.getPath().getName() for f in self.fs.listStatus(self.path(name)))
+
+    def copy(self, old: str, new: str) -> None:
+        copied = self.jvm.org.apache.hadoop.fs.FileUtil.copy(
+            self.fs, self.path(old), self.fs, self.path(new), False, self.conf)
+        if not copied:
+            raise OSError(f"{old} could not be copied to {new}")
+
+
+def _leaf(date: tuple[int, int, int]) -> str:
+    return "year={}/month={}/day={}".format(*date)
+
+
+def replace_leaves(files: _Files, root: str, moves: Sequence[tuple[str, str]], run: str) -> None:
+    """Move every staged folder to its leaf of the table, all or none: what was there is set aside
+    and comes back if a step fails."""
+    aside = f"{root}/_replaced/{run}"
+    undo: list[tuple[str, str]] = []
+    try:
+        for new, leaf in moves:
+            target = f"{root}/{leaf}"
+            if files.exists(target):
+                files.rename(target, f"{aside}/{leaf}")
+                undo.append((f"{aside}/{leaf}", target))
+            files.rename(new, target)
+            undo.append((target, new))
+    except BaseException:
+        for old, new in reversed(undo):
+            files.rename(old, new)
+        raise
+    files.delete(aside)
+
+
+def recover(spark: SparkSession, root: str) -> list[str]:
+    """Move back the leaves that a publish set aside and, because its driver died, neither replaced
+    nor removed. Returns them."""
+    files, root = _Files(spark, root), root.rstrip("/")
+    back = []
+    for run in files.names(f"{root}/_replaced"):
+        base = f"{root}/_replaced/{run}"
+        for y in files.names(base):
+            for m in files.names(f"{base}/{y}"):
+                for d in files.names(f"{base}/{y}/{m}"):
+                    leaf = f"{y}/{m}/{d}"
+                    if not files.exists(f"{root}/{leaf}"):
+                        files.rename(f"{base}/{leaf}", f"{root}/{leaf}")
+                        back.append(leaf)
+        files.delete(base)
+    return back
+
+
+@dataclass
+class Staged:
+    """New date partitions of the table ``root``, written once at ``at`` beside it; ``frame`` reads
+    them."""
+
+    frame: DataFrame
+    root: str
+    at: str
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.frame.sparkSession
+
+    def dates(self, start: str, end: str) -> set[tuple[int, int, int]]:
+        return table_dates(self.spark, self.at, start, end)
+
+    def publish(self, start: str, end: str) -> list[str]:
+        """Move the dates of [start, end] into the table and empty those of the range that the
+        table holds but the staged rows do not; returns the emptied leaves. Staged rows of other
+        dates are not published; rows without a date belong to no partition and are an error."""
+        files = _Files(self.spark, self.root)
+        if any("__HIVE_DEFAULT_PARTITION__" in name for name in _nested(files, self.at)):
+            undated = self.frame.where(" OR ".join(f"{c} IS NULL" for c in PARTITION_COLUMNS)).count()
+            raise ValueError(f"{undated} rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
+        recover(self.spark, self.root)
+        new = self.dates(start, end)
+        stale = sorted(table_dates(self.spark, self.root, start, end) - new)
+        if stale:
+            empty = f"{self.at}/_empty"
+            _without_date(self.frame).limit(0).write.mode("overwrite").parquet(empty)
+            for date in stale:
+                for name in files.names(empty):
+                    files.copy(f"{empty}/{name}", f"{self.at}/{_leaf(date)}/{name}")
+        leaves = [_leaf(d) for d in sorted(new | set(stale))]
+        replace_leaves(files, self.root, [(f"{self.at}/{leaf}", leaf) for leaf in leaves], self.at.rsplit("/", 1)[1])
+        return [f"{self.root}/{_leaf(d)}" for d in stale]
+
+
+def _without_date(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in PARTITION_COLUMNS if c in df.columns])
+
+
+def _nested(files: _Files, at: str) -> list[str]:
+    """Names of the year, month and day folders below ``at``."""
+    out = []
+    for y in files.names(at):
+        for m in files.names(f"{at}/{y}") if y.startswith("year=") else ():
+            days = files.names(f"{at}/{y}/{m}") if m.startswith("month=") else []
+            out += [y, m, *(d for d in days if d.startswith("day="))]
+    return out
+
+
+def _staging(root: str) -> str:
+    return f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex[:12]}"
+
+
+def _unstage(spark: SparkSession, root: str, at: str) -> None:
+    """Remove a staged copy, and the working folders and the table's own that are empty then."""
+    files = _Files(spark, root)
+    files.delete(at)
+    for folder in (f"{root}/_staging", f"{root}/_replaced", root):
+        if files.exists(folder) and not files.names(folder):
+            files.delete(folder)
+
+
+@contextmanager
+def staged_date(df: DataFrame, root: str, execution_date: str):
+    """One date's rows written beside the table, to be checked and published; what was not
+    published goes at the end. Partition columns that ``df`` lacks come from the date."""
+    spark, at, root = df.sparkSession, _staging(root), root.rstrip("/")
+    try:
+        _without_date(df).write.parquet(leaf_path(at, execution_date))
+        schema = StructType([f for f in df.schema.fields if f.name not in PARTITION_COLUMNS]
+                            + [StructField(c, IntegerType()) for c in PARTITION_COLUMNS])
+        columns = [*df.columns, *(c for c in PARTITION_COLUMNS if c not in df.columns)]
+        yield Staged(spark.read.schema(schema).parquet(at).select(*[col_ref(c) for c in columns]), root, at)
+    finally:
+        _unstage(spark, root, at)
+
+
+@contextmanager
+def staged_range(df: DataFrame, root: str):
+    """Rows of any dates written beside the table, one folder per date."""
+    spark, at, root = df.sparkSession, _staging(root), root.rstrip("/")
+    try:
+        yield Staged(stage(df, "range", partitioned=True, path=at), root, at)
+    finally:
+        _unstage(spark, root, at)
+
+
+def publish_range(df: DataFrame, root: str, start: str, end: str) -> list[str]:
+    """Replace every date partition of [start, end] with the rows of ``df`` for that date (see
+    :meth:`Staged.publish`); returns the emptied leaves."""
+    with staged_range(df, root) as new:
+        return new.publish(start, end)
 
 
 def table_dates(spark: SparkSession, root: str, start: str, end: str

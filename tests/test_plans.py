@@ -66,3 +66,38 @@ def test_grouped_checks_single_pass(spark):
     p = plan(res)
     assert p.count("HashAggregate(keys=[year") == 2  # partial + final, one exchange
 
+
+
+def test_gate_of_a_date_scans_nothing(spark, tmp):
+    """The checks of a single date come from its write: between staging and publishing no plan
+    reads the staged files."""
+    from strata.operators import quality
+    from strata.plans import jobs
+    from strata.sinks import writers
+    df = spark.range(100).selectExpr("id", "CAST(NULL AS DATE) AS event_date", "'a' AS source_system", "2024 AS year",
+                                     "1 AS month", "2 AS day")
+    checks = jobs.silver_checks(df.columns, "dev")
+    observed, seen = quality.observe(df, checks)
+    with writers.staged_date(observed, tmp, "2024-01-02") as new:
+        results = quality.evaluate_observed(new.frame, seen, checks)
+        plan = results._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" not in plan and "Range" not in plan and plan.count("__rows#") and "Join" not in plan
+        want = quality.evaluate(new.frame, checks)
+        assert "parquet" in want._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, results.collect())) == sorted(map(str, want.collect()))
+        new.publish("2024-01-02", "2024-01-02")
+    assert spark.read.parquet(tmp).count() == 100
+
+
+def test_observed_checks_of_an_empty_frame_and_a_suite(spark, tmp):
+    from strata.contract import SUITES
+    from strata.operators import quality
+    from strata.sinks import writers
+    for n in (0, 7):
+        df = spark.range(n).selectExpr("id", "CAST(id AS DOUBLE) AS amount", "CURRENT_DATE() AS event_date",
+                                       "'s' AS source_system", "2024 AS year", "1 AS month", "2 AS day")
+        checks = quality.compile_suite(SUITES["silver"], df.columns)
+        observed, seen = quality.observe(df, checks)
+        with writers.staged_date(observed, tmp, "2024-01-02") as new:
+            got = quality.evaluate_observed(new.frame, seen, checks)
+            assert sorted(map(str, got.collect())) == sorted(map(str, quality.evaluate(new.frame, checks).collect()))

@@ -97,12 +97,66 @@ def test_range_publish_refuses_rows_without_a_date(spark, tmp):
 
 
 def test_staged_copies_go_after_publishing(spark, tmp):
-    at = writers.stage_path(spark, "x")
-    staged = writers.stage(spark.createDataFrame([(1, 2024, 1, 1)], "id int, year int, month int, day int"), "x",
-                           partitioned=True, path=at)
-    dates = writers.table_dates(spark, at, "2024-01-01", "2024-01-31")
-    assert dates == {(2024, 1, 1)}
-    writers.publish_range(staged, tmp, "2024-01-01", "2024-01-31", dates)
-    writers.discard(spark, at)
-    assert writers.table_dates(spark, at, "2024-01-01", "2024-01-31") == set()
+    rows = spark.createDataFrame([(1, 2024, 1, 1)], "id int, year int, month int, day int")
+    with writers.staged_range(rows, tmp) as new:
+        assert new.dates("2024-01-01", "2024-01-31") == {(2024, 1, 1)}
+        assert writers.table_dates(spark, tmp, "2024-01-01", "2024-01-31") == set()
+        new.publish("2024-01-01", "2024-01-31")
+    assert new.dates("2024-01-01", "2024-01-31") == set()
     assert spark.read.parquet(tmp).count() == 1
+    assert writers._Files(spark, tmp).names(f"{tmp}/_staging") == []
+
+
+def _counts(spark, root):
+    return {r.day: r["count"] for r in spark.read.parquet(root).groupBy("day").count().collect()}
+
+
+@pytest.mark.parametrize("fails_at", range(1, 7))
+def test_a_publish_that_fails_leaves_every_old_date(spark, tmp, monkeypatch, fails_at):
+    writers.publish_range(_day(spark, 15, 2).union(_day(spark, 16, 3)).union(_day(spark, 17, 4)), tmp,
+                          "2024-03-15", "2024-03-17")
+    new = _day(spark, 15, 5).union(_day(spark, 16, 6)).union(_day(spark, 17, 7))
+    real, calls = writers._Files.rename, []
+
+    def rename(self, old, to):
+        calls.append(to)
+        if len(calls) == fails_at:
+            raise OSError("no")
+        real(self, old, to)
+
+    monkeypatch.setattr(writers._Files, "rename", rename)
+    with pytest.raises(OSError, match="no"):
+        writers.publish_range(new, tmp, "2024-03-15", "2024-03-17")
+    assert _counts(spark, tmp) == {15: 2, 16: 3, 17: 4}
+    monkeypatch.setattr(writers._Files, "rename", real)
+    writers.publish_range(new, tmp, "2024-03-15", "2024-03-17")
+    assert _counts(spark, tmp) == {15: 5, 16: 6, 17: 7}
+    assert writers._Files(spark, tmp).names(f"{tmp}/_replaced") == []
+
+
+def test_what_a_killed_driver_left_is_moved_back(spark, tmp):
+    writers.publish_range(_day(spark, 15, 2).union(_day(spark, 16, 3)), tmp, "2024-03-15", "2024-03-16")
+    files = writers._Files(spark, tmp)
+    files.rename(f"{tmp}/year=2024/month=3/day=15", f"{tmp}/_replaced/dead/year=2024/month=3/day=15")
+    assert _counts(spark, tmp) == {16: 3}
+    writers.publish_partition(_day(spark, 17, 1), tmp, "2024-03-17")
+    assert _counts(spark, tmp) == {15: 2, 16: 3, 17: 1}
+
+
+def test_rows_are_written_once(spark, tmp):
+    """A publish moves the staged files: same names, same contents."""
+    import glob
+    with writers.staged_range(_day(spark, 15, 3).union(_day(spark, 16, 2)), tmp) as new:
+        base = new.at.removeprefix("file:")
+        staged = {p.removeprefix(base) for p in glob.glob(f"{base}/year=*/**/*.parquet", recursive=True)}
+        new.publish("2024-03-15", "2024-03-16")
+    table = tmp.removeprefix("file:")
+    assert staged == {p.removeprefix(table) for p in glob.glob(f"{table}/year=*/**/*.parquet", recursive=True)}
+
+
+def test_readers_skip_what_is_staged(spark, tmp):
+    writers.publish_partition(_day(spark, 15, 2), tmp, "2024-03-15")
+    with writers.staged_range(_day(spark, 16, 9), tmp):
+        assert _counts(spark, tmp) == {15: 2}
+    with writers.staged_date(_day(spark, 15, 9), tmp, "2024-03-15") as new:
+        assert new.frame.count() == 9 and _counts(spark, tmp) == {15: 2}
