@@ -510,6 +510,17 @@ ORACLE["backfill_uneven"] = _with(
     'SELECT year, month, day, count(*) AS "rows", count(DISTINCT id) AS ids, '
     "count(CASE WHEN day > 15 THEN 1 END) AS notes, round(sum(amount), 2) AS total_amount "
     "FROM bsilver WHERE source_system = 'ops_db' GROUP BY year, month, day")
+ORACLE["csv_header_range"] = _with(
+    'SELECT year, month, day, count(*) AS "rows", CAST(sum(k) AS BIGINT) AS keys, count(id) AS ids, '
+    "count(TRY_CAST(id AS BIGINT)) AS numbers, count(CASE WHEN day <= 20 THEN is_active END) AS active_known, "
+    "count(CASE WHEN day BETWEEN 11 AND 20 THEN 1 END) AS tiers, "
+    "round(sum(TRY_CAST(amount AS DOUBLE)), 2) AS total_amount "
+    "FROM raw WHERE source_system = 'crm' GROUP BY year, month, day")
+ORACLE["parquet_schema_range"] = _with(
+    'SELECT year, month, day, count(*) AS "rows", CAST(sum(k) AS BIGINT) AS keys, '
+    "count(CASE WHEN k % 2 = 1 THEN id ELSE CAST(TRY_CAST(id AS INT) AS STRING) END) AS ids, "
+    "count(CASE WHEN k % 2 = 1 THEN 1 END) AS notes, round(sum(TRY_CAST(amount AS DOUBLE)), 2) AS total_amount "
+    "FROM bronze WHERE source_system = 'ops_db' GROUP BY year, month, day")
 ORACLE["gate_failures"] = _with(
     "SELECT * FROM (" + union(null_rate_rows("ded", ["id", "event_date", "source_system"], 0.01)
                               + [row_count_rows("ded", "silver", 1000)]) + ") r WHERE NOT passed")

@@ -932,6 +932,58 @@ def backfill_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum("amount"), 2).alias("total_amount"))
 
 
+def _dated_rows(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
+    return fixtures.raw_events(spark, sf_dir).where(where).withColumn(
+        "landing_date", F.date_format(F.make_date("year", "month", "day"), "yyyyMMdd"))
+
+
+def _range_of(spark: SparkSession, sf_dir: str, paths, fmt: str) -> DataFrame:
+    """The Bronze table of one registry source after the range job."""
+    from strata.contract import SOURCE_REGISTRY
+    from strata.plans.jobs import bronze_range_job
+    return bronze_range_job(spark, paths, *span(spark, sf_dir), RUN_ID, NOW,
+                            registry=[s for s in SOURCE_REGISTRY if s["format"] == fmt])
+
+
+@query
+def csv_header_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01/SRC-11: CSV deliveries of a range whose headers change: from the 11th on the columns come
+    in reverse with a further one, from the 21st on one is missing and every date holds files of
+    two orders; every value lands under its own name."""
+    paths = _paths(spark, "csv-headers")
+    rows = _dated_rows(spark, sf_dir, "source_system = 'crm'").withColumn("tier", F.concat(F.lit("t, "), "k"))
+    cols = list(fixtures.LANDED_COLUMNS)
+    short = [c for c in cols if c != "is_active"]
+    for part, names in ((rows.where("day <= 10"), cols),
+                        (rows.where("day BETWEEN 11 AND 20"), [*reversed(cols), "tier"]),
+                        (rows.where("day > 20 AND k % 2 = 0"), short),
+                        (rows.where("day > 20 AND k % 2 = 1"), [*reversed(short)])):
+        (part.select(*names, "landing_date").write.mode("append").partitionBy("landing_date")
+         .option("header", True).option("mapreduce.output.basename", "crm_events_export")
+         .csv(f"{paths.landing}/sftp/crm"))
+    return _range_of(spark, sf_dir, paths, "csv").groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("k").cast("bigint")).alias("keys"), F.count("id").alias("ids"),
+        F.count(F.col("id").try_cast("bigint")).alias("numbers"), F.count("is_active").alias("active_known"),
+        F.count(F.when(F.col("tier") == F.concat(F.lit("t, "), "k"), 1)).alias("tiers"),
+        F.round(F.sum(F.col("amount").try_cast("double")), 2).alias("total_amount"))
+
+
+@query
+def parquet_schema_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-03/SRC-11: every date of a range holds Parquet files of two schemas: numbers, and text with a
+    further column."""
+    paths = _paths(spark, "parquet-schemas")
+    rows = _dated_rows(spark, sf_dir, "source_system IS NULL OR source_system NOT IN ('crm', 'events_api')")
+    cols = [*fixtures.LANDED_COLUMNS, "landing_date"]
+    numbers = rows.where("k % 2 = 0").select(*cols).withColumns({"id": F.col("id").try_cast("int")})
+    text = rows.where("k % 2 = 1").select(*cols, F.concat(F.lit("n"), "k").alias("note"))
+    for part in (numbers, text):
+        part.write.mode("append").partitionBy("landing_date").parquet(f"{paths.landing}/db/transactions")
+    return _range_of(spark, sf_dir, paths, "parquet").groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("k").cast("bigint")).alias("keys"), F.count("id").alias("ids"),
+        F.count("note").alias("notes"), F.round(F.sum(F.col("amount").try_cast("double")), 2).alias("total_amount"))
+
+
 @query
 def db_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-08: Database date slice written to the landing zone as Parquet, read back."""
