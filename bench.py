@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from strata.queries import QUERIES, landed, span  # noqa: E402
+from strata.queries import API_PAGE_SIZE, QUERIES, landed, span  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -31,7 +31,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", app="strata-bench")
     QUERIES["gold_daily"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-    landed(spark, sf_dir), span(spark, sf_dir)  # the landing zone is input, not part of a query
+    # The landing zones are input, not part of a query.
+    landed(spark, sf_dir), landed(spark, sf_dir, API_PAGE_SIZE), span(spark, sf_dir)
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()

@@ -521,6 +521,29 @@ ORACLE["parquet_schema_range"] = _with(
     "count(CASE WHEN k % 2 = 1 THEN id ELSE CAST(TRY_CAST(id AS INT) AS STRING) END) AS ids, "
     "count(CASE WHEN k % 2 = 1 THEN 1 END) AS notes, round(sum(TRY_CAST(amount AS DOUBLE)), 2) AS total_amount "
     "FROM bronze WHERE source_system = 'ops_db' GROUP BY year, month, day")
+ORACLE["redelivered_files"] = _with(
+    'SELECT year, month, day, count(*) AS "rows", count(DISTINCT k) AS keys '
+    "FROM raw WHERE source_system = 'crm' GROUP BY year, month, day")
+ORACLE["page_completeness"] = _with("""
+SELECT landing_date, check_name, observed = 0 AS passed,
+  CASE WHEN observed = 0 THEN '' WHEN check_name = 'api_pages.missing' THEN 'pages missing: ' || spans
+       WHEN check_name = 'api_pages.repeated' THEN 'pages landed in several files'
+       ELSE 'page ' || last_page || ' is full and the last one landed' END AS message, observed
+FROM (
+  SELECT d.*, c.check_name,
+    CASE c.check_name WHEN 'api_pages.missing' THEN missing WHEN 'api_pages.repeated' THEN repeated
+                      WHEN 'api_pages.after_end' THEN 0 ELSE (last_n >= 50)::INT END::DOUBLE AS observed
+  FROM (
+    SELECT landing_date, last_page, n - (last_page - 1) * 50 AS last_n, (day(landing_date) > 20)::INT AS repeated,
+      CASE WHEN lost AND last_page > 3 THEN 2 ELSE 0 END AS missing, '2-3' AS spans
+    FROM (
+      SELECT make_date(year, month, day) AS landing_date, day > 10 AS lost, count(*) AS total,
+        CASE WHEN day > 10 AND ceil(count(*) / 50.0) BETWEEN 2 AND 3 THEN 1 ELSE ceil(count(*) / 50.0) END::INT AS last_page,
+        CASE WHEN day > 10 AND ceil(count(*) / 50.0) BETWEEN 2 AND 3 THEN 50 ELSE count(*) END
+          + CASE WHEN day > 20 AND (count(*) <= 150 OR ceil(count(*) / 50.0) = 1) THEN least(count(*), 50) ELSE 0 END AS n
+      FROM raw WHERE source_system = 'events_api' GROUP BY year, month, day)) d,
+    (VALUES ('api_pages.missing'), ('api_pages.repeated'), ('api_pages.after_end'), ('api_pages.unfinished'))
+      c(check_name))""")
 ORACLE["gate_failures"] = _with(
     "SELECT * FROM (" + union(null_rate_rows("ded", ["id", "event_date", "source_system"], 0.01)
                               + [row_count_rows("ded", "silver", 1000)]) + ") r WHERE NOT passed")

@@ -23,7 +23,7 @@ from strata.operators import gold, quality, silver
 from strata.operators.bronze import attach_metadata
 from strata.sinks import writers
 from strata.sinks.writers import stage
-from strata.sources import readers
+from strata.sources import ledger, readers
 
 
 @dataclass(frozen=True)
@@ -97,14 +97,16 @@ def land_to_bronze_frame(spark: SparkSession, paths: Paths, execution_date: str,
 def land_range_to_bronze_frame(spark: SparkSession, landing_root: str, start: str, end: str,
                                run_id: str, ingested_at: str,
                                registry: Sequence[dict] = SOURCE_REGISTRY,
-                               keep_source_column: bool = False) -> DataFrame:
+                               keep_source_column: bool = False,
+                               owned: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Every enabled source's files for [start, end] from a Hive-style landing zone, stamped
-    with run metadata and the landing date of each file, unioned (one read per source)."""
+    with run metadata and the landing date of each file, unioned (one read per source). ``owned``
+    names the paths to read of a source instead of all its folders."""
     frames = []
     for src in registry:
         if not src.get("enabled", True):
             continue
-        df = readers.read_source_range(spark, landing_root, src, start, end)
+        df = readers.read_source_range(spark, landing_root, src, start, end, paths=(owned or {}).get(src["id"]))
         if df is None:
             continue
         frames.append(attach_metadata(df, run_id, src["source_system_label"], F.col("landing_date"),
@@ -117,19 +119,37 @@ def land_range_to_bronze_frame(spark: SparkSession, landing_root: str, start: st
 def bronze_range_job(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
                      now: str, env: str = "dev", enforce: bool = True,
                      registry: Sequence[dict] = SOURCE_REGISTRY,
-                     keep_source_column: bool = False) -> DataFrame:
-    """Bronze for a whole date range in one pass (Hive-style landing zone)."""
+                     keep_source_column: bool = False, ledger_path: str | None = None) -> DataFrame:
+    """Bronze for a whole date range in one pass (Hive-style landing zone). With ``ledger_path`` files
+    whose contents another path delivered before are left out (:mod:`strata.sources.ledger`); the
+    ledger is written after publishing."""
+    found = {} if ledger_path is None else _file_owners(spark, paths.landing, start, end, registry, ledger_path)
     bronze = land_range_to_bronze_frame(spark, paths.landing, start, end, run_id, now, registry,
-                                        keep_source_column)
+                                        keep_source_column, {k: at for k, (_, at) in found.items()})
     checks = quality.null_rate(GATE_COLUMNS["bronze"], bronze.columns,
                                THRESHOLDS[env]["bronze"]["max_null_rate"])
     with writers.staged_range(bronze, paths.bronze) as new:
         audit_and_gate(quality.evaluate(new.frame, checks, by=list(PARTITION_COLUMNS)), paths, run_id,
                        "bronze", None, now, enforce)
         new.publish(start, end)
+    for source_id, (owners, _) in found.items():
+        ledger.record(owners, ledger_path, source_id, run_id, now)
     return readers.read_range(spark, paths.bronze, start, end)
 
 
+def _file_owners(spark: SparkSession, landing_root: str, start: str, end: str, registry: Sequence[dict],
+                 ledger_path: str) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Per source that landed: the owners of its files' contents, and the paths to read."""
+    out = {}
+    for src in registry:
+        folders = readers.range_folders(spark, landing_root, src, start, end) if src.get("enabled", True) else []
+        if folders:
+            digests = ledger.file_digests(spark, folders, readers.source_options(src))
+            owners = stage(ledger.owners(digests, ledger.read_ledger(spark, ledger_path), src["id"]), "file-owners")
+            out[src["id"]] = owners, ledger.owned_paths(owners, folders)
+    return out
+
+
 def bronze_path_job(spark: SparkSession, input_path: str, fmt: str, paths: Paths,
                     execution_date: str, run_id: str, now: str, source_system: str = "unknown",
                     env: str = "dev", keep_source_column: bool = False) -> DataFrame:

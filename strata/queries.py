@@ -599,6 +599,19 @@ def api_page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages
 
 
+@query
+def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-08: per date, the checks of the landed API pages, from which the delivery lost pages 2 and 3
+    of every date after the 10th and, after the 20th, delivered page 1 twice."""
+    from strata.operators.pages import page_checks
+    from strata.sources.readers import api_page_counts as counts
+    pages = counts(spark, f"{landed(spark, sf_dir, API_PAGE_SIZE)}/api/events")
+    day = F.dayofmonth("landing_date")
+    kept = pages.where((day <= 10) | ~F.col("page").isin(2, 3))
+    return page_checks(kept.unionByName(pages.where((day > 20) & (F.col("page") == 1))), API_PAGE_SIZE).select(
+        "landing_date", "check_name", "passed", "message", "observed")
+
+
 @query
 def multi_source_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-11: registry-driven read of three formats into one Bronze frame."""
@@ -984,6 +997,30 @@ def parquet_schema_range(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("note").alias("notes"), F.round(F.sum(F.col("amount").try_cast("double")), 2).alias("total_amount"))
 
 
+@query
+def redelivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10/PIPE-06: the CSV files of one date are delivered again under other names, once on the
+    same date and once on the next one, which a later run ingests; the ledger leaves both out."""
+    from strata.contract import SOURCE_REGISTRY
+    from strata.plans.jobs import bronze_range_job
+    from strata.sinks.writers import _Files
+    paths = _paths(spark, "redelivered")
+    rows = _dated_rows(spark, sf_dir, "source_system = 'crm'")
+    (rows.select(*fixtures.LANDED_COLUMNS, "landing_date").write.partitionBy("landing_date").option("header", True)
+     .option("mapreduce.output.basename", "crm_events_export").csv(f"{paths.landing}/sftp/crm"))
+    first, last = span(spark, sf_dir)
+    files, base = _Files(spark, paths.landing), f"{paths.landing}/sftp/crm/landing_date="
+    for name in files.names(base + "20240115"):
+        for date in ("20240115", "20240116"):
+            files.copy(f"{base}20240115/{name}", f"{base}{date}/crm_events_again_{name}")
+    registry = [s for s in SOURCE_REGISTRY if s["format"] == "csv"]
+    for start, end in ((first, EXECUTION_DATE), ("2024-01-16", last)):
+        bronze_range_job(spark, paths, start, end, RUN_ID, NOW, registry=registry,
+                         ledger_path=f"{paths.audit}_ledger")
+    return spark.read.parquet(paths.bronze).groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("keys"))
+
+
 @query
 def db_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-08: Database date slice written to the landing zone as Parquet, read back."""

@@ -136,18 +136,16 @@ def read_api_pages(spark: SparkSession, path: str | Sequence[str],
 
 
 def api_page_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Records per landed page file (page number from the file path); both page shapes count, and
-    a page without records counts 0. One scan with a fixed schema, no inference."""
-    raw = (spark.read.schema("items array<string>").option("multiLine", True)
-           .option("recursiveFileLookup", True).json(path).withColumn("__file", F.col("_metadata.file_path")))
-    n = F.when(F.col("items").isNotNull(), F.size("items")).otherwise(F.lit(1))
-    counted = raw.groupBy("__file").agg(F.sum(n).cast("long").alias("n"))
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .select(F.col("_metadata.file_path").alias("__path")))  # names only, no contents
-    return (files.join(counted, F.col("__path") == F.col("__file"), "left")
-                 .select(landing_date_column(F.col("__path")).alias("landing_date"),
-                         F.regexp_extract("__path", PAGE_NUMBER, 1).cast("int").alias("page"),
-                         F.coalesce("n", F.lit(0)).cast("long").alias("record_count")))
+    """Records per landed page file (page number from the file path), in one scan: both page shapes
+    count, a page that holds a single object is one record, a blank or broken one holds none (a file
+    without a byte is no page)."""
+    body = F.col("content").cast("string")
+    n = F.coalesce(F.json_array_length(body), F.json_array_length(F.get_json_object(body, "$.items")),
+                   F.when(F.get_json_object(body, "$").isNotNull(), 1), F.lit(0))
+    pages = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .select(F.col("_metadata.file_path").alias("file"), n.cast("long").alias("record_count")))
+    return pages.select(landing_date_column(F.col("file")).alias("landing_date"),
+                        F.regexp_extract("file", PAGE_NUMBER, 1).cast("int").alias("page"), "record_count")
 
 
 def require_records(page_counts: DataFrame) -> int:
@@ -215,6 +213,12 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
+def source_options(src: dict) -> dict[str, str]:
+    """Which files below a folder belong to a registry source."""
+    pattern = {"pathGlobFilter": src["file_pattern"]} if src.get("file_pattern") else {}
+    return {"recursiveFileLookup": "true", **pattern}
+
+
 def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
                 schema: T.StructType | None = None, keep_file: bool = False) -> DataFrame:
     """Read one registry source's landed files with the reader its format needs: the files below
@@ -229,9 +233,7 @@ def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
     schema = schema if schema is not None else src.get("schema")
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    options = {"recursiveFileLookup": "true"}
-    if src.get("file_pattern"):
-        options["pathGlobFilter"] = src["file_pattern"]
+    options = source_options(src)
     if fmt == "json_pages":
         return read_api_pages(spark, path, schema, keep_file=keep_file, options=options)
     paths = [path] if isinstance(path, str) else list(path)
@@ -260,12 +262,9 @@ def read_source(spark: SparkSession, path: str | Sequence[str], src: dict, *,
 _DATE_FOLDER = re.compile(r"/landing_date=[0-9]{8}/?$")
 
 
-def read_source_range(spark: SparkSession, root: str, src: dict, start: str, end: str,
-                      schema: T.StructType | None = None) -> DataFrame | None:
-    """All landed files of one source in a Hive-style landing zone for [start, end], with
-    ``landing_date`` (date) taken from the folder; ``None`` if no date of the range landed. Only
-    the range's folders are opened. Anything beside the date folders would be left out without a
-    trace and is an error."""
+def range_folders(spark: SparkSession, root: str, src: dict, start: str, end: str) -> list[str]:
+    """Date folders of one source for [start, end] that landed. Anything beside the date folders
+    would be left out without a trace and is an error."""
     base = f"{root.rstrip('/')}/{src['landing_subdir']}"
     undated = [p for p in existing_paths(spark, [f"{base}/*"])
                if not _DATE_FOLDER.search(p) and not p.rsplit("/", 1)[1].startswith(("_", "."))]
@@ -274,10 +273,18 @@ def read_source_range(spark: SparkSession, root: str, src: dict, start: str, end
     days: dict[str, list[str]] = {}
     for d in date_range(start, end):
         days.setdefault(d.strftime("%Y%m"), []).append(d.strftime("%d"))
-    folders = existing_paths(spark, [f"{base}/landing_date={month}{{{','.join(dd)}}}" for month, dd in days.items()])
-    if not folders:
+    return existing_paths(spark, [f"{base}/landing_date={month}{{{','.join(dd)}}}" for month, dd in days.items()])
+
+
+def read_source_range(spark: SparkSession, root: str, src: dict, start: str, end: str,
+                      schema: T.StructType | None = None, paths: Sequence[str] | None = None) -> DataFrame | None:
+    """All landed files of one source in a Hive-style landing zone for [start, end], with
+    ``landing_date`` (date) taken from the folder; ``None`` if no date of the range landed. Only
+    the range's folders are opened (or the ``paths`` given in their stead)."""
+    paths = range_folders(spark, root, src, start, end) if paths is None else paths
+    if not paths:
         return None
-    df = read_source(spark, folders, src, schema=schema, keep_file=True)
+    df = read_source(spark, paths, src, schema=schema, keep_file=True)
     return df.withColumn("landing_date", landing_date_column(F.col("_source_file"))).drop("_source_file")
 
 
