@@ -544,6 +544,23 @@ FROM (
       FROM raw WHERE source_system = 'events_api' GROUP BY year, month, day)) d,
     (VALUES ('api_pages.missing'), ('api_pages.repeated'), ('api_pages.after_end'), ('api_pages.unfinished'))
       c(check_name))""")
+ORACLE["range_kpis"] = _with(
+    f"SELECT source_system, {_kpi_cols()}, '2024-01-25' AS execution_date, '{NOW}' AS computed_at "
+    "FROM silver WHERE make_date(year, month, day) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' "
+    "GROUP BY source_system")
+# One date's rows are halved before the dedup, so it is done again for that date.
+ORACLE["backfill_changed"] = _with(f"""
+SELECT make_date(year, month, day) AS date, source_system, count(*) AS total_records, count(DISTINCT id) AS distinct_ids,
+  round(sum(amount), 2) AS total_amount, (CASE WHEN {DATE_PRED} THEN 2 ELSE 1 END)::INT AS times
+FROM (
+  SELECT * FROM bsilver WHERE NOT ({DATE_PRED})
+  UNION ALL
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+      PARTITION BY id, event_date, source_system, year, month, day
+      ORDER BY created_at DESC NULLS LAST, amount DESC NULLS LAST, k) AS rn
+    FROM btyped WHERE ({DATE_PRED}) AND k % 2 = 1) z
+  WHERE rn = 1 AND id IS NOT NULL AND source_system IS NOT NULL AND amount >= 0) s
+GROUP BY year, month, day, source_system""")
 ORACLE["gate_failures"] = _with(
     "SELECT * FROM (" + union(null_rate_rows("ded", ["id", "event_date", "source_system"], 0.01)
                               + [row_count_rows("ded", "silver", 1000)]) + ") r WHERE NOT passed")

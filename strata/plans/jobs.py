@@ -44,6 +44,14 @@ class Paths:
     def kpi(self) -> str:
         return f"{self.gold}/kpi_summary"
 
+    @property
+    def kpi_state(self) -> str:
+        return f"{self.gold}/kpi_state"
+
+    @property
+    def id_state(self) -> str:
+        return f"{self.gold}/id_state"
+
     @classmethod
     def under(cls, root: str) -> "Paths":
         r = root.rstrip("/")
@@ -255,8 +263,18 @@ def medallion_run(spark: SparkSession, paths: Paths, execution_date: str, run_id
 # Backfill: one Spark job per layer over a whole date range
 # ---------------------------------------------------------------------------------------------
 
-def _empty_dates(have: set[tuple[int, int, int]], start: str, end: str) -> list:
-    return [d for d in date_range(start, end) if (d.year, d.month, d.day) not in have]
+def _empty_dates(have: set[tuple[int, int, int]], start: str, end: str,
+                 only: set[tuple[int, int, int]] | None = None) -> list:
+    return [d for d in date_range(start, end) if (d.year, d.month, d.day) not in have
+            and (only is None or (d.year, d.month, d.day) in only)]
+
+
+def _only(df: DataFrame, only: set[tuple[int, int, int]] | None) -> DataFrame:
+    """The rows of some dates (a filter on partition columns: other folders are not opened)."""
+    if only is None:
+        return df
+    key = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+    return df.where(key.isin([y * 10000 + m * 100 + d for y, m, d in sorted(only)]))
 
 
 def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str, now: str,
@@ -273,40 +291,41 @@ def backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: st
 
 def silver_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
                     now: str, env: str = "dev", dim: DataFrame | None = None,
-                    enforce: bool = True) -> None:
-    """Silver for every date of the range in one job (date in the dedup key)."""
+                    enforce: bool = True, only: set[tuple[int, int, int]] | None = None) -> None:
+    """Silver for every date of the range (or for those ``only``) in one job (date in the dedup key)."""
     by = list(PARTITION_COLUMNS)
-    bronze = readers.read_range(spark, paths.bronze, start, end)
+    bronze = _only(readers.read_range(spark, paths.bronze, start, end), only)
     new_rows = silver_frame(bronze, dim, keys=list(BUSINESS_KEY) + by)
     checks = silver_checks(new_rows.columns, env)
     with writers.staged_range(new_rows, paths.silver) as new:
         results = quality.evaluate(new.frame, checks, by=by).unionByName(quality.empty_date_row_counts(
-            spark, _empty_dates(new.dates(start, end), start, end), THRESHOLDS[env]["silver"]["min_rows"], "silver"))
+            spark, _empty_dates(new.dates(start, end), start, end, only), THRESHOLDS[env]["silver"]["min_rows"], "silver"))
         audit_and_gate(results, paths, run_id, "silver", None, now, enforce)
-        new.publish(start, end)
+        new.publish(start, end, only)
 
 
 def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_id: str,
                   now: str, env: str = "dev", enforce: bool = True,
-                  emit_metrics: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Daily summary and KPIs for every date of the range from the Silver table: one fused
-    aggregation, staged once, both tables published from it."""
+                  emit_metrics: bool = False, only: set[tuple[int, int, int]] | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """Daily summary and KPIs for every date of the range (or for those ``only``) from the Silver
+    table: one fused aggregation, staged once, both tables published from it."""
     by = list(PARTITION_COLUMNS)
-    silver_rng = readers.read_range(spark, paths.silver, start, end)
+    silver_rng = _only(readers.read_range(spark, paths.silver, start, end), only)
     at = writers.stage_path(spark, f"{run_id}/summaries-range")
     summaries = stage(gold.compute_summaries(silver_rng), "summaries-range", partitioned=True, path=at)
     dates = writers.table_dates(spark, at, start, end)
     daily = gold.daily_from_summaries(summaries, now)
     kpis = gold.kpis_from_summaries(summaries, None, now, keep_date=True)
     g = THRESHOLDS[env]["gold"]["min_rows"]
-    empty = _empty_dates(dates, start, end)
+    empty = _empty_dates(dates, start, end, only)
     results = quality.evaluate(summaries, [quality.row_count(g, label="gold_daily"),
                                            quality.row_count(g, label="gold_kpis")], by=by) \
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_daily")) \
         .unionByName(quality.empty_date_row_counts(spark, empty, g, "gold_kpis"))
     audit_and_gate(results, paths, run_id, "gold", None, now, enforce)
-    writers.publish_range(daily, paths.daily, start, end)
-    writers.publish_range(kpis, paths.kpi, start, end)
+    writers.publish_range(daily, paths.daily, start, end, only)
+    writers.publish_range(kpis, paths.kpi, start, end, only)
     if emit_metrics:
         writers.write_metrics_log(kpis, paths.metrics, run_id)
     writers.discard(spark, at)
@@ -314,6 +333,19 @@ def gold_backfill(spark: SparkSession, paths: Paths, start: str, end: str, run_i
             readers.read_range(spark, paths.kpi, start, end))
 
 
+def state_backfill(spark: SparkSession, paths: Paths, start: str, end: str) -> None:
+    """The KPI states of every date of the range from the Silver table, published by date."""
+    silver_rng = readers.read_range(spark, paths.silver, start, end)
+    writers.publish_range(gold.kpi_state(silver_rng), paths.kpi_state, start, end)
+    writers.publish_range(gold.id_state(silver_rng), paths.id_state, start, end)
+
+
+def range_kpis(spark: SparkSession, paths: Paths, start: str, end: str, now: str) -> DataFrame:
+    """KPIs per source over a whole range, with exact distinct ids, from the states alone."""
+    return gold.kpis_from_states(readers.read_range(spark, paths.kpi_state, start, end),
+                                 readers.read_range(spark, paths.id_state, start, end), end, now)
+
+
 # ---------------------------------------------------------------------------------------------
 # Post-transform quality stage
 # ---------------------------------------------------------------------------------------------

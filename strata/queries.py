@@ -1021,6 +1021,40 @@ def redelivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("keys"))
 
 
+@query
+def range_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-02/AGG-03/PIPE-05: KPIs of a range of dates from the states kept beside Gold: exact distinct
+    ids over all its dates without reading Silver."""
+    from strata.plans import jobs
+    from strata.sinks import writers
+    paths = _paths(spark, "states")
+    writers.publish_range(silver_events(spark, sf_dir), paths.silver, *span(spark, sf_dir))
+    jobs.state_backfill(spark, paths, *span(spark, sf_dir))
+    k = jobs.range_kpis(spark, paths, "2024-01-05", "2024-01-25", NOW)
+    return _round_money(k, sums=["total_value"], means={"avg_value": ("total_value", "record_count")})
+
+
+@query
+def backfill_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-05/PIPE-06: three backfills over all dates: the first does every date, the second finds
+    nothing changed, the third redoes the one date that lost half its Bronze rows."""
+    from strata.functions.dates import date_range, partition_predicate
+    from strata.plans.changes import backfill_changed as run
+    from strata.sinks import writers
+    paths, bronze = _paths(spark, "changed"), bronze_frame(spark, sf_dir)
+    writers.publish_range(bronze, paths.bronze, *span(spark, sf_dir))
+    done = [run(spark, paths, *span(spark, sf_dir), RUN_ID, NOW, enforce=False)]
+    done.append(run(spark, paths, *span(spark, sf_dir), "run-0002", NOW, enforce=False))
+    writers.publish_partition(bronze.where(partition_predicate(EXECUTION_DATE)).where("k % 2 = 1"), paths.bronze,
+                              EXECUTION_DATE)
+    done.append(run(spark, paths, *span(spark, sf_dir), "run-0003", NOW, enforce=False))
+    times = spark.createDataFrame([(d, sum(d.isoformat() in x for x in done)) for d in date_range(*span(spark, sf_dir))],
+                                  "date date, times int")
+    daily = spark.read.parquet(paths.daily).withColumn("date", F.make_date("year", "month", "day"))
+    return _round_money(daily.join(times, "date").select("date", "source_system", "total_records", "distinct_ids",
+                                                         "total_amount", "times"), sums=["total_amount"])
+
+
 @query
 def db_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-08: Database date slice written to the landing zone as Parquet, read back."""

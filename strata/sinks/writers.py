@@ -175,8 +175,8 @@ class Staged:
     def dates(self, start: str, end: str) -> set[tuple[int, int, int]]:
         return table_dates(self.spark, self.at, start, end)
 
-    def publish(self, start: str, end: str) -> list[str]:
-        """Move the dates of [start, end] into the table and empty those of the range that the
+    def publish(self, start: str, end: str, only: set[tuple[int, int, int]] | None = None) -> list[str]:
+        """Move the dates of [start, end] (or those ``only``) into the table and empty those that the
         table holds but the staged rows do not; returns the emptied leaves. Staged rows of other
         dates are not published; rows without a date belong to no partition and are an error."""
         files = _Files(self.spark, self.root)
@@ -184,8 +184,10 @@ class Staged:
             undated = self.frame.where(" OR ".join(f"{c} IS NULL" for c in PARTITION_COLUMNS)).count()
             raise ValueError(f"{undated} rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
         recover(self.spark, self.root)
-        new = self.dates(start, end)
-        stale = sorted(table_dates(self.spark, self.root, start, end) - new)
+        new, old = self.dates(start, end), table_dates(self.spark, self.root, start, end)
+        if only is not None:
+            new, old = new & only, old & only
+        stale = sorted(old - new)
         if stale:
             empty = f"{self.at}/_empty"
             _without_date(self.frame).limit(0).write.mode("overwrite").parquet(empty)
@@ -249,11 +251,12 @@ def staged_range(df: DataFrame, root: str):
         _unstage(spark, root, at)
 
 
-def publish_range(df: DataFrame, root: str, start: str, end: str) -> list[str]:
+def publish_range(df: DataFrame, root: str, start: str, end: str,
+                  only: set[tuple[int, int, int]] | None = None) -> list[str]:
     """Replace every date partition of [start, end] with the rows of ``df`` for that date (see
     :meth:`Staged.publish`); returns the emptied leaves."""
     with staged_range(df, root) as new:
-        return new.publish(start, end)
+        return new.publish(start, end, only)
 
 
 def table_dates(spark: SparkSession, root: str, start: str, end: str
