@@ -25,8 +25,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from bisect import bisect_left
-from itertools import accumulate
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -67,27 +66,47 @@ def chunks(text: str) -> list[str]:
     return [first, *(c[1:] for c in rest)]
 
 
-def cut_groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """Token ranges ``(a_from, a_to, b_from, b_to)`` of the groups, in order. Ends ascend and the
-    last ones are equal."""
-    groups, open_intervals = [], [(0, len(a_ends), 0, len(b_ends))] if a_ends and b_ends else []
+def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, leaf: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Places in A and in B of the ends that both have, in order. Ends ascend and the last ones are
+    equal.
+
+    An interval is cut at the common end nearest to its middle, found by bisecting B's ends around
+    there, and both halves are cut in turn; in one of ``leaf`` tokens or fewer all ends are bisected
+    at once, and one without a common end inside is a group."""
+    found, open_intervals = [], [(0, len(a_ends), 0, len(b_ends))]
     while open_intervals:
         a, a_to, b, b_to = open_intervals.pop()
-        middle, cut = (a + a_to - 1) // 2, None
-        for away in range(a_to - a):
-            for i in (middle - away, middle + away):
-                if a <= i < a_to - 1:
-                    j = bisect_left(b_ends, a_ends[i], b, b_to - 1)
-                    if j < b_to - 1 and b_ends[j] == a_ends[i]:
-                        cut = i + 1, j + 1
-                        break
-            if cut:
+        if a_to - a <= max(leaf, 1):
+            found.append(_bisected(a_ends, b_ends, a, a_to, b, b_to))
+            continue
+        middle, reach = (a + a_to - 1) // 2, 16
+        while True:
+            near, at = _bisected(a_ends, b_ends, max(a, middle - reach), min(a_to - 1, middle + reach + 1), b, b_to)
+            if len(near):
+                k = int(np.argmin(np.abs(near - middle)))
+                cut = int(near[k]) + 1, int(at[k]) + 1
+                open_intervals += [(cut[0], a_to, cut[1], b_to), (a, cut[0], b, cut[1])]
+                break
+            if reach >= a_to - a:
+                found.append((np.array([a_to - 1]), np.array([b_to - 1])))
                 break
-        if cut:
-            open_intervals += [(cut[0], a_to, cut[1], b_to), (a, cut[0], b, cut[1])]
-        else:
-            groups.append((a, a_to, b, b_to))
-    return groups
+            reach *= 8
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(f[side] for f in found)]) for side in (0, 1))
+
+
+def _bisected(a_ends, b_ends, a, a_to, b, b_to) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of A from ``a`` to ``a_to`` that are ends of B from ``b`` to ``b_to`` too: places in both."""
+    at = np.searchsorted(b_ends[b:b_to], a_ends[a:a_to])
+    hit = np.flatnonzero(at < b_to - b)
+    hit = hit[b_ends[b + at[hit]] == a_ends[a + hit]]
+    return a + hit, b + at[hit]
+
+
+def cut_groups(a_ends: list[int], b_ends: list[int], leaf: int = 4096) -> list[tuple[int, int, int, int]]:
+    """Token ranges ``(a_from, a_to, b_from, b_to)`` of the groups, in order."""
+    a, b = shared_cuts(np.array(a_ends), np.array(b_ends), leaf)
+    a, b = (a + 1).tolist(), (b + 1).tolist()
+    return list(zip([0, *a[:-1]], a, [0, *b[:-1]], b))
 
 
 class Aligner:
@@ -110,36 +129,65 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else
                         b"\xff" if self.b.is_control(i) or self.b.is_unknown(i) else  # spells no text
                         p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(p) for p in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        # How a token is written inside a group and at its end: A's, then B's.
+        self.spelling = [f"{i}{end}" for table, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))
+                         for i in range(len(table)) for end in ends]
         self.by_chunk = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.known: dict[str, tuple] = {}
+        self.known: dict[str, tuple | None] = {}
         self.held = 0
 
-    def _align(self, chunk: str, a: list[int], b: list[int]) -> tuple | None:
-        """``(n_a, n_b, n_groups, groups as text, links)`` of a chunk; None if its tokens spell
-        something else."""
-        spelled = (" " + chunk).encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != spelled or b"".join(b_parts) != spelled:
-            return None
-        if len(a) == 1 or len(b) == 1:
-            groups = [(0, len(a), 0, len(b))]
-        else:
-            groups = cut_groups(list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts))))
-        text = ";".join(",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])) for i, j, k, m in groups)
-        return len(a), len(b), len(groups), text, [a[j - 1] << _SHIFT | b[m - 1] for _, j, _, m in groups]
+    def _align(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> list[tuple | None]:
+        """``(n_a, n_b, n_groups, groups as text, links)`` of chunks; None where the tokens spell something
+        else. All chunks are one sequence of bytes here: where a chunk ends there is a shared cut."""
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        spelled = [(" " + c).encode() for c in chunks]
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
+        good = np.ones(len(chunks), bool)
+        for ids, n, lengths in ((a_ids, n_a, self.a_sizes), (b_ids, n_b, self.b_sizes)):
+            upto = np.concatenate([[0], np.cumsum(lengths[ids])])
+            ends = np.cumsum(n)
+            good &= upto[ends] - upto[ends - n] == sizes
+        if good.all():
+            whole = np.frombuffer(b"".join(spelled), np.uint8)
+            for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
+                own = np.frombuffer(b"".join(map(table.__getitem__, ids.tolist())), np.uint8)
+                good[np.searchsorted(np.cumsum(sizes), np.flatnonzero(own != whole), side="right")] = False
+        if not good.all():
+            rest = iter(self._align(*(list(compress(x, good)) for x in (chunks, a, b))) if good.any() else ())
+            return [next(rest) if g else None for g in good.tolist()]
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        a_cuts, b_cuts = shared_cuts(a_ends, b_ends)
+        links = ((a_ids[a_cuts] << _SHIFT) | b_ids[b_cuts]).tobytes()
+        cuts = np.concatenate([[0], np.searchsorted(a_ends[a_cuts], np.cumsum(sizes), side="right")])
+        # The tokens in the order of the text: A's of a group, B's of it, A's of the next one, ...
+        at_a, at_b = np.arange(len(a_ids)), np.arange(len(b_ids))
+        a_place = at_a + np.concatenate([[0], b_cuts + 1])[np.searchsorted(a_cuts, at_a)]
+        b_place = at_b + a_cuts[np.searchsorted(b_cuts, at_b)] + 1
+        written = np.empty(len(a_ids) + len(b_ids), np.int64)
+        written[a_place], written[b_place] = 2 * a_ids, 2 * (len(self.a_bytes) + b_ids)
+        written[a_place[a_cuts]] += 1
+        written[b_place[b_cuts]] += 1
+        words = list(map(self.spelling.__getitem__, written.tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        texts = ["".join(words[i:j]) for i, j in zip([0, *ends[:-1]], ends)]
+        cuts = cuts.tolist()
+        return list(zip(n_a.tolist(), n_b.tolist(), [j - i for i, j in zip(cuts[:-1], cuts[1:])], texts,
+                        [links[8 * i:8 * j] for i, j in zip(cuts[:-1], cuts[1:])]))
 
     def learn(self, wanted: set[str]) -> dict[str, tuple | None]:
         """The alignments of chunks."""
-        new = [c for c in wanted if c not in self.known]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1) if new else []
-        made = {c: self._align(c, x, y) for c, x, y in zip(new, a, b)}
-        found = {c: made[c] if c in made else self.known[c] for c in wanted}
+        found = {c: self.known[c] for c in wanted if c in self.known}
+        new = list(wanted - found.keys())
+        if new:
+            a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
+            found.update(zip(new, self._align(new, a, self.b.encode(new, num_threads=1))))
         if self.held > REMEMBERED_CHARS:
             self.known, self.held = {}, 0
         for c in new:
             if len(c) <= REMEMBERED_LENGTH:
-                self.known[c] = made[c]
+                self.known[c] = found[c]
                 self.held += len(c) + 8
         return found
 
@@ -159,6 +207,8 @@ class _Batch:
         self.aligner, self.keep_groups = aligner, keep_groups
         self.number: dict[str, int] = {}
         self.rows: list[tuple] = []
+        self.texts: list[str] = []  # the groups of each chunk, each with ";" at its end
+        self.bad: set[int] = set()
         self.ids, self.shas, self.groups, self.codes, self.chars = [], [], [], [], 0
 
     def add(self, ids: list, texts: list[str]):
@@ -167,27 +217,29 @@ class _Batch:
         found = self.aligner.learn(new)
         for c in new:
             self.number[c] = len(self.rows)
-            self.rows.append(found[c])
+            if found[c] is None:
+                self.bad.add(len(self.rows))
+            self.rows.append(found[c] or (0, 0, 0, "", b""))
+            self.texts.append(self.rows[-1][3])
         for parts in cut:
-            codes = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
-            aligned = [self.rows[c] for c in codes.tolist()]
-            if not parts or any(r is None for r in aligned):
-                codes, sha, text = codes[:0], "", ""
+            codes = list(map(self.number.__getitem__, parts))
+            if not parts or not self.bad.isdisjoint(codes):
+                codes, sha, text = [], "", ""
             else:
-                text = ";".join([r[3] for r in aligned])
+                text = "".join(map(self.texts.__getitem__, codes))[:-1]
                 sha = hashlib.sha256(text.encode()).hexdigest()
-            self.codes.append(codes)
+            self.codes.append(np.array(codes, np.uint32))
             self.shas.append(sha)
             self.groups.append(text if self.keep_groups else None)
         self.ids += ids
         self.chars += sum(map(len, texts))
 
     def row(self, batch: int) -> pa.RecordBatch:
-        rows = [r or (0, 0, 0, "", []) for r in self.rows]
-        codes = np.concatenate([np.zeros(0, np.int64), *self.codes])
+        rows = self.rows
+        codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
         bounds = np.concatenate([[0], np.cumsum([len(c) for c in self.codes])])
-        link_sizes = np.array([len(r[4]) for r in rows], np.int64)
-        links = np.array([x for r in rows for x in r[4]], np.int64)
+        link_sizes = np.array([len(r[4]) // 8 for r in rows], np.int64)
+        links = np.frombuffer(b"".join([r[4] for r in rows]), np.int64)
         pairs, of = np.unique(links, return_inverse=True)
         times = np.bincount(codes, minlength=len(rows))  # of each chunk
         n = np.bincount(of, weights=np.repeat(times, link_sizes), minlength=len(pairs)).astype(np.int64)
@@ -199,7 +251,7 @@ class _Batch:
         return _batch(BATCH, {
             "batch": [batch], "doc_ids": [self.ids], "n_a": [per_document(0)], "n_b": [per_document(1)],
             "n_groups": [per_document(2)], "shas": [self.shas], "groups": [self.groups],
-            "chunks": [codes.astype(np.uint32).tobytes()], "sizes": [np.diff(bounds)],
+            "chunks": [codes.tobytes()], "sizes": [np.diff(bounds)],
             "links": [of.astype(np.uint32).tobytes()], "link_sizes": [link_sizes.astype(np.uint32).tobytes()],
             "pairs": [pairs], "counts": [n]})
 

@@ -100,6 +100,12 @@ def test_strange_texts_equal_brute_force(spark, paths, whole):
     assert any(r.n_a == 0 for r in got) and any(r.n_groups > 3 for r in got)
 
 
+def test_intervals_without_cuts_are_found_once():
+    import numpy as np
+    odd, even = np.append(np.arange(1, 200_000, 2), 200_000), np.arange(2, 200_001, 2)
+    assert alignment.cut_groups(odd.tolist(), even.tolist()) == [(0, 100_001, 0, 100_000)]
+
+
 def test_defined_cases(spark, paths, whole):
     long = "ab" * 40_000 + " " + "word " * 20_000
     rows = [(1, None), (2, ""), (3, " "), (4, "a▁b"), (None, "the cat"), (5, "the cat"), (5, "the cat"), (6, long)]
@@ -114,8 +120,9 @@ def test_defined_cases(spark, paths, whole):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(1, 3), min_size=1, max_size=30), st.lists(st.integers(1, 3), min_size=1, max_size=30))
-def test_divide_and_conquer_finds_every_cut(a, b):
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=90), st.lists(st.integers(1, 3), min_size=1, max_size=90),
+       st.sampled_from([1, 2, 5, 4096]))
+def test_divide_and_conquer_finds_every_cut(a, b, leaf):
     from itertools import accumulate
     a_ends, b_ends = list(accumulate(a)), list(accumulate(b))
     last = max(a_ends[-1], b_ends[-1])
@@ -128,4 +135,4 @@ def test_divide_and_conquer_finds_every_cut(a, b):
         x, y = a_ends.index(c) + 1, b_ends.index(c) + 1
         want.append((i, x, j, y))
         i, j = x, y
-    assert alignment.cut_groups(a_ends, b_ends) == want
+    assert alignment.cut_groups(a_ends, b_ends, leaf) == want
