@@ -561,6 +561,13 @@ FROM (
     FROM btyped WHERE ({DATE_PRED}) AND k % 2 = 1) z
   WHERE rn = 1 AND id IS NOT NULL AND source_system IS NOT NULL AND amount >= 0) s
 GROUP BY year, month, day, source_system""")
+ORACLE["exp_unique_bucketed"] = _with(union([
+    f"SELECT r.*, {_q(name)} AS rows_of FROM ({part}) r" for name, src in (("typed", "typed"), ("deduplicated", "ded"))
+    for part in (unique_row(src, ["id", "event_date", "source_system"]), row_count_rows(src, name, 1))]))
+ORACLE["jdbc_day_ranges"] = (
+    "SELECT CAST(floor(date_diff('microsecond', DATE '2024-01-15'::TIMESTAMP, ts) / (86400000000 / 5)) AS INT) AS part, "
+    'count(*) AS "rows", count(DISTINCT event_id) AS events, min(ts) AS first FROM events '
+    "WHERE CAST(ts AS DATE) = DATE '2024-01-15' GROUP BY 1")
 ORACLE["gate_failures"] = _with(
     "SELECT * FROM (" + union(null_rate_rows("ded", ["id", "event_date", "source_system"], 0.01)
                               + [row_count_rows("ded", "silver", 1000)]) + ") r WHERE NOT passed")

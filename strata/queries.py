@@ -386,6 +386,22 @@ def exp_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality_view(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+@query
+def exp_unique_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-12/DED-01: compound uniqueness of typed events and of deduplicated ones, each in a table
+    bucketed by the business key: no shuffle of rows."""
+    from strata.contract import BUSINESS_KEY
+    from strata.operators import quality
+    from strata.sinks import bucketed
+    out = None
+    for name, df in (("typed", typed_events(spark, sf_dir)), ("deduplicated", deduped_events(spark, sf_dir))):
+        t = bucketed.append(df, _scratch(spark, f"bucketed-{name}"))
+        checks = [quality.expect_compound_unique(list(BUSINESS_KEY), t.columns), quality.row_count(1, label=name)]
+        res = _quality_view(quality.evaluate(t, checks)).withColumn("rows_of", F.lit(name))
+        out = res if out is None else out.unionByName(res)
+    return out
+
+
 @query
 def exp_suite_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-13: the Bronze expectation suite."""
@@ -578,6 +594,20 @@ def jdbc_date_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return date_slice(fixtures.table(spark, sf_dir, "orders"), "o_orderdate", ORDERS_DATE)
 
 
+@query
+def jdbc_day_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-05: a day's slice of the events by the time ranges that split its extract, a row per range."""
+    from strata.sources.jdbc import day_ranges
+    events = fixtures.table(spark, sf_dir, "events")
+    parts = [events.where(p).select(F.lit(i).alias("part"), "event_id", "ts")
+             for i, p in enumerate(day_ranges("ts", EXECUTION_DATE, 5))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),
+                                   F.min("ts").cast("timestamp_ntz").alias("first"))
+
+
 @query
 def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-06/FLT-01: one execution date of a partitioned table."""
