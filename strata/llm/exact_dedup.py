@@ -37,7 +37,10 @@ class DigestIndex:
                   f"LOCATION '{path}'")
 
     def rows(self) -> DataFrame:
-        return self.spark.table(self.table)
+        """One row per digest. A digest has a row of its own for every batch that brought it; they lie
+        in one bucket, sorted, so adding them up needs no shuffle."""
+        return self.spark.table(self.table).groupBy("digest").agg(
+            F.min("keep_id").alias("keep_id"), F.max("n_chars").alias("n_chars"), F.sum("group_size").alias("group_size"))
 
     def admit(self, docs: DataFrame) -> DataFrame:
         """Deduplicate ``docs(doc_id, text, …)`` against the index and itself, append the new
@@ -46,8 +49,7 @@ class DigestIndex:
 
         Of equal texts in one batch the longest original (code points), then the smallest id
         stays; a text the index already holds is dropped in favour of the indexed document.
-        ``group_size`` counts this batch's rows for new digests and adds the indexed count for
-        known ones."""
+        ``group_size`` counts the rows of this batch and of all batches before."""
         plain = F.translate(text_or_empty(), SPACES, "")
         rows = stage(docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
@@ -60,16 +62,17 @@ class DigestIndex:
                                      (-F.col("f.neg")).alias("n_chars"), "group_size"), "digest-groups")
         known = self.rows()
         resolved = None
-        if known.limit(1).count():
+        if self.spark.table(self.table).limit(1).count():
             old = known.select("digest", F.col("keep_id").alias("old_id"),
                                F.col("group_size").alias("old_size"))
             resolved = stage(groups.join(old.hint("merge"), "digest", "left").select(
                 "digest", F.coalesce("old_size", F.lit(0)).alias("old_size"),
                 F.when(F.col("old_size").isNull(), F.col("keep_id")).otherwise(F.col("old_id")).alias("keep_id"),
                 "group_size", F.col("old_size").isNull().alias("fresh")), "digest-resolved")
-        fresh = groups.join(known.hint("merge"), "digest", "left_anti")
-        (fresh.select("digest", "keep_id", "n_chars", "group_size")
-         .repartition(self.buckets, "digest").sortWithinPartitions("digest")
+        new = groups.join(known.hint("merge"), "digest", "left_anti").select("digest", "keep_id", "n_chars", "group_size")
+        if resolved is not None:  # known digests: what this batch adds to their count
+            new = new.union(resolved.where("NOT fresh").select("digest", "keep_id", F.lit(None).cast("long"), "group_size"))
+        (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .write.insertInto(self.table))
         self.spark.catalog.refreshTable(self.table)
         if resolved is None:

@@ -67,6 +67,22 @@ def test_exact_dedup_index_persists(spark):
     assert index.admit(frame(spark, [])).count() == 0
 
 
+def test_group_sizes_count_all_batches(spark):
+    index = exact_dedup.new_index(spark)
+    sizes = []
+    for first, n in ((0, 2), (10, 3), (20, 4), (30, 1)):
+        docs = spark.createDataFrame([(first + i, "same text" + " " * i) for i in range(n)] + [(first + 9, f"own {first}")],
+                                     "doc_id long, text string")
+        out = {r.doc_id: r for r in index.admit(docs).collect()}
+        sizes.append(out[first].group_size)
+        assert {r.keep_id for r in out.values() if r.doc_id != first + 9} == {1}
+        assert out[first + 9].kept and out[first + 9].group_size == 1
+        assert sum(r.kept for r in out.values()) == (2 if first == 0 else 1)
+    assert sizes == [2, 5, 9, 10]
+    assert {r.group_size for r in index.rows().collect()} == {10, 1} and index.rows().count() == 5
+    assert "Exchange" not in index.rows()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_exact_dedup_keeps_one_row_and_its_columns(spark):
     docs = awkward(spark)
     out = exact_dedup.keep_first(docs, exact_dedup.new_index(spark).admit(docs))
