@@ -7,7 +7,8 @@ the phrase's fingerprint. A partition merges what it gets into one Misra-Gries s
 taken off all of them. At most ``mass / (capacity + 1) < least`` can be taken off a counter that
 way, so every phrase with ``least`` occurrences survives. Pairs of words are summarised first;
 phrases of three and four words enter only where all their pairs survive (a phrase is no more
-frequent than its parts). The second pass then counts the survivors exactly, by their words.
+frequent than its parts). The second pass then counts the survivors exactly, by their words: a batch
+counts its own, and the hash partitions add up what all batches send them.
 
 A summary's memory is bounded by the mass of its partition, and partitions grow in number with the
 corpus. A frequent phrase reaches its partition once per batch, with a count.
@@ -25,9 +26,11 @@ taken for one with a probability of 10^-7).
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import stage, text_or_empty
@@ -43,7 +46,9 @@ SCALE = 2_000_000
 
 COUNTS = "batch bigint, bucket bigint, once binary, more binary, counts binary"
 SURVIVORS = "batch bigint, bucket bigint, prints binary"
-EXACT = "lang string, phrase string, words bigint, f bigint"
+PACKED = "bucket bigint, n bigint, phrases binary"
+# The language with its length before it, and the phrase (empty for the number of all words).
+EXACT = "key string, f bigint"
 _KINDS = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
 
 
@@ -182,39 +187,74 @@ def _exact(buckets: int, longest: int):
     def run(docs: pa.Table, survivors: pa.Table) -> pa.Table:
         """Exact counts of the survivors in a batch, by their words; the words of each language
         in all as the phrase null."""
-        wanted = received(survivors)
-        prints, counts, texts, langs, widths, total = [], [], [], [], [], {}
+        wanted, slices, places, prints, total = received(survivors), [], [], [], {}
         for grams, names in _slices(docs):
-            words = grams.words
-            for name, n in zip(names, np.diff(words.bounds).tolist()):
+            sizes = np.diff(grams.words.bounds)
+            for name, n in zip(names, sizes.tolist()):
                 total[name] = total.get(name, 0) + n
-            lang_of = np.repeat(np.arange(len(names)), np.diff(words.bounds))
             flags = _pairs(grams, wanted, buckets)
             for width in range(1, longest + 1):
                 at, p = grams.prints(width) if width < 3 else grams.longer(width, flags)
                 stay = members(keyed(p, buckets), wanted)
-                p, first, n = np.unique(p[stay], return_index=True, return_counts=True)
-                prints.append(p)
-                counts.append(n)
-                for i in at[stay][first].tolist():
-                    texts.append(b" ".join(words.data[a:b] for a, b in
-                                           zip(words.starts[i:i + width].tolist(), words.ends[i:i + width].tolist())))
-                    langs.append(names[lang_of[i]])
-                    widths.append(width)
-        out = {"lang": list(total), "phrase": [None] * len(total), "words": [0] * len(total), "f": list(total.values())}
-        if prints and len(all_prints := np.concatenate(prints)):
-            _, first, of = np.unique(all_prints, return_index=True, return_inverse=True)
-            sums = np.bincount(of, weights=np.concatenate(counts)).astype(np.int64)
-            first = first.tolist()
-            out["lang"] += [langs[i] for i in first]
-            out["phrase"] += [texts[i].decode() for i in first]
-            out["words"] += [widths[i] for i in first]
-            out["f"] += sums.tolist()
-        return _table(EXACT, **out)
+                places.append((len(slices), width, at[stay]))
+                prints.append(p[stay])
+            slices.append((grams.words, names, np.repeat(np.arange(len(names)), sizes)))
+        prefix = {name: f"{len(name)}:{name}".encode() for name in total}
+        # The number of all words goes with the empty phrase of its language.
+        keys, found = list(prefix.values()), [np.array(list(total.values()), np.int64)]
+        homes = [np.array([zlib.crc32(k) % buckets for k in keys], np.int64)]
+        values, first, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *prints]), return_index=True,
+                                          return_counts=True)
+        order = np.argsort(first)
+        values, first, counts = values[order], first[order], counts[order]
+        begin = np.cumsum([0, *map(len, prints)])
+        for (k, width, at), a, b in zip(places, begin[:-1], begin[1:]):
+            mine = slice(*np.searchsorted(first, [a, b]))  # phrases met first in this slice
+            words, names, text_of = slices[k]
+            at = at[first[mine] - a]
+            spelled = [map(words.data.__getitem__, map(slice, words.starts[at + j].tolist(), words.ends[at + j].tolist()))
+                       for j in range(width)]
+            keys += [prefix[names[i]] + b" ".join(x) for i, x in zip(text_of[at].tolist(), zip(*spelled))]
+            found.append(counts[mine])
+            homes.append((keyed(values[mine], buckets) >> np.uint64(32)).astype(np.int64))
+        return _packed(keys, np.concatenate(found), np.concatenate(homes))
+
+    return run
+
+
+def _packed(keys: list[bytes], counts: np.ndarray, homes: np.ndarray) -> pa.Table:
+    """A row for each bucket: its phrases, in about alphabetical order, and their counts, compressed."""
+    order = np.lexsort((np.array([k[:24] for k in keys], "S24"), homes))
+    counts, homes, lengths = counts[order], homes[order], np.array(list(map(len, keys)), np.uint32)[order]
+    keys = list(map(keys.__getitem__, order.tolist()))
+    used, begin = np.unique(homes, return_index=True)
+    rows = []
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(keys)]):
+        rows.append(zlib.compress(counts[a:b].astype("<i8").tobytes() + lengths[a:b].tobytes() + b"".join(keys[a:b]), 1))
+    return _table(PACKED, bucket=used, n=np.diff([*begin, len(keys)]), phrases=rows)
+
+
+def _add_up(least: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A bucket: exact counts of its phrases over all batches, those of ``least`` at least."""
+        total: dict[bytes, int] = {}
+        for n, packed in zip(table.column("n").to_pylist(), table.column("phrases").to_pylist()):
+            data = zlib.decompress(packed)
+            ends = (12 * n + np.cumsum(np.frombuffer(data, np.uint32, n, 8 * n), dtype=np.int64)).tolist()
+            for a, b, c in zip([12 * n, *ends], ends, np.frombuffer(data, "<i8", n).tolist()):
+                key = data[a:b]
+                total[key] = total.get(key, 0) + c
+        kept = [(k, f) for k, f in ((k.decode(), f) for k, f in total.items() if f >= least or _is_total(k))]
+        return _table(EXACT, key=[k for k, _ in kept], f=[f for _, f in kept])
 
     return run
 
 
+def _is_total(key: bytes) -> bool:
+    size, _, rest = key.decode().partition(":")
+    return len(rest) == int(size)
+
+
 def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """``docs(lang, text, …)`` → ``lang, phrase, words, f`` of every phrase of up to ``longest`` words
     that occurs ``least`` times in its language, and a row with the phrase null and 0 words that has
@@ -229,13 +269,14 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataF
     long = rows.groupBy("batch").cogroup(pairs.groupBy("batch")).applyInArrow(_long(buckets, longest), COUNTS)
     more = long.groupBy("bucket").applyInArrow(_survivors(least), SURVIVORS)
     exact = rows.groupBy("batch").cogroup(pairs.union(more).groupBy("batch")).applyInArrow(
-        _exact(buckets, longest), EXACT)
-    return exact.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(
-        (F.col("f") >= least) | F.col("phrase").isNull())
-
-
-def _part(first: Column, n: Column) -> Column:
-    return F.array_join(F.slice("ws", first, n), " ")
+        _exact(buckets, longest), PACKED).groupBy("bucket").applyInArrow(_add_up(least), EXACT)
+    size = F.substring_index("key", ":", 1)
+    begin = F.length(size) + 2
+    found = exact.select(
+        F.substr("key", begin, size.cast("int")).alias("lang"),
+        F.nullif(F.substr("key", begin + size.cast("int")), F.lit("")).alias("phrase"), "f")
+    words = F.when(F.col("phrase").isNull(), 0).otherwise(F.size(F.split("phrase", " ")))
+    return found.select("lang", "phrase", words.cast("long").alias("words"), "f")
 
 
 def score(found: DataFrame) -> DataFrame:
@@ -243,12 +284,13 @@ def score(found: DataFrame) -> DataFrame:
     longer one makes superfluous; the lowest-scoring cut counts, the first of equal ones."""
     phrases = found.where("words > 0").select("lang", "phrase", "words", "f")
     candidates = phrases.where("words > 1").withColumn("ws", F.split("phrase", " "))
-    cut = candidates.select("lang", "phrase", F.col("f").alias("a"), "ws", "words",
+    cut = candidates.select("lang", "phrase", F.col("f").alias("a"),
                             F.explode(F.sequence(F.lit(1), F.col("words").cast("int") - 1)).alias("k"))
-    cut = cut.select("lang", "phrase", "a", "k", _part(F.lit(1), F.col("k")).alias("left"),
-                     _part(F.col("k") + 1, F.col("words").cast("int") - F.col("k")).alias("right"))
-    part = phrases.select("lang", "phrase", "f")
-    cut = cut.join(part.toDF("lang", "left", "l"), ["lang", "left"]).join(part.toDF("lang", "right", "r"), ["lang", "right"])
+    part = phrases.select("lang", F.col("phrase").alias("part"), "f")
+    for name, words in (("l", F.slice(F.split("phrase", " "), F.lit(1), F.col("k"))),
+                        ("r", F.slice(F.split("phrase", " "), F.col("k") + 1, F.lit(1 << 30)))):
+        cut = (cut.withColumn("part", F.array_join(words, " ")).join(part, ["lang", "part"]).drop("part")
+               .withColumnRenamed("f", name))
     big = "decimal(38,0)"
     value = F.expr(f"cast(a as decimal(28,0)) * cast({SCALE} as decimal(9,0)) div (cast(l as {big}) + cast(r as {big}))")
     scored = cut.select("lang", "phrase", "a", F.struct(value.cast("long").alias("score"), "k", "l", "r").alias("m")) \
