@@ -242,16 +242,16 @@ SELECT t.*, CAST(CASE replace(replace(check_name, 'schema.field_ok.', ''), 'sche
 FROM (SELECT count(id) AS n_id, count(amount) AS n_amount, count(event_date) AS n_event_date,
         count(created_at) AS n_created_at, count(is_active) AS n_is_active,
         count(source_system) AS n_source_system, count(year) AS n_year FROM silver) n, (VALUES
-  ('schema.field_ok.id', true, 'long', 'long', 'Column ''id'' OK'),
-  ('schema.field_ok.amount', true, 'double', 'double', 'Column ''amount'' OK'),
-  ('schema.field_ok.event_date', true, 'date', 'date', 'Column ''event_date'' OK'),
-  ('schema.field_ok.created_at', true, 'timestamp', 'timestamp', 'Column ''created_at'' OK'),
-  ('schema.field_ok.is_active', true, 'boolean', 'boolean', 'Column ''is_active'' OK'),
-  ('schema.field_ok.source_system', true, 'string', 'string', 'Column ''source_system'' OK'),
+  ('schema.field_ok.id', true, 'long', 'long', 'column ''id'' as expected'),
+  ('schema.field_ok.amount', true, 'double', 'double', 'column ''amount'' as expected'),
+  ('schema.field_ok.event_date', true, 'date', 'date', 'column ''event_date'' as expected'),
+  ('schema.field_ok.created_at', true, 'timestamp', 'timestamp', 'column ''created_at'' as expected'),
+  ('schema.field_ok.is_active', true, 'boolean', 'boolean', 'column ''is_active'' as expected'),
+  ('schema.field_ok.source_system', true, 'string', 'string', 'column ''source_system'' as expected'),
   ('schema.field_present.source_label', false, 'missing', 'string',
-   'Required column ''source_label'' is absent from the DataFrame'),
+   'no column ''source_label'''),
   ('schema.field_type.year', false, 'integer', 'long',
-   'Column ''year'' has type ''integer'', expected ''long''')
+   'column ''year'' is integer, should be long')
 ) AS t(check_name, passed, actual, expected, message)""")
 
 ORACLE["dq_null_rate"] = _with(union(null_rate_rows(
@@ -271,8 +271,8 @@ def _rc_full(label, lo, hi=None):
     cond = f"count(*) >= {lo}" if hi is None else f"count(*) BETWEEN {lo} AND {hi}"
     return (f"SELECT 'row_count.{label}' AS check_name, {cond} AS passed, "
             f"CAST(count(*) AS VARCHAR) AS actual, {_q(rng)} AS expected, "
-            f"CASE WHEN {cond} THEN 'Row count ' || count(*) || ' within {rng}' "
-            f"ELSE 'Row count ' || count(*) || ' outside expected range {rng}' END AS message "
+            f"CASE WHEN {cond} THEN count(*) || ' rows, allowed {rng}' "
+            f"ELSE count(*) || ' rows, but allowed {rng}' END AS message "
             "FROM silver")
 
 
@@ -289,9 +289,9 @@ ORACLE["dq_schema_drift"] = _with(
         for run, src in ((1, "typed"), (2, "silver")))
     + " UNION ALL SELECT * FROM (VALUES "
     f"(1, 'schema_drift.silver', true, {_q(str(_typed_cols))}, 'baseline written', "
-    "'Schema reference created; no drift check this run'), "
+    "'first run: columns saved as the baseline'), "
     f"(2, 'schema_drift.silver', false, {_q(str(_enriched_cols))}, {_q(str(_typed_cols))}, "
-    f"{_q(chr(83) + 'chema drift detected — added=' + str(['source_label']) + ' removed=' + str(['k']))})"
+    f"{_q('columns differ from the baseline: new ' + str(['source_label']) + ', gone ' + str(['k']))})"
     ") AS t(run, check_name, passed, actual, expected, message)")
 
 ORACLE["dq_partitions"] = _with("""
