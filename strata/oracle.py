@@ -516,6 +516,7 @@ ORACLE["csv_header_range"] = _with(
     "count(CASE WHEN day BETWEEN 11 AND 20 THEN 1 END) AS tiers, "
     "round(sum(TRY_CAST(amount AS DOUBLE)), 2) AS total_amount "
     "FROM raw WHERE source_system = 'crm' GROUP BY year, month, day")
+ORACLE["stream_csv_headers"] = ORACLE["csv_header_range"]
 ORACLE["parquet_schema_range"] = _with(
     'SELECT year, month, day, count(*) AS "rows", CAST(sum(k) AS BIGINT) AS keys, '
     "count(CASE WHEN k % 2 = 1 THEN id ELSE CAST(TRY_CAST(id AS INT) AS STRING) END) AS ids, "

@@ -988,13 +988,11 @@ def _range_of(spark: SparkSession, sf_dir: str, paths, fmt: str) -> DataFrame:
                             registry=[s for s in SOURCE_REGISTRY if s["format"] == fmt])
 
 
-@query
-def csv_header_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-01/SRC-11: CSV deliveries of a range whose headers change: from the 11th on the columns come
-    in reverse with a further one, from the 21st on one is missing and every date holds files of
-    two orders; every value lands under its own name."""
-    paths = _paths(spark, "csv-headers")
-    rows = _dated_rows(spark, sf_dir, "source_system = 'crm'").withColumn("tier", F.concat(F.lit("t, "), "k"))
+def _land_uneven_csv(spark: SparkSession, sf_dir: str, landing_root: str, where: str = "true") -> None:
+    """CSV deliveries whose headers change: from the 11th on the columns come in reverse with a further
+    one, from the 21st on one is missing and every date holds files of two orders."""
+    rows = _dated_rows(spark, sf_dir, "source_system = 'crm'").where(where).withColumn(
+        "tier", F.concat(F.lit("t, "), "k"))
     cols = list(fixtures.LANDED_COLUMNS)
     short = [c for c in cols if c != "is_active"]
     for part, names in ((rows.where("day <= 10"), cols),
@@ -1003,14 +1001,42 @@ def csv_header_range(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (rows.where("day > 20 AND k % 2 = 1"), [*reversed(short)])):
         (part.select(*names, "landing_date").write.mode("append").partitionBy("landing_date")
          .option("header", True).option("mapreduce.output.basename", "crm_events_export")
-         .csv(f"{paths.landing}/sftp/crm"))
-    return _range_of(spark, sf_dir, paths, "csv").groupBy("year", "month", "day").agg(
+         .csv(f"{landing_root}/sftp/crm"))
+
+
+def _uneven_csv_summary(bronze: DataFrame) -> DataFrame:
+    return bronze.groupBy("year", "month", "day").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("k").cast("bigint")).alias("keys"), F.count("id").alias("ids"),
         F.count(F.col("id").try_cast("bigint")).alias("numbers"), F.count("is_active").alias("active_known"),
         F.count(F.when(F.col("tier") == F.concat(F.lit("t, "), "k"), 1)).alias("tiers"),
         F.round(F.sum(F.col("amount").try_cast("double")), 2).alias("total_amount"))
 
 
+@query
+def csv_header_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01/SRC-11: CSV deliveries of a range whose headers change: from the 11th on the columns come
+    in reverse with a further one, from the 21st on one is missing and every date holds files of
+    two orders; every value lands under its own name."""
+    paths = _paths(spark, "csv-headers")
+    _land_uneven_csv(spark, sf_dir, paths.landing)
+    return _uneven_csv_summary(_range_of(spark, sf_dir, paths, "csv"))
+
+
+@query
+def stream_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-01/SRC-11 (streaming): the same deliveries as a stream of files, landed and drained in two
+    steps."""
+    from strata.contract import SOURCE_REGISTRY
+    from strata.sources.readers import read_range
+    from strata.streaming.by_header import run_stream
+    root = _scratch(spark, "stream-headers")
+    src = next(s for s in SOURCE_REGISTRY if s["format"] == "csv")
+    for where in ("day < 15", "day >= 15"):
+        _land_uneven_csv(spark, sf_dir, f"{root}/landing", where)
+        run_stream(spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", src, RUN_ID, NOW)
+    return _uneven_csv_summary(read_range(spark, f"{root}/bronze", *span(spark, sf_dir)))
+
+
 @query
 def parquet_schema_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-03/SRC-11: every date of a range holds Parquet files of two schemas: numbers, and text with a

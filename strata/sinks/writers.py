@@ -180,7 +180,7 @@ class Staged:
         table holds but the staged rows do not; returns the emptied leaves. Staged rows of other
         dates are not published; rows without a date belong to no partition and are an error."""
         files = _Files(self.spark, self.root)
-        if any("__HIVE_DEFAULT_PARTITION__" in name for name in _nested(files, self.at)):
+        if any("__HIVE_DEFAULT_PARTITION__" in leaf for leaf in _leaves(files, self.at)):
             undated = self.frame.where(" OR ".join(f"{c} IS NULL" for c in PARTITION_COLUMNS)).count()
             raise ValueError(f"{undated} rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
         recover(self.spark, self.root)
@@ -198,19 +198,30 @@ class Staged:
         replace_leaves(files, self.root, [(f"{self.at}/{leaf}", leaf) for leaf in leaves], self.at.rsplit("/", 1)[1])
         return [f"{self.root}/{_leaf(d)}" for d in stale]
 
+    def append(self, tag: str) -> None:
+        """Add the staged files to the table's date folders under names that start with ``tag``. Files of
+        that tag that are there already (from a run that was cut short) go first."""
+        files = _Files(self.spark, self.root)
+        for leaf in _leaves(files, self.at):
+            if "__HIVE_DEFAULT_PARTITION__" in leaf:
+                raise ValueError(f"rows have no {'/'.join(PARTITION_COLUMNS)} and fit no partition")
+            for name in files.names(f"{self.root}/{leaf}"):
+                if name.startswith(f"{tag}-"):
+                    files.delete(f"{self.root}/{leaf}/{name}")
+            parts = [n for n in files.names(f"{self.at}/{leaf}") if not n.startswith(("_", "."))]
+            for i, name in enumerate(parts):
+                files.rename(f"{self.at}/{leaf}/{name}", f"{self.root}/{leaf}/{tag}-{i:05}.parquet")
+
 
 def _without_date(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in PARTITION_COLUMNS if c in df.columns])
 
 
-def _nested(files: _Files, at: str) -> list[str]:
-    """Names of the year, month and day folders below ``at``."""
-    out = []
-    for y in files.names(at):
-        for m in files.names(f"{at}/{y}") if y.startswith("year=") else ():
-            days = files.names(f"{at}/{y}/{m}") if m.startswith("month=") else []
-            out += [y, m, *(d for d in days if d.startswith("day="))]
-    return out
+def _leaves(files: _Files, at: str) -> list[str]:
+    """The date folders ``year=…/month=…/day=…`` below ``at``."""
+    return [f"{y}/{m}/{d}" for y in files.names(at) if y.startswith("year=")
+            for m in files.names(f"{at}/{y}") if m.startswith("month=")
+            for d in files.names(f"{at}/{y}/{m}") if d.startswith("day=")]
 
 
 def _staging(root: str) -> str:

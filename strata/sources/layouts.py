@@ -81,8 +81,9 @@ def header_names(line: str, separator: str = ",") -> list[str]:
     return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
-def _folder(path: str) -> str:
-    return path.rsplit("/", 1)[0]
+def _place(path: str) -> str:
+    """The path without scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str], options: dict[str, str]
@@ -99,9 +100,11 @@ def header_groups(spark: SparkSession, paths: Sequence[str], options: dict[str,
     nested = {a for a, b in zip(folders, folders[1:]) if b.startswith(a + "/")} if options.get(
         "recursiveFileLookup") == "true" else set()
     whole: dict[str, list[str]] = {}
+    # Folders given as such are read whole; of others only the files that were given.
+    given = tuple(_place(p).rstrip("/") + "/" for p in paths)
     mixed = []
     for r in found:
-        if len(r.lines) > 1 or r.folder in nested:
+        if len(r.lines) > 1 or r.folder in nested or not (_place(literal_path(r.folder)) + "/").startswith(given):
             mixed.append(r.folder)
         else:
             whole.setdefault(r.lines[0], []).append(literal_path(r.folder))

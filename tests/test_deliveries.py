@@ -88,7 +88,11 @@ def test_redelivered_files_are_ingested_once(spark, local_tmp):
     _put(paths.landing, "20240102", "late copy.csv", text)
     _put(paths.landing, "20240102", "new.csv", "id,amount\n7,8\n")
     assert run("2024-01-02", "2024-01-02") == first + [(2, "7")]
+    # Files of another header beside a copy: only those that own their contents are read.
+    _put(paths.landing, "20240103", "other.csv", "amount,id\n10,9\n")
+    _put(paths.landing, "20240103", "copy.csv", text)
+    assert run("2024-01-02", "2024-01-03") == first + [(2, "7"), (3, "9")]
     # A rerun of everything gives the same rows, and the ledger does not grow.
     entries = ledger.read_ledger(spark, book).count()
-    assert run("2024-01-01", "2024-01-02") == first + [(2, "7")]
-    assert ledger.read_ledger(spark, book).count() == entries == 3
+    assert run("2024-01-01", "2024-01-03") == first + [(2, "7"), (3, "9")]
+    assert ledger.read_ledger(spark, book).count() == entries == 4

@@ -67,6 +67,17 @@ def test_folders_inside_folders_are_not_read_twice(spark, local_tmp):
     assert sorted((r.id, r.amount) for r in got) == [("1", "2"), ("3", "4")]
 
 
+def test_files_given_by_name_are_read_alone(spark, local_tmp):
+    for name, text in (("a.csv", "id,amount\n1,2\n"), ("b.csv", "amount,id\n4,3\n"), ("c.csv", "id,amount\n5,6\n")):
+        _put(f"{local_tmp}/x", name, text)
+    _put(f"{local_tmp}/x2", "d.csv", "amount,id\n8,7\n")
+    for paths in ([f"{local_tmp}/x/a.csv", f"{local_tmp}/x2"], [f"file:{local_tmp}/x/a.csv", f"file:{local_tmp}/x2/"]):
+        got = readers.read_source(spark, paths, SRC).collect()
+        assert sorted((r.id, r.amount) for r in got) == [("1", "2"), ("7", "8")]
+    got = readers.read_source(spark, [f"{local_tmp}/x/b.csv", f"{local_tmp}/x/c.csv"], SRC).collect()
+    assert sorted((r.id, r.amount) for r in got) == [("3", "4"), ("5", "6")]
+
+
 def test_first_lines_do_not_read_whole_files(spark, local_tmp):
     _put(local_tmp, "big.csv", "id,amount\n" + "1,2\n" * 400_000)
     lines = layouts.first_lines(spark, [local_tmp], {})

@@ -31,3 +31,74 @@ def test_stream_is_incremental_and_exactly_once(spark):
     got = {r.day: r["count"] for r in b.groupBy("day").count().collect()}
     assert got == {15: first, 16: raw.where(partition_predicate("2024-01-16")).count()}
     assert b.where(F.col("source_system").isNull()).count() == 0
+
+
+def test_stream_refuses_another_header(spark, local_tmp):
+    """A file with other columns stops the stream; nothing is read by position."""
+    import os
+
+    import pytest
+    src = [{"id": "crm", "format": "csv", "landing_subdir": "sftp/crm", "source_system_label": "crm"}]
+    schema = T._parse_datatype_string("id string, amount string")
+
+    def land(date, text):
+        os.makedirs(f"{local_tmp}/landing/sftp/crm/landing_date={date}")
+        with open(f"{local_tmp}/landing/sftp/crm/landing_date={date}/a.csv", "w") as f:
+            f.write(text)
+
+    args = (f"{local_tmp}/landing", f"{local_tmp}/bronze", f"{local_tmp}/ckpt", src, schema, "r", "now")
+    land("20240101", "id,amount\n1,10\n")
+    run_bronze_stream(spark, *args)
+    land("20240102", "amount,id\n20,2\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        run_bronze_stream(spark, *args)
+    assert [tuple(r) for r in spark.read.parquet(f"{local_tmp}/bronze").select("id", "amount").collect()] == [("1", "10")]
+
+
+def test_stream_of_files_follows_headers_once(spark, local_tmp, monkeypatch):
+    import os
+
+    from strata.sinks import writers
+    from strata.sources import readers
+    from strata.streaming.by_header import run_stream
+    src = {"id": "crm", "format": "csv", "landing_subdir": "sftp/crm", "source_system_label": "crm"}
+
+    def land(date, name, text):
+        os.makedirs(f"{local_tmp}/landing/sftp/crm/landing_date={date}", exist_ok=True)
+        with open(f"{local_tmp}/landing/sftp/crm/landing_date={date}/{name}", "w") as f:
+            f.write(text)
+
+    def rows():
+        df = readers.read_range(spark, f"{local_tmp}/bronze", "2024-01-01", "2024-01-31")
+        return sorted((r.day, r.id, r.amount, getattr(r, "note", None)) for r in df.collect())
+
+    args = (f"{local_tmp}/landing", f"{local_tmp}/bronze", f"{local_tmp}/ckpt", src, "r", "now")
+    land("20240101", "a b.csv", "id,amount\n1,10\n")
+    land("20240101", "empty.csv", "")
+    run_stream(spark, *args)
+    assert rows() == [(1, "1", "10", None)]
+    land("20240102", "b.csv", "note,amount,id\nx,20,2\n")
+    land("20240101", "late.csv", "amount,id\n30,3\n")
+    # The append is cut short after its first file; the micro-batch runs again and leaves each row once.
+    real, calls = writers._Files.rename, []
+
+    def rename(self, old, new):
+        calls.append(new)
+        if len(calls) == 2:
+            raise OSError("no")
+        real(self, old, new)
+
+    monkeypatch.setattr(writers._Files, "rename", rename)
+    try:
+        run_stream(spark, *args)
+        raise AssertionError("the stream should have failed")
+    except AssertionError:
+        raise
+    except Exception:
+        assert len(rows()) == 2, (calls, rows())
+    monkeypatch.setattr(writers._Files, "rename", real)
+    run_stream(spark, *args)
+    want = [(1, "1", "10", None), (1, "3", "30", None), (2, "2", "20", "x")]
+    assert rows() == want
+    run_stream(spark, *args)
+    assert rows() == want
