@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
 import pandas as pd
@@ -37,6 +38,16 @@ def word_count(col: str = "text") -> Column:
     return F.regexp_count(text_or_empty(col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. A worker lives on after its task, beside the workers and
+    the JVM that run the next one; what it keeps counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_slices(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                rows: int = 512) -> DataFrame:
     """``mapInPandas`` by slices of an Arrow batch, so that the Python objects of a few hundred
@@ -47,9 +58,12 @@ def map_slices(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
 
     def run(batches):
         for batch in batches:
+            out = None
             for at in range(0, batch.num_rows, rows):
                 out = function(batch.slice(at, rows).to_pandas(integer_object_nulls=True))
                 yield pa.RecordBatch.from_pandas(out[arrow.names], schema=arrow, preserve_index=False)
+            del batch, out
+            release_memory()
 
     return df.mapInArrow(run, schema)
 

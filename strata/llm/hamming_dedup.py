@@ -10,8 +10,9 @@ probability of about 1e-6 (16 chunks of 7 values, one error). Links are confirme
 Nothing is emitted per pair of a large group: equal sets are folded into one class first; then
 every class is confirmed against the one bucket representative it shares most keys with, the
 components that gives are compared through their representatives, and what then still lies in
-different components of one bucket is paired by its rarest shingles (an exact prefix filter) and
-compared one by one. What is skipped cannot change a component, so all links count.
+different components of one bucket is dealt to bounded blocks; blocks of like sizes meet in tasks that
+compare whole sets and report a forest of links. What is skipped cannot change a component, so
+all links count.
 
 Defined cases: a null, empty or blank text has no shingles and links with nothing; repeated rows
 are links of their own; a null id takes part but names no component; other columns are ignored;
@@ -24,10 +25,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import connected_components, map_slices, stage, text_or_empty
+from strata.llm.common import connected_components, map_slices, release_memory, stage, text_or_empty
 from strata.llm.words import mix, shingle_sets
 
 CHUNKS, WIDTH, ERRORS = 16, 7, 1
@@ -36,6 +38,8 @@ VALUES = CHUNKS * WIDTH
 KEYS = [(c, [c * WIDTH + i for i in left]) for c in range(CHUNKS)
         for left in combinations(range(WIDTH), WIDTH - ERRORS)]
 STAR_ROUNDS = 2
+# Members, and shingles, of a block of the last step.
+BLOCK_ROWS, BLOCK_SHINGLES = 128, 1 << 18
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +99,7 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
             "signature": [r.tobytes() for r in signatures(sets)]})
 
     small = stage(map_slices(rows, summarise, "doc_id long, text_hash long, n long, h1 long, h2 long, "
-                                              "signature binary"), "hd-signatures")
+                                              "signature binary", 128), "hd-signatures")
     # One class per set: its size and two sums over its shingles identify it.
     classes = stage(small.where("n > 0").groupBy("n", "h1", "h2", "signature")
                     .agg(F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"))
@@ -105,6 +109,7 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
         for pdf in batches:
             sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), VALUES)
             yield pd.DataFrame({"id": pdf["id"], "keys": list(signature_keys(sig))})
+        release_memory()
 
     # Sets of n shingles can only link with a different set if n >= percent / (100 - percent).
     able = classes.where(F.col("n") * (100 - percent) >= percent)
@@ -123,13 +128,14 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
                              "shingles": [s.view(np.int64) for s in shingle_sets(pdf["text"].tolist(), size)]})
 
     one_each = texts.groupBy("text_hash").agg(F.min("text").alias("text"))
-    sets = map_slices(one_each, to_sets, "hash long, shingles array<long>")
+    sets = map_slices(one_each, to_sets, "hash long, shingles array<long>", 128)
     sets = stage(wanted.join(sets, wanted.text_hash == F.col("hash")).select(
         "id", "n", "signature", "shingles"), "hd-sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` that are links."""
-        # Far beyond the expected distance of a link: what this leaves out is no link.
+        # Far beyond the expected distance of a link (six standard deviations); what it leaves out
+        # wrongly lies in different components of a bucket and is compared in the last step.
         limit = int(VALUES * (1 - percent / 100) + 6 * np.sqrt(VALUES * 0.25)) if percent else VALUES
 
         @F.pandas_udf("boolean")
@@ -170,10 +176,10 @@ def components(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
         component = _labels(members, links)
     # 3. What is left: members of buckets that still hold several components.
     mixed = _with(shared.select("key", "id"), component, "id", "c")
-    open_keys = (mixed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"))
-                 .where("c1 < c2").select("key"))
-    left_open = mixed.join(open_keys, "key").select("id", "c").distinct()
-    links = links.union(confirm(_prefix_pairs(sets.select("id", "n", "shingles").join(left_open, "id"), percent)))
+    open_keys = (mixed.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("id").alias("first"))
+                 .where("c1 < c2").select("key", "first"))
+    left_open = stage(mixed.join(open_keys, "key").select("id", "c", "first").distinct(), "hd-open")
+    links = links.union(_block_links(left_open, sets.select("id", "n", "shingles"), percent))
     component = _labels(members, links)
 
     named = classes.select("n", "h1", "h2", "id", "first_id").join(component, "id", "left").withColumn(
@@ -193,23 +199,82 @@ def link(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _prefix_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of ``members(id, n, shingles, c)`` in different components ``c`` that can
-    reach the similarity: two such sets share one of the rarest ``n - ceil(n * percent / 100) + 1``
-    shingles of either (counted among the members), so no link is lost, while members that have
-    only a common passage in common make no pair."""
-    members = stage(members, "hd-open")
-    each = members.select("id", F.explode("shingles").alias("g"))
-    rare = each.groupBy("g").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    # A shingle of one member alone takes a place among its rarest but makes no pair.
-    mine = each.join(rare, "g").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("held", "g"))).alias("gs"))
-    places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("gs"))
-    prefix = stage(members.select("id", "n", "c").join(mine, "id").where(places > 0)
-                   .select("id", "n", "c", F.explode(F.slice("gs", F.lit(1), places.cast("int"))).alias("s"))
-                   .select("id", "n", "c", F.col("s.g").alias("g")), "hd-prefix")
-    other = prefix.toDF("b", "n_b", "c_b", "g")
-    return (prefix.join(other, "g").where(f"id < b AND c != c_b AND least(n, n_b) * 100 >= greatest(n, n_b) * {percent}")
-            .select(F.col("id").alias("a"), "b").distinct())
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that connect ``members(id, c, first)``: members that share buckets (``first`` names
+    a bucket's first one) but lie in different components ``c``.
+
+    Members connected through buckets are a cluster. Its sets are dealt to classes of sizes, each as
+    wide as the similarity allows, so that links lie in a class or between neighbouring ones; and
+    classes are cut into blocks of bounded rows and shingles. Every two blocks that can hold a link meet
+    in a task, which compares all their sets exactly and reports a forest: at most one link per
+    member, never its pairs."""
+    # A member's buckets hang together through the smallest of their first members: a link for the
+    # member and one for each pair of firsts, instead of one for each of its buckets.
+    hung = members.withColumn("b", F.min("first").over(Window.partitionBy("id")))
+    cluster = connected_components(hung.select(F.col("id").alias("a"), "b").union(
+        hung.select(F.col("first").alias("a"), "b")).distinct()).toDF("_of", "cluster")
+    base = float(np.log(100 / percent * 1.0001)) if 0 < percent < 100 else 1e9
+    own = members.select("id", "c").distinct()
+    sized = own.join(sets.select(F.col("id").alias("_id"), "n"), F.col("id") == F.col("_id")).join(
+        cluster, F.col("id") == F.col("_of")).select(
+        "id", "c", "cluster", F.floor(F.log(F.col("n").cast("double")) / base).alias("class"), "n")
+    sized = stage(sized, "hd-sized")
+    counts = sized.groupBy("cluster", "class").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    units = stage(counts.select("cluster", "class", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+                                .alias("block")), "hd-units")
+    u, v = units.drop("blocks"), units.select(F.col("cluster").alias("v_cluster"), F.col("class").alias("v_class"),
+                                              F.col("block").alias("v_block"))
+    pairs = u.join(v, (F.col("cluster") == F.col("v_cluster")) & (
+        ((F.col("class") == F.col("v_class")) & (F.col("block") <= F.col("v_block")))
+        | (F.col("class") + 1 == F.col("v_class")))).drop("v_cluster")
+    both = F.array(F.struct(F.col("class").alias("class"), F.col("block").alias("block"), F.lit(0).alias("side")),
+                   F.struct(F.col("v_class").alias("class"), F.col("v_block").alias("block"), F.lit(1).alias("side")))
+    alone = (F.col("class") == F.col("v_class")) & (F.col("block") == F.col("v_block"))
+    seats = pairs.withColumn("seat", F.explode(F.when(alone, F.slice(both, 1, 1)).otherwise(both))).select(
+        "cluster", F.struct("class", "block", "v_class", "v_block").alias("meeting"), "seat.*")
+    dealt = sized.join(counts, ["cluster", "class"]).select(
+        "id", "c", "cluster", "class", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    seated = dealt.join(seats, ["cluster", "class", "block"]).select("id", "c", "cluster", "meeting", "side")
+    full = seated.join(sets.select(F.col("id").alias("_id"), "shingles"), F.col("id") == F.col("_id")).drop("_id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        a, b = _forest(table.column("id").to_numpy(), table.column("c").to_numpy(), table.column("side").to_numpy(),
+                       table.column("shingles").combine_chunks(), percent)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return stage(full.groupBy("cluster", "meeting").applyInArrow(compare, "a long, b long"), "hd-links")
+
+
+def _forest(ids: np.ndarray, components: np.ndarray, side: np.ndarray, lists: pa.Array, percent: int
+            ) -> tuple[list[int], list[int]]:
+    """Links between the rows of side 0 and those of side 1 (among all if there is no side 1) that
+    connect different components, without those that others make superfluous."""
+    order = np.argsort(side, kind="stable")
+    bounds = np.asarray(lists.offsets)
+    sizes = np.diff(bounds)[order]
+    _, codes = np.unique(np.asarray(lists.values), return_inverse=True)  # shingles as small numbers
+    codes = codes.reshape(-1) if len(codes) else np.zeros(0, np.int64)
+    each = [codes[bounds[i] - bounds[0]:bounds[i + 1] - bounds[0]] for i in order]
+    joined, begin = np.concatenate(each), np.concatenate([[0], np.cumsum(sizes)])
+    ids, label = ids[order], np.unique(components[order], return_inverse=True)[1]
+    second = int((side == 0).sum()) if (side == 1).any() else 0
+    held = np.zeros(int(joined.max(initial=-1)) + 1, bool)
+    a, b = [], []
+    for x in range(second or len(ids)):
+        first = second or x + 1
+        others = np.flatnonzero(label[first:] != label[x]) + first
+        if not len(others):
+            continue
+        held[each[x]] = True
+        common = np.add.reduceat(held[joined[begin[first]:]], begin[first:-1] - begin[first], dtype=np.int64)[others - first]
+        held[each[x]] = False
+        for y in others[common * 100 >= (sizes[x] + sizes[others] - common) * percent].tolist():
+            if label[x] != label[y]:
+                label[label == label[y]] = label[x]
+                a.append(int(ids[x]))
+                b.append(int(ids[y]))
+    return a, b
 
 
 def keep_one(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFrame:

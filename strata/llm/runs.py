@@ -89,7 +89,7 @@ def rolling(numbers: np.ndarray, width: int, base: np.uint64 = BASE) -> np.ndarr
 
 def text_slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     """Slices of the texts by bytes, each with the index of its first text."""
-    for a, b in in_slices(texts):
+    for a, b in in_slices(texts, 1 << 20):
         yield a, texts[a:b]
 
 

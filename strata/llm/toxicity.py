@@ -17,6 +17,7 @@ rows nothing is rejected; repeated and null ids are scored like any row; other c
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_slices, stage, text_or_empty
+from strata.llm.common import map_slices, release_memory, stage, text_or_empty
 
 GRADES = 3
 PREFIXES = (4, 5, 6)
@@ -128,10 +129,13 @@ def score(docs: DataFrame, model: OrdinalModel, name: str = "toxicity") -> DataF
     """``docs`` with a struct of that name: ``severity`` (expected grade), ``p_toxic``, ``grade``
     (the most probable one) and ``rejected``."""
     @F.pandas_udf("severity double, p_toxic double, grade int, rejected boolean")
-    def rate(texts: pd.Series) -> pd.DataFrame:
-        above = np.array([model.at_least(t) for t in texts]).reshape(len(texts), len(model.thetas))
-        each = np.diff(np.column_stack([np.zeros(len(texts)), 1 - above, np.ones(len(texts))]), axis=1)
-        return pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0],
-                             "grade": each.argmax(axis=1).astype("int32"),
-                             "rejected": above[:, 0] >= REJECT_AT})
+    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            above = np.array([model.at_least(t) for t in texts]).reshape(len(texts), len(model.thetas))
+            each = np.diff(np.column_stack([np.zeros(len(texts)), 1 - above, np.ones(len(texts))]), axis=1)
+            yield pd.DataFrame({"severity": above.sum(axis=1), "p_toxic": above[:, 0],
+                                "grade": each.argmax(axis=1).astype("int32"),
+                                "rejected": above[:, 0] >= REJECT_AT})
+            del texts, above, each
+            release_memory()
     return docs.withColumn(name, rate(text_or_empty()))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # the arrays of a slice take some 50 times that
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -45,11 +45,11 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64)), bounds
 
 
-def in_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``SLICE_BYTES`` characters each (a longer text is a range)."""
+def in_slices(texts: list[str], chars: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``chars`` characters each (a longer text is a range)."""
     start, held = 0, 0
     for i, t in enumerate(texts):
-        if held and held + len(t) > SLICE_BYTES:
+        if held and held + len(t) > chars:
             yield start, i
             start, held = i, 0
         held += len(t)
