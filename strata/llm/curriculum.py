@@ -133,9 +133,12 @@ def assignments(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS)
 
 def mixed(docs: DataFrame, classes=CLASSES, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix itself: the rows of ``docs``, once for each pass that takes them, whole, in order
-    of training position."""
-    rows = assign(docs, classes, max_epochs, whole_documents=True)
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return (rows.select(*cols, F.col("_mix.key").alias("_mix_key"),
+    of training position. Positions are found on row numbers, keys and sizes alone; the rows
+    join them once and are sorted once."""
+    held = stage(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    rows = assign(held.select("_mix_row", "doc_id", "source", "text"), classes, max_epochs, whole_documents=True,
+                  carry_text=False)
+    picks = rows.select(F.col("_mix_row").alias("_mix_pick"), F.col("_mix.key").alias("_mix_key"),
                         F.explode("_mix.positions").alias("_mix_position"))
-            .orderBy("_mix_position", "_mix_key").select(*cols))
+    return (held.join(picks, F.col("_mix_row") == F.col("_mix_pick")).orderBy("_mix_position", "_mix_key")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
