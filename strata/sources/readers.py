@@ -81,10 +81,17 @@ def existing_paths(spark: SparkSession, globs: Sequence[str]) -> list[str]:
 # ---------------------------------------------------------------------------------------------
 
 PAGE_NUMBER = r"(?:page=|_page_)0*([0-9]+)"
+# Files are packed into tasks as if each had so many bytes more.
+_PAGE_OPEN_BYTES = 1 << 16
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 # Folder-derived columns of landed page files (not part of the records).
 PAGE_PARTITION_COLUMNS = ("landing_date", "page")
 
 
+def listing_tasks(spark: SparkSession) -> str:
+    return str(4 * spark.sparkContext.defaultParallelism)
+
+
 def page_schema(record: T.StructType) -> T.StructType:
     """Schema of a page body for a record schema: bare-list pages yield records as rows, object
     pages one row with ``items``."""
@@ -136,16 +143,23 @@ def read_api_pages(spark: SparkSession, path: str | Sequence[str],
 
 
 def api_page_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Records per landed page file (page number from the file path), in one scan: both page shapes
-    count, a page that holds a single object is one record, a blank or broken one holds none (a file
-    without a byte is no page)."""
+    """Records per landed page file (page number from the file path): both page shapes count, a page
+    that holds a single object is one record, a blank or broken one holds none (a file without a byte
+    is no page). The files are opened once, here; the counts are staged."""
+    from strata.sinks.writers import stage_path
+    own = spark.newSession()  # listing and file packing are session settings
+    own.conf.set(_LISTING_TASKS, listing_tasks(spark))
+    own.conf.set("spark.sql.files.openCostInBytes", str(_PAGE_OPEN_BYTES))
     body = F.col("content").cast("string")
     n = F.coalesce(F.json_array_length(body), F.json_array_length(F.get_json_object(body, "$.items")),
                    F.when(F.get_json_object(body, "$").isNotNull(), 1), F.lit(0))
-    pages = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    pages = (own.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .select(F.col("_metadata.file_path").alias("file"), n.cast("long").alias("record_count")))
-    return pages.select(landing_date_column(F.col("file")).alias("landing_date"),
-                        F.regexp_extract("file", PAGE_NUMBER, 1).cast("int").alias("page"), "record_count")
+    counts = pages.select(landing_date_column(F.col("file")).alias("landing_date"),
+                          F.regexp_extract("file", PAGE_NUMBER, 1).cast("int").alias("page"), "record_count")
+    at = stage_path(spark, "page-files")
+    counts.coalesce(4 * spark.sparkContext.defaultParallelism).write.parquet(at)
+    return spark.read.schema(counts.schema).parquet(at)
 
 
 def require_records(page_counts: DataFrame) -> int:
