@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +82,9 @@ def existing_paths(spark: SparkSession, globs: Sequence[str]) -> list[str]:
 # ---------------------------------------------------------------------------------------------
 
 PAGE_NUMBER = r"(?:page=|_page_)0*([0-9]+)"
+# A page body is one record, held in memory: JSON has no raw control character but white space, so no
+# file is cut by this. (``multiLine`` instead opens the file anew for every number read as text.)
+NO_LINES = {"multiLine": "false", "lineSep": "\x00\x1e\x00"}
 # Files are packed into tasks as if each had so many bytes more.
 _PAGE_OPEN_BYTES = 1 << 16
 _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
@@ -92,6 +96,18 @@ def listing_tasks(spark: SparkSession) -> str:
     return str(4 * spark.sparkContext.defaultParallelism)
 
 
+@contextmanager
+def listed_in_bulk(spark: SparkSession):
+    """Frames opened here list their folders with a few tasks a core, not with a task for every folder
+    (a page has a folder of its own)."""
+    before = spark.conf.get(_LISTING_TASKS, None)
+    spark.conf.set(_LISTING_TASKS, listing_tasks(spark))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_LISTING_TASKS) if before is None else spark.conf.set(_LISTING_TASKS, before)
+
+
 def page_schema(record: T.StructType) -> T.StructType:
     """Schema of a page body for a record schema: bare-list pages yield records as rows, object
     pages one row with ``items``."""
@@ -133,11 +149,13 @@ def read_api_pages(spark: SparkSession, path: str | Sequence[str],
     ``{"items": [...]}`` or a bare list ``[...]``; both shapes are unwrapped into records. Without
     a record schema the scalars are read as text, so types do not depend on the pages read.
     ``keep_file`` keeps the page file path as ``_source_file``."""
-    reader = spark.read.options(**(options or {})).option("multiLine", True)
+    reader = spark.read.options(**(options or {})).options(**NO_LINES)
     reader = (reader.schema(page_schema(schema)) if schema is not None
               else reader.option("primitivesAsString", True))
     paths = [path] if isinstance(path, str) else list(path)
-    out = unwrap_pages(reader.json(paths).withColumn("__file", F.col("_metadata.file_path")))
+    with listed_in_bulk(spark):
+        raw = reader.json(paths)
+    out = unwrap_pages(raw.withColumn("__file", F.col("_metadata.file_path")))
     return (out.withColumnRenamed("__file", "_source_file") if keep_file
             else out.drop("__file"))
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.contract import PARTITION_COLUMNS
 from strata.operators.bronze import attach_metadata
-from strata.sources.readers import PAGE_PARTITION_COLUMNS, landing_date_column, page_schema, unwrap_pages
+from strata.sources.readers import NO_LINES, PAGE_PARTITION_COLUMNS, landing_date_column, page_schema, unwrap_pages
 
 
 def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
@@ -38,7 +38,7 @@ def read_landing_stream(spark: SparkSession, landing_root: str, src: dict,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     fmt = src["format"]
     if fmt == "json_pages":
-        raw = (reader.schema(page_schema(schema)).option("multiLine", True).json(path)
+        raw = (reader.schema(page_schema(schema)).options(**NO_LINES).json(path)
                      .withColumn("__file", F.col("_metadata.file_path")))
         df = unwrap_pages(raw)
     elif fmt == "csv":

@@ -1,5 +1,6 @@
 """Landed page files: each is listed in bulk, opened once and written by a share of the tasks."""
 
+import glob
 import json
 import os
 
@@ -28,14 +29,40 @@ def _most_tasks(spark, group, work):
     return out, max(s.numTasks for s in stages if s)
 
 
+def _bytes_read(spark):
+    return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+
 def test_page_folders_are_listed_by_few_tasks(spark, local_tmp):
     _put_pages(local_tmp, 90)
     few = 4 * spark.sparkContext.defaultParallelism
     counts, tasks = _most_tasks(spark, "count-pages", lambda: readers.api_page_counts(spark, local_tmp).collect())
     assert tasks <= few and sorted(r.page for r in counts) == list(range(1, 91))
+    records, tasks = _most_tasks(spark, "read-pages", lambda: readers.read_api_pages(
+        spark, local_tmp, options={"recursiveFileLookup": "true"}).collect())
+    assert tasks <= few and len(records) == 90
+    assert spark.conf.get(readers._LISTING_TASKS) == "10000"
 
 
 def test_counts_open_the_pages_once(spark, local_tmp):
     _put_pages(local_tmp, 3)
     counts = readers.api_page_counts(spark, local_tmp)
     assert "binaryfile" not in counts._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_numbers_of_a_page_are_read_with_the_page(spark, local_tmp):
+    _put_pages(local_tmp, 2, records=400)
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{local_tmp}/*/*/*"))
+    records = readers.read_api_pages(spark, local_tmp, options={"recursiveFileLookup": "true"})
+    before = _bytes_read(spark)
+    assert records.selectExpr("sum(id)", "sum(amount)").first()[:] == (2 * 79800 + 400 * 3000, 1200.0)
+    assert _bytes_read(spark) - before < 5 * size
+
+
+def test_numbers_keep_their_text(spark, local_tmp):
+    with open(f"{local_tmp}/events_page_0001.json", "w") as f:
+        f.write('﻿{"items":\n [{"id": 1.50, "n": 1e400, "o": {"a": [1.0 ,2]}},\r\n {"id": 12345678901234567890123, "n": true}]}\n')
+    with open(f"{local_tmp}/events_page_0002.json", "w") as f:
+        f.write('[{"id": -0.0, "n": "a\\u0000\\u001e\\u0000b"}, {"id": null}]\n\n')
+    got = sorted((r.id, r.n) for r in readers.read_api_pages(spark, local_tmp).collect() if r.id)
+    assert got == [("-0.0", "a\0\x1e\0b"), ("1.50", "1e400"), ("12345678901234567890123", "true")]
