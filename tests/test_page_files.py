@@ -3,7 +3,9 @@
 import glob
 import json
 import os
+import re
 
+from strata import fixtures
 from strata.sources import readers
 
 
@@ -66,3 +68,13 @@ def test_numbers_keep_their_text(spark, local_tmp):
         f.write('[{"id": -0.0, "n": "a\\u0000\\u001e\\u0000b"}, {"id": null}]\n\n')
     got = sorted((r.id, r.n) for r in readers.read_api_pages(spark, local_tmp).collect() if r.id)
     assert got == [("-0.0", "a\0\x1e\0b"), ("1.50", "1e400"), ("12345678901234567890123", "true")]
+
+
+def test_pages_are_written_by_many_tasks(spark, local_tmp):
+    rows = spark.range(400).selectExpr(
+        "id AS k", "string(id) AS id", "'1.5' AS amount", "'2024-01-01' AS event_date", "'2024-01-01 00:00:00' AS created_at",
+        "'true' AS is_active", "'events_api' AS source_system", "2024 AS year", "1 AS month", "int(id % 2) + 1 AS day")
+    fixtures.land_raw_events(rows, local_tmp, page_size=5)
+    files = glob.glob(f"{local_tmp}/api/events/landing_date=*/page=*/part-*")
+    assert len(files) == 80
+    assert len({re.search(r"part-(\d+)", f).group(1) for f in files}) > 4
