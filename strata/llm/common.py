@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -29,6 +30,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """What is written here frees its shuffles when it is written, not when the driver happens to
+    collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def stage_parts(df: DataFrame, name: str, part: str) -> tuple[DataFrame, str]:
+    """As ``stage``, with a folder for each value of the column ``part``; returns the rows and the
+    path. A folder whose rows nothing will read again can be discarded (``discard_part``), the
+    other rows are read as before if they are chosen by ``part``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.partitionBy(part).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard_part(spark: SparkSession, path: str, part: str, value: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -22,7 +22,9 @@ How it runs:
   one customer keep their one table, so a sweep exchanges only contexts of pairs with more.
 * A sweep joins the answers to the buckets' seatings by shuffle. Only the totals of the parent
   restaurant (a few numbers and one row per hot word) reach the driver. Seatings and messages are
-  written once per sweep, so a lost executor costs no more than its own tasks.
+  written once per sweep, so a lost executor costs no more than its own tasks. On disk stay the
+  buckets, the seatings of one sweep, and the messages until they are answered for the scoring;
+  the shuffles of a step go when its rows are written.
 * Scoring joins the totals of all sweeps to the buckets, replays the seatings (random numbers are
   seeded by bucket and sweep) and returns partial sums per document for one grouping by block. The
   number of buckets grows with the texts, so that a bucket stays small.
@@ -43,7 +45,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage, text_or_empty
+from strata.llm.common import (discard_part, release_memory, shuffles_freed, stage, stage_parts,
+                               text_or_empty)
 from strata.llm.words import in_slices, mix, word_numbers
 
 CONTEXTS = 4096                       # restaurants of a bucket made by hand; the model has no limit
@@ -203,9 +206,12 @@ def _hot_words(texts: DataFrame, buckets: int) -> np.ndarray:
                 words, _, _ = tokens(pdf["text"].iloc[a:b].tolist())
                 found, counts = np.unique(words, return_counts=True)
                 high = counts * 8 * buckets >= len(words)
-                yield pd.DataFrame({"word": np.append(found[high], np.uint64(0)).view(np.int64),
+                out = pd.DataFrame({"word": np.append(found[high], np.uint64(0)).view(np.int64),
                                     "n": np.append(counts[high], len(words)), "all": np.append(
                                         np.zeros(int(high.sum()), bool), True)})
+                del words, found, counts, high
+                release_memory()
+                yield out
 
     seen = (texts.select("text").mapInPandas(heavy, "word long, n long, all boolean")
             .groupBy("all", "word").agg(F.sum("n").alias("n")))
@@ -277,14 +283,16 @@ def score(docs: DataFrame) -> DataFrame:
                 part = pdf.iloc[a:b]
                 words, contexts, lengths = tokens(part["text"].tolist())
                 doc = np.repeat(2 * np.arange(len(part)) + part["held_out"].to_numpy(), lengths)
+                del contexts  # of a block, arrays go as soon as they are used: they are what a task holds
                 known, word = np.unique(words, return_inverse=True)
+                del words
                 # Contexts are numbered by group and number, as the buckets keep them.
                 values = np.append(known, START)
                 by_group = np.lexsort((values, values % np.uint64(buckets)))
                 rank = np.empty(len(values), np.uint64)
                 rank[by_group] = np.arange(len(values), dtype=np.uint64)
                 values = values[by_group]
-                context = np.empty(len(words), np.uint64)
+                context = np.empty(len(word), np.uint64)
                 context[1:] = rank[word[:-1]]
                 context[np.cumsum(lengths) - lengths] = rank[-1]
                 # Word, context and document as one number: its distinct values are the entries.
@@ -293,12 +301,15 @@ def score(docs: DataFrame) -> DataFrame:
                 if 2 * bits + docs_bits > 64:
                     pairs, pair = np.unique(pair, return_inverse=True)
                 one = (pair.astype(np.uint64) << np.uint64(docs_bits)) | doc.astype(np.uint64)
+                del word, context, pair
                 one, times = np.unique(one, return_counts=True)
                 doc = (one & np.uint64((1 << docs_bits) - 1)).astype(np.int64)
                 pair = one >> np.uint64(docs_bits)
+                del one
                 pair = pair if pairs is None else pairs[pair.astype(np.int64)]
                 context = (pair & np.uint64((1 << bits) - 1)).astype(np.int64)
                 word = (pair >> np.uint64(bits)).astype(np.int64)
+                del pair, pairs
                 target = (known % np.uint64(buckets))[word]
                 is_hot = np.isin(known, hot)[word]
                 target[is_hot] = mix(known[word[is_hot]] ^ mix(values[context[is_hot]])) % np.uint64(buckets)
@@ -314,15 +325,17 @@ def score(docs: DataFrame) -> DataFrame:
                         before, at = np.unique(context[i], return_inverse=True)
                         rows.append((k, block, _pack(known[own], _narrow(runs), values[before], _narrow(at),
                                                      _narrow(doc[i]), _narrow(times[i]))))
+                del part, lengths, doc, times, known, values, by_group, rank, context, word, target, is_hot, order
+                release_memory()
                 yield pd.DataFrame(rows, columns=["bucket", "block", "data"])
                 block += 1
 
-    held_columns = ["bucket", "group", "block", "model", "entries", "core", "message", "stats"]
+    held_columns = ["kind", "bucket", "group", "block", "model", "entries", "core", "message", "stats"]
 
     def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         number = int(key[0])
         if number < 0:  # what the blocks know about their documents
-            return pd.DataFrame({"bucket": number, "block": pdf["block"], "entries": pdf["data"]}).reindex(
+            return pd.DataFrame({"kind": "about", "bucket": number, "block": pdf["block"], "entries": pdf["data"]}).reindex(
                 columns=held_columns).astype({"group": "Int32"})
         pdf = pdf.sort_values("block")
         parts = [_unpack(d) for d in pdf["data"]]
@@ -360,14 +373,20 @@ def score(docs: DataFrame) -> DataFrame:
         core = _pack(_pack(words, _narrow(np.bincount(word[many], minlength=len(words))),
                            _narrow((np.cumsum(moving) - 1)[context[many]]), _narrow(count[many])),
                      _narrow(singles), contexts[moving], None, None, None)
-        rows = [(number, None, -1, model, _pack(*entries), core, None, stats)]
-        rows += [(number, g, -1, None, None, None, data, None)
+        rows = [("model", number, None, -1, model, _pack(*entries), None, None, stats),
+                ("core", number, None, -1, None, None, core, None, None)]
+        rows += [("message", number, g, -1, None, None, None, data, None)
                  for g, data in _messages(contexts, buckets, tables, customers, moving.astype(np.uint8))]
+        del parts, pairs, known, word, context, count, entries, words, rank, sorted_contexts, contexts
+        release_memory()
         return pd.DataFrame(rows, columns=held_columns).astype({"group": "Int32"})
 
-    held_rows = stage(texts.mapInPandas(cut, "bucket int, block long, data binary").groupBy("bucket").applyInPandas(
-        merge, "bucket int, group int, block long, model binary, entries binary, core binary, message binary, "
-               "stats binary"), "lm-buckets")
+    spark = docs.sparkSession
+    with shuffles_freed(spark):
+        held_rows, held_at = stage_parts(texts.mapInPandas(cut, "bucket int, block long, data binary").groupBy(
+            "bucket").applyInPandas(
+                merge, "kind string, bucket int, group int, block long, model binary, entries binary, core binary, "
+                       "message binary, stats binary"), "lm-buckets", "kind")
 
     def add_up(rows: DataFrame, names: int) -> dict[str, np.ndarray]:
         """Sum rows ``kind, at, v0, …`` over the buckets: one row per total or hot word."""
@@ -390,8 +409,8 @@ def score(docs: DataFrame) -> DataFrame:
                     pd.DataFrame({"kind": "h", "at": at, "v0": counts, "v1": parents}),
                     pd.DataFrame({"kind": "s", "at": np.arange(len(scalars)), "v0": scalars, "v1": 0})])
 
-    mine = held_rows.where("model IS NOT NULL")
-    first = held_rows.where("message IS NOT NULL").select("group", "bucket", F.lit(0).alias("sweep"), "message")
+    mine = held_rows.where("kind = 'model'")
+    first = held_rows.where("kind = 'message'").select("group", "bucket", F.lit(0).alias("sweep"), "message")
     got = add_up(mine.select("stats").mapInPandas(first_totals, "kind string, at int, v0 long, v1 long"), 2)
     hot_counts, hot_parents = dense(got, "h", "v0", len(hot)), dense(got, "h", "v1", len(hot))
     v, p, n1, n2, m1, m2, n = dense(got, "s", "v0", 7)
@@ -454,8 +473,8 @@ def score(docs: DataFrame) -> DataFrame:
             hot_at = bucket.hot_at[bucket.is_hot]
             columns = ["kind", "at", "bucket", "v0", "core", "message"]
             return pd.concat([
-                pd.DataFrame([("b", number, number, 0, core, None)] + [("m", g, number, 0, None, data)
-                                                                       for g, data in sends], columns=columns),
+                pd.DataFrame([("core", number, number, 0, core, None)] + [("message", g, number, 0, None, data)
+                                                                          for g, data in sends], columns=columns),
                 pd.DataFrame({"kind": "h", "at": hot_at, "bucket": number, "v0": parents[bucket.is_hot].astype(np.int64),
                               "core": None, "message": None}),
                 pd.DataFrame({"kind": "s", "at": [0, 1], "bucket": number, "v0": [
@@ -463,13 +482,17 @@ def score(docs: DataFrame) -> DataFrame:
 
         return run
 
-    cores = mine.select("bucket", F.col("core").alias("data"))
-    sent, told = first, answers(first, answer_first)
+    cores, cores_at = held_rows.where("kind = 'core'").select("bucket", F.col("core").alias("data")), held_at
+    sent, sent_at, told = first, [held_at], answers(first, answer_first)
     for s in range(1, BURN_IN + SAMPLES + 1):
-        rows = stage(cores.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
-            sweep(s, history[-1]), "kind string, at int, bucket int, v0 long, core binary, message binary"), "lm-sweep")
-        cores = rows.where("kind = 'b'").select("bucket", F.col("core").alias("data"))
-        messages = rows.where("kind = 'm'").select(F.col("at").alias("group"), "bucket", F.lit(s).alias("sweep"),
+        with shuffles_freed(spark):
+            rows, at = stage_parts(cores.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
+                sweep(s, history[-1]), "kind string, at int, bucket int, v0 long, core binary, message binary"),
+                "lm-sweep", "kind")
+        discard_part(spark, cores_at, "kind", "core")  # the seatings before
+        cores, cores_at = rows.where("kind = 'core'").select("bucket", F.col("core").alias("data")), at
+        sent_at.append(at)
+        messages = rows.where("kind = 'message'").select(F.col("at").alias("group"), "bucket", F.lit(s).alias("sweep"),
                                                    "message")
         sent, told = sent.union(messages), answers(messages, answer)
         got = add_up(rows.where("kind IN ('h', 's')").select("kind", "at", "v0"), 1)
@@ -501,11 +524,19 @@ def score(docs: DataFrame) -> DataFrame:
             rows.append((block, 1, _pack(
                 _narrow(here), np.bincount(doc, times * log_p[at]), np.bincount(doc, times * log_c[at]),
                 _narrow(np.bincount(doc, times * is_known[at]).astype(np.int64)))))
+        del bucket, known, more, mean, log_p, log_c, seen, is_known
+        release_memory()
         return pd.DataFrame(rows, columns=["block", "kind", "data"])
 
+    discard_part(spark, cores_at, "kind", "core")
+    with shuffles_freed(spark):
+        told = stage(answers(sent, answer_all), "lm-answers")
+    for at in sent_at:
+        discard_part(spark, at, "kind", "message")
+
     partial = mine.select("bucket", "model", "entries").groupBy("bucket").cogroup(
-        answers(sent, answer_all).groupBy("bucket")).applyInPandas(rate, "block long, kind int, data binary")
-    about = held_rows.where("bucket < 0").select("block", F.lit(0).alias("kind"), F.col("entries").alias("data"))
+        told.groupBy("bucket")).applyInPandas(rate, "block long, kind int, data binary")
+    about = held_rows.where("kind = 'about'").select("block", F.lit(0).alias("kind"), F.col("entries").alias("data"))
     slots = np.log10(float(corpus.tokens + corpus.vocabulary + 1))
 
     def gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
