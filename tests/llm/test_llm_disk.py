@@ -4,22 +4,22 @@ import os
 import re
 
 from strata.llm import hpylm
-from strata.session import scratch_root
 
 
-def _staged(spark):
-    root = re.sub("^file:/*", "/", f"{scratch_root(spark)}/strata")
-    return {f"{root}/{d}" for d in os.listdir(root) if d.startswith("lm-")} if os.path.isdir(root) else set()
+def test_language_model_keeps_what_scoring_reads(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b a b c{i % 3} d a b" if i else None) for i in range(40)], "doc_id long, text string")
+    key, write, paths = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", hpylm.stage_parts, []
 
+    def noted(*args):
+        rows, path = write(*args)
+        paths.append(re.sub("^file:/*", "/", path))
+        return rows, path
 
-def test_language_model_keeps_what_scoring_reads(spark):
-    docs = spark.createDataFrame([(i, f"a b a b c{i % 3} d a b" if i else None) for i in range(40)], "doc_id long, text string")
-    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _staged(spark)
+    monkeypatch.setattr(hpylm, "stage_parts", noted)
     was = spark.conf.get(key, None)
     scores = hpylm.score(docs)
     assert spark.conf.get(key, None) == was
-    new = _staged(spark) - before
-    assert sum("/lm-buckets-" in d for d in new) == 1 and sum("/lm-sweep-" in d for d in new) == hpylm.BURN_IN + hpylm.SAMPLES
-    kinds = {x for d in new for x in os.listdir(d) if x.startswith("kind=")}
+    assert len(paths) == 1 + hpylm.BURN_IN + hpylm.SAMPLES
+    kinds = {x for at in paths for x in os.listdir(at) if x.startswith("kind=")}
     assert {"kind=model", "kind=about"} <= kinds and not kinds & {"kind=core", "kind=message"}
     assert scores.count() == 40 and scores.where("score > 0 OR score IS NULL").count() == 0
