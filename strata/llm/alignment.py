@@ -10,9 +10,11 @@ pair is linked in the corpus tells how good a link is.
 Texts are cut before blanks that follow a non-space first: A's pattern has no match across such a
 place and B no piece with a blank inside (checked when the model is loaded; a model that has one
 gets whole texts), so both tokenizers cut there too, and a chunk that occurs often is encoded and
-aligned once. A task writes a row per batch of documents: the batch's chunks, its distinct links
-with their counts, and every document as chunk numbers. The links are counted by shuffle, and each
-batch gets back the corpus count of its own links. Texts are read once and never shuffled.
+aligned once. A task writes down a batch of documents at a time: the batch's chunks, its distinct
+links with their counts, and every document as chunk numbers. The links are counted by shuffle, and
+each batch gets back the corpus count of its own links. Texts are read once and never shuffled. A
+batch is several rows, its parts: what an executor holds of a shuffle are small rows, in row groups
+of a few of them, not one row of the size of a batch.
 
 Defined cases: a null or empty text, and one whose tokens of A or B do not spell a space and the
 text (a literal U+2581, say), has no tokens: counts 0 and the digest ''. Strings of special tokens
@@ -25,27 +27,31 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from collections.abc import Iterator
 from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.bpe import byte_characters
-from strata.llm.common import stage, text_or_empty
+from strata.llm.common import release_memory, stage, text_or_empty
 
 BATCH_CHARS = 1 << 23
+# Bytes of a part of a batch, about, and of a row group of the staged parts (100 rows at least).
+PART_BYTES, GROUP_BYTES = 1 << 17, 1 << 23
 # Chunks a worker remembers: at most this long, and so many characters of them.
 REMEMBERED_LENGTH, REMEMBERED_CHARS = 64, 2_000_000
 _CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 _IRREGULAR = re.compile(r"\s |^ | $")
 _SHIFT = 32
 
-BATCH = ("batch bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
-         "shas array<string>, groups array<string>, chunks binary, sizes array<bigint>, links binary, "
-         "link_sizes binary, pairs array<bigint>, counts array<bigint>")
+BATCH = ("batch bigint, part bigint, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, "
+         "n_groups array<bigint>, shas array<string>, groups array<string>, chunks binary, sizes array<bigint>, "
+         "links binary, link_sizes binary, pair_from bigint, pairs array<bigint>, counts array<bigint>")
 RESULT = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
           "groups_sha256 string")
 _KINDS = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()),
@@ -57,6 +63,17 @@ def _batch(schema: str, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in fields], schema=pa.schema(fields))
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(numbers.tobytes())
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    """The numbers of all rows, in their order."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(unpack(b.as_buffer()), np.uint32)
+                                                     for b in column)])
+
+
 def chunks(text: str) -> list[str]:
     """The text cut before blanks that follow a non-space and precede anything; all chunks but the
     first lack the blank they begin with."""
@@ -234,7 +251,9 @@ class _Batch:
         self.ids += ids
         self.chars += sum(map(len, texts))
 
-    def row(self, batch: int) -> pa.RecordBatch:
+    def parts(self, batch: int) -> Iterator[pa.RecordBatch]:
+        """The batch in rows of about ``PART_BYTES`` before they are packed. Each of its lists is cut evenly,
+        a document's chunks too; joined in the order of ``part`` they are whole."""
         rows = self.rows
         codes = np.concatenate([np.zeros(0, np.uint32), *self.codes])
         bounds = np.concatenate([[0], np.cumsum([len(c) for c in self.codes])])
@@ -248,17 +267,23 @@ class _Batch:
             upto = np.concatenate([[0], np.cumsum(np.array([r[k] for r in rows], np.int64)[codes])])
             return upto[bounds[1:]] - upto[bounds[:-1]]
 
-        return _batch(BATCH, {
-            "batch": [batch], "doc_ids": [self.ids], "n_a": [per_document(0)], "n_b": [per_document(1)],
-            "n_groups": [per_document(2)], "shas": [self.shas], "groups": [self.groups],
-            "chunks": [codes.tobytes()], "sizes": [np.diff(bounds)],
-            "links": [of.astype(np.uint32).tobytes()], "link_sizes": [link_sizes.astype(np.uint32).tobytes()],
-            "pairs": [pairs], "counts": [n]})
+        lists = {
+            "doc_ids": self.ids, "n_a": per_document(0), "n_b": per_document(1), "n_groups": per_document(2),
+            "shas": self.shas, "groups": self.groups, "chunks": codes, "sizes": np.diff(bounds),
+            "links": of.astype(np.uint32), "link_sizes": link_sizes.astype(np.uint32), "pairs": pairs, "counts": n}
+        size = (104 * len(self.ids) + sum(len(g or "") for g in self.groups) + 16 * len(pairs)
+                + 4 * (len(codes) + len(links) + len(link_sizes)))
+        parts = max(1, -(-size // PART_BYTES))
+        for k in range(parts):
+            cut = {c: v[len(v) * k // parts:len(v) * (k + 1) // parts] for c, v in lists.items()}
+            cut |= {c: _packed(cut[c]) for c in ("chunks", "links", "link_sizes")}
+            yield _batch(BATCH, {"batch": [batch], "part": [k], "pair_from": [len(pairs) * k // parts]}
+                         | {c: [v] for c, v in cut.items()})
 
 
 def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False) -> DataFrame:
-    """A row per batch of documents: their ids and token counts, the digest of their groups, and what
-    it takes to add up their links (see ``BATCH``)."""
+    """The parts of each batch of documents: their ids and token counts, the digest of their groups, and
+    what it takes to add up their links (see ``BATCH``)."""
     def run(batches):
         aligner = _worker(path_a, path_b)
         task, made, held = TaskContext.get().partitionId(), 0, None
@@ -268,10 +293,12 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False
                 held = held or _Batch(aligner, keep_groups)
                 held.add(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
                 if held.chars >= BATCH_CHARS:
-                    yield held.row(task << 32 | made)
+                    yield from held.parts(task << 32 | made)
                     made, held = made + 1, None
         if held:
-            yield held.row(task << 32 | made)
+            yield from held.parts(task << 32 | made)
+            held = None
+            release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, BATCH)
@@ -291,39 +318,42 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool = False)
     """``docs(doc_id, text, …)`` → one row per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256``, and with ``keep_groups`` the groups themselves as text
     (``a1,a2|b1;a3|b2,b3``)."""
-    batches = stage(encoded(docs, path_a, path_b, keep_groups), "alignment-batches")
+    batches = stage(encoded(docs, path_a, path_b, keep_groups), "alignment-batches",
+                    **{"parquet.block.size": str(GROUP_BYTES)})
     pairs = pair_counts(batches)
-    mine = batches.select("batch", F.posexplode("pairs").alias("pos", "own"))
+    mine = batches.select("batch", "pair_from", F.posexplode("pairs").alias("at", "own"))
     answers = mine.join(pairs, F.col("own") == F.col("pair")).select(
-        F.col("batch").alias("to_batch"), "pos", "n", (F.col("n") == F.col("best")).alias("is_best"))
+        F.col("batch").alias("to_batch"), (F.col("pair_from") + F.col("at")).alias("pos"), "n",
+        (F.col("n") == F.col("best")).alias("is_best"))
     schema = RESULT + (", groups string" if keep_groups else "")
 
     def add_up(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        for row in left.drop_columns(["pairs", "counts"]).to_batches():
-            for i in range(row.num_rows):
-                get = {name: row.column(name)[i] for name in row.schema.names}
-                codes, links, link_sizes = (np.frombuffer(get[c].as_buffer(), np.uint32) for c in
-                                            ("chunks", "links", "link_sizes"))
-                pos = right.column("pos").to_numpy()
-                size = int(max(pos.max(initial=-1), links.max(initial=0))) + 1
-                n, best = np.zeros(size, np.int64), np.zeros(size, np.int64)
-                n[pos] = right.column("n").to_numpy()
-                best[pos] = right.column("is_best").combine_chunks().cast(pa.int64()).to_numpy(zero_copy_only=False)
-                bounds = np.concatenate([[0], np.cumsum(get["sizes"].values.to_numpy())])
-                at = np.concatenate([[0], np.cumsum(link_sizes, dtype=np.int64)])
-
-                def per_document(values):
-                    upto = np.concatenate([[0], np.cumsum(values[links])])
-                    upto = np.concatenate([[0], np.cumsum((upto[at[1:]] - upto[at[:-1]])[codes])])
-                    return upto[bounds[1:]] - upto[bounds[:-1]]
-
-                columns = {c: get[c].values for c in ("n_a", "n_b", "n_groups", "groups")} | {
-                    "doc_id": get["doc_ids"].values, "groups_sha256": get["shas"].values,
-                    "n_links": per_document(np.ones(size, np.int64)), "n_best": per_document(best),
-                    "count_sum": per_document(n)}
-                out.append(_batch(schema, columns))
-        return pa.Table.from_batches(out, schema=out[0].schema if out else _batch(
-            schema, {c.split(" ")[0]: [] for c in schema.split(", ")}).schema)
-
-    return batches.groupBy("batch").cogroup(answers.groupBy("to_batch")).applyInArrow(add_up, schema)
+        _worker.cache_clear()  # a worker that encoded before needs its tokenizers no more
+        left = left.sort_by("part")
+        codes, links, link_sizes = (_unpacked(left.column(c)) for c in ("chunks", "links", "link_sizes"))
+        flat = {c: left.column(c).combine_chunks().flatten() for c in
+                ("doc_ids", "n_a", "n_b", "n_groups", "shas", "groups", "sizes")}
+        pos = right.column("pos").to_numpy()
+        size = int(max(pos.max(initial=-1), links.max(initial=0))) + 1
+        n, best = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        n[pos] = right.column("n").to_numpy()
+        best[pos] = right.column("is_best").combine_chunks().cast(pa.int64()).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(flat["sizes"].to_numpy())])
+        at = np.concatenate([[0], np.cumsum(link_sizes, dtype=np.int64)])
+
+        def per_document(values):
+            upto = np.concatenate([[0], np.cumsum(values[links])])
+            upto = np.concatenate([[0], np.cumsum((upto[at[1:]] - upto[at[:-1]])[codes])])
+            return upto[bounds[1:]] - upto[bounds[:-1]]
+
+        columns = {c: flat[c] for c in ("n_a", "n_b", "n_groups", "groups")} | {
+            "doc_id": flat["doc_ids"], "groups_sha256": flat["shas"],
+            "n_links": per_document(np.ones(size, np.int64)), "n_best": per_document(best),
+            "count_sum": per_document(n)}
+        made = pa.Table.from_batches([_batch(schema, columns)])
+        del codes, links, link_sizes, n, best, at, left, right
+        release_memory()
+        return made
+
+    return batches.drop("pair_from", "pairs", "counts").groupBy("batch").cogroup(
+        answers.groupBy("to_batch")).applyInArrow(add_up, schema)

@@ -21,12 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: later steps start from
-    the files, so a lost executor costs no recomputation of what came before."""
+    the files, so a lost executor costs no recomputation of what came before. ``options`` are the
+    writer's."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

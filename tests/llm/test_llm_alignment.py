@@ -100,6 +100,32 @@ def test_strange_texts_equal_brute_force(spark, paths, whole):
     assert any(r.n_a == 0 for r in got) and any(r.n_groups > 3 for r in got)
 
 
+def test_a_batch_is_many_small_rows(spark, paths, whole):
+    rnd = random.Random(5)
+
+    def text(n):
+        return " ".join("".join(rnd.choices("abcdeinorst", k=rnd.randrange(3, 9))) for _ in range(n))
+
+    rows = [(i, text(rnd.randrange(300))) for i in range(200)] + [(200, text(2_000)), (201, None), (202, ""), (202, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    parts = alignment.encoded(docs, *paths, keep_groups=True)
+    sizes = [sum(len(r[c]) for c in ("chunks", "links", "link_sizes")) + 8 * len(r.pairs) + 8 * len(r.counts)
+             for r in parts.collect()]
+    assert sum(sizes) > 250_000 and max(sizes) < 150_000
+    assert parts.select("batch").distinct().count() == 1
+    got = alignment.align(docs, *paths, keep_groups=True).collect()
+    assert sorted((tuple(r)[:8] for r in got), key=repr) == brute(rows, whole)
+    assert all(hashlib.sha256(r.groups.encode()).hexdigest() == r.groups_sha256 for r in got if r.groups)
+
+
+def test_staged_rows_lie_in_row_groups_as_asked(spark):
+    import pyarrow.parquet as pq
+    from strata.llm.common import stage
+    staged = stage(spark.range(100_000).coalesce(1), "test-groups", **{"parquet.block.size": "65536"})
+    assert pq.ParquetFile(staged.inputFiles()[0].removeprefix("file:")).num_row_groups > 4
+    assert staged.count() == 100_000
+
+
 def test_intervals_without_cuts_are_found_once():
     import numpy as np
     odd, even = np.append(np.arange(1, 200_000, 2), 200_000), np.arange(2, 200_001, 2)
